@@ -25,10 +25,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm import words as W
-from textloom.llm.shared import map_array, parts, prepare, shared_dir, write_arrays
+from textloom.llm.shared import cut, map_array, parts, prepare, shared_dir, write_arrays
 
 END = np.uint64(0xE2D5A9C3B1F70001)
-FLUSH = 1 << 22
+FLUSH = 1 << 20
 
 
 def _bits(n: int) -> int:
@@ -93,10 +93,10 @@ def _gather(batches, dtype):
     held: dict[int, list] = {}
     for batch in batches:
         for s, k, c in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            held.setdefault(s, []).append((W.unplanes(k, dtype), W.unplanes(c, np.int64)))
+            held.setdefault(s, []).append((k, c))
     while held:
         s, blobs = held.popitem()
-        yield s, *W.tally(*map(np.concatenate, zip(*blobs, strict=True)))
+        yield s, *W.tally(*map(np.concatenate, zip(*((W.unplanes(k, dtype), W.unplanes(c, np.int64)) for k, c in blobs), strict=True)))
 
 
 def _write_words(path: str):
@@ -319,17 +319,14 @@ def fit(texts: DataFrame, text: str = "text") -> dict:
         .repartition(p, "shard")
         .mapInArrow(_write_pairs(path, step), "kind int, key long, a binary, b binary, c binary, d binary, e binary")
     )
-    spark_stats = stats.persist()
-    try:
-        heads = [[int(W.unplanes(x, np.int64)[0]) for x in r[2:]] + [r.key] for r in spark_stats.filter("kind = -1").collect()]
-        ranges = (
-            spark_stats.filter("kind >= 0")
-            .repartition(max(8, p // 8), "key")
-            .mapInArrow(_write_stats(path, step), "range int, n1 long, n2 long, n3 long, n4 long")
-            .collect()
-        )
-    finally:
-        spark_stats.unpersist()
+    stats = cut(stats, "lm-stats")
+    heads = [[int(W.unplanes(x, np.int64)[0]) for x in r[2:]] + [r.key] for r in stats.filter("kind = -1").collect()]
+    ranges = (
+        stats.filter("kind >= 0")
+        .repartition(max(8, p // 8), "key")
+        .mapInArrow(_write_stats(path, step), "range int, n1 long, n2 long, n3 long, n4 long")
+        .collect()
+    )
     pstarts = np.zeros((1 << bits) + 1, np.int64)
     for h in heads:
         pstarts[h[-1] + 1] = h[0]

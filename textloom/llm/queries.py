@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from textloom.llm import lm
+from textloom.llm import lm, minhash
 
 QUERIES = {
     "op1_lm_scoring": lm.query,
+    "op3_minhash_fingerprints": minhash.query,
 }
 
 ORACLES: dict[str, str] = {}

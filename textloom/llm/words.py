@@ -56,7 +56,7 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(offsets: np.ndarray, size: int = 4 << 20):
+def slices(offsets: np.ndarray, size: int = 2 << 20):
     """Ranges of rows of about so many bytes; a row is never divided."""
     a, n = 0, len(offsets) - 1
     while a < n:
