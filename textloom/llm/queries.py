@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from textloom.llm import lm, minhash
+from textloom.llm import lm, minhash, simhash, suffix, toxicity, vectors
 
 QUERIES = {
     "op1_lm_scoring": lm.query,
     "op3_minhash_fingerprints": minhash.query,
+    "op4_suffix_array_dedup": suffix.query,
+    "op6_simhash_near_dedup": simhash.query,
+    "op8_embedding_near_dedup": vectors.query,
+    "op10_toxicity": toxicity.query,
 }
 
 ORACLES: dict[str, str] = {}

@@ -65,12 +65,12 @@ def slices(offsets: np.ndarray, size: int = 2 << 20):
         a = b
 
 
-def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words, and the first word of each text (one more at the end)."""
+def spans(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words (runs of bytes not in space), and the first word of each text (one more at the end)."""
     n = len(data)
     if not n:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(len(offsets), np.int64)
-    word = ~SPACE[data]
+    word = ~space[data]
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
     before = np.empty(n, bool)
