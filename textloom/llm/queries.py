@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
-from textloom.llm import lm, minhash, simhash, suffix, toxicity, vectors
+import corpus_pipeline
+from textloom.llm import bpe, lines, lm, minhash, packing, quotes, simhash, suffix, toxicity, vectors
 
 QUERIES = {
     "op1_lm_scoring": lm.query,
+    "op2_quotation_linking": quotes.query,
     "op3_minhash_fingerprints": minhash.query,
     "op4_suffix_array_dedup": suffix.query,
+    "op5_best_fit_packing": packing.query,
     "op6_simhash_near_dedup": simhash.query,
+    "op7_line_dedup": lines.query,
     "op8_embedding_near_dedup": vectors.query,
+    "op9_byte_bpe": bpe.query,
     "op10_toxicity": toxicity.query,
+    "pipeline": corpus_pipeline.run,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_quotation_linking": quotes.SQL,
+}
