@@ -28,8 +28,7 @@ from pyspark.sql import functions as F
 from textloom.llm import words as W
 from textloom.llm.shared import parts, prepare
 
-LENGTH, GROUP, BATCH, PIECE = 200, 1 << 14, 1 << 20, 1 << 20
-GAP = 4  # places of the transform for each row of the counts table
+LENGTH, GROUP, BATCH, PIECE = 200, 1 << 14, 1 << 19, 1 << 20
 
 
 def _least(h: np.ndarray, w: int, pick=np.minimum) -> np.ndarray:
@@ -173,7 +172,7 @@ def _fragments(length: int):
 
 
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes of text (uint8) sorted by their first `depth` bytes or more; ties by place."""
+    """Suffixes of text (uint8) sorted by their first `depth` bytes or more; ties in any order."""
     n = len(text)
     padded = np.concatenate([text, np.zeros(8, np.uint8)]).astype(np.uint64)
     key = np.zeros(n, np.uint64)
@@ -181,9 +180,10 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
         key |= padded[j : j + n] << np.uint64(8 * (7 - j))
     h = 8
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
+        inorder = key[order]
         new = np.zeros(n, np.int64)
-        new[1:] = key[order][1:] != key[order][:-1]
+        new[1:] = inorder[1:] != inorder[:-1]
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(new) + 1
         if h >= depth or rank[order[-1]] == n:
@@ -201,36 +201,51 @@ def boundaries(text: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
     elsewhere within their own bucket if it occurs before the end too.  All others are exact.
     """
     alphabet, code = np.unique(text, return_inverse=True)
-    sigma, n = len(alphabet), len(text)
-    bwt = code[order - 1].astype(np.int64)  # the byte before each suffix; before the first, the last
-    first = np.concatenate([[0], np.cumsum(np.bincount(code, minlength=sigma))])
-    rows = n // GAP + 1
-    table = np.zeros((rows + 1, sigma), np.int32)
-    table[1:] = np.bincount(np.arange(n) // GAP * sigma + bwt, minlength=rows * sigma).reshape(rows, sigma)
-    np.cumsum(table, axis=0, out=table)
-    table += first[:-1].astype(np.int32)
-    bwt = np.concatenate([bwt, np.zeros(GAP, np.int64)])
+    n = len(text)
+    bwt = code[order - 1]  # the byte before each suffix; before the first, the last
+    by_byte = np.argsort(bwt.astype(np.uint8), kind="stable")
+    back = np.empty(n, np.int32)  # where each suffix stands with its byte before it
+    back[by_byte] = np.arange(n, dtype=np.int32)
+    same = np.empty(n, np.int32)  # the last place before with the same byte
+    same[by_byte[1:]] = by_byte[:-1]
+    first = np.concatenate([[0], np.cumsum(np.bincount(code, minlength=len(alphabet)))])
+    same[by_byte[first[:-1]]] = -1
     apart = np.zeros(n + 1, bool)
     apart[first] = True
     frontier = np.unique(first[:-1])
     for _ in range(length - 1):
+        # each new boundary opens an interval, up to the next boundary: its bytes' first places lead back
         found = []
-        for i in range(0, len(frontier), 1 << 15):
-            at = frontier[i : i + (1 << 15)]
-            to = table[at // GAP]
-            for g in range(GAP - 1):
-                more = np.flatnonzero(at % GAP > g)
-                to[more, bwt[at[more] // GAP * GAP + g]] += 1
-            to = to.ravel()
+        for at, start in _inside(apart, frontier):
+            to = back[at[same[at] < start]]
             to = to[~apart[to]]
-            apart[to] = True
             found.append(to)
-        frontier = np.unique(np.concatenate(found))
+        frontier = np.concatenate(found)  # each place once: it has one place that leads to it
         if not len(frontier):
             break
+        apart[frontier] = True
     return apart[:-1]
 
 
+def _inside(apart: np.ndarray, frontier: np.ndarray):
+    """All places of the intervals that the boundaries open, each with its boundary."""
+    at = start = frontier
+    for _ in range(32):
+        yield at, start
+        at = at + 1
+        on = ~apart[at]
+        at, start = at[on], start[on]
+        if not len(at):
+            return
+    edges = np.flatnonzero(apart)
+    end = edges[np.searchsorted(edges, at, "right")]
+    for i in range(0, len(at), 1 << 12):
+        n = (end - at)[i : i + (1 << 12)]
+        first = np.cumsum(n) - n
+        places = np.repeat(at[i : i + (1 << 12)] - first, n) + np.arange(n.sum())
+        yield places, np.repeat(start[i : i + (1 << 12)], n)
+
+
 def repeats(pieces: list[bytes], owner: np.ndarray, start: np.ndarray, length: int):
     """Of fragments of texts (owner, start in it): (owner, start, end) of runs of windows that also start elsewhere."""
     text = np.frombuffer(b"\x00".join(pieces) + b"\x00", np.uint8)
