@@ -1,9 +1,10 @@
 """Suffix-array dedup: every byte covered by a `length`-byte string that starts anywhere else goes.
 
 1. Distinct texts (equal ones are counted).  A text of at least `length` bytes with a copy goes whole.
-2. Anchors: each window of `length` bytes has the least hash of its `length/2`-byte strings as an
-   anchor, so equal windows have equal anchors.  Anchors are dealt by hash, each with the hash of its
-   hull: all windows that hold it.  Hulls that occur twice are removed at once.
+2. Anchors: each window of `length` bytes has the leftmost of its `gram`-byte strings with the least
+   hash as its anchor, so equal windows have equal anchors.  Runs of windows with one anchor are dealt
+   by its hash, each with the hash of its hull, the bytes of them all.  Hulls that occur twice are
+   removed at once.
 3. What is left of a group of equal anchors with different hulls are the edges of repeats.  One
    fragment for each different hull goes to a batch of whole groups: suffixes are sorted, and from the
    Burrows-Wheeler transform a breadth-first backward extension finds the boundaries between
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from textloom.llm import words as W
 from textloom.llm.shared import parts, prepare
 
-LENGTH, GROUP, BATCH, PIECE = 200, 1 << 14, 1 << 19, 1 << 20
+LENGTH, GRAM, GROUP, BATCH, PIECE = 200, 100, 1 << 14, 1 << 19, 1 << 20
 
 
 def _least(h: np.ndarray, w: int, pick=np.minimum) -> np.ndarray:
@@ -53,10 +54,10 @@ def _hash(sums, down, s, e):
         return W.mix((sums[e] - sums[s]) * down[s])
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH):
-    """Anchors of texts laid end to end: text, place in it, hash, hash of the hull."""
-    k = length // 2
-    w, pad = length - k + 1, length + k
+def runs(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM):
+    """Runs of windows with one anchor, of texts laid end to end: text, first window's place in it, windows,
+    hash of the anchor, hash of the hull (the bytes of all the run's windows)."""
+    w = length - gram + 1
     n = len(data)
     inside = np.zeros(n + 1, np.int32)
     np.add.at(inside, offsets[:-1], 1)
@@ -64,33 +65,34 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH):
     whole = np.cumsum(inside[:-1]) > 0  # a window starts here
     for a in range(0, n, PIECE):
         b = min(n, a + PIECE)
-        lo, hi = max(0, a - pad), min(n, b + pad + length)
-        if hi - lo < length or not whole[lo:b].any():
+        hi = min(n, b + length)
+        if hi - a < length or not whole[a:b].any():
             continue
-        sums, down = _sums(data[lo:hi])
-        h = _hash(sums, down, slice(0, hi - lo - k + 1), slice(k, hi - lo + 1)) | W.U(1)
-        m = _least(h, w)
-        m[~whole[lo : lo + len(m)]] = 0
-        top = _least(np.concatenate([np.zeros(w - 1, W.U), m]), w, np.maximum)  # over the windows that hold each place
-        at = np.flatnonzero(top == h[: len(top)]) + lo
-        at = at[(at >= a) & (at < b)]
-        text = np.searchsorted(offsets, at, "right") - 1
-        s, e = np.maximum(offsets[text], at - (length - k)), np.minimum(offsets[text + 1], at + length)
-        hull = _hash(sums, down, s - lo, e - lo)
+        sums, down = _sums(data[a:hi])
+        h = _hash(sums, down, slice(0, hi - a - gram + 1), slice(gram, hi - a + 1))
+        m = _least(h, w)[: b - a]
+        ok = whole[a : a + len(m)]
+        # the anchor, the leftmost least gram, changes where the least does, or where it leaves the window
+        new = np.ones(len(m), bool)
+        new[1:] = (m[1:] != m[:-1]) | (h[: len(m) - 1] == m[:-1]) | ~ok[:-1]
+        first = np.flatnonzero(new & ok)
+        edge = np.flatnonzero(np.append(new | ~ok, True))
+        count = edge[np.searchsorted(edge, first, "right")] - first
+        text = np.searchsorted(offsets, first + a, "right") - 1
         with np.errstate(over="ignore"):
-            hull = W.mix(hull + (at - s).astype(W.U) * W.U(1000003) + (e - at).astype(W.U))
-        yield text, at - offsets[text], h[at - lo], hull
+            hull = W.mix(_hash(sums, down, first, first + count + length - 1) + count.astype(W.U))
+        yield text, first + a - offsets[text], count, m[first], hull
 
 
-def _emit_anchors(buckets: int, length: int):
+def _emit_runs(buckets: int, length: int, gram: int):
     def flush(held):
-        a, f, t, p = map(np.concatenate, zip(*held, strict=True))
+        a, f, t, p, c = map(np.concatenate, zip(*held, strict=True))
         bucket = (a >> W.U(33)).astype(np.int64) % buckets
         order = np.argsort(bucket, kind="stable")
         cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
         for i in np.flatnonzero(np.diff(cuts)):
             at = order[cuts[i] : cuts[i + 1]]
-            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), *(pa.array([x[at].tobytes()], pa.binary()) for x in (a, f, t, p))], ["bucket", *"aftp"])
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), *(pa.array([x[at].tobytes()], pa.binary()) for x in (a, f, t, p, c))], ["bucket", *"aftpc"])
 
     def run(batches):
         held, n = [], 0
@@ -99,8 +101,8 @@ def _emit_anchors(buckets: int, length: int):
             data, offsets = W.buffers(batch.column(1))
             for i, j in W.slices(offsets):
                 off = offsets[i : j + 1]
-                for text, place, h, hull in anchors(data[off[0] : off[-1]], off - off[0], length):
-                    held.append((h, hull, ids[i + text], place.astype(np.uint32)))
+                for text, place, count, h, hull in runs(data[off[0] : off[-1]], off - off[0], length, gram):
+                    held.append((h, hull, ids[i + text], place.astype(np.uint32), count.astype(np.uint16)))
                     n += len(h)
             if n > 1 << 20:
                 yield from flush(held)
@@ -112,17 +114,17 @@ def _emit_anchors(buckets: int, length: int):
 
 
 def _group(limit: int):
-    """From a bucket's anchors: kind 0 where the hull is a repeat; 1, one anchor for each hull of a group with several; 2, the same for a large group."""
+    """From a bucket's runs: kind 0 where the hull is a repeat; 1, one run for each hull of a group with several; 2, the same for a large group."""
 
     def run(batches):
         held: dict[int, list] = {}
         for batch in batches:
-            for b, *blobs in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-                held.setdefault(b, []).append([np.frombuffer(x, d) for x, d in zip(blobs, ("u8", "u8", "i8", "u4"), strict=True)])
+            for b, *blobs in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+                held.setdefault(b, []).append([np.frombuffer(x, d) for x, d in zip(blobs, ("u8", "u8", "i8", "u4", "u2"), strict=True)])
         while held:
-            a, f, t, p = map(np.concatenate, zip(*held.popitem()[1], strict=True))
+            a, f, t, p, c = map(np.concatenate, zip(*held.popitem()[1], strict=True))
             order = np.lexsort((p, t, f, a))
-            a, f, t, p = a[order], f[order], t[order], p[order]
+            a, f, t, p, c = a[order], f[order], t[order], p[order], c[order]
             newa = np.concatenate([[True], a[1:] != a[:-1]])
             newf = newa | np.concatenate([[True], f[1:] != f[:-1]])
             ga, gf = np.cumsum(newa) - 1, np.cumsum(newf) - 1
@@ -133,14 +135,13 @@ def _group(limit: int):
                 at = np.flatnonzero(rows)
                 for i in range(0, len(at), 1 << 15):
                     x = at[i : i + (1 << 15)]
-                    yield pa.RecordBatch.from_arrays([pa.array(t[x]), pa.array(p[x].astype(np.int64)), pa.array(kind[x]), pa.array(a[x].view(np.int64))], ["tid", "place", "kind", "anchor"])
+                    yield pa.RecordBatch.from_arrays([pa.array(t[x]), pa.array(p[x].astype(np.int64)), pa.array(c[x].astype(np.int32)), pa.array(kind[x]), pa.array(a[x].view(np.int64))], ["tid", "place", "windows", "kind", "anchor"])
 
     return run
 
 
 def _fragments(length: int):
     """(key, tid, start, bytes): fragments of kind 1 by anchor; windows of kind 2 by hash, without bytes."""
-    k = length // 2
 
     def run(batches):
         for batch in batches:
@@ -149,7 +150,8 @@ def _fragments(length: int):
                 raw = text.encode()
                 windows = set()
                 for r in found:
-                    s, e = max(0, r["place"] - (length - k)), min(len(raw), r["place"] + length)
+                    s = r["place"]
+                    e = s + r["windows"] + length - 1
                     if r["kind"] == 1:
                         rows.append((r["anchor"], tid, s, raw[s:e]))
                     else:
@@ -338,11 +340,12 @@ def text_id(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, group: int = GROUP, text: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, group: int = GROUP, gram: int | None = None, text: str = "text") -> DataFrame:
     """For each distinct text: tid (text_id of it), n_bytes, n_removed, n_spans, kept (binary: the bytes
     that stay; not always whole UTF-8) and spans (start, end of maximal removed runs)."""
-    if length < 16 or length % 2:
-        raise ValueError("length is even and at least 16")
+    gram = gram or max(1, length * GRAM // LENGTH)
+    if not 1 <= gram < length < 1 << 16:
+        raise ValueError("1 <= gram < length < 65536")
     spark = docs.sparkSession
     prepare(spark)
     p = parts(spark)
@@ -350,12 +353,12 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, group: int = GROUP, te
     distinct = docs.select(text_id(F.col(text)).alias("tid"), body.alias("text")).groupBy("tid").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
     found = (
         distinct.select("tid", "text")
-        .mapInArrow(_emit_anchors(p, length), "bucket int, a binary, f binary, t binary, p binary")
+        .mapInArrow(_emit_runs(p, length, gram), "bucket int, a binary, f binary, t binary, p binary, c binary")
         .repartition(p, "bucket")
-        .mapInArrow(_group(group), "tid long, place long, kind int, anchor long")
+        .mapInArrow(_group(group), "tid long, place long, windows int, kind int, anchor long")
     )
-    whole = found.filter("kind = 0").select("tid", F.shiftleft(F.greatest(F.col("place") - (length - length // 2), F.lit(0)), 32).bitwiseOR(F.col("place") + length).alias("span"))
-    edges = found.filter("kind > 0").groupBy("tid").agg(F.collect_list(F.struct("place", "kind", "anchor")).alias("found"))
+    whole = found.filter("kind = 0").select("tid", F.shiftleft("place", 32).bitwiseOR(F.col("place") + F.col("windows") + (length - 1)).alias("span"))
+    edges = found.filter("kind > 0").groupBy("tid").agg(F.collect_list(F.struct("place", "windows", "kind", "anchor")).alias("found"))
     fragments = distinct.join(edges, "tid").select("tid", "text", "found").mapInArrow(_fragments(length), "key long, tid long, start long, raw binary")
     extended = fragments.filter("raw is not null").repartition(2 * p, "key").mapInArrow(_extend(length), "tid long, span long")
     windows = fragments.filter("raw is null").select("key", "tid", "start").distinct()
