@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from textloom.operators import answer, mining, training
+from textloom.functions import vectors as V
+from textloom.operators import answer, dedup, mining, retrieve, rows, training
 from textloom.plans.common import ASKED, BM25, CHUNKS, WS, Query, asked, benchmark, chunks, s_norm, s_rstrip, s_strip, s_tokens, table
 from textloom.plans.search import found_bm25
 from textloom.streaming import incremental
@@ -173,6 +174,57 @@ def stream_new_chunks(spark, d):
     return spark.read.schema("key string").parquet(f"{base}/out")
 
 
+def epoch_shuffle(spark, d):
+    return rows.shuffled(table(spark, d, "labels").select("doc_id", "toxic"), "doc_id", 42, 2)
+
+
+def pair_texts(spark, d):
+    pairs = epoch_pairs(spark, d).filter("type <> 'random_negative_fallback'").join(benchmark(spark, d).select(F.col("query_id").cast("string").alias("query_id"), F.col("text").alias("query_text")), "query_id")
+    documents = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("chunk_id"), F.col("source").alias("title"), F.left("text", F.lit(80)).alias("chunk_text"))
+    return rows.pair_texts(pairs, documents).select("query_text", "positive_text", "negative_text", "type")
+
+
+def prune_removed(spark, d):
+    gone = table(spark, d, "labels").filter("toxic = 1").select("doc_id")
+    return rows.prune(table(spark, d, "documents").select("doc_id", "source"), gone, "doc_id")
+
+
+def structure_length(spark, d):
+    json = F.to_json(F.struct(F.array(F.struct(F.array(F.struct(F.col("text").alias("text")), F.struct(F.col("lang").alias("text"))).alias("blocks"))).alias("pages")))
+    return table(spark, d, "documents").select("doc_id", rows.structure_chars(json).alias("chars"))
+
+
+def coerce_rows(spark, d):
+    made = table(spark, d, "documents").select(F.col("doc_id").alias("chunk_id"), F.when(F.col("doc_id") % 3 > 0, F.col("text")).alias("chunk_text"), F.col("lang").alias("chunk_index"), "source")
+    return rows.coerce_chunks(made).select("chunk_id", "chunk_index", "chunk_text_hash", "source", "url")
+
+
+def merge_queries_semantic(spark, d):
+    """User turns of two files: those of the second that are in the first go, exactly, then by meaning."""
+    q = asked(spark, d).select("query_id", "text", F.col("ord").alias("id"))
+    return dedup.query_dedup(dedup.merge_exact(q.filter("id < 50000"), q.filter("id >= 50000")).select("id", "text"), 20, 0.9)
+
+
+def search_hits(spark, d):
+    found = found_bm25(spark, d, 5)
+    return retrieve.hits(found, table(spark, d, "documents").filter("doc_id % 4 <> 0"), "doc_id", "text").select("query_id", "doc_key", "rank", F.length("chunk_text").alias("chars"))
+
+
+def model_score(spark, d):
+    e = table(spark, d, "events")
+    logits = F.when(F.col("event_id") % 2 == 0, F.array("value")).otherwise(F.array(F.lit(0.0), "value"))
+    return e.select("event_id", V.last_logit(logits).alias("score"))
+
+
+def learned_reranker(spark, d):
+    """Training a linear reranker on pairs of two features, and its scores of the pairs' positives."""
+    found = found_bm25(spark, d, 10).join(benchmark(spark, d).withColumnRenamed("text", "q"), "query_id").join(table(spark, d, "documents").select(F.col("doc_id").alias("doc_key"), "text"), "doc_key")
+    features = found.select("query_id", "rank", F.array(F.col("score") / 100, retrieve.overlap_score(F.col("q"), F.col("text"))).alias("f"))
+    pairs = features.filter("rank = 1").select("query_id", F.col("f").alias("pos_features")).join(features.filter("rank > 3").select("query_id", F.col("f").alias("neg_features")), "query_id")
+    model = training.train_reranker(pairs)
+    return pairs.select("query_id", (training.rerank_score(model, F.col("pos_features")) > training.rerank_score(model, F.col("neg_features"))).alias("right")).groupBy("query_id").agg(F.avg(F.col("right").cast("double")).alias("accuracy"))
+
+
 DOCS = "docs AS (SELECT CAST(doc_id AS VARCHAR) AS chunk_id, text AS chunk_text, doc_id AS ord FROM documents)"
 NUMBERED = "numbered AS (SELECT *, row_number() OVER (ORDER BY ord) - 1 AS n FROM asked)"
 SIMPLE = f"""{BM25}, best AS (SELECT CAST(query_id AS VARCHAR) AS query_id, CAST(doc_key AS VARCHAR) AS k, rank, query_id % 5 = 0 AS bare FROM bm25 WHERE rank <= 10),
@@ -230,6 +282,15 @@ QUERIES = {
     "judge_summary": Query(judge_summary, None),
     "judge_table": Query(judge_table, "SELECT event_type AS system, count(*) AS n, round(avg(CAST(value > 4 AS INTEGER)), 6) AS accuracy, round(avg(greatest(least(value / 10, 1), 0)), 6) AS mean_score FROM events GROUP BY event_type"),
     "qa_dataset": Query(qa_dataset, f"WITH {BM25}, q AS (SELECT CAST(query_id AS VARCHAR) AS query_id, {s_strip('b.text')} AS question, {s_strip(f'''split_part(regexp_replace({s_strip('d.text')}, '[.!?]', chr(10), 'g'), chr(10), 1)''')} AS a, [CAST(doc_key AS VARCHAR)] AS used_ids FROM bm25 JOIN benchmark b ON b.item_id = query_id JOIN documents d ON d.doc_id = doc_key WHERE rank = 1) SELECT query_id, question, CASE WHEN length(a) > 900 THEN {s_rstrip('left(a, 900)')} ELSE a END AS answer, used_ids FROM q WHERE a <> '' AND NOT contains(lower(a), 'not answerable')"),
+    "epoch_shuffle": Query(epoch_shuffle, "SELECT doc_id, toxic, sha256('42002:' || doc_id) AS shuffle_key FROM labels"),
+    "pair_texts": Query(pair_texts, None),
+    "prune_removed": Query(prune_removed, "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)"),
+    "structure_length": Query(structure_length, "SELECT doc_id, CAST(length(text) + length(lang) AS INTEGER) AS chars FROM documents"),
+    "coerce_rows": Query(coerce_rows, f"SELECT CAST(doc_id AS VARCHAR) AS chunk_id, CAST(0 AS INTEGER) AS chunk_index, sha1(CASE WHEN doc_id % 3 > 0 THEN {s_norm('text')} ELSE '' END) AS chunk_text_hash, source, CAST(NULL AS VARCHAR) AS url FROM documents"),
+    "merge_queries_semantic": Query(merge_queries_semantic, None),
+    "search_hits": Query(search_hits, f"WITH {BM25} SELECT query_id, doc_key, rank, CAST(length(text) AS INTEGER) AS chars FROM bm25 JOIN documents ON doc_id = doc_key WHERE rank <= 5 AND doc_key % 4 <> 0"),
+    "model_score": Query(model_score, "SELECT event_id, value AS score FROM events"),
+    "learned_reranker": Query(learned_reranker, None),
     "event_windows": Query(event_windows, "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL"),
     "stream_new_chunks": Query(stream_new_chunks, "SELECT DISTINCT event_type || '-' || user_id AS key FROM events"),
 }
