@@ -87,7 +87,7 @@ def absolute(base, href) -> Column:
     base_query = F.when(part(b, 4) != "", F.concat(F.lit("?"), part(b, 4))).otherwise("")
     directory = F.regexp_replace(base_path, "[^/]*$", "")
     return (
-        F.when(h == "", F.regexp_replace(b, "#.*$", ""))
+        F.when(h == "", b)
         .when(part(h, 1) != "", h)
         .when(F.startswith(h, F.lit("//")), F.concat(part(b, 1), F.lit(":"), h))
         .when(F.startswith(h, F.lit("/")), F.concat(root, _dots(part(h, 3)), query, fragment))

@@ -151,10 +151,9 @@ def pack_paragraphs(text, max_tokens: int = 256) -> Column:
 
 
 def sentence_ends(text: str) -> list[int]:
-    """Places of the last character of each sentence: terminators with closing marks, before white space or the end."""
-    ends = [m.end() - 1 - (m.end() > m.start() and m.group()[-1].isspace()) for m in re.finditer(SENTENCE_RE, text)]
-    stripped = len(text.rstrip())
-    return ends if not stripped or ends and ends[-1] == stripped - 1 else [*ends, stripped - 1]
+    """Places of the last character of each sentence: terminators with closing marks, before white space or the end.
+    The end of a text without a terminator is no sentence end: it is where a window happened to stop."""
+    return [m.end() - 1 - m.group()[-1].isspace() for m in re.finditer(SENTENCE_RE, text)]
 
 
 def last_sentence_end(text, start, end) -> Column:
