@@ -54,29 +54,36 @@ def keyword_domain(text: Column, keywords: list[str] = KEYWORDS) -> Column:
 
 
 def batched(queries: DataFrame, size: int = 15, order: list[str] | None = None) -> DataFrame:
-    """queries with their place from 0 and micro-batch.  Places are counted by ranges of the order's first column, so no task sorts all rows."""
-    order = order or ["chunk_ord", "place", "query_id"]
-    placed = numbered(queries, order)
-    return placed.withColumn("batch", F.floor(F.col("n") / size))
+    """queries with their place n from 0 and micro-batch."""
+    return numbered(queries, order or ["chunk_ord", "place", "query_id"]).withColumn("batch", F.floor(F.col("n") / size))
 
 
-def numbered(rows: DataFrame, order: list[str], out: str = "n", span: int = 64) -> DataFrame:
-    """rows with their place from 0 in the given order (a whole number first, distinct).  A running count of
-    ranges of the first column plus a window within each: a global row_number without one partition."""
-    bucket = F.floor(F.col(order[0]) / span)
-    marked = rows.withColumn("__b", bucket)
+def numbered(rows: DataFrame, order: list[str], out: str = "n") -> DataFrame:
+    """rows with their place from 0 in the given order (a whole number first, distinct): a running count of a few
+    ranges of the first column for each partition, and a window within each.  No task ranks all rows."""
+    ends = rows.agg(F.min(order[0]).alias("lo"), F.max(order[0]).alias("hi")).first()
+    ranges = 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    span = max(1, -(-((ends.hi or 0) - (ends.lo or 0) + 1) // ranges))
+    marked = rows.withColumn("__b", F.floor((F.col(order[0]) - F.lit(ends.lo or 0)) / span))
     sizes = marked.groupBy("__b").agg(F.count("*").alias("__size"))
     starts = sizes.withColumn("__start", F.sum("__size").over(Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)))  # a row for each range
-    w = Window.partitionBy("__b").orderBy(*order)
-    joined = marked.withColumn("__i", F.row_number().over(w) - 1).join(starts.select("__b", F.coalesce("__start", F.lit(0)).alias("__start")), "__b")
+    joined = marked.withColumn("__i", F.row_number().over(Window.partitionBy("__b").orderBy(*order)) - 1).join(starts.select("__b", F.coalesce("__start", F.lit(0)).alias("__start")), "__b")
     return joined.withColumn(out, (F.col("__start") + F.col("__i")).cast("long")).drop("__b", "__i", "__start")
 
 
+def sum_before(sums: DataFrame, key: str, value: str, span: int = 4096) -> DataFrame:
+    """sums (key from 0, value) with before, the sum over smaller keys; spans of keys are summed first, so a window over all has few rows."""
+    marked = sums.withColumn("__s", F.floor(F.col(key) / span))
+    below = Window.orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
+    coarse = marked.groupBy("__s").agg(F.sum(value).alias("__v")).withColumn("__base", F.coalesce(F.sum("__v").over(below), F.lit(0))).select("__s", "__base")
+    within = Window.partitionBy("__s").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    return marked.withColumn("__w", F.coalesce(F.sum(value).over(within), F.lit(0))).join(coarse, "__s").withColumn("before", F.col("__base") + F.col("__w")).drop("__s", "__w", "__base")
+
+
 def until_target(batches: DataFrame, target: int, done: int = 0) -> DataFrame:
     """Rows (batch, in_domain, ..) of the batches that run before the count of in-domain queries reaches the target; whole batches only."""
     sums = batches.groupBy("batch").agg(F.sum(F.col("in_domain").cast("int")).alias("hits"))
-    w = Window.orderBy("batch").rowsBetween(Window.unboundedPreceding, -1)  # a row for each batch
-    kept = sums.withColumn("before", F.coalesce(F.sum("hits").over(w), F.lit(0)) + done).filter(F.col("before") < target)
+    kept = sum_before(sums, "batch", "hits").filter(F.col("before") + done < target)
     return batches.join(kept.select("batch"), "batch", "left_semi")
 
 

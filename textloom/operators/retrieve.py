@@ -6,6 +6,7 @@ not depend on the order of summation.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -101,14 +102,16 @@ def _blocks(name: str):
 def nearest(queries: DataFrame, corpus: DataFrame, k: int, skip_self: bool = False, metric: str = "dot", slots: int | None = None) -> DataFrame:
     """(query_id, doc_key, score, rank): the k rows of corpus (doc_key, v) with the largest dot product
     (metric l2: the least distance, as its negative) for each query (query_id, v).  Exact.  Blocks of both
-    sides are multiplied as matrices; each gives k rows a query, merged by a window.  Blocks of queries are
-    copied to a fixed number of slots that share the corpus; neither side is collected or broadcast."""
-    slots = slots or max(1, int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    sides are multiplied as matrices; each gives k rows a query, merged by a window.  A grid of about as many
+    cells as partitions holds the pairs of blocks: a block is copied along its row or column, so once for each
+    root of that number; neither side is collected or broadcast."""
+    side = slots or max(1, math.isqrt(int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))) + 1)
     kinds = queries.schema["query_id"].dataType.simpleString(), corpus.schema["doc_key"].dataType.simpleString()
     q = queries.select("query_id", F.col("v").cast("array<double>")).mapInArrow(_blocks("q"), f"q_keys array<{kinds[0]}>, q_matrix binary, q_dim int")
     d = corpus.select("doc_key", F.col("v").cast("array<double>")).mapInArrow(_blocks("d"), f"d_keys array<{kinds[1]}>, d_matrix binary, d_dim int")
-    q = q.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
-    d = d.withColumn("slot", F.pmod(F.xxhash64("d_keys"), F.lit(slots)).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(side - 1)))
+    q = q.withColumn("row", F.pmod(F.xxhash64("q_keys"), F.lit(side)).cast("int")).withColumn("col", every)
+    d = d.withColumn("col", F.pmod(F.xxhash64("d_keys"), F.lit(side)).cast("int")).withColumn("row", every)
 
     def best(batches):
         for batch in batches:
@@ -127,7 +130,7 @@ def nearest(queries: DataFrame, corpus: DataFrame, k: int, skip_self: bool = Fal
                 rows, cols = rows[ok], cols[ok]
                 yield pa.RecordBatch.from_arrays([pa.array([r["q_keys"][i] for i in rows], batch.schema.field("q_keys").type.value_type), pa.array([r["d_keys"][j] for j in cols], batch.schema.field("d_keys").type.value_type), pa.array(score[rows, cols])], ["query_id", "doc_key", "score"])
 
-    found = q.join(d, "slot").mapInArrow(best, f"query_id {kinds[0]}, doc_key {kinds[1]}, score double")
+    found = q.join(d, ["row", "col"]).mapInArrow(best, f"query_id {kinds[0]}, doc_key {kinds[1]}, score double")
     return top(found, k).select("query_id", "doc_key", "score", "rank")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from textloom.functions import text as T
 from textloom.operators.mining import by_hash
 
-TRIES = 50
+TRIES, FIRST = 50, 3
 
 
 def valid_count(n: Column, ratio: float) -> Column:
@@ -42,12 +42,20 @@ def split_counts(rows: DataFrame, key: str = "query_id") -> DataFrame:
 
 def random_chunks(needs: DataFrame, pool: DataFrame, excluded: DataFrame, seed: int, tries: int = TRIES) -> DataFrame:
     """needs (draw, query_id) with a chunk_id of pool (n from 0, chunk_id) not excluded (query_id, chunk_id) for it.
-    Each draw tries places hash(seed:draw:try) mod size in turn; the first that is allowed counts."""
+    Each draw tries places hash(seed:draw:try) mod size in turn; the first that is allowed counts.  Few tries are
+    made for all draws, the others only for those that are still without."""
     size = pool.agg(F.count("*").alias("size"))
     place = F.conv(F.left(T.sha256(F.concat(F.lit(f"{seed}:"), F.col("draw"), F.lit(":"), F.col("t").cast("string"))), F.lit(15)), 16, 10).cast("long") % F.col("size")
-    asked = needs.withColumn("t", F.explode(F.sequence(F.lit(0), F.lit(tries - 1)))).join(F.broadcast(size)).withColumn("n", place)  # size is one row
-    allowed = asked.join(pool, "n").join(excluded.select("query_id", "chunk_id").distinct(), ["query_id", "chunk_id"], "left_anti")
-    return allowed.groupBy("draw", "query_id").agg(F.min(F.struct("t", "chunk_id")).alias("r")).select("draw", "query_id", F.col("r.chunk_id").alias("chunk_id"))
+    banned = excluded.select("query_id", "chunk_id").distinct()
+
+    def some(rows: DataFrame, a: int, b: int) -> DataFrame:
+        asked = rows.withColumn("t", F.explode(F.sequence(F.lit(a), F.lit(b - 1)))).join(F.broadcast(size)).withColumn("n", place)  # size is one row
+        allowed = asked.join(pool, "n").join(banned, ["query_id", "chunk_id"], "left_anti")
+        return allowed.groupBy("draw", "query_id").agg(F.min(F.struct("t", "chunk_id")).alias("r")).select("draw", "query_id", F.col("r.chunk_id").alias("chunk_id"))
+
+    needs = needs.select("draw", "query_id")
+    first = some(needs, 0, min(FIRST, tries))
+    return first if tries <= FIRST else first.unionByName(some(needs.join(first, ["draw", "query_id"], "left_anti"), FIRST, tries))
 
 
 def epoch_pairs(packs: DataFrame, pool: DataFrame, epoch: int, seed: int = 42, random_per_positive: int = 1) -> DataFrame:
