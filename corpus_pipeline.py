@@ -21,9 +21,9 @@ from textloom.llm.shared import cut
 
 
 def _with_text(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """row (the old columns) and new_text -> the same columns with the text and its length replaced."""
+    """row (the old columns, text and n_chars may lack) and new_text -> the columns with the text and its length replaced."""
     new = {"text": F.col("new_text"), "n_chars": F.length("new_text").cast("long")}
-    return docs.select(*(new.get(c, F.col(f"row.{c}")).alias(c) for c in columns))
+    return docs.select(*((new[c] if c in new else F.col(f"row.{c}")).alias(c) for c in columns))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +48,7 @@ def dedup_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     found = suffix.remove_repeats(docs.select("text")).select("tid", F.col("kept").alias("__kept"))
     whole = F.try_validate_utf8(F.col("__kept").cast("string"))
     mended = F.regexp_replace(F.make_valid_utf8(F.col("__kept").cast("string")), "�", "")
-    rows = docs.select(F.struct(*docs.columns).alias("row"), suffix.text_id(F.col("text")).alias("tid"))
+    rows = docs.select(F.struct(*(c for c in docs.columns if c not in ("text", "n_chars"))).alias("row"), suffix.text_id(F.col("text")).alias("tid"))
     return _with_text(rows.join(found, "tid").select("row", F.coalesce(whole, mended).alias("new_text")), docs.columns)
 
 
