@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -24,6 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in the one that spark.checkpoint.dir names, which executors share."""
+    return f"{spark.conf.get('spark.checkpoint.dir', None) or 'file:///tmp/textloom-checkpoints'}/{name}-{uuid.uuid4().hex}"
+
+
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of documents with ord, their order over all."""
     made = chunk.sliding(table(spark, sf_dir, "documents"))

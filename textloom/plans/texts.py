@@ -8,7 +8,7 @@ from textloom.functions import arrays as A
 from textloom.functions import text as T
 from textloom.functions.stem import analyzed_terms
 from textloom.operators import answer, chunk, dedup, mining
-from textloom.plans.common import ASKED, CHUNKS, Query, WS, asked, benchmark, chunks, s_count, s_id, s_norm, s_rstrip, s_strip, s_tokens, table
+from textloom.plans.common import ASKED, CHUNKS, Query, WS, asked, benchmark, chunks, scratch, s_count, s_id, s_norm, s_rstrip, s_strip, s_tokens, table
 from textloom.sources import jsonl
 
 docs = lambda spark, d: table(spark, d, "documents")
@@ -168,13 +168,8 @@ def json_props(spark, d):
 
 
 def jsonl_quarantine(spark, d):
-    from textloom.operators.lineage import cut  # noqa: F401  the shared folder is the session's
-
     lines = table(spark, d, "events").select(F.when(F.col("event_id") % 50 == 0, F.concat(F.lit("["), F.col("event_id").cast("string"), F.lit("]"))).when(F.col("event_id") % 50 == 1, "{broken").when(F.col("event_id") % 50 == 2, "").otherwise(F.col("props")).alias("value"))
-    import uuid
-
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/textloom-checkpoints"
-    path = f"{base}/jsonl-{uuid.uuid4().hex}"
+    path = scratch(spark, "jsonl")
     lines.write.text(path)
     good, bad = jsonl.read_jsonl(spark, path, "k int", strict=False)
     a = good.agg(F.count("*").alias("rows"), F.sum("k").alias("sum_k"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions import vectors as V
 from textloom.operators import answer, dedup, mining, retrieve, rows, training
-from textloom.plans.common import ASKED, BM25, CHUNKS, WS, Query, asked, benchmark, chunks, s_norm, s_rstrip, s_strip, s_tokens, table
+from textloom.plans.common import ASKED, BM25, CHUNKS, WS, Query, asked, benchmark, chunks, s_norm, s_rstrip, s_strip, s_tokens, scratch, table
 from textloom.plans.search import found_bm25
 from textloom.streaming import incremental
 
@@ -164,9 +164,7 @@ def event_windows(spark, d):
 
 def stream_new_chunks(spark, d):
     """The same by Structured Streaming: each event type and user once, from a file stream run to its end."""
-    import uuid
-
-    base = (spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/textloom-checkpoints") + f"/stream-{uuid.uuid4().hex}"
+    base = scratch(spark, "stream")
     source = table(spark, d, "events")
     source.repartition(4).write.parquet(f"{base}/in")
     stream = incremental.table_stream(spark, f"{base}/in", source.schema, 2).select(F.concat_ws("-", "event_type", F.col("user_id").cast("string")).alias("key"))

@@ -9,11 +9,10 @@ from pyspark.sql.types import StructType
 
 def read_jsonl(spark: SparkSession, path: str, schema: StructType | str, strict: bool = True) -> tuple[DataFrame, DataFrame]:
     """(rows, errors).  Blank lines are skipped; a line that is no JSON object is an error: it fails a strict
-    scan and is quarantined with a preview otherwise.  Line numbers need one order, so files carry theirs:
-    (path, offset order within it) as `_metadata` gives; errors keep the path and the line's text hash."""
+    scan, and is quarantined otherwise with its file's path and a preview of 200 characters.  Files are split
+    and read in parallel, so an error has no line number."""
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path")).filter("trim(value) <> ''")
     value = F.try_parse_json("value")
-    # duplicate keys and numbers beyond double are the parser's own business; only the kind of value counts here
     is_object = F.coalesce(F.startswith(F.schema_of_variant(value), F.lit("OBJECT")), F.lit(False))
     marked = lines.withColumn("ok", is_object)
     good = marked.filter("ok").select(F.from_json("value", schema).alias("r")).select("r.*")
