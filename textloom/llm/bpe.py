@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from textloom.llm.shared import prepare
 
 NONE = np.int64(2**62)
-CELLS, REMEMBER, SLICE = 1 << 19, 200_000, 1 << 20
+CELLS, REMEMBER, SLICE = 1 << 19, 300_000, 1 << 20
 
 
 class Bpe:
@@ -132,19 +132,33 @@ def load(path: str, pattern: str) -> Bpe:
 
 
 class _Known:
-    """What distinct pieces give: number of ids, ids as text, decoded bytes.  Forgotten when there are many."""
+    """What distinct pieces give, by their number: how many ids, ids as text, decoded bytes.  Forgotten when there are many."""
 
     def __init__(self, bpe: Bpe):
-        self.bpe, self.n, self.ids, self.raw = bpe, {}, {}, {}
+        self.bpe, self.names = bpe, {i: str(i) for i in bpe.bytes_of}
+        self.clear()
+
+    def clear(self):
+        self.at: dict[str, int] = {}
+        self.n: list[int] = []
+        self.ids: list[str] = []
+        self.raw: list[bytes] = []
 
     def learn(self, pieces: set[str]):
         if len(self.n) > REMEMBER:
-            self.n.clear()
-            self.ids.clear()
-            self.raw.clear()
-        new = list(pieces - self.n.keys())
-        for p, ids in zip(new, self.bpe.encode_pieces([p.encode() for p in new]), strict=True):
-            self.n[p], self.ids[p], self.raw[p] = len(ids), " ".join(map(str, ids)), self.bpe.decode(ids)
+            self.clear()
+        new = list(pieces.difference(self.at))
+        name, raw = self.names.__getitem__, self.bpe.bytes_of.__getitem__
+        made = self.bpe.encode_pieces([p.encode() for p in new])
+        self.at.update(zip(new, range(len(self.n), len(self.n) + len(new)), strict=True))
+        self.n += map(len, made)
+        self.ids += [" ".join(map(name, ids)) for ids in made]
+        self.raw += [b"".join(map(raw, ids)) for ids in made]
+
+    def digests(self, pieces: list[str]) -> tuple[int, str, str]:
+        at = list(map(self.at.__getitem__, pieces))
+        ids, raw = " ".join(map(self.ids.__getitem__, at)), b"".join(map(self.raw.__getitem__, at))
+        return sum(map(self.n.__getitem__, at)), hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(raw).hexdigest()
 
 
 def _texts(texts: list, size: int = SLICE):
@@ -172,8 +186,7 @@ def digests(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Dat
             for texts in _texts(batch.column(0).to_pylist()):
                 pieces = [known.bpe.find(t) for t in texts]
                 known.learn(set().union(*pieces))
-                for own in pieces:
-                    out.append((sum(map(known.n.__getitem__, own)), hashlib.sha256(" ".join(map(known.ids.__getitem__, own)).encode()).hexdigest(), hashlib.sha256(b"".join(map(known.raw.__getitem__, own))).hexdigest()))
+                out += map(known.digests, pieces)
             n, ids, raw = zip(*out, strict=True) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(raw, pa.string())], [*kept, "n_tokens", "ids_sha256", "decoded_sha256"])
 
