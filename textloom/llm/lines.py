@@ -113,8 +113,9 @@ def dedup_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """(row: the given columns; kept: the text without deleted lines; n_lines; n_removed; n_partners)."""
     prepare(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    own = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST)).alias("d"), F.xxhash64(text).alias("k"), text.alias("text"))
-    trimmed = F.transform(F.split("text", "\n", -1), lambda x: F.regexp_replace(x, r"^[ \t\r\f\x0B]+|[ \t\r\f\x0B]+$", ""))
+    own = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST)).alias("d"), F.xxhash64(text).alias("k"))
+    body = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
+    trimmed = F.transform(F.split(body, "\n", -1), lambda x: F.regexp_replace(x, r"^[ \t\r\f\x0B]+|[ \t\r\f\x0B]+$", ""))
     hashed = own.select("d", "k", trimmed.alias("lines")).select("d", "k", F.transform("lines", lambda x: F.xxhash64(x)).alias("h"), F.transform("lines", lambda x: F.length(x) >= least).alias("long"))
     hashed = cut(hashed, "lines")
     each = hashed.select("d", "k", F.explode(F.array_distinct(F.filter(F.transform(F.arrays_zip("h", "long"), lambda x: F.when(x["long"], x["h"])), lambda x: x.isNotNull()))).alias("h"))
@@ -124,7 +125,7 @@ def dedup_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
     sides = pairs.join(distinct.select(F.col("d").alias("fd"), F.col("k").alias("fk"), F.col("h").alias("first")), ["fd", "fk"]).join(distinct, ["d", "k"])
     gone = sides.select("d", "k", "first", "h", "long").mapInArrow(_delete, "d long, k long, gone array<int>")
     gone = gone.groupBy("d", "k").agg(F.collect_list("gone").alias("gone"), F.count("*").cast("int").alias("n_partners"))
-    joined = own.join(gone, ["d", "k"], "left").select("text", "gone", "row", F.coalesce("n_partners", F.lit(0)).alias("n_partners"))
+    joined = own.join(gone, ["d", "k"], "left").select(body.alias("text"), "gone", "row", F.coalesce("n_partners", F.lit(0)).alias("n_partners"))
     row = own.schema["row"].dataType.simpleString()
     return joined.mapInArrow(_rewrite(["row", "n_partners", "kept", "n_lines", "n_removed"]), f"row {row}, n_partners int, kept string, n_lines int, n_removed int")
 
