@@ -6,8 +6,8 @@ keeps the terms that tell label 1: words (runs of ASCII letters and non-ASCII by
 and their prefixes of 4 to 7 bytes, chosen by an exact bound on the chance of their counts over all
 terms tried (`alpha`, Bonferroni), `terms` at most.  Examples are TF-IDF unit vectors over those
 terms, indexed in blocks of 64 with each term's largest weight in each block; a block whose bound
-is below the k-th best cosine so far is skipped, which loses nothing.  The vote of the k nearest,
-weighted by cosine, is mapped to a probability by a monotone fit on leave-one-out votes of the
+is below the k-th best cosine so far is skipped, which loses nothing.  Of near copies in the sample one
+is used.  The vote of the k nearest, weighted by cosine, is mapped to a probability by a monotone fit on leave-one-out votes of the
 sample, weighted back to the labels' own rates.  A text without any kept term has the rate of label
 1 among such examples.
 
@@ -69,6 +69,30 @@ def _count(batches):
             yield pa.RecordBatch.from_arrays([pa.array(keys[i : i + (1 << 16)].view(np.int64)), pa.array(part & 0xFFFFFFFF), pa.array(part >> 32)], ["term", "n", "k"])
 
 
+def _keys(batches):
+    """Two least shingle hashes of each text: near copies mostly share one."""
+    for batch in batches:
+        data, offsets = W.buffers(batch.column(0))
+        x, begin = W.shingles(*W.words(data, offsets), 5)
+        out = []
+        for salt in (1, 2):
+            k = np.zeros(batch.num_rows, np.uint64)
+            some = np.flatnonzero(np.diff(begin))
+            if len(some):
+                k[some] = np.minimum.reduceat(W.mix(x ^ W.U(salt)), begin[some])
+            out.append(pa.array(k.view(np.int64)))
+        yield pa.RecordBatch.from_arrays([*batch.columns, *out], [*batch.schema.names, "k1", "k2"])
+
+
+def independent(sample: DataFrame) -> DataFrame:
+    """sample (text, doc_id, toxic) with one row for each group of near copies, mostly: of rows that share a least
+    shingle hash, then another one, the least doc_id stays.  Copies of one text would count as so many witnesses."""
+    keyed = cut(sample.select("text", "doc_id", "toxic").mapInArrow(_keys, "text string, doc_id long, toxic int, k1 long, k2 long"), "toxic-keys")
+    for k in ("k1", "k2"):
+        keyed = keyed.join(keyed.groupBy(k).agg(F.min("doc_id").alias("doc_id")), [k, "doc_id"], "left_semi")
+    return keyed.select("text", "doc_id", "toxic")
+
+
 class Terms:
     """Which of a text's terms are kept, by a bitmap first."""
 
@@ -129,9 +153,10 @@ class Index:
         return best, score
 
     def vote(self, terms, q, k, but=-1) -> tuple[float, np.ndarray]:
-        """The weighted part of label 1 among the nearest (-1: none), and who they are."""
+        """The weighted part of label 1 among the nearest and one more of label 0 (-1: none), and who they are.
+        That one keeps a vote of far examples alone from being certain."""
         best, score = self.nearest(terms, q, k, but)
-        return (float(score @ self.label[best] / score.sum()), best) if len(best) else (-1.0, best)
+        return (float(score @ self.label[best] / (score.sum() + 1)), best) if len(best) else (-1.0, best)
 
 
 def monotone(x: np.ndarray, y: np.ndarray, w: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray]:
@@ -187,7 +212,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, terms: i
         pick = some if pick is None else pick.unionByName(some)
     text = F.lower(F.coalesce(F.col("text").cast("string"), F.lit("")))
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).join(F.broadcast(pick), "doc_id")  # bounded by 2 per_class rows
-    sample = cut(sample.repartition(min(16, parts(spark) * 2), "doc_id", "text"), "toxic-sample")
+    sample = cut(independent(sample.repartition(min(16, parts(spark) * 2), "doc_id", "text")), "toxic-sample")
     have = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
     total, prior = sum(counts.values()), counts.get(1, 0) / max(1, sum(counts.values()))
     none = Scorer(Terms(np.empty(0, W.U), np.empty(0)), Index(0, *(np.empty(0, np.int64),) * 2, np.empty(0), np.empty(0), np.empty(0, np.int64)), (np.empty(0), np.empty(0)), prior, k)
