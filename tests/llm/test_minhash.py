@@ -77,3 +77,20 @@ def test_near_duplicates_against_brute_force(spark):
                 parent[max(a, b)] = min(a, b)
     got = {r.doc_id: r.class_id for r in minhash.near_duplicates(docs).collect()}
     assert got == {i: root(i) for i in range(len(texts))}
+
+
+def test_blocks_of_long_texts_do_not_matter(monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    begin = np.concatenate([[0], np.cumsum(rng.choice([0, 1, 5, 40, 300], 60))])
+    x = rng.integers(0, 2**63, begin[-1], dtype=np.uint64)
+    whole = minhash.signatures(x, begin, 16)
+    a, b = minhash.coefficients(16)
+    with np.errstate(over="ignore"):
+        for i in (0, 7, 30, 59):
+            part = x[begin[i] : begin[i + 1]]
+            want = [int((part * a[k] + b[k]).min() >> np.uint64(32)) & 0xFFFF if len(part) else 0xFFFF for k in range(16)]
+            assert whole[i].tolist() == want
+    monkeypatch.setattr(minhash, "BLOCK", 64)
+    assert (minhash.signatures(x, begin, 16) == whole).all()

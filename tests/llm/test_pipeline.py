@@ -67,3 +67,54 @@ def test_simhash_stage_with_nulls_and_repeats(spark, sf):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     kept = corpus_pipeline.drop_near_copies(spark, docs, sf)
     assert sorted((r.doc_id for r in kept.collect()), key=repr) == [3, 4]
+
+
+def test_against_brute_force(spark, tmp_path):
+    import random
+    import zlib
+
+    import numpy as np
+    import public_tokenizers as public
+    import test_lines
+    import test_simhash
+    import test_suffix
+    from tokenizers import Tokenizer
+
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice(["ba", "do", "ki", "lu", "mé", "sen", "tor"]) for _ in range(rng.randint(1, 4)))
+    line = lambda: " ".join(word() for _ in range(rng.randint(4, 14)))
+    passage = " ".join(word() for _ in range(60))
+    docs = [(0, None), (1, ""), (2, " \n ")]
+    for i in range(3, 150):
+        lines_ = [line() for _ in range(rng.randint(1, 8))]
+        kind = rng.random()
+        if kind < 0.25:  # toxic
+            lines_[0] += " grumph blarg snerk"
+        elif kind < 0.35 and i > 10:  # a copy, with a word changed
+            lines_ = (docs[rng.randrange(5, i - 3)][1] or "x").replace(" ", "  ", 1).split("\n")
+        elif kind < 0.5:  # a passage that others have, within other words
+            lines_.insert(0, f"{word()} {passage} {word()}")
+        docs.append((i, "\n".join(lines_)))
+    toxic = {i for i, t in docs if "grumph" in (t or "")}
+    kind = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in docs], kind).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, int(i in toxic)) for i, _ in docs], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+
+    left = [(i, t) for i, t in docs if i not in toxic]
+    cut = test_lines.brute(left, 20)
+    fps = {i: test_simhash.brute_fingerprint(cut[i]) for i, _ in left}
+    component = test_simhash.brute_components(list(fps), list(fps.values()))
+    left = [(i, cut[i]) for i, _ in left if component[i] == i]
+    gone = test_suffix.removed([t for _, t in left], 200)
+    own = Tokenizer.from_file(public.path("byte_bpe_50k.json"))
+    want = []
+    for (i, t), g in zip(left, gone):
+        kept = bytes(b for b, x in zip(t.encode(), g) if not x).decode(errors="ignore")
+        ids = np.array(own.encode(kept, add_special_tokens=False).ids + [2], "<u4")
+        first, s = len(ids) % 1024 or 1024, 0
+        for piece, e in enumerate(range(first, len(ids) + 1, 1024)):
+            want.append((i, piece, s, e - s, zlib.crc32(ids[s:e].tobytes())))
+            s = e
+    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert any(any(g) for g in gone) and len(left) < len(docs) - len(toxic) and any(cut[i] != (t or "") for i, t in docs if i in cut)
+    assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == sorted(want)

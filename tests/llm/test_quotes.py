@@ -59,3 +59,8 @@ def test_deep_chain(spark):
 
 def test_no_rows(spark):
     assert quotes.link_quotations(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
+
+
+def test_plan_has_no_python(spark, sf):
+    plan = quotes.query(spark, sf)._jdf.queryExecution().toString()
+    assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))

@@ -8,7 +8,8 @@ import pytest
 from textloom.llm import suffix
 
 
-def brute(texts, length):
+def removed(texts, length):
+    """For each text, which of its bytes go."""
     seen = defaultdict(list)
     raw = [(t or "").encode() for t in texts]
     for i, r in enumerate(raw):
@@ -19,8 +20,12 @@ def brute(texts, length):
         if len(where) > 1:
             for i, s in where:
                 gone[i][s : s + length] = b"\x01" * length
+    return gone
+
+
+def brute(texts, length):
     out = []
-    for r, g in zip(raw, gone):
+    for r, g in zip([(t or "").encode() for t in texts], removed(texts, length)):
         spans = sum(1 for i in range(len(g)) if g[i] and (i == 0 or not g[i - 1]))
         out.append((len(r), sum(g), spans, hashlib.sha256(bytes(b for b, x in zip(r, g) if not x)).hexdigest()))
     return out

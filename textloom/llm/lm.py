@@ -294,11 +294,12 @@ def _model(items: tuple) -> Model:
     return Model(dict(items))
 
 
-def fit(texts: DataFrame, text: str = "text") -> dict:
-    """Count a model from a column of texts; gives its description, to be used with score()."""
+def fit(texts: DataFrame, text: str = "text", path: str | None = None) -> dict:
+    """Count a model from a column of texts; gives its description, to be used with score().  Its files are below
+    path, which all machines reach; without one, in a shared folder that goes with the application."""
     spark = texts.sparkSession
     prepare(spark)
-    path, p = shared_dir(spark, "lm"), parts(spark)
+    path, p = path or shared_dir(spark, "lm"), parts(spark)
     bits = _bits(p)
     only = texts.select(F.col(text).cast("string").alias("text"))
     sizes = (

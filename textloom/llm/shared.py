@@ -35,8 +35,14 @@ def shared_base(spark: SparkSession) -> str:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared one."""
-    return f"{shared_base(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new folder's name below the application's own in the shared one, which goes when the application ends."""
+    own = f"{shared_base(spark)}/textloom-{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(own)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not store.exists(path):
+        store.mkdirs(path)
+        store.deleteOnExit(path)
+    return f"{own}/{name}-{uuid.uuid4().hex}"
 
 
 def parts(spark: SparkSession) -> int:
