@@ -32,21 +32,22 @@ def signatures(x: np.ndarray, begin: np.ndarray, perms: int = PERMS) -> np.ndarr
     """(texts, perms) uint16 from shingle hashes and each text's first shingle."""
     a, b = coefficients(perms)
     n = len(begin) - 1
-    out = np.full((n, perms), 0xFFFF, np.uint16)
-    i = 0
-    while i < n:
-        j = max(i + 1, int(np.searchsorted(begin, begin[i] + BLOCK, "right")) - 1)
-        some = np.flatnonzero(begin[i + 1 : j + 1] > begin[i:j]) + i
+    least = np.full((n, perms), 2**64 - 1, np.uint64)
+    i, s = 0, 0
+    h = np.empty(BLOCK, np.uint64)
+    while i < n:  # from shingle s of text i on; a text with more than a block is met several times
+        j = max(i + 1, int(np.searchsorted(begin, s + BLOCK, "right")) - 1)
+        e = int(min(begin[j], s + BLOCK))
+        some = np.flatnonzero(np.minimum(begin[i + 1 : j + 1], e) > np.maximum(begin[i:j], s)) + i
         if len(some):
-            block, at = x[begin[i] : begin[j]], begin[some] - begin[i]
-            h = np.empty_like(block)
+            block, at, out = x[s:e], np.maximum(begin[some], s) - s, h[: e - s]
             with np.errstate(over="ignore"):
                 for k in range(perms):
-                    np.multiply(block, a[k], out=h)
-                    np.add(h, b[k], out=h)
-                    out[some, k] = (np.minimum.reduceat(h, at) >> W.U(32)).astype(np.uint16)
-        i = j
-    return out
+                    np.multiply(block, a[k], out=out)
+                    np.add(out, b[k], out=out)
+                    least[some, k] = np.minimum(least[some, k], np.minimum.reduceat(out, at))
+        i, s = (j, e) if e == begin[j] else (j - 1, e)
+    return (least >> W.U(32)).astype(np.uint16)
 
 
 def of_texts(texts: pa.Array, k: int = WORDS, perms: int = PERMS) -> np.ndarray:
@@ -81,7 +82,7 @@ def beside_next(docs: DataFrame) -> DataFrame:
     of the texts; the driver sees one doc_id for each bucket."""
     spark = docs.sparkSession
     prepare(spark)
-    p = parts(spark)
+    p = 4 * parts(spark)  # ranges, several for each partition
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     bounds = np.unique(docs.select(F.col("doc_id").cast("double").alias("d")).approxQuantile("d", [i / p for i in range(1, p)], 0.2 / p)) if p > 1 else np.empty(0)
 
@@ -106,7 +107,7 @@ def beside_next(docs: DataFrame) -> DataFrame:
             out = batch.take(pa.array(rows))
             yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(np.arange(len(rows)) >= len(ids)), *out.columns], ["bucket", "extra", "doc_id", "text"])
 
-    return docs.mapInArrow(deal, "bucket int, extra boolean, doc_id long, text string").repartition(p, "bucket").sortWithinPartitions("bucket", "extra", "doc_id", "text")
+    return docs.mapInArrow(deal, "bucket int, extra boolean, doc_id long, text string").repartition(parts(spark), "bucket").sortWithinPartitions("bucket", "extra", "doc_id", "text")
 
 
 def _edited(data: np.ndarray, offsets: np.ndarray):
