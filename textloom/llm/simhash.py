@@ -37,12 +37,12 @@ def fingerprint(text: bytes, k: int) -> int:
     gaps = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)
     starts, ends = np.concatenate([[0], gaps + 1]), np.append(gaps, len(joined))
     k = min(k, len(starts))
-    digest = xxhash.xxh64_intdigest
-    h = np.array([digest(joined[s:e], 42) for s, e in zip(starts[: len(starts) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True)], np.uint64)
-    total = np.zeros(64, np.int64)
-    for i in range(0, len(h), 1 << 15):
-        total += np.unpackbits(h[i : i + (1 << 15)].astype(">u8").view(np.uint8)).reshape(-1, 64).sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(total * 2 > len(h)).tobytes(), "big")
+    starts, ends = starts[: len(starts) - k + 1], ends[k - 1 :]
+    digest, total = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
+    for i in range(0, len(starts), 1 << 15):
+        h = np.array([digest(joined[s:e], 42) for s, e in zip(starts[i : i + (1 << 15)].tolist(), ends[i : i + (1 << 15)].tolist(), strict=True)], np.uint64)
+        total += np.unpackbits(h.astype(">u8").view(np.uint8)).reshape(-1, 64).sum(0, dtype=np.int64)
+    return int.from_bytes(np.packbits(total * 2 > len(starts)).tobytes(), "big")
 
 
 def fingerprints(docs: DataFrame, k: int = 4, text: str = "text") -> DataFrame:
