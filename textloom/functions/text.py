@@ -16,6 +16,11 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, use) -> Column:
+    """use(value), with the value computed once a row: lambdas inside see a variable, not an expression to repeat."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def safe(c) -> Column:
     """Null becomes the empty string."""
     return F.coalesce(col(c), F.lit(""))

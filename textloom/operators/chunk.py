@@ -47,9 +47,13 @@ def windows(text, window: int = 1200, overlap: int = 200) -> Column:
     """Array of stripped windows of `window` characters, each starting window - overlap after the last; blank ones go."""
     if window <= 0 or not 0 <= overlap < window:
         raise ValueError("window is positive and 0 <= overlap < window")
-    t, step = T.strip(T.safe(text)), window - overlap
-    starts = F.when(F.length(t) > 0, F.sequence(F.lit(0), F.length(t) - 1, F.lit(step))).otherwise(F.array().cast("array<int>"))
-    return F.filter(F.transform(starts, lambda i: T.strip(F.substring(t, i + 1, F.lit(window)))), lambda c: c != "")
+    step = window - overlap
+
+    def cut(t: Column) -> Column:
+        starts = F.when(F.length(t) > 0, F.sequence(F.lit(0), F.length(t) - 1, F.lit(step))).otherwise(F.array().cast("array<int>"))
+        return F.filter(F.transform(starts, lambda i: T.strip(F.substring(t, i + 1, F.lit(window)))), lambda c: c != "")
+
+    return T.let(T.strip(T.safe(text)), cut)
 
 
 def sliding(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 1200, overlap: int = 200) -> DataFrame:
@@ -78,18 +82,22 @@ def is_noise(text, min_chars: int = 200) -> Column:
 
 def trim_edges(text) -> Column:
     """Boilerplate parts taken off both ends; parts are divided by blank lines and separators and joined by blank lines."""
-    t = T.strip(T.safe(text))
-    cap = F.least(F.lit(120), F.floor(F.length(t) * F.lit(0.35)).cast("int"))
 
-    def noisy(p: Column) -> Column:
+    def noisy(p: Column, cap: Column) -> Column:
         short = F.length(p) < cap
         return (short & (T.count_chars(p, "\n") >= 2)) | p.rlike(STRONG_RE) | (short & p.rlike(WEAK_RE)) | (short & (T.count_chars(p, SEPARATORS) >= 3))
 
-    parts = F.filter(F.transform(F.split(t, EDGE_RE), T.strip), lambda p: p != "")
-    flags = F.transform(parts, noisy)
-    first = F.array_position(flags, False)
-    last = F.size(flags) - F.array_position(F.reverse(flags), False) + 1
-    return F.when((F.size(parts) == 0) | (first == 0), "").otherwise(F.array_join(F.slice(parts, first.cast("int"), (last - first + 1).cast("int")), "\n\n"))
+    def between(x: Column) -> Column:
+        first = F.array_position(x["flags"], False)
+        last = F.size(x["flags"]) - F.array_position(F.reverse(x["flags"]), False) + 1
+        return F.when(first == 0, "").otherwise(F.array_join(F.slice(x["parts"], first.cast("int"), (last - first + 1).cast("int")), "\n\n"))
+
+    def split(t: Column) -> Column:
+        cap = F.least(F.lit(120), F.floor(F.length(t) * F.lit(0.35)).cast("int"))
+        parts = F.filter(F.transform(F.split(t, EDGE_RE), T.strip), lambda p: p != "")
+        return T.let(F.struct(cap.alias("cap"), parts.alias("parts")), lambda x: T.let(F.struct(x["parts"].alias("parts"), F.transform(x["parts"], lambda p: noisy(p, x["cap"])).alias("flags")), between))
+
+    return T.let(T.strip(T.safe(text)), split)
 
 
 def sections(pages: DataFrame, key: str, html: str = "html", min_chars: int = 250) -> DataFrame:
@@ -158,10 +166,14 @@ def sentence_ends(text: str) -> list[int]:
 
 def last_sentence_end(text, start, end) -> Column:
     """The last place in [start, end) that ends a sentence by a terminator; null if none."""
-    t, s, e = T.safe(text), T.col(start), T.col(end)
-    places = F.filter(F.sequence(F.lit(0), F.length(t)), lambda i: (i >= s) & (i < e) & (i < F.length(t)))
-    ok = F.filter(places, lambda i: F.substring(t, i + 1, F.lit(1)).isin(*".!?…。！？") & ((i + 1 >= F.length(t)) | F.substring(t, i + 2, F.lit(1)).isin(" ", "\n", "\t", "\r")))
-    return F.array_max(ok)
+    s, e = T.col(start), T.col(end)
+
+    def last(t: Column) -> Column:
+        places = F.filter(F.sequence(F.lit(0), F.length(t)), lambda i: (i >= s) & (i < e) & (i < F.length(t)))
+        ok = F.filter(places, lambda i: F.substring(t, i + 1, F.lit(1)).isin(*".!?…。！？") & ((i + 1 >= F.length(t)) | F.substring(t, i + 2, F.lit(1)).isin(" ", "\n", "\t", "\r")))
+        return F.array_max(ok)
+
+    return T.let(T.safe(text), last)
 
 
 def _last_end(text: str, start: int, end: int) -> int | None:
