@@ -5,7 +5,7 @@ stage's docs.  All but the last return the columns of documents; n_chars follows
 
 toxicity     documents predicted toxic go (labels of sf_dir; those held out are never learned)
 line dedup   aligned blocks of lines go from the later document; a document may become empty
-simhash      one document of each class stays, the one with the least doc_id
+simhash      one row of each class stays, the one with the least doc_id (null last), then text hash
 suffix array bytes of repeated 200-byte strings go; code points they cut through go whole
 packing      token pieces of all documents in sequences of at most 1024
 """
@@ -14,10 +14,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from textloom.llm import lines, packing, simhash, suffix, toxicity
-from textloom.llm.shared import cut
+from textloom.llm.shared import cut, text_key
 
 
 def _with_text(docs: DataFrame, columns: list[str]) -> DataFrame:
@@ -35,12 +34,13 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that repeat the doc_id of the one that stays are told apart by their text, then kept once."""
-    found = simhash.near_duplicates(docs)
-    keep = found.filter("doc_id = component_id or component_id is null").select("doc_id").distinct()
-    first = docs.join(keep, docs["doc_id"].eqNullSafe(keep["doc_id"]), "left_semi")
-    w = Window.partitionBy("doc_id").orderBy("text")
-    return first.withColumn("__place", F.row_number().over(w)).filter("__place = 1").drop("__place")
+    """One row of each class stays, whatever repeats its doc_id or has none; rows equal in doc_id and text are one."""
+    k1, k2 = text_key(F.col("text"))
+    key = [F.isnull("doc_id").alias("__missing"), F.coalesce("doc_id", F.lit(0)).alias("__d"), k1.alias("__k1"), k2.alias("__k2")]
+    names = ["__missing", "__d", "__k1", "__k2"]
+    found = simhash.representatives(docs)
+    keep = found.select(*key[:2], F.col("k1").alias("__k1"), F.col("k2").alias("__k2"))
+    return docs.select("*", *key).join(keep, names, "left_semi").dropDuplicates(names).select(*docs.columns)
 
 
 def dedup_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -69,6 +69,14 @@ def test_simhash_stage_with_nulls_and_repeats(spark, sf):
     assert sorted((r.doc_id for r in kept.collect()), key=repr) == [3, 4]
 
 
+def test_simhash_stage_keeps_one_row_of_each_class(spark, sf):
+    x, y, z, v, w = (" ".join(f"{c}{i * i % 97}" for i in range(60)) for c in "xyzvw")
+    rows = [(3, y), (7, x), (7, y), (None, z), (None, v), (None, w), (None, w), (8, v)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, docs, sf).collect()]
+    assert sorted(kept, key=repr) == sorted([(3, y), (7, x), (8, v), (None, z), (None, w)], key=repr)
+
+
 def test_against_brute_force(spark, tmp_path):
     import random
     import zlib

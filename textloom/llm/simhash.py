@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm.graph import components
-from textloom.llm.shared import cut, parts, prepare
+from textloom.llm.shared import cut, parts, prepare, text_key
 
 RADIUS, LARGE = 4, 256
 
@@ -172,6 +172,16 @@ def near_duplicates(docs: DataFrame, k: int = 4, radius: int = RADIUS) -> DataFr
     return own.join(classes, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
+def representatives(docs: DataFrame, k: int = 4, radius: int = RADIUS) -> DataFrame:
+    """doc_id, k1, k2 (text_key) of one row of each class: the least doc_id (null last), then the least text key."""
+    own = cut(fingerprints(docs.select("doc_id", *text_key(F.col("text")), "text"), k), "simhash")
+    least = F.min(F.struct(F.isnull("doc_id").alias("missing"), "doc_id", "k1", "k2"))
+    first = own.groupBy("fingerprint").agg(least.alias("first"))
+    found = near(first.select("fingerprint"), radius).withColumnRenamed("node", "fingerprint")
+    first = first.join(found, "fingerprint", "left").select("first", F.coalesce("component", "fingerprint").alias("component"))
+    return first.groupBy("component").agg(F.min("first").alias("first")).select("first.doc_id", "first.k1", "first.k2")
+
+
 def hex64(c):
     return F.lower(F.lpad(F.hex(c), 16, "0"))
 
