@@ -61,3 +61,60 @@ def test_repeated_rows_are_one_document(spark):
 
 def test_no_rows(spark):
     assert lines.dedup_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def brute_all(docs, least):
+    """Every earlier document that shares a long line is a partner."""
+    split = {i: (t or "").split("\n") for i, t in docs}
+    key = {i: [x.strip(" \t\r\f\v") for x in v] for i, v in split.items()}
+    out = {}
+    for i in key:
+        gone = set()
+        for j in key:
+            if j < i and any(len(h) >= least and h in key[j] for h in key[i]):
+                run = []
+                for x, y in [*lines.patience(key[j], key[i]), (-2, -2)]:
+                    if run and run[-1] != (x - 1, y - 1):
+                        if any(len(key[i][q]) >= least for _, q in run):
+                            gone |= {q for _, q in run}
+                        run = []
+                    run.append((x, y))
+        out[i] = "\n".join(x for n, x in enumerate(split[i]) if n not in gone)
+    return out
+
+
+def all_of(spark, docs):
+    return {r.row.doc_id: r.kept for r in lines.dedup_all(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+
+
+def test_all_earlier_documents_are_partners(spark):
+    p, q = "the long line that is named p", "the long line that is named q"
+    docs = [(1, f"{p}\nx\n{q}"), (2, f"{q}\n{p}"), (3, f"{q}\n{p}"), (4, f"v\n{q}\n{p}\nw\nz"), (5, f"r\n{p}\nw\nz\ns")]
+    got = all_of(spark, docs)
+    assert got == brute_all(docs, lines.LEAST)
+    assert got[3] == "" and got[5] == "r\ns"
+
+
+def test_all_against_brute_force(spark):
+    rng = random.Random(8)
+    pool = ["a long line number %d of many" % i for i in range(25)] + ["short", "", "s2", "s3"]
+    docs = [(0, None), (1, ""), (2, "x" * 3000)]
+    for i in range(3, 120):
+        docs.append((i, "\n".join(rng.choice(pool) for _ in range(rng.randint(1, 14)))))
+    docs += [(130, docs[20][1]), (131, docs[20][1]), (132, "y\n" + docs[21][1] + "\r\nz")]
+    rng.shuffle(docs)
+    assert all_of(spark, docs) == brute_all(docs, lines.LEAST) != brute(docs, lines.LEAST)
+
+
+def test_all_of_no_rows(spark):
+    assert lines.dedup_all(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_query_aligns_with_all(spark, tmp_path):
+    import hashlib
+
+    p, q = "the long line that is named p", "the long line that is named q"
+    docs = [(1, f"{p}\nx\n{q}"), (2, f"{q}\n{p}"), (3, f"{q}\n{p}")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.kept_sha256 for r in lines.query(spark, str(tmp_path)).collect()}
+    assert got[3] == hashlib.sha256(b"").hexdigest()

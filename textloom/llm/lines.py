@@ -1,11 +1,18 @@
 """Line dedup by pairwise alignment.
 
-A line is hashed without white space at its ends.  For each line of `least` characters or more, the
-first document that holds it (by doc_id, then text) is the partner of all others that do: a line of
-m documents gives m - 1 pairs, so frequent lines need no cap and rare ones lose no pair.  Each pair
-is aligned by patience diff (equal ends, then lines unique in both in their longest common order,
-then the gaps between them), and aligned runs that hold a line of `least` characters or more are
-deleted from the later document.  Alignment is on the documents as they came, not on what is left.
+A line is hashed without white space at its ends.  A pair of documents that share a line of `least`
+characters or more is aligned by patience diff (equal ends, then lines unique in both in their longest
+common order, then the gaps between them), and aligned runs that hold such a line are deleted from the
+later document (by doc_id, then text).  Alignment is on the documents as they came, not on what is left.
+
+dedup_all aligns with every earlier document that can change the result.  A run that deletes a line has
+it whole, and if it is short also all lines to the nearest long one before or after it: these stretches
+are its keys, and only holders of a key of a line not yet deleted are aligned, earliest first, in rounds
+of twice as many.  A document with the lines of an earlier one is aligned with the first of them alone.
+A line of m documents that is never deleted is tried against all its earlier holders.
+
+dedup_lines is the first of these rounds on long lines alone: each line's first document is the partner
+of all others that hold it, m - 1 pairs for a line of m documents.
 
 Nulls are empty texts.  Rows equal in doc_id and text are one document; other rows of one doc_id are
 ordered by a hash of the text.  A null doc_id comes first.  A document may be left with no text.
@@ -15,9 +22,11 @@ from __future__ import annotations
 
 from bisect import bisect_left
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from textloom.llm.shared import cut, prepare
 
@@ -109,28 +118,114 @@ def _rewrite(fields: list[str]):
     return run
 
 
-def dedup_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """(row: the given columns; kept: the text without deleted lines; n_lines; n_removed; n_partners)."""
+def _stretches(h: np.ndarray, long: np.ndarray, doc: np.ndarray, step: int, salt: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of short lines with a long one ahead (step 1: after, -1: before), and a hash of the lines from each to it."""
+    value, out = h.copy(), []
+    at = np.flatnonzero(long)
+    while len(at):
+        to = at - step
+        ok = (to >= 0) & (to < len(h))
+        at, to = at[ok], to[ok]
+        ok = (doc[to] == doc[at]) & ~long[to]
+        at, to = at[ok], to[ok]
+        v = value[at]
+        value[to] = (h[to] * np.uint64(0x9E3779B97F4A7C15) + (v ^ (v >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)) ^ np.uint64(salt)
+        out.append(to)
+        at = to
+    places = np.concatenate(out) if out else at
+    return places, value[places]
+
+
+def _keys(batches):
+    """For documents (d, k, h, long): each key with the places it stands for."""
+    for batch in batches:
+        h = batch.column(2).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+        long = batch.column(3).flatten().to_numpy(zero_copy_only=False).astype(bool)
+        size = batch.column(2).value_lengths().to_numpy(zero_copy_only=False)
+        doc = np.repeat(np.arange(len(size)), size)
+        start = np.concatenate([[0], np.cumsum(size)])
+        found = [(np.flatnonzero(long), h[long]), _stretches(h, long, doc, 1, 0x5851F42D4C957F2D), _stretches(h, long, doc, -1, 0x14057B7EF767814F)]
+        place, key = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((place, key, doc[place]))
+        place, key = place[order], key[order]
+        who = doc[place]
+        new = np.flatnonzero((np.diff(who, prepend=-1) != 0) | np.concatenate([[True], key[1:] != key[:-1]])[: len(key)])
+        ys = pa.ListArray.from_arrays(pa.array(np.append(new, len(place)), pa.int32()), pa.array(place - start[who], pa.int32()))
+        at = pa.array(who[new])
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(key[new].view(np.int64)), ys], ["d", "k", "key", "ys"])
+
+
+def _hashed(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """The rows by d and k, and (d, k, h: hashes of the lines, long: which are) from disk."""
     prepare(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     own = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST)).alias("d"), F.xxhash64(text).alias("k"))
-    body = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
-    trimmed = F.transform(F.split(body, "\n", -1), lambda x: F.regexp_replace(x, r"^[ \t\r\f\x0B]+|[ \t\r\f\x0B]+$", ""))
+    trimmed = F.transform(F.split(_body(), "\n", -1), lambda x: F.regexp_replace(x, r"^[ \t\r\f\x0B]+|[ \t\r\f\x0B]+$", ""))
     hashed = own.select("d", "k", trimmed.alias("lines")).select("d", "k", F.transform("lines", lambda x: F.xxhash64(x)).alias("h"), F.transform("lines", lambda x: F.length(x) >= least).alias("long"))
-    hashed = cut(hashed, "lines")
+    return own, cut(hashed, "lines")
+
+
+def _body():
+    return F.coalesce(F.col("row.text").cast("string"), F.lit(""))
+
+
+def _align(pairs: DataFrame, distinct: DataFrame) -> DataFrame:
+    """(d, k, gone) of each pair (d, k, fd, fk)."""
+    sides = pairs.join(distinct.select(F.col("d").alias("fd"), F.col("k").alias("fk"), F.col("h").alias("first")), ["fd", "fk"]).join(distinct, ["d", "k"])
+    return sides.select("d", "k", "first", "h", "long").mapInArrow(_delete, "d long, k long, gone array<int>")
+
+
+def _kept(own: DataFrame, gone: DataFrame) -> DataFrame:
+    gone = gone.groupBy("d", "k").agg(F.collect_list(F.when(F.size("gone") > 0, F.col("gone"))).alias("gone"), F.count("*").cast("int").alias("n_partners"))
+    joined = own.join(gone, ["d", "k"], "left").select(_body().alias("text"), "gone", "row", F.coalesce("n_partners", F.lit(0)).alias("n_partners"))
+    row = own.schema["row"].dataType.simpleString()
+    return joined.mapInArrow(_rewrite(["row", "n_partners", "kept", "n_lines", "n_removed"]), f"row {row}, n_partners int, kept string, n_lines int, n_removed int")
+
+
+def dedup_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
+    """(row: the given columns; kept: the text without deleted lines; n_lines; n_removed; n_partners), by first holders alone."""
+    own, hashed = _hashed(docs, least)
     each = hashed.select("d", "k", F.explode(F.array_distinct(F.filter(F.transform(F.arrays_zip("h", "long"), lambda x: F.when(x["long"], x["h"])), lambda x: x.isNotNull()))).alias("h"))
     first = each.groupBy("h").agg(F.min(F.struct("d", "k")).alias("first"), F.max(F.struct("d", "k")).alias("last")).filter("first <> last").select("h", F.col("first.d").alias("fd"), F.col("first.k").alias("fk"))
     pairs = each.join(first, "h").filter("d <> fd or k <> fk").select("d", "k", "fd", "fk").distinct()
+    return _kept(own, _align(pairs, hashed.dropDuplicates(["d", "k"])))
+
+
+def dedup_all(docs: DataFrame, least: int = LEAST) -> DataFrame:
+    """The columns of dedup_lines, by all earlier documents that share a long line; n_partners counts those aligned."""
+    own, hashed = _hashed(docs, least)
     distinct = hashed.dropDuplicates(["d", "k"])
-    sides = pairs.join(distinct.select(F.col("d").alias("fd"), F.col("k").alias("fk"), F.col("h").alias("first")), ["fd", "fk"]).join(distinct, ["d", "k"])
-    gone = sides.select("d", "k", "first", "h", "long").mapInArrow(_delete, "d long, k long, gone array<int>")
-    gone = gone.groupBy("d", "k").agg(F.collect_list("gone").alias("gone"), F.count("*").cast("int").alias("n_partners"))
-    joined = own.join(gone, ["d", "k"], "left").select(body.alias("text"), "gone", "row", F.coalesce("n_partners", F.lit(0)).alias("n_partners"))
-    row = own.schema["row"].dataType.simpleString()
-    return joined.mapInArrow(_rewrite(["row", "n_partners", "kept", "n_lines", "n_removed"]), f"row {row}, n_partners int, kept string, n_lines int, n_removed int")
+    same = hashed.filter(F.exists("long", lambda x: x)).select("d", "k", F.xxhash64("h").alias("c1"), F.xxhash64(F.lit("#"), "h").alias("c2"), F.size("h").alias("n")).distinct()
+    head = same.groupBy("c1", "c2").agg(F.min(F.struct("d", "k")).alias("head"))
+    copies = cut(same.join(head, ["c1", "c2"]).filter(F.struct("d", "k") != F.col("head")).select("d", "k", "n"), "line-copies")
+    rest = hashed.filter(F.exists("long", lambda x: x)).join(copies, ["d", "k"], "left_anti")
+    keys = rest.mapInArrow(_keys, "d long, k long, key long, ys array<int>").dropDuplicates(["d", "k", "key"])
+    rank = F.row_number().over(Window.partitionBy("key").orderBy("d", "k"))
+    held = keys.withColumn("rank", rank).withColumn("n", F.count("*").over(Window.partitionBy("key"))).filter("n > 1").drop("n")
+    held = cut(held, "line-keys")
+    need, tried, found, low, high = held.filter("rank > 1"), None, [], 1, 1
+    while True:
+        holders = held.filter(F.col("rank").between(low, high)).select("key", F.col("d").alias("fd"), F.col("k").alias("fk"), F.col("rank").alias("before"))
+        pairs = need.join(holders, "key").filter("before < rank").select("d", "k", "fd", "fk").distinct()
+        if tried is not None:
+            pairs = pairs.join(tried, ["d", "k", "fd", "fk"], "left_anti")
+        pairs = cut(pairs, "line-pairs")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        found.append(cut(_align(pairs, distinct), "line-gone"))
+        gone = found[-1].filter(F.size("gone") > 0).groupBy("d", "k").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
+        left = need.filter(F.col("rank") > high + 1).join(gone, ["d", "k"], "left")
+        left = left.select("key", "d", "k", F.when(F.col("gone").isNull(), F.col("ys")).otherwise(F.array_except("ys", "gone")).alias("ys"), "rank").filter(F.size("ys") > 0)
+        need = cut(left, "line-need")
+        if need.isEmpty():
+            break
+        low, high = high + 1, 2 * high + 1
+    gone = copies.select("d", "k", F.sequence(F.lit(0), F.col("n") - 1).alias("gone"))
+    for part in found:
+        gone = gone.unionByName(part)
+    return _kept(own, gone)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    out = dedup_lines(docs)
+    out = dedup_all(docs)
     return out.select("row.doc_id", "n_lines", F.col("n_removed").alias("n_removed_lines"), "n_partners", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
