@@ -12,3 +12,9 @@ def test_same_as_sql(spark, sf, name):
 @pytest.mark.parametrize("name", sorted(n for n, q in CATALOG.items() if not q.sql))
 def test_has_rows(spark, sf, name):
     assert CATALOG[name].run(spark, sf).count() > 0
+
+
+def test_pair_texts_are_whole(spark, sf):
+    whole = {f"{r.source.strip()}\n{r.text}" for r in spark.read.parquet(f"{sf}/documents.parquet").select("source", "text").collect()}
+    got = CATALOG["pair_texts"].run(spark, sf).collect()
+    assert {r.positive_text for r in got} | {r.negative_text for r in got} <= whole

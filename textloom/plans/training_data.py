@@ -178,7 +178,7 @@ def epoch_shuffle(spark, d):
 
 def pair_texts(spark, d):
     pairs = epoch_pairs(spark, d).filter("type <> 'random_negative_fallback'").join(benchmark(spark, d).select(F.col("query_id").cast("string").alias("query_id"), F.col("text").alias("query_text")), "query_id")
-    documents = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("chunk_id"), F.col("source").alias("title"), F.left("text", F.lit(80)).alias("chunk_text"))
+    documents = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("chunk_id"), F.col("source").alias("title"), F.col("text").alias("chunk_text"))
     return rows.pair_texts(pairs, documents).select("query_text", "positive_text", "negative_text", "type")
 
 
