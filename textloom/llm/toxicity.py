@@ -1,24 +1,35 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over block-max inverted indexes,
 distance-weighted votes, calibrated, with the examples as evidence.
 
-Fitting takes a bounded sample of labelled rows (`per_class` of each label, by a hash of doc_id) and
-keeps the terms that tell label 1: words (runs of ASCII letters and non-ASCII bytes, lower-cased)
-and their prefixes of 4 to 7 bytes, chosen by an exact bound on the chance of their counts over all
-terms tried (`alpha`, Bonferroni), `terms` at most.  Examples are TF-IDF unit vectors over those
-terms, indexed in blocks of 64 with each term's largest weight in each block; a block whose bound
-is below the k-th best cosine so far is skipped, which loses nothing.  Of near copies in the sample one
-is used.  The vote of the k nearest, weighted by cosine, is mapped to a probability by a monotone fit on leave-one-out votes of the
-sample, weighted back to the labels' own rates.  A text without any kept term has the rate of label
-1 among such examples.
-
-Nulls are empty texts.  Repeated labels of a doc_id count as one, the largest; labels of no document
-or null count for nothing.  Without label-1 examples every score is the rate of label 1 (0 without
-labels).  Ties of cosine go to the example with the smaller doc_id, then in order of the sample.
+Sample.  Labelled rows with one text are one example whose label is their mean.  At most `per_class`
+examples with a mean of 0.5 or more and as many others are taken, by a hash of the text.  Near copies
+among them (Jaccard of five-word shingles 0.8 or more, counted exactly) are one example with the mean
+of their labels: copies of one text would count as so many witnesses.
+
+Terms are words (runs of ASCII letters and non-ASCII bytes, lower-cased) and their prefixes of 4 and 6
+bytes: all that occur in the sample, no fewer.  A term's weight is (1 + log tf) x idf x (1 + marks):
+idf is over all documents; marks is how far the term's counts in the sample speak for label 1 beyond
+chance over all terms tried (log of an exact bound, less log(terms / alpha); 0 for most terms).
+
+Search.  Terms of few examples have posting lists, summed for a batch of texts at once.  The `dense`
+most frequent have a matrix in blocks of 64 examples with each term's largest weight in each block; a
+block is multiplied only for texts whose bound in it, the largest sum of postings and the block's
+largest weights, reaches the k-th best cosine so far.  That loses no neighbour.
+
+The vote of the k nearest, weighted by cosine, is mapped to a probability by a monotone fit on
+leave-one-out votes of the sample, weighted back to the labels' own rates.
+
+Nulls are empty texts.  A text without any term of the sample has the rate of label 1 among such
+examples.  Labels of no document, null, or other than 0 and 1 count for nothing.  Without examples of
+both labels every score is the rate of label 1 (0 without labels).  Ties of cosine go in order of the
+texts' hashes; doc_id decides nothing but is told as evidence (the least one with the example's text).
+Columns of the given table that are called like new ones can't be kept: score() raises ValueError.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -26,137 +37,133 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm import words as W
-from textloom.llm.shared import cut, parts, prepare
+from textloom.llm.shared import cut, parts, prepare, text_key
 
-PER_CLASS, TERMS, NEIGHBOURS, BLOCK, ALPHA = 4000, 4096, 15, 64, 0.01
-PREFIXES = (4, 5, 6, 7)
+PER_CLASS, NEIGHBOURS, ALPHA, ALIKE = 1000, 15, 0.01, 0.8
+BLOCK, DENSE, BATCH, SLICE = 64, 1024, 256, 1 << 19
+PREFIXES = (4, 6)
 BREAKS = np.ones(256, bool)
 BREAKS[97:123] = False
 BREAKS[128:] = False
 
 
-def terms_of(texts: pa.Array):
-    """For slices of lower-cased texts: term hashes and each one's text (within the batch)."""
+def bags(texts: pa.Array):
+    """For slices of lower-cased texts: (text within the batch, word, count) of distinct words, and the words' term hashes (0: none)."""
     data, offsets = W.buffers(texts)
-    for a, b in W.slices(offsets):
+    for a, b in W.slices(offsets, SLICE):
         off = offsets[a : b + 1]
         part = data[off[0] : off[-1]]
         starts, ends, first = W.spans(part, off - off[0], BREAKS)
-        who = np.repeat(np.arange(a, b), np.diff(first))
-        keys, at = [W.hashes(part, starts, ends)], [who]
-        for n in PREFIXES:
-            long = np.flatnonzero(ends - starts > n)
-            keys.append(W.mix(W.hashes(part, starts[long], starts[long] + n) ^ W.U(n)))
-            at.append(who[long])
-        yield np.concatenate(keys), np.concatenate(at)
-
-
-def _count(batches):
-    """Documents of label 0 and 1 that hold each term, within the task."""
-    got: list[tuple[np.ndarray, np.ndarray]] = []
-    for batch in batches:
-        toxic = batch.column(1).to_numpy().astype(np.int64)
-        for keys, who in terms_of(batch.column(0)):
-            order = np.lexsort((who, keys))
-            keys, who = keys[order], who[order]
-            new = np.ones(len(keys), bool)
-            new[1:] = (keys[1:] != keys[:-1]) | (who[1:] != who[:-1])
-            got.append(W.tally(keys[new], toxic[who[new]] * (1 << 32) + 1))
-    if got:
-        keys, n = W.tally(*map(np.concatenate, zip(*got, strict=True)))
-        for i in range(0, len(keys), 1 << 16):
-            part = n[i : i + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(keys[i : i + (1 << 16)].view(np.int64)), pa.array(part & 0xFFFFFFFF), pa.array(part >> 32)], ["term", "n", "k"])
-
-
-def _keys(batches):
-    """Two least shingle hashes of each text: near copies mostly share one."""
-    for batch in batches:
-        data, offsets = W.buffers(batch.column(0))
-        x, begin = W.shingles(*W.words(data, offsets), 5)
-        out = []
-        for salt in (1, 2):
-            k = np.zeros(batch.num_rows, np.uint64)
-            some = np.flatnonzero(np.diff(begin))
-            if len(some):
-                k[some] = np.minimum.reduceat(W.mix(x ^ W.U(salt)), begin[some])
-            out.append(pa.array(k.view(np.int64)))
-        yield pa.RecordBatch.from_arrays([*batch.columns, *out], [*batch.schema.names, "k1", "k2"])
-
-
-def independent(sample: DataFrame) -> DataFrame:
-    """sample (text, doc_id, toxic) with one row for each group of near copies, mostly: of rows that share a least
-    shingle hash, then another one, the least doc_id stays.  Copies of one text would count as so many witnesses."""
-    keyed = cut(sample.select("text", "doc_id", "toxic").mapInArrow(_keys, "text string, doc_id long, toxic int, k1 long, k2 long"), "toxic-keys")
-    for k in ("k1", "k2"):
-        keyed = keyed.join(keyed.groupBy(k).agg(F.min("doc_id").alias("doc_id")), [k, "doc_id"], "left_semi")
-    return keyed.select("text", "doc_id", "toxic")
-
-
+        words, at, inverse = np.unique(W.hashes(part, starts, ends), return_index=True, return_inverse=True)
+        cell, tf = W.tally(np.repeat(np.arange(b - a), np.diff(first)) * max(len(words), 1) + inverse)
+        terms = np.zeros((len(words), 1 + len(PREFIXES)), W.U)
+        terms[:, 0] = words
+        order = np.argsort(at)
+        s, e = starts[at[order]], ends[at[order]]
+        for i, n in enumerate(PREFIXES, 1):
+            long = np.flatnonzero(e - s > n)
+            terms[order[long], i] = W.mix(W.hashes(part, s[long], s[long] + n) ^ W.U(n))
+        yield cell // max(len(words), 1) + a, cell % max(len(words), 1), tf, terms
+
+
+@dataclass
 class Terms:
-    """Which of a text's terms are kept, by a bitmap first."""
+    """The sample's terms: hashes in order, and each one's weight."""
 
-    def __init__(self, keys: np.ndarray, idf: np.ndarray):
-        self.keys, self.idf = keys, idf
-        self.may = np.zeros(1 << 20, bool)
-        self.may[(keys >> W.U(44)).astype(np.int64)] = True
+    keys: np.ndarray
+    weight: np.ndarray
 
-    def vectors(self, texts: pa.Array):
-        """Unit TF-IDF vectors as (text, term, weight), sorted by text and term."""
-        rows, cols = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for keys, who in terms_of(texts):
-            hit = self.may[(keys >> W.U(44)).astype(np.int64)]
-            keys, who = keys[hit], who[hit]
-            at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
-            ok = self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), bool)
-            rows.append(who[ok])
-            cols.append(at[ok])
+    def cells(self, texts: pa.Array):
+        """For each slice: (text, term, count) of known terms, sorted."""
         f = max(len(self.keys), 1)
-        cell, tf = W.tally(np.concatenate(rows) * f + np.concatenate(cols))
-        row, col = cell // f, cell % f
-        w = (1 + np.log(tf)) * self.idf[col] if len(cell) else np.empty(0)
+        for who, word, tf, terms in bags(texts):
+            at = np.searchsorted(self.keys, terms)
+            known = (self.keys[np.minimum(at, f - 1)] == terms) & (terms != 0) if len(self.keys) else np.zeros(terms.shape, bool)
+            has = known[word]
+            col = at[word]
+            cell, n = W.tally((who[:, None] * f + col)[has], np.broadcast_to(tf[:, None], has.shape)[has])
+            yield cell // f, cell % f, n
+
+    def vectors(self, texts: pa.Array):
+        """For each slice: unit vectors as (text, term, weight), sorted; terms of weight 0 are left out."""
+        for row, col, n in self.cells(texts):
+            yield self.unit(row, col, n)
+
+    def unit(self, row, col, n):
+        w = (1 + np.log(n)) * self.weight[col]
+        on = w > 0
+        row, col, w = row[on], col[on], w[on]
         norm = np.sqrt(np.bincount(row, w * w)) if len(row) else np.empty(0)
         return row, col, w / norm[row] if len(row) else w
 
 
 class Index:
-    """Examples in blocks; postings by term and block, and the largest weight of each."""
-
-    def __init__(self, n_terms: int, row: np.ndarray, col: np.ndarray, w: np.ndarray, label: np.ndarray, ids: np.ndarray):
-        self.label, self.ids, self.blocks = label, ids, -(-len(label) // BLOCK)
+    """Examples (in order of their hashes): postings of rare terms, and blocks of the frequent ones with largest weights."""
+
+    def __init__(self, n: int, n_terms: int, row: np.ndarray, col: np.ndarray, w: np.ndarray):
+        self.n, self.blocks = n, -(-n // BLOCK)
+        frequent = np.argsort(-np.bincount(col, minlength=n_terms), kind="stable")[:DENSE]
+        self.place = np.full(n_terms, -1, np.int32)
+        self.place[frequent] = np.arange(len(frequent))
+        dense = self.place[col] >= 0
+        self.matrix = np.zeros((len(frequent), self.blocks * BLOCK))
+        self.matrix[self.place[col[dense]], row[dense]] = w[dense]
+        self.most = self.matrix.reshape(len(frequent), self.blocks, BLOCK).max(2, initial=0)
+        row, col, w = row[~dense], col[~dense], w[~dense]
         order = np.lexsort((row, col))
         self.doc, self.w = row[order].astype(np.int32), w[order]
-        place = col[order] * self.blocks + self.doc // BLOCK
-        self.offset = np.searchsorted(place, np.arange(n_terms * self.blocks + 1))
-        self.most = np.zeros((n_terms, self.blocks))
-        np.maximum.at(self.most, (col[order], self.doc // BLOCK), self.w)
-
-    def nearest(self, terms: np.ndarray, q: np.ndarray, k: int, but: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples (positions) of largest positive cosine, and the cosines."""
-        bound = q @ self.most[terms]
-        best, score = np.empty(0, np.int64), np.empty(0)
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(best) >= k and bound[b] < score[-1] - 1e-12:
-                break
-            got = np.zeros(BLOCK)
-            for t, x in zip(terms, q, strict=True):
-                s, e = self.offset[t * self.blocks + b], self.offset[t * self.blocks + b + 1]
-                if s < e:
-                    got[self.doc[s:e] - b * BLOCK] += x * self.w[s:e]
-            at = np.flatnonzero(got > 0)
-            best, score = np.concatenate([best, at + b * BLOCK]), np.concatenate([score, got[at]])
-            if but >= 0:
-                keep = best != but
-                best, score = best[keep], score[keep]
-            order = np.lexsort((best, -np.round(score, 12)))[:k]
-            best, score = best[order], score[order]
-        return best, score
-
-    def vote(self, terms, q, k, but=-1) -> tuple[float, np.ndarray]:
-        """The weighted part of label 1 among the nearest and one more of label 0 (-1: none), and who they are.
-        That one keeps a vote of far examples alone from being certain."""
-        best, score = self.nearest(terms, q, k, but)
-        return (float(score @ self.label[best] / (score.sum() + 1)), best) if len(best) else (-1.0, best)
+        self.offset = np.searchsorted(col[order], np.arange(n_terms + 1)).astype(np.int32)
+
+    def nearest(self, row: np.ndarray, col: np.ndarray, w: np.ndarray, texts: int, k: int, but: np.ndarray | None = None):
+        """(text, example, cosine) of the k examples of largest positive cosine of each text, nearest first.
+        but: an example that a text must not find."""
+        out = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+        for a in range(0, texts, BATCH):
+            b = min(texts, a + BATCH)
+            s, e = np.searchsorted(row, [a, b])
+            if s < e:
+                t, x, c = self._batch(row[s:e] - a, col[s:e], w[s:e], b - a, k, None if but is None else but[a:b])
+                out.append((t + a, x, c))
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+    def _batch(self, row, col, w, texts, k, but):
+        width = self.blocks * BLOCK
+        place = self.place[col]
+        dense = place >= 0
+        q = np.zeros((texts, len(self.matrix)))
+        q[row[dense], place[dense]] = w[dense]
+        row, col, w = row[~dense], col[~dense], w[~dense]
+        start = self.offset[col]
+        n = self.offset[col + 1] - start
+        at = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        score = np.bincount(np.repeat(row, n) * width + self.doc[at], np.repeat(w, n) * self.w[at], texts * width).reshape(texts, width)
+        if but is not None:
+            score[np.arange(texts), but] = -1e9
+        bound = score.reshape(texts, self.blocks, BLOCK).max(2) + q @ self.most + 1e-9
+        best = bound.argmax(1)
+        done = np.zeros(bound.shape, bool)
+        for full in (False, True):  # first each text's best block, then all that can hold one of the k nearest
+            kth = np.partition(score, width - k, 1)[:, width - k] if k < width else np.zeros(texts)
+            for b in range(self.blocks):
+                who = np.flatnonzero((bound[:, b] >= kth) & ~done[:, b] if full else best == b)
+                if len(who):
+                    done[who, b] = True
+                    score[who, b * BLOCK : (b + 1) * BLOCK] += q[who] @ self.matrix[:, b * BLOCK : (b + 1) * BLOCK]
+        score = np.round(score, 12)
+        kth = np.partition(score, width - k, 1)[:, width - k] if k < width else np.zeros(texts)
+        t, x = np.nonzero((score > 0) & (score >= kth[:, None]) & np.repeat(done, BLOCK, 1))
+        c = score[t, x]
+        order = np.lexsort((x, -c, t))
+        t, x, c = t[order], x[order], c[order]
+        keep = np.arange(len(t)) - np.searchsorted(t, t) < k
+        return t[keep], x[keep], c[keep]
+
+
+def votes(text: np.ndarray, example: np.ndarray, cosine: np.ndarray, label: np.ndarray, texts: int) -> np.ndarray:
+    """The weighted part of label 1 among the nearest and one more of label 0; -1: none near.
+    That one keeps a vote of far examples alone from being certain."""
+    all_ = np.bincount(text, cosine, texts)
+    return np.where(all_ > 0, np.bincount(text, cosine * label[example], texts) / (all_ + 1), -1.0)
 
 
 def monotone(x: np.ndarray, y: np.ndarray, w: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray]:
@@ -176,94 +183,178 @@ def monotone(x: np.ndarray, y: np.ndarray, w: np.ndarray, prior: float) -> tuple
     return np.array(xs), np.maximum.accumulate(np.array(ys)) if ys else np.array(ys)
 
 
-class Scorer:
-    def __init__(self, terms: Terms, index: Index, knots, none: float, k: int):
-        self.terms, self.index, self.knots, self.none, self.k = terms, index, knots, none, k
-
-    def score(self, texts: pa.Array) -> tuple[np.ndarray, list[list[int]]]:
-        out, who = np.full(len(texts), self.none), [[] for _ in range(len(texts))]
-        row, col, w = self.terms.vectors(texts)
-        edge = np.flatnonzero(np.diff(row, prepend=-1, append=-1))
-        for s, e in zip(edge[:-1], edge[1:], strict=True):
-            v, best = self.index.vote(col[s:e], w[s:e], self.k)
-            if v >= 0 and len(self.knots[0]):
-                out[row[s]] = np.interp(v, *self.knots)
-                who[row[s]] = self.index.ids[best].tolist()
-        return out, who
-
-
-def _log_chance(n: Column, k: Column, rate: float) -> Column:
-    """n KL(k/n || rate): -log of a bound on the chance of k or more of n."""
+def near_copies(shingles: list[np.ndarray]) -> np.ndarray:
+    """For each example the first of its group; groups are joined by Jaccard of shingle sets of ALIKE or more."""
+    n = len(shingles)
+    root = np.arange(n)
+    size = np.array([len(s) for s in shingles], np.int64)
+    every = np.concatenate([np.empty(0, W.U), *shingles])
+    _, inverse = np.unique(every, return_inverse=True)
+    owner = np.repeat(np.arange(n), size)
+    order = np.lexsort((owner, inverse))
+    holder, first = owner[order], np.searchsorted(inverse[order], np.arange(inverse.max(initial=-1) + 2))
+    begin = np.concatenate([[0], np.cumsum(size)])
+
+    def top(i):
+        while root[i] != i:
+            root[i] = i = root[root[i]]
+        return i
+
+    for i in range(n):
+        own = inverse[begin[i] : begin[i + 1]]
+        if not len(own):
+            continue
+        count = first[own + 1] - first[own]
+        at = np.repeat(first[own] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        both = np.bincount(holder[at], minlength=n)
+        for j in np.flatnonzero((both >= ALIKE * (size[i] + size - both)) & (both > 0)):
+            a, b = top(i), top(j)
+            root[max(a, b)] = min(a, b)
+    return np.array([top(i) for i in range(n)], np.int64)
+
+
+def marks(n: np.ndarray, k: np.ndarray, rate: float) -> np.ndarray:
+    """-log of a bound on the chance of k or more of n at the rate (n KL(k/n || rate)), less log(terms tried / ALPHA); 0 at least."""
     p = k / n
-    first = F.when(k > 0, p * F.log(p / rate)).otherwise(0.0)
-    second = F.when(k < n, (1 - p) * F.log((1 - p) / (1 - rate))).otherwise(0.0)
-    return F.when(p > rate, n * (first + second)).otherwise(0.0)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = n * (np.where(p > 0, p * np.log(p / rate), 0) + np.where(p < 1, (1 - p) * np.log((1 - p) / (1 - rate)), 0))
+    return np.where(p > rate, np.maximum(gain - math.log(max(len(n), 1) / ALPHA), 0), 0)
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, terms: int = TERMS, k: int = NEIGHBOURS) -> Scorer:
-    """Learn from labels (doc_id, toxic) of docs (doc_id, text)."""
-    spark = docs.sparkSession
-    prepare(spark)
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropna().groupBy("doc_id").agg(F.max("toxic").alias("toxic")).filter("toxic in (0, 1)")
-    counts = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
+@dataclass
+class Scorer:
+    terms: Terms
+    index: Index
+    label: np.ndarray
+    ids: np.ndarray
+    knots: tuple[np.ndarray, np.ndarray]
+    none: float
+    k: int
+
+    def score(self, texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+        """Scores of lower-cased texts, and the doc_ids of the nearest examples."""
+        out, found, n = np.full(len(texts), self.none), [(np.empty(0, np.int64),) * 2], len(texts)
+        if len(self.knots[0]):
+            for row, col, w in self.terms.vectors(texts):
+                if len(row):
+                    a, b = row[0], row[-1] + 1
+                    t, x, c = self.index.nearest(row - a, col, w, b - a, self.k)
+                    v = votes(t, x, c, self.label, b - a)
+                    out[a:b] = np.where(v >= 0, np.interp(v, *self.knots), out[a:b])
+                    found.append((t + a, self.ids[x]))
+        t, ids = (np.concatenate(x) for x in zip(*found, strict=True))
+        return out, pa.ListArray.from_arrays(pa.array(np.searchsorted(t, np.arange(n + 1)), pa.int32()), pa.array(ids))
+
+
+def _examples(batches):
+    """From (k1, k2, doc_id, y, text): those, with the shingles and the (term, count) pairs of the text as blobs."""
+    for batch in batches:
+        texts = batch.column(4)
+        data, offsets = W.buffers(texts)
+        out = []
+        for i in range(len(offsets) - 1):
+            x, _ = W.shingles(*W.words(data[offsets[i] : offsets[i + 1]], np.array([0, offsets[i + 1] - offsets[i]])), 5)
+            keys, tf = np.empty(0, W.U), np.empty(0, np.int64)
+            for _, word, n, terms in bags(texts.slice(i, 1)):
+                has = terms[word] != 0
+                keys, tf = W.tally(terms[word][has], np.broadcast_to(n[:, None], has.shape)[has])
+            out.append((np.unique(x).tobytes(), keys.tobytes(), tf.tobytes()))
+        blobs = [pa.array([r[j] for r in out], pa.binary()) for j in range(3)]
+        yield pa.RecordBatch.from_arrays([*(batch.column(j) for j in range(4)), *blobs], ["k1", "k2", "doc_id", "y", "shingles", "terms", "tf"])
+
+
+def sample_of(docs: DataFrame, labels: DataFrame, per_class: int) -> tuple[list[dict], list[int]]:
+    """The examples, in order of their texts' hashes, and how many distinct labelled texts there are of either label."""
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter("doc_id is not null and toxic in (0, 1)")
+    text = F.lower(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    labelled = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *text_key(text)).join(known, "doc_id")
+    each = cut(labelled.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"), F.avg("toxic").alias("y")), "toxic-labelled")
+    counts = {r.c: r["count"] for r in each.groupBy((F.col("y") >= 0.5).cast("int").alias("c")).count().collect()}
     pick = None
-    for y in (0, 1):
-        some = known.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
+    for some in (each.filter("y < 0.5"), each.filter("y >= 0.5")):
+        some = some.orderBy("k1", "k2").limit(per_class)
         pick = some if pick is None else pick.unionByName(some)
-    text = F.lower(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).join(F.broadcast(pick), "doc_id")  # bounded by 2 per_class rows
-    sample = cut(independent(sample.repartition(min(16, parts(spark) * 2), "doc_id", "text")), "toxic-sample")
-    have = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
-    total, prior = sum(counts.values()), counts.get(1, 0) / max(1, sum(counts.values()))
-    none = Scorer(Terms(np.empty(0, W.U), np.empty(0)), Index(0, *(np.empty(0, np.int64),) * 2, np.empty(0), np.empty(0), np.empty(0, np.int64)), (np.empty(0), np.empty(0)), prior, k)
-    if not have.get(1) or not have.get(0):
-        return none
-    n, rate = sum(have.values()), have[1] / sum(have.values())
-    tallies = cut(sample.select("text", "toxic").mapInArrow(_count, "term long, n long, k long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("k").alias("k")), "toxic-terms")
-    tried = tallies.count()
-    chosen = tallies.withColumn("gain", _log_chance(F.col("n"), F.col("k"), rate)).filter(F.col("gain") >= math.log(max(tried, 1) / ALPHA)).orderBy(F.desc("gain"), "term").limit(terms).select("term", "n").collect()
-    if not chosen:
-        return none
-    keys = np.array([r.term for r in chosen], np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    kept = Terms(keys[order], np.log1p(n / np.array([r.n for r in chosen], float))[order])
-
-    def vectors(batches):
+    pick = cut(pick, "toxic-picked")
+    found = docs.select(text.alias("text")).select(*text_key(F.col("text")), "text").join(F.broadcast(pick), ["k1", "k2"])  # bounded by 2 per_class rows
+    found = found.groupBy("k1", "k2").agg(*(F.first(c).alias(c) for c in ("doc_id", "y", "text")))
+    rows = found.mapInArrow(_examples, "k1 long, k2 long, doc_id long, y double, shingles binary, terms binary, tf binary").toArrow().to_pylist()  # bounded by 2 per_class rows
+    return sorted(rows, key=lambda r: (r["k1"], r["k2"])), [counts.get(0, 0), counts.get(1, 0)]
+
+
+def frequencies(docs: DataFrame, keys: np.ndarray) -> tuple[int, np.ndarray]:
+    """The number of documents, and of those that hold each term."""
+    spark = docs.sparkSession
+    held = spark.sparkContext.broadcast(keys)  # bounded by the texts of 2 per_class rows
+
+    def count(batches):
+        terms, total, docs_ = Terms(held.value, np.empty(0)), np.zeros(len(held.value), np.int64), 0
         for batch in batches:
-            row, col, w = kept.vectors(batch.column(0))
-            cut_ = np.searchsorted(row, np.arange(batch.num_rows + 1))
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), *(pa.array([x[s:e].tolist() for s, e in zip(cut_[:-1], cut_[1:], strict=True)], t) for x, t in ((col, pa.list_(pa.int32())), (w, pa.list_(pa.float64()))))], ["toxic", "doc_id", "cols", "weights"])
-
-    got = sample.select("text", "toxic", "doc_id").mapInArrow(vectors, "toxic int, doc_id long, cols array<int>, weights array<double>").toArrow().to_pylist()  # bounded by 2 per_class rows
-    got.sort(key=lambda r: (r["doc_id"], r["cols"], r["weights"]))
-    weight = {y: counts[y] / have[y] for y in (0, 1)}
-    empty = [r["toxic"] for r in got if not r["cols"]]
-    heavy = sum(weight[y] for y in empty)
-    blank = (sum(weight[y] * y for y in empty) + prior) / (heavy + 1)
-    got = [r for r in got if r["cols"]]
-    row = np.repeat(np.arange(len(got)), [len(r["cols"]) for r in got])
-    col, w = np.concatenate([r["cols"] for r in got]).astype(np.int64), np.concatenate([r["weights"] for r in got])
-    label, ids = np.array([r["toxic"] for r in got], float), np.array([r["doc_id"] for r in got], np.int64)
-    index = Index(len(keys), row, col, w, label, ids)
-    votes = np.array([index.vote(np.array(r["cols"]), np.array(r["weights"]), k, i)[0] for i, r in enumerate(got)])
-    ok = votes >= 0
-    knots = monotone(votes[ok], label[ok], np.array([weight[int(y)] for y in label])[ok], prior)
-    return Scorer(kept, index, knots, min(blank, 1.0), k)
+            docs_ += batch.num_rows
+            for _, col, _ in terms.cells(batch.column(0)):
+                total += np.bincount(col, minlength=len(total))
+        some = np.flatnonzero(total)
+        col, n = np.append(some, -1), np.append(total[some], docs_)
+        for i in range(0, len(col), 1 << 14):
+            yield pa.RecordBatch.from_arrays([pa.array(col[i : i + (1 << 14)].astype(np.int32)), pa.array(n[i : i + (1 << 14)])], ["term", "n"])
+
+    text = F.lower(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    got = docs.select(text.alias("text")).mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # a row for each term of the sample
+    term, n = got.column("term").to_numpy(), got.column("n").to_numpy()
+    out = np.zeros(len(keys), np.int64)
+    out[term[term >= 0]] = n[term >= 0]
+    return int(n[term < 0].sum()), out
+
+
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, k: int = NEIGHBOURS) -> Scorer:
+    """Learn from labels (doc_id, toxic) of docs (doc_id, text)."""
+    prepare(docs.sparkSession)
+    rows, counts = sample_of(docs, labels, per_class)
+    prior = counts[1] / max(1, sum(counts))
+    root = near_copies([np.frombuffer(r["shingles"], W.U) for r in rows])
+    y = np.array([r["y"] for r in rows], float)
+    first = np.unique(root)
+    y = (np.bincount(root, y, len(rows)) / np.maximum(np.bincount(root, minlength=len(rows)), 1))[first] if len(rows) else y
+    rows = [rows[i] for i in first]
+    ids = np.array([r["doc_id"] for r in rows], np.int64)
+    have = [float((1 - y).sum()), float(y.sum())]
+    nothing = Terms(np.empty(0, W.U), np.empty(0))
+    if not all(have):
+        none = np.empty(0, np.int64)
+        return Scorer(nothing, Index(0, 0, none, none, np.empty(0)), y, ids, (np.empty(0), np.empty(0)), prior, k)
+    of = [np.frombuffer(r["terms"], W.U) for r in rows]
+    keys, col = np.unique(np.concatenate(of), return_inverse=True)
+    row = np.repeat(np.arange(len(rows)), [len(x) for x in of])
+    tf = np.concatenate([np.frombuffer(r["tf"], np.int64) for r in rows])
+    total, df = frequencies(docs, keys)
+    speaks = marks(np.bincount(col, minlength=len(keys)), np.bincount(col, y[row], len(keys)), have[1] / len(rows))
+    terms = Terms(keys, np.log((1 + total) / (1 + df)) * (1 + speaks))
+    row, col, w = terms.unit(row, col, tf)
+    index = Index(len(rows), len(keys), row, col, w)
+    order = np.lexsort((col, row))
+    got = index.nearest(row[order], col[order], w[order], len(rows), k, np.arange(len(rows)))
+    vote = votes(*got, y, len(rows))
+    share = [counts[c] / have[c] for c in (0, 1)]
+    weight = share[1] * y + share[0] * (1 - y)
+    ok = vote >= 0
+    none = ((weight * y)[~ok].sum() + prior) / (weight[~ok].sum() + 1)
+    return Scorer(terms, index, y, ids, monotone(vote[ok], y[ok], weight[ok], prior), float(min(none, 1.0)), k)
 
 
 def score(docs: DataFrame, scorer: Scorer, keep: list[Column], text: str = "text") -> DataFrame:
     """The columns keep, then score, predicted and evidence (doc_ids of the nearest examples, nearest first)."""
     prepare(docs.sparkSession)
-    held = docs.sparkSession.sparkContext.broadcast(scorer)  # bounded by per_class, terms and k
+    held = docs.sparkSession.sparkContext.broadcast(scorer)  # bounded by the texts of 2 per_class rows
 
     def run(batches):
         s = held.value
         for batch in batches:
             p, who = s.score(batch.column(0))
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(p), pa.array((p >= 0.5).astype(np.int32)), pa.array(who, pa.list_(pa.int64()))], [*names, "score", "predicted", "evidence"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(p), pa.array((p >= 0.5).astype(np.int32)), who], [*names, "score", "predicted", "evidence"])
 
     kept = docs.select(F.lower(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("__text"), *keep)
-    names = [c for c in kept.columns if c != "__text"]
+    names = kept.columns[1:]
+    if len({*names, "__text", "score", "predicted", "evidence"}) < len(names) + 4:
+        raise ValueError(f"columns called twice, or like new ones: {names}")
     schema = ", ".join([f"`{c}` {kept.schema[c].dataType.simpleString()}" for c in names] + ["score double", "predicted int", "evidence array<long>"])
     return kept.mapInArrow(run, schema)
 
@@ -286,6 +377,5 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 def clean(docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rows that aren't predicted toxic, with their own columns."""
-    columns = docs.columns
-    row = F.struct(*(F.col(c) for c in columns)).alias("row")
+    row = F.struct(*(F.col(c) for c in docs.columns)).alias("row")
     return score(docs, learned(docs, sf_dir), [row]).filter("predicted = 0").select("row.*")
