@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from textloom.llm import suffix
+from textloom.llm.shared import text_key
 
 
 def removed(texts, length):
@@ -48,14 +49,33 @@ def corpus(seed, length):
     return texts
 
 
+def found(spark, texts, length, group=suffix.GROUP):
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, k string")
+    out = suffix.remove_repeats(docs.select("doc_id", "text"), length, group)
+    rows = docs.select("doc_id", *text_key(docs.text)).join(out, ["k1", "k2"]).orderBy("doc_id").collect()
+    return [(r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(bytes(r.kept)).hexdigest()) for r in rows]
+
+
 @pytest.mark.parametrize("length,group", [(20, 1 << 14), (40, 1 << 14), (40, 3), (200, 1 << 14), (200, 2)])
 def test_against_brute_force(spark, length, group):
     texts = corpus(length + group, length)
-    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, tid string")
-    found = suffix.remove_repeats(docs.select("doc_id", "text"), length, group)
-    rows = docs.select("doc_id", suffix.text_id(docs.text).alias("t")).join(found.withColumnRenamed("tid", "t"), "t").orderBy("doc_id").collect()
-    got = [(r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(bytes(r.kept)).hexdigest()) for r in rows]
-    assert got == brute(texts, length)
+    assert found(spark, texts, length, group) == brute(texts, length)
+
+
+@pytest.mark.parametrize("alphabet", ["\0ab", "\0\x01\u07ff", "abc"])
+@pytest.mark.parametrize("length", [20, 50, 200])
+def test_any_byte(spark, alphabet, length):
+    rng = random.Random(length)
+    base = ["".join(rng.choice(alphabet) for _ in range(3 * length)) for _ in range(4)]
+    texts = []
+    for i in range(48):  # near copies
+        t = list(base[i % 4])
+        for _ in range(rng.randint(0, 3)):
+            t[rng.randrange(len(t))] = rng.choice(alphabet)
+        texts.append("".join(t)[rng.randint(0, 9) :])
+    want = brute(texts, length)
+    assert 0 < sum(r[1] for r in want) < sum(r[0] for r in want)
+    assert found(spark, texts, length) == want == found(spark, texts, length, 2)
 
 
 def test_boundaries_are_short_common_prefixes():
@@ -74,3 +94,18 @@ def test_boundaries_are_short_common_prefixes():
 def test_no_rows(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert suffix.remove_repeats(docs).count() == 0
+
+
+def test_whole_code_points(spark):
+    shared = "\ufffdé€" * 30
+    texts = ["a" + shared + "b\ufffd", "\u00c9" + shared[1:] + "\ufffdx", "€" * 5]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = {bytes(r.text).decode(): bytes(r.kept) for r in docs.select(*text_key(docs.text), docs.text.cast("binary").alias("text")).join(suffix.remove_repeats(docs, 20, points=True), ["k1", "k2"]).collect()}
+    for t, gone in zip(texts, removed(texts, 20)):
+        raw, want, at = t.encode(), "", 0
+        for c in t:
+            n = len(c.encode())
+            want += c if not any(gone[at : at + n]) else ""
+            at += n
+        assert got[t].decode() == want
+        assert at == len(raw)

@@ -11,10 +11,10 @@
    suffixes with common prefixes of 0, 1, 2 .. bytes, stopping at `length`.  Suffixes no boundary
    parts have a common prefix of `length` or more.
 4. Groups with more than `group` different hulls are not gathered: their windows are counted by
-   hash in Spark instead, so that no group is unbounded.
+   digest in Spark instead, so that no group is unbounded.  Both ways find the same (tests).
 
-Texts are told apart by 64-bit hashes; hashes of strings are 64-bit too.  Nulls are empty texts.
-Repeated rows are documents of their own.
+Texts, hulls and counted windows are told apart by 128-bit hashes; within a group bytes are compared.
+Any byte can occur in a text, 0 included.  Nulls are empty texts.  Repeated rows are documents of their own.
 """
 
 from __future__ import annotations
@@ -23,11 +23,11 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm import words as W
-from textloom.llm.shared import parts, prepare
+from textloom.llm.shared import parts, prepare, text_key
 
 LENGTH, GRAM, GROUP, BATCH, PIECE = 200, 100, 1 << 14, 1 << 19, 1 << 20
 
@@ -41,11 +41,11 @@ def _least(h: np.ndarray, w: int, pick=np.minimum) -> np.ndarray:
     return pick(m[: len(h) - w + 1], m[w - span : len(h) - span + 1]) if span < w else m
 
 
-def _sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    up, down = W.powers(len(data) + 1)
+def _sums(data: np.ndarray, table: np.ndarray = W.BYTE, base: int = W.BASE) -> tuple[np.ndarray, np.ndarray]:
+    up, down = W.powers(len(data) + 1, base)
     out = np.zeros(len(data) + 1, W.U)
     with np.errstate(over="ignore"):
-        np.cumsum(W.BYTE[data] * up[: len(data)], out=out[1:])
+        np.cumsum(table[data] * up[: len(data)], out=out[1:])
     return out, down
 
 
@@ -56,7 +56,7 @@ def _hash(sums, down, s, e):
 
 def runs(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM):
     """Runs of windows with one anchor, of texts laid end to end: text, first window's place in it, windows,
-    hash of the anchor, hash of the hull (the bytes of all the run's windows)."""
+    hash of the anchor, two hashes of the hull (the bytes of all the run's windows)."""
     w = length - gram + 1
     n = len(data)
     inside = np.zeros(n + 1, np.int32)
@@ -79,84 +79,101 @@ def runs(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int
         edge = np.flatnonzero(np.append(new | ~ok, True))
         count = edge[np.searchsorted(edge, first, "right")] - first
         text = np.searchsorted(offsets, first + a, "right") - 1
+        end = first + count + length - 1
         with np.errstate(over="ignore"):
-            hull = W.mix(_hash(sums, down, first, first + count + length - 1) + count.astype(W.U))
-        yield text, first + a - offsets[text], count, m[first], hull
+            hull = W.mix(_hash(sums, down, first, end) + count.astype(W.U))
+        yield text, first + a - offsets[text], count, m[first], hull, _hash(*_sums(data[a:hi], W.OTHER, W.OTHER_BASE), first, end)
 
 
 def _emit_runs(buckets: int, length: int, gram: int):
-    def flush(held):
-        a, f, t, p, c = map(np.concatenate, zip(*held, strict=True))
+    def flush(held, names):
+        a, f, g, t, p, c = map(np.concatenate, zip(*held, strict=True))
+        names = np.concatenate(names)
         bucket = (a >> W.U(33)).astype(np.int64) % buckets
         order = np.argsort(bucket, kind="stable")
         cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
         for i in np.flatnonzero(np.diff(cuts)):
             at = order[cuts[i] : cuts[i + 1]]
-            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), *(pa.array([x[at].tobytes()], pa.binary()) for x in (a, f, t, p, c))], ["bucket", *"aftpc"])
+            who, own = np.unique(t[at], return_inverse=True)
+            blobs = (a[at], f[at], g[at], own.astype(np.uint32), p[at], c[at], names[who])
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in blobs)], ["bucket", *"afgtpcn"])
 
     def run(batches):
-        held, n = [], 0
+        held, names, n, ids = [], [], 0, 0
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            data, offsets = W.buffers(batch.column(1))
+            names.append(np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()], 1))
+            data, offsets = W.buffers(batch.column(2))
             for i, j in W.slices(offsets):
                 off = offsets[i : j + 1]
-                for text, place, count, h, hull in runs(data[off[0] : off[-1]], off - off[0], length, gram):
-                    held.append((h, hull, ids[i + text], place.astype(np.uint32), count.astype(np.uint16)))
+                for text, place, count, h, hull, other in runs(data[off[0] : off[-1]], off - off[0], length, gram):
+                    held.append((h, hull, other, ids + i + text, place.astype(np.uint32), count.astype(np.uint16)))
                     n += len(h)
+            ids += batch.num_rows
             if n > 1 << 20:
-                yield from flush(held)
-                held, n = [], 0
+                yield from flush(held, names)
+                held, names, n, ids = [], [], 0, 0
         if n:
-            yield from flush(held)
+            yield from flush(held, names)
 
     return run
 
 
 def _group(limit: int):
-    """From a bucket's runs: kind 0 where the hull is a repeat; 1, one run for each hull of a group with several; 2, the same for a large group."""
+    """From the runs of buckets, in order: kind 0 where the hull is a repeat; 1, one run for each hull of a group with several; 2, the same for a large group."""
+
+    def of(held):
+        base = np.cumsum([0, *(len(x[6]) // 2 for x in held)])
+        t = np.concatenate([x[3] + b for x, b in zip(held, base[:-1], strict=True)]).astype(np.int64)
+        a, f, g, p, c, names = (np.concatenate([x[i] for x in held]) for i in (0, 1, 2, 4, 5, 6))
+        names = names.reshape(-1, 2)
+        order = np.lexsort((p, t, g, f, a))
+        a, f, g, t, p, c = a[order], f[order], g[order], t[order], p[order], c[order]
+        newa = np.concatenate([[True], a[1:] != a[:-1]])
+        newf = newa | np.concatenate([[True], (f[1:] != f[:-1]) | (g[1:] != g[:-1])])
+        ga, gf = np.cumsum(newa) - 1, np.cumsum(newf) - 1
+        hulls = np.bincount(ga, newf)[ga]
+        again = np.bincount(gf)[gf] > 1
+        edge = newf & (hulls > 1)
+        for rows, kind in ((again, np.zeros(len(a), np.int32)), (edge, np.where(hulls > limit, 2, 1).astype(np.int32))):
+            at = np.flatnonzero(rows)
+            for i in range(0, len(at), 1 << 15):
+                x = at[i : i + (1 << 15)]
+                yield pa.RecordBatch.from_arrays([pa.array(names[t[x], 0]), pa.array(names[t[x], 1]), pa.array(p[x].astype(np.int64)), pa.array(c[x].astype(np.int32)), pa.array(kind[x]), pa.array(a[x].view(np.int64))], ["k1", "k2", "place", "windows", "kind", "anchor"])
 
     def run(batches):
-        held: dict[int, list] = {}
+        held, now = [], None
         for batch in batches:
-            for b, *blobs in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
-                held.setdefault(b, []).append([np.frombuffer(x, d) for x, d in zip(blobs, ("u8", "u8", "i8", "u4", "u2"), strict=True)])
-        while held:
-            a, f, t, p, c = map(np.concatenate, zip(*held.popitem()[1], strict=True))
-            order = np.lexsort((p, t, f, a))
-            a, f, t, p, c = a[order], f[order], t[order], p[order], c[order]
-            newa = np.concatenate([[True], a[1:] != a[:-1]])
-            newf = newa | np.concatenate([[True], f[1:] != f[:-1]])
-            ga, gf = np.cumsum(newa) - 1, np.cumsum(newf) - 1
-            hulls = np.bincount(ga, newf)[ga]
-            again = np.bincount(gf)[gf] > 1
-            edge = newf & (hulls > 1)
-            for rows, kind in ((again, np.zeros(len(a), np.int32)), (edge, np.where(hulls > limit, 2, 1).astype(np.int32))):
-                at = np.flatnonzero(rows)
-                for i in range(0, len(at), 1 << 15):
-                    x = at[i : i + (1 << 15)]
-                    yield pa.RecordBatch.from_arrays([pa.array(t[x]), pa.array(p[x].astype(np.int64)), pa.array(c[x].astype(np.int32)), pa.array(kind[x]), pa.array(a[x].view(np.int64))], ["tid", "place", "windows", "kind", "anchor"])
+            for b, *blobs in zip(*(batch.column(i).to_pylist() for i in range(8)), strict=True):
+                if b != now and held:
+                    yield from of(held)
+                    held = []
+                now = b
+                held.append([np.frombuffer(x, d) for x, d in zip(blobs, ("u8", "u8", "u8", "u4", "u4", "u2", "i8"), strict=True)])
+        if held:
+            yield from of(held)
 
     return run
 
 
 def _fragments(length: int):
-    """(key, tid, start, bytes): fragments of kind 1 by anchor; windows of kind 2 by hash, without bytes."""
+    """(key, k1, k2, start, end, raw): spans of kind 0 as they are; fragments of kind 1 by anchor; windows of kind 2 by digest (its other half is raw)."""
 
     def run(batches):
         for batch in batches:
             rows = []
-            for tid, text, found in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            for k1, k2, text, found in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 raw = text.encode()
-                windows = set()
                 for r in found:
                     s = r["place"]
                     e = s + r["windows"] + length - 1
-                    if r["kind"] == 1:
-                        rows.append((r["anchor"], tid, s, raw[s:e]))
+                    if r["kind"] == 0:
+                        rows.append((k1, k1, k2, s, e, None))
+                    elif r["kind"] == 1:
+                        rows.append((r["anchor"], k1, k2, s, e, raw[s:e]))
                     else:
-                        windows.update(range(s, e - length + 1))
-                rows += [(int.from_bytes(hashlib.blake2b(raw[s : s + length], digest_size=8).digest(), "little", signed=True), tid, s, None) for s in sorted(windows)]
+                        for w in range(s, e - length + 1):
+                            digest = hashlib.blake2b(raw[w : w + length], digest_size=16).digest()
+                            rows.append((int.from_bytes(digest[:8], "little", signed=True), k1, k2, w, -1, digest[8:]))
                 if len(rows) > 2000:
                     yield pack(rows)
                     rows = []
@@ -164,8 +181,8 @@ def _fragments(length: int):
                 yield pack(rows)
 
     def pack(rows):
-        key, tid, start, raw = zip(*rows, strict=True)
-        return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(tid, pa.int64()), pa.array(start, pa.int64()), pa.array(raw, pa.binary())], ["key", "tid", "start", "raw"])
+        columns = [pa.array(x, pa.binary() if i == 5 else pa.int64()) for i, x in enumerate(zip(*rows, strict=True))]
+        return pa.RecordBatch.from_arrays(columns, ["key", "k1", "k2", "start", "end", "raw"])
 
     return run
 
@@ -199,8 +216,8 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
 def boundaries(text: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
     """Whether each suffix, in order, has less than `length` bytes in common with the one before.
 
-    text ends with its least byte; suffixes with that byte among their first `length` may be parted
-    elsewhere within their own bucket if it occurs before the end too.  All others are exact.
+    text ends with its least value, which ends each piece and occurs in none; suffixes with it among their
+    first `length` may be parted elsewhere within their own bucket.  All others are exact.
     """
     alphabet, code = np.unique(text, return_inverse=True)
     n = len(text)
@@ -250,7 +267,7 @@ def _inside(apart: np.ndarray, frontier: np.ndarray):
 
 def repeats(pieces: list[bytes], owner: np.ndarray, start: np.ndarray, length: int):
     """Of fragments of texts (owner, start in it): (owner, start, end) of runs of windows that also start elsewhere."""
-    text = np.frombuffer(b"\x00".join(pieces) + b"\x00", np.uint8)
+    text = np.frombuffer(b"\xff".join(pieces) + b"\xff", np.uint8) + np.uint8(1)  # UTF-8 has no 255: as 0 it ends each piece, below all bytes
     size = np.array([len(p) for p in pieces])
     begin = np.concatenate([[0], np.cumsum(size + 1)])[:-1]
     whole = np.zeros(len(text) + 1, np.int32)
@@ -277,17 +294,42 @@ def repeats(pieces: list[bytes], owner: np.ndarray, start: np.ndarray, length: i
 
 
 def _extend(length: int):
+    """Spans of kind 0 as they are, and those found in groups of fragments or among counted windows."""
+
+    def out(k1, k2, s, e):
+        return pa.RecordBatch.from_arrays([pa.array(k1), pa.array(k2), pa.array(s << 32 | e)], ["k1", "k2", "span"])
+
+    def counted(key, k1, k2, start, raw):
+        other = np.frombuffer(b"".join(raw.to_pylist()), np.int64)
+        order = np.lexsort((other, key))
+        key, other = key[order], other[order]
+        new = np.concatenate([[True], (key[1:] != key[:-1]) | (other[1:] != other[:-1])])
+        twice = order[(np.bincount(np.cumsum(new) - 1) > 1)[np.cumsum(new) - 1]]
+        return out(k1[twice], k2[twice], start[twice], start[twice] + length)
+
     def run(batches):
-        held = [b for b in batches if b.num_rows]
+        held = []
+        for batch in batches:
+            known = batch.column("raw").is_null().to_numpy(zero_copy_only=False)
+            if known.any():
+                x = batch.filter(pa.array(known))
+                yield out(*(x.column(c).to_numpy() for c in ("k1", "k2", "start", "end")))
+            if not known.all():
+                held.append(batch.filter(pa.array(~known)))
         if not held:
             return
         table = pa.Table.from_batches(held)
         del held
-        key = table.column("key").to_numpy()
-        order = np.argsort(key, kind="stable")
-        key, tid, start, raw = key[order], table.column("tid").to_numpy()[order], table.column("start").to_numpy()[order], table.column("raw").combine_chunks()
+        key, k1, k2, start, end = (table.column(c).to_numpy() for c in ("key", "k1", "k2", "start", "end"))
+        raw = table.column("raw").combine_chunks()
         del table
-        edge = np.append(np.flatnonzero(np.diff(key, prepend=~key[0])), len(key))
+        single = np.flatnonzero(end < 0)
+        if len(single):
+            yield counted(key[single], k1[single], k2[single], start[single], raw.take(pa.array(single)))
+        order = np.flatnonzero(end >= 0)
+        order = order[np.argsort(key[order], kind="stable")]
+        key, k1, k2, start = key[order], k1[order], k2[order], start[order]
+        edge = np.append(np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else key), len(key))
         i = 0
         while i < len(edge) - 1:
             j, size = i, 0
@@ -296,20 +338,20 @@ def _extend(length: int):
                 j += 1
             at = slice(edge[i], edge[j])
             if edge[j] - edge[i] > 1:
-                names, owner = np.unique(tid[at], return_inverse=True)
-                t, s, e = repeats(raw.take(pa.array(order[at])).to_pylist(), owner, start[at], length)
+                names, owner = np.unique(np.stack([k1[at], k2[at]], 1), axis=0, return_inverse=True)
+                t, s, e = repeats(raw.take(pa.array(order[at])).to_pylist(), owner.ravel(), start[at], length)
                 if len(t):
-                    yield pa.RecordBatch.from_arrays([pa.array(names[t]), pa.array(s << 32 | e)], ["tid", "span"])
+                    yield out(names[t, 0], names[t, 1], s, e)
             i = j
 
     return run
 
 
-def _finish(length: int):
+def _finish(length: int, points: bool):
     def run(batches):
         for batch in batches:
             out = []
-            for text, copies, spans_ in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
+            for text, copies, spans_ in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
                 raw = text.encode()
                 runs: list[list[int]] = []
                 if copies > 1 and len(raw) >= length:
@@ -321,13 +363,14 @@ def _finish(length: int):
                     else:
                         runs.append([s, e])
                 kept, last = [], 0
-                for s, e in runs:
-                    kept.append(raw[last:s])
+                for s, e in [*runs, [len(raw), len(raw)]]:
+                    part = raw[last:s]
+                    kept.append(part.decode(errors="ignore").encode() if points and runs else part)  # only its ends can be parts of code points
                     last = e
-                out.append((runs, b"".join(kept) + raw[last:], len(raw)))
+                out.append((runs, b"".join(kept), len(raw)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([n for *_, n in out], pa.int64()), pa.array([n - len(k) for _, k, n in out], pa.int64()), pa.array([len(r) for r, *_ in out], pa.int64()), pa.array([k for _, k, _ in out], pa.binary()), pa.array([[{"start": s, "end": e} for s, e in r] for r, *_ in out], SPANS)],
-                ["tid", "n_bytes", "n_removed", "n_spans", "kept", "spans"],
+                [batch.column(0), batch.column(1), pa.array([n for *_, n in out], pa.int64()), pa.array([sum(e - s for s, e in r) for r, *_ in out], pa.int64()), pa.array([len(r) for r, *_ in out], pa.int64()), pa.array([k for _, k, _ in out], pa.binary()), pa.array([[{"start": s, "end": e} for s, e in r] for r, *_ in out], SPANS)],
+                ["k1", "k2", "n_bytes", "n_removed", "n_spans", "kept", "spans"],
             )
 
     return run
@@ -336,13 +379,10 @@ def _finish(length: int):
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
-def text_id(text: Column) -> Column:
-    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
-
-
-def remove_repeats(docs: DataFrame, length: int = LENGTH, group: int = GROUP, gram: int | None = None, text: str = "text") -> DataFrame:
-    """For each distinct text: tid (text_id of it), n_bytes, n_removed, n_spans, kept (binary: the bytes
-    that stay; not always whole UTF-8) and spans (start, end of maximal removed runs)."""
+def remove_repeats(docs: DataFrame, length: int = LENGTH, group: int = GROUP, gram: int | None = None, text: str = "text", points: bool = False) -> DataFrame:
+    """For each distinct text: k1, k2 (text_key of it), n_bytes, n_removed, n_spans, kept (binary: the bytes
+    that stay; not always whole UTF-8) and spans (start, end of maximal removed runs).  points: of a code
+    point that a run cuts through no byte stays, so that kept is UTF-8 (n_removed counts the runs alone)."""
     gram = gram or max(1, length * GRAM // LENGTH)
     if not 1 <= gram < length < 1 << 16:
         raise ValueError("1 <= gram < length < 65536")
@@ -350,25 +390,22 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, group: int = GROUP, gr
     prepare(spark)
     p = parts(spark)
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    distinct = docs.select(text_id(F.col(text)).alias("tid"), body.alias("text")).groupBy("tid").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+    distinct = docs.select(*text_key(F.col(text).cast("string")), body.alias("text")).groupBy("k1", "k2").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
     found = (
-        distinct.select("tid", "text")
-        .mapInArrow(_emit_runs(p, length, gram), "bucket int, a binary, f binary, t binary, p binary, c binary")
+        distinct.select("k1", "k2", "text")
+        .mapInArrow(_emit_runs(p, length, gram), "bucket int, " + ", ".join(f"{c} binary" for c in "afgtpcn"))
         .repartition(p, "bucket")
-        .mapInArrow(_group(group), "tid long, place long, windows int, kind int, anchor long")
+        .sortWithinPartitions("bucket")
+        .mapInArrow(_group(group), "k1 long, k2 long, place long, windows int, kind int, anchor long")
     )
-    whole = found.filter("kind = 0").select("tid", F.shiftleft("place", 32).bitwiseOR(F.col("place") + F.col("windows") + (length - 1)).alias("span"))
-    edges = found.filter("kind > 0").groupBy("tid").agg(F.collect_list(F.struct("place", "windows", "kind", "anchor")).alias("found"))
-    fragments = distinct.join(edges, "tid").select("tid", "text", "found").mapInArrow(_fragments(length), "key long, tid long, start long, raw binary")
-    extended = fragments.filter("raw is not null").repartition(2 * p, "key").mapInArrow(_extend(length), "tid long, span long")
-    windows = fragments.filter("raw is null").select("key", "tid", "start").distinct()
-    twice = windows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    counted = windows.join(twice, "key").select("tid", F.shiftleft("start", 32).bitwiseOR(F.col("start") + length).alias("span"))
-    spans_ = whole.unionByName(extended).unionByName(counted).groupBy("tid").agg(F.collect_list("span").alias("spans"))
-    return distinct.join(spans_, "tid", "left").select("tid", "text", "copies", "spans").mapInArrow(_finish(length), "tid long, n_bytes long, n_removed long, n_spans long, kept binary, spans array<struct<start:long,end:long>>")
+    edges = found.groupBy("k1", "k2").agg(F.collect_list(F.struct("place", "windows", "kind", "anchor")).alias("found"))
+    fragments = distinct.join(edges, ["k1", "k2"]).select("k1", "k2", "text", "found").mapInArrow(_fragments(length), "key long, k1 long, k2 long, start long, end long, raw binary")
+    extended = fragments.repartition(2 * p, "key").mapInArrow(_extend(length), "k1 long, k2 long, span long")
+    spans_ = extended.groupBy("k1", "k2").agg(F.collect_list("span").alias("spans"))
+    return distinct.join(spans_, ["k1", "k2"], "left").select("k1", "k2", "text", "copies", "spans").mapInArrow(_finish(length, points), "k1 long, k2 long, n_bytes long, n_removed long, n_spans long, kept binary, spans array<struct<start:long,end:long>>")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    found = remove_repeats(docs).select("tid", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
-    return docs.select("doc_id", text_id(F.col("text")).alias("tid")).join(found, "tid").drop("tid")
+    found = remove_repeats(docs).select("k1", "k2", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return docs.select("doc_id", *text_key(F.col("text"))).join(found, ["k1", "k2"]).drop("k1", "k2")

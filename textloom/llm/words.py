@@ -14,25 +14,23 @@ U = np.uint64
 _rng = np.random.Generator(np.random.PCG64(20240607))
 BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
 BASE = 0x9E3779B97F4A7C15  # odd
-INVERSE = pow(BASE, -1, 2**64)
+OTHER = _rng.integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
+OTHER_BASE = 0xC2B2AE3D27D4EB4F  # odd
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
 CHUNK = 1 << 20
-_powers: list[np.ndarray] = []
+_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _powers or len(_powers[0]) < n:
+def powers(n: int, base: int = BASE) -> tuple[np.ndarray, np.ndarray]:
+    """At least n powers of the base and of its inverse, modulo 2^64."""
+    if base not in _powers or len(_powers[base][0]) < n:
         n = max(n, CHUNK + 4096)
-        up, down = np.empty(n, U), np.empty(n, U)
-        up[0] = down[0] = 1
         with np.errstate(over="ignore"):
-            np.multiply.accumulate(np.concatenate([[U(1)], np.full(n - 1, BASE, U)]), out=up)
-            np.multiply.accumulate(np.concatenate([[U(1)], np.full(n - 1, INVERSE, U)]), out=down)
-        _powers[:] = [up, down]
-    return _powers[0], _powers[1]
+            _powers[base] = tuple(np.multiply.accumulate(np.concatenate([[U(1)], np.full(n - 1, x, U)])) for x in (base, pow(base, -1, 2**64)))
+    return _powers[base]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
