@@ -45,11 +45,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def dedup_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A code point that a removed run cuts through goes whole, so texts stay valid UTF-8."""
-    found = suffix.remove_repeats(docs.select("text")).select("tid", F.col("kept").alias("__kept"))
-    whole = F.try_validate_utf8(F.col("__kept").cast("string"))
-    mended = F.regexp_replace(F.make_valid_utf8(F.col("__kept").cast("string")), "�", "")
-    rows = docs.select(F.struct(*(c for c in docs.columns if c not in ("text", "n_chars"))).alias("row"), suffix.text_id(F.col("text")).alias("tid"))
-    return _with_text(rows.join(found, "tid").select("row", F.coalesce(whole, mended).alias("new_text")), docs.columns)
+    found = suffix.remove_repeats(docs.select("text"), points=True).select("k1", "k2", F.col("kept").cast("string").alias("new_text"))
+    rows = docs.select(F.struct(*(c for c in docs.columns if c not in ("text", "n_chars"))).alias("row"), *text_key(F.col("text")))
+    return _with_text(rows.join(found, ["k1", "k2"]).select("row", "new_text"), docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
