@@ -13,7 +13,8 @@
 4. Groups with more than `group` different hulls are not gathered: their windows are counted by
    digest in Spark instead, so that no group is unbounded.  Both ways find the same (tests).
 
-Texts, hulls and counted windows are told apart by 128-bit hashes; within a group bytes are compared.
+Texts and counted windows are told apart by 128-bit hashes, hulls of one anchor by 96 bits beside the
+anchor's 64; fragments are compared by their bytes.
 Any byte can occur in a text, 0 included.  Nulls are empty texts.  Repeated rows are documents of their own.
 """
 
@@ -95,8 +96,8 @@ def _emit_runs(buckets: int, length: int, gram: int):
         for i in np.flatnonzero(np.diff(cuts)):
             at = order[cuts[i] : cuts[i + 1]]
             who, own = np.unique(t[at], return_inverse=True)
-            blobs = (a[at], f[at], g[at], own.astype(np.uint32), p[at], c[at], names[who])
-            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in blobs)], ["bucket", *"afgtpcn"])
+            blobs = (a[at], f[at], g[at], own.astype(np.uint32), p[at], c[at], names[who].ravel())
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), *(pa.array([W.planes(x)], pa.binary()) for x in blobs)], ["bucket", *"afgtpcn"])
 
     def run(batches):
         held, names, n, ids = [], [], 0, 0
@@ -106,7 +107,7 @@ def _emit_runs(buckets: int, length: int, gram: int):
             for i, j in W.slices(offsets):
                 off = offsets[i : j + 1]
                 for text, place, count, h, hull, other in runs(data[off[0] : off[-1]], off - off[0], length, gram):
-                    held.append((h, hull, other, ids + i + text, place.astype(np.uint32), count.astype(np.uint16)))
+                    held.append((h, hull, other.astype(np.uint32), ids + i + text, place.astype(np.uint32), count.astype(np.uint16)))
                     n += len(h)
             ids += batch.num_rows
             if n > 1 << 20:
@@ -148,7 +149,7 @@ def _group(limit: int):
                     yield from of(held)
                     held = []
                 now = b
-                held.append([np.frombuffer(x, d) for x, d in zip(blobs, ("u8", "u8", "u8", "u4", "u4", "u2", "i8"), strict=True)])
+                held.append([W.unplanes(x, d) for x, d in zip(blobs, ("u8", "u8", "u4", "u4", "u4", "u2", "i8"), strict=True)])
         if held:
             yield from of(held)
 
@@ -163,17 +164,22 @@ def _fragments(length: int):
             rows = []
             for k1, k2, text, found in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 raw = text.encode()
-                for r in found:
+                whole: list[list[int]] = []
+                for r in sorted(found, key=lambda r: r["place"]):
                     s = r["place"]
                     e = s + r["windows"] + length - 1
                     if r["kind"] == 0:
-                        rows.append((k1, k1, k2, s, e, None))
+                        if whole and s <= whole[-1][1]:
+                            whole[-1][1] = max(e, whole[-1][1])
+                        else:
+                            whole.append([s, e])
                     elif r["kind"] == 1:
                         rows.append((r["anchor"], k1, k2, s, e, raw[s:e]))
                     else:
                         for w in range(s, e - length + 1):
                             digest = hashlib.blake2b(raw[w : w + length], digest_size=16).digest()
                             rows.append((int.from_bytes(digest[:8], "little", signed=True), k1, k2, w, -1, digest[8:]))
+                rows += [(k1, k1, k2, s, e, None) for s, e in whole]
                 if len(rows) > 2000:
                     yield pack(rows)
                     rows = []
