@@ -176,51 +176,45 @@ def last_sentence_end(text, start, end) -> Column:
     return T.let(T.safe(text), last)
 
 
-def _last_end(text: str, start: int, end: int) -> int | None:
-    return max((p for p in sentence_ends(text) if max(0, start) <= p < end), default=None)
+def _seam(cur: str, nxt: str, overlap: int, back: int, forward: int) -> tuple[int, int] | None:
+    """(zone, place) of the sentence end that serves best as the boundary of two chunks with equal overlaps.
+
+    Places count in the text that both make up, of which cur is the start and nxt the end.  Zones, best
+    first: 0 the overlap, 1 `back` characters before it, 2 `forward` characters after it; in a zone the last end.
+    """
+    right, left = len(cur), len(cur) - overlap
+    first = max(0, left - back)
+    ends = (first + e + 1 for e in sentence_ends((cur + nxt[overlap:])[first : right + forward]))
+    best = min(((2 if e > right else 0 if e > left else 1, -e) for e in ends), default=None)
+    return best and (best[0], -best[1])
 
 
 def repair(cur: str, nxt: str | None, overlap: int = 120, back: int = 100, forward: int = 100, min_len: int = 400) -> tuple[str, str | None, str]:
     """Move the boundary of two overlapping chunks to a sentence end: (cur, next, carried text).
 
-    With equal overlaps an end is sought in the overlap, then before it, then after it in next.  With
-    different ones only an end in cur's last `overlap` characters serves, if what it cuts off occurs in next.
+    With equal overlaps the end is that of _seam; what lies between it and the overlap is carried to the
+    other chunk.  With different ones only an end in cur's last `overlap` characters serves, if what it
+    cuts off occurs in next.  A boundary that leaves less than min_len characters in cur changes nothing.
     """
     cur, nxt = (cur or "").strip(), None if nxt is None else nxt.strip()
-    same = (cur, nxt, "")
-    if not cur or not nxt:
-        return same
-    if overlap > 0 and (len(nxt) < overlap or len(cur) < overlap or cur[-overlap:] != nxt[:overlap]):
-        at = _last_end(cur, len(cur) - overlap, len(cur))
-        head = cur[: at + 1].rstrip() if at is not None else ""
-        if at is None or len(head) < min_len:
-            return same
-        gone = cur[at + 1 :].strip()
-        found = nxt.find(gone)
-        return (head, nxt[found:].lstrip() if gone else nxt, "") if found >= 0 else same
-    tail = cur[max(0, len(cur) - back - overlap) :]
-    probe, offset, zone = tail + nxt[overlap : overlap + forward], len(cur) - len(tail), max(0, len(tail) - overlap)
-    at = _last_end(probe, zone, len(tail))
-    if at is not None:
-        head = cur[: offset + at + 1].rstrip()
-        if len(head) < min_len:
-            return same
-        cutoff = _last_end(nxt, 0, min(len(nxt), overlap))
-        return head, nxt if cutoff is None else nxt[cutoff + 1 :].lstrip(), ""
-    at = _last_end(probe, zone - back, zone)
-    if at is not None:
-        head = cur[: offset + at + 1].rstrip()
-        if len(head) < min_len:
-            return same
-        carry = cur[offset + at + 1 : max(0, len(cur) - overlap)].strip()
-        return head, f"{carry} {nxt}" if carry else nxt, carry
-    at = _last_end(probe, len(tail), len(probe))
-    if at is None:
-        return same
-    stop = overlap + at - len(tail) + 1
-    carry = nxt[:stop].strip()
-    joined = f"{cur.rstrip()} {carry}"
-    return (joined, nxt[stop:].lstrip(), carry) if carry and len(joined) >= min_len else same
+    moved = None
+    if cur and nxt and overlap > 0 and not (len(cur) >= overlap and nxt.startswith(cur[-overlap:])):
+        ends = [e + 1 for e in sentence_ends(cur) if e >= len(cur) - overlap]
+        gone = cur[ends[-1] :].strip() if ends else ""
+        if ends and gone in nxt:
+            moved = cur[: ends[-1]].rstrip(), nxt[nxt.index(gone) :].lstrip() if gone else nxt, ""
+    elif cur and nxt and (seam := _seam(cur, nxt, overlap, back, forward)):
+        zone, place = seam
+        left = len(cur) - overlap
+        if zone == 0:  # next loses the part of the overlap that stays with cur
+            own = [e + 1 for e in sentence_ends(nxt) if e < overlap]
+            moved = cur[:place].rstrip(), nxt[own[-1] :].lstrip() if own else nxt, ""
+        elif zone == 1:
+            carried = cur[place:left].strip()
+            moved = cur[:place].rstrip(), " ".join(filter(None, [carried, nxt])), carried
+        elif carried := nxt[: place - left].strip():
+            moved = f"{cur} {carried}", nxt[place - left :].lstrip(), carried
+    return moved if moved and len(moved[0]) >= min_len else (cur, nxt, "")
 
 
 def repair_boundaries(chunks: DataFrame, key: str = "doc_id", **options) -> DataFrame:

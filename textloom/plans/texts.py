@@ -246,7 +246,7 @@ QUERIES = {
     "clean_queries": Query(clean_queries, f"WITH p AS (SELECT doc_id, list_filter(list_transform(string_split_regex(text, '[.,\\n]'), lambda x: {s_strip('x')}), lambda x: x <> '') AS l FROM documents), e AS (SELECT doc_id, unnest(l) AS x, unnest(range(len(l))) AS i FROM p), f AS (SELECT doc_id, x, min(i) AS i FROM e GROUP BY ALL) SELECT doc_id, coalesce(parts, []) AS parts FROM p LEFT JOIN (SELECT doc_id, list(x ORDER BY i) AS parts FROM f GROUP BY ALL) USING (doc_id)"),
     "json_props": Query(json_props, "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events"),
     "jsonl_quarantine": Query(jsonl_quarantine, "SELECT count(*) FILTER (event_id % 50 > 2) AS rows, CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) FILTER (event_id % 50 > 2) AS BIGINT) AS sum_k, count(*) FILTER (event_id % 50 < 2) AS errors, CAST(max(CASE WHEN event_id % 50 = 0 THEN length(CAST(event_id AS VARCHAR)) + 2 ELSE 7 END) FILTER (event_id % 50 < 2) AS INTEGER) AS longest FROM events"),
-    "prompt_build": Query(prompt_build, f"""SELECT item_id, 'Task: generate 3 information-seeking queries that a user might ask to find the information in the passage.' || chr(10) || 'Diversify query types using these hints:' || chr(10) || '{HINTS}' || chr(10) || chr(10) || 'Passage:' || chr(10) || text AS prompt,
+    "prompt_build": Query(prompt_build, f"""SELECT item_id, 'Read the text below and write 3 information-seeking search queries that it answers, one on each line.' || chr(10) || 'Let them differ in these ways:' || chr(10) || '{HINTS}' || chr(10) || chr(10) || 'Text:' || chr(10) || text AS prompt,
         'Query:' || chr(10) || f || chr(10) || chr(10) || 'Documents:' || chr(10) || '0: ' || CASE WHEN length(f) > 60 THEN left(f, 60) || '...' ELSE f END || chr(10) || '1: short' AS classify
         FROM (SELECT item_id, text, replace({PARTS}, chr(10), ' ') AS f FROM benchmark)"""),
     "qa_validate": Query(qa_validate, f"SELECT doc_id, CASE WHEN doc_id % 10 = 0 OR contains(lower(t), 'not answerable') OR contains(lower(t), 'cannot be answered') THEN '' WHEN length(t) > 900 THEN {s_rstrip('left(t, 900)')} ELSE t END AS answer FROM (SELECT doc_id, {PARTS} AS t FROM documents)"),
