@@ -75,3 +75,26 @@ def test_no_link_is_lost(spark):
 
 def test_no_rows(spark):
     assert simhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_large_cells_are_divided(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    half = int(rng.integers(0, 2**32))
+    f = [int(x) << 32 | half for x in rng.integers(0, 2**31, 1500)]  # one cell, few links
+    f += [x ^ (1 << int(a)) ^ (1 << int(b)) ^ (1 << int(c)) for x in f[:200] for a, b, c in [rng.choice(63, 3, replace=False)]]
+    f += [int(x) for x in rng.integers(0, 2**63, 300)]
+    f = np.unique(np.array(f, np.uint64))
+    near = [np.flatnonzero(np.bitwise_count(f ^ x) <= 4) for x in f]
+    parent = np.arange(len(f))
+    for _ in range(len(f)):
+        new = np.array([parent[n].min() for n in near])
+        if (new == parent).all():
+            break
+        parent = new
+    assert len(set(parent.tolist())) < len(f)
+    for large in (4, 64, 256):
+        monkeypatch.setattr(simhash, "LARGE", large)
+        cell, who = simhash.cells(f)
+        x, root = simhash.links(cell, f[who], 4)
+        got = dict(zip(x, root))
+        assert [got.get(v, v) for v in f.tolist()] == f[parent].tolist()

@@ -25,9 +25,11 @@ def prepare(spark: SparkSession) -> None:
 
 
 def shared_base(spark: SparkSession) -> str:
-    """The shared folder named by the session in spark.checkpoint.dir; one of our own only where it is unset."""
+    """The shared folder named by the session in spark.checkpoint.dir; one of our own only where it is unset, on one machine."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = "file://" + os.path.join(tempfile.gettempdir(), "textloom-shared")
         spark.conf.set("spark.checkpoint.dir", base)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
@@ -58,6 +60,15 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop(df: DataFrame) -> None:
+    """Delete the table that cut() made for df, which nothing reads any more."""
+    spark = df.sparkSession
+    for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        if f"/textloom-{spark.sparkContext.applicationId}/" in path:
+            path = spark._jvm.org.apache.hadoop.fs.Path(path)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def text_key(text: Column) -> list[Column]:
     """128 bits that stand for a text (null: empty), as two long columns k1 and k2."""
     t = F.coalesce(text, F.lit(""))

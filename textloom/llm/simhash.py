@@ -7,8 +7,9 @@ Links (at most `radius` = 4 differing bits): a fingerprint is embedded as the bi
 two-bit segments.  The Manhattan distance of two embeddings is at most their Hamming distance, so
 one half of 16 segments is within 2, and some grid point lies within 1 of both there.  Each
 fingerprint enters the cells of its own half-vectors and of all their neighbours at distance 1;
-pairs that share a cell are candidates, verified on all 64 bits.  A cell gives a spanning forest of
-its links, never all its pairs.
+pairs that share a cell are candidates, verified on all 64 bits.  Large cells are divided again, by the
+cells of the quarters of the other half, one of which is within 2 as well.  A cell gives a spanning
+forest of its links, never all its pairs.
 
 Nulls are empty texts; equal texts are one fingerprint; a null doc_id can be nobody's component_id
 unless the whole component has none.
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.graph import components
+from textloom.llm.graph import components, hub_join
 from textloom.llm.shared import cut, parts, prepare, text_key
 
 RADIUS, LARGE = 4, 256
@@ -59,23 +60,36 @@ def fingerprints(docs: DataFrame, k: int = 4, text: str = "text") -> DataFrame:
     return docs.select(F.col(text).cast("string").alias(text), *kept).mapInArrow(run, schema)
 
 
+def _counts(f: np.ndarray) -> np.ndarray:
+    """Bit counts of two-bit segments."""
+    return f - ((f >> np.uint64(1)) & np.uint64(0x5555555555555555))
+
+
+def _around(v: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
+    """The points v of that many segments and all their neighbours at distance 1, and the index of the point of each."""
+    out, who = [v], [np.arange(len(v))]
+    for i in range(segments):
+        one = np.uint64(1 << (2 * i))
+        count = (v >> np.uint64(2 * i)) & np.uint64(3)
+        for ok, moved in ((count < 2, v + one), (count > 0, v - one)):
+            at = np.flatnonzero(ok)
+            out.append(moved[at])
+            who.append(at)
+    return np.concatenate(out), np.concatenate(who)
+
+
 def cells(f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The grid cells of fingerprints (uint64), and the index of the fingerprint of each."""
-    out, who = [], []
-    pairs = f - ((f >> np.uint64(1)) & np.uint64(0x5555555555555555))  # bit counts of two-bit segments
-    for half in (0, 1):
-        v = (pairs >> np.uint64(32 * half)) & np.uint64(0xFFFFFFFF)
-        tag = np.uint64(half << 32)
-        out.append(v | tag)
-        who.append(np.arange(len(f)))
-        for i in range(16):
-            one = np.uint64(1 << (2 * i))
-            count = (v >> np.uint64(2 * i)) & np.uint64(3)
-            for ok, moved in ((count < 2, v + one), (count > 0, v - one)):
-                at = np.flatnonzero(ok)
-                out.append(moved[at] | tag)
-                who.append(at)
-    return np.concatenate(out), np.concatenate(who)
+    counts = _counts(f)
+    found = [_around((counts >> np.uint64(32 * half)) & np.uint64(0xFFFFFFFF), 16) for half in (0, 1)]
+    return np.concatenate([v | np.uint64(half << 32) for half, (v, _) in enumerate(found)]), np.concatenate([who for _, who in found])
+
+
+def _divided(f: np.ndarray, half: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same by the quarters of the half that a cell doesn't stand for."""
+    other = _counts(f) >> np.uint64(32 * (1 - half))
+    found = [_around((other >> np.uint64(16 * quarter)) & np.uint64(0xFFFF), 8) for quarter in (0, 1)]
+    return np.concatenate([v | np.uint64(quarter << 16) for quarter, (v, _) in enumerate(found)]), np.concatenate([who for _, who in found])
 
 
 def _embed(batches):
@@ -116,8 +130,8 @@ def _group(f: np.ndarray, radius: int):
                 yield found, np.full(len(found), root)
 
 
-def links(cell: np.ndarray, f: np.ndarray, radius: int) -> tuple[list, list]:
-    """A spanning forest of the verified links within cells (rows in any order, repeats allowed)."""
+def _pairs(cell: np.ndarray, f: np.ndarray, radius: int, divide: bool = True):
+    """Links within cells (rows in any order, repeats allowed): all of small cells, enough to join those of large ones."""
     order = np.lexsort((f, cell))
     cell, f = cell[order], f[order]
     new = np.ones(len(f), bool)
@@ -125,20 +139,26 @@ def links(cell: np.ndarray, f: np.ndarray, radius: int) -> tuple[list, list]:
     cell, f = cell[new], f[new]
     edge = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1], [True]]))
     size = np.diff(edge)
-    a, b = [np.empty(0, np.uint64)], [np.empty(0, np.uint64)]
     for g in np.flatnonzero(size > LARGE):
-        for x, y in _group(f[edge[g] : edge[g + 1]], radius):
-            a.append(x)
-            b.append(y)
+        part = f[edge[g] : edge[g + 1]]
+        if divide:
+            sub, who = _divided(part, int(cell[edge[g]]) >> 32)
+            yield from _pairs(sub, part[who], radius, False)
+        else:
+            yield from _group(part, radius)
     last = np.repeat(edge[1:], size)
     at = np.flatnonzero(np.repeat(size <= LARGE, size))
     lag = 1
     while len(at := at[at + lag < last[at]]):
         near = at[np.bitwise_count(f[at] ^ f[at + lag]) <= radius]
-        a.append(f[near])
-        b.append(f[near + lag])
+        yield f[near], f[near + lag]
         lag += 1
-    return _forest(np.concatenate(a), np.concatenate(b))
+
+
+def links(cell: np.ndarray, f: np.ndarray, radius: int) -> tuple[list, list]:
+    """A spanning forest of the verified links within cells."""
+    none = np.empty(0, np.uint64)
+    return _forest(*(np.concatenate(x) for x in zip((none, none), *_pairs(cell, f, radius), strict=True)))
 
 
 def _link(radius: int):
@@ -157,7 +177,8 @@ def near(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
         raise ValueError("the cells find all links of radius 0 to 4")
     spark = distinct.sparkSession
     prepare(spark)
-    pairs = distinct.mapInArrow(_embed, "cell long, f long").repartition(4 * parts(spark), "cell").mapInArrow(_link(radius), "a long, b long")
+    # dealt anew: the few bytes of a fingerprint become dozens of rows
+    pairs = distinct.repartition(4 * parts(spark), *distinct.columns).mapInArrow(_embed, "cell long, f long").repartition(4 * parts(spark), "cell").mapInArrow(_link(radius), "a long, b long")
     return components(pairs)
 
 
@@ -168,7 +189,7 @@ def near_duplicates(docs: DataFrame, k: int = 4, radius: int = RADIUS) -> DataFr
     found = near(first.select("fingerprint"), radius).withColumnRenamed("node", "fingerprint")
     first = first.join(found, "fingerprint", "left").select("fingerprint", "first", F.coalesce("component", "fingerprint").alias("component"))
     least = first.groupBy("component").agg(F.min("first").alias("component_id"))
-    classes = first.join(least, "component").select("fingerprint", "component_id")
+    classes = hub_join(first, least, "component", "fingerprint").select("fingerprint", "component_id")
     return own.join(classes, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
