@@ -9,7 +9,7 @@ from textloom.llm.shared import cut, drop, parts
 
 
 def hub_join(rows: DataFrame, right: DataFrame, key: str, by: str, how: str = "inner") -> DataFrame:
-    """rows.join(right, key, how) for a right side of one row a key, where a key may hold very many of the rows.
+    """rows.join(right, key, how) for a right side of few rows a key, where a key may hold very many of the rows.
 
     A key's rows are dealt to as many places as there are partitions, by a hash of the column `by`; the
     right side goes only to the places that its key has."""

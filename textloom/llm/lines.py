@@ -1,18 +1,18 @@
 """Line dedup by pairwise alignment.
 
-A line is hashed without white space at its ends.  A pair of documents that share a line of `least`
-characters or more is aligned by patience diff (equal ends, then lines unique in both in their longest
-common order, then the gaps between them), and aligned runs that hold such a line are deleted from the
-later document (by doc_id, then text).  Alignment is on the documents as they came, not on what is left.
-
-dedup_all aligns with every earlier document that can change the result.  A run that deletes a line has
-it whole, and if it is short also all lines to the nearest long one before or after it: these stretches
-are its keys, and only holders of a key of a line not yet deleted are aligned, earliest first, in rounds
-of twice as many.  A document with the lines of an earlier one is aligned with the first of them alone.
-A line of m documents that is never deleted is tried against all its earlier holders.
-
-dedup_lines is the first of these rounds on long lines alone: each line's first document is the partner
-of all others that hold it, m - 1 pairs for a line of m documents.
+A line is told apart by 96 bits of hashes, without white space at its ends.  A pair of documents that
+share a line of `least` characters or more (a long line) is aligned by patience diff (equal ends, then
+lines unique in both in their longest common order, then the gaps between them), and aligned runs that
+hold a long line are deleted from the later document (by doc_id, then text).  Alignment is on the
+documents as they came, not on what is left.
+
+Every earlier document that can change the result is a partner.  A run that deletes a line has it whole,
+and if it is short also all lines to the nearest long one before or after it: these stretches are its
+keys.  Rare keys come first: only holders of a key of a line not yet deleted are aligned, earliest first,
+in rounds of twice as many, so that a key of few documents is done in a round or two, while a frequent one
+is carried on only for lines that its earliest holders left.  A document with the lines of an earlier one
+is aligned with the first of them alone.  A key's documents are ranked and joined in pieces, so a line
+that very many documents hold is no group in one task.
 
 Nulls are empty texts.  Rows equal in doc_id and text are one document; other rows of one doc_id are
 ordered by a hash of the text.  A null doc_id comes first.  A document may be left with no text.
@@ -28,7 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from textloom.llm.shared import cut, prepare
+from textloom.llm.graph import hub_join
+from textloom.llm.shared import cut, parts, prepare
 
 LEAST = 20
 FIRST = -(2**63)
@@ -88,12 +89,12 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
 
 
 def _delete(batches):
-    """For pairs (d, k of the later document; hashes of both; which of the later's lines are long): the later's places to delete."""
+    """For pairs (d, k of the later document; h and g of the first, of the later; which of its lines are long): the later's places to delete."""
     for batch in batches:
         out = []
-        for first, later, long in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
+        for h1, g1, h2, g2, long in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4, 5, 6)), strict=True):
             gone, run = [], []
-            for i, j in [*patience(first, later), (-2, -2)]:
+            for i, j in [*patience(list(zip(h1, g1, strict=True)), list(zip(h2, g2, strict=True))), (-2, -2)]:
                 if run and (i != run[-1][0] + 1 or j != run[-1][1] + 1):
                     if any(long[y] for _, y in run):
                         gone += [y for _, y in run]
@@ -156,12 +157,12 @@ def _keys(batches):
 
 
 def _hashed(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
-    """The rows by d and k, and (d, k, h: hashes of the lines, long: which are) from disk."""
+    """The rows by d and k, and (d, k, h, g: hashes of the lines, long: which are) from disk."""
     prepare(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     own = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST)).alias("d"), F.xxhash64(text).alias("k"))
     trimmed = F.transform(F.split(_body(), "\n", -1), lambda x: F.regexp_replace(x, r"^[ \t\r\f\x0B]+|[ \t\r\f\x0B]+$", ""))
-    hashed = own.select("d", "k", trimmed.alias("lines")).select("d", "k", F.transform("lines", lambda x: F.xxhash64(x)).alias("h"), F.transform("lines", lambda x: F.length(x) >= least).alias("long"))
+    hashed = own.select("d", "k", trimmed.alias("lines")).select("d", "k", F.transform("lines", lambda x: F.xxhash64(x)).alias("h"), F.transform("lines", lambda x: F.hash(x)).alias("g"), F.transform("lines", lambda x: F.length(x) >= least).alias("long"))
     return own, cut(hashed, "lines")
 
 
@@ -170,9 +171,23 @@ def _body():
 
 
 def _align(pairs: DataFrame, distinct: DataFrame) -> DataFrame:
-    """(d, k, gone) of each pair (d, k, fd, fk)."""
-    sides = pairs.join(distinct.select(F.col("d").alias("fd"), F.col("k").alias("fk"), F.col("h").alias("first")), ["fd", "fk"]).join(distinct, ["d", "k"])
-    return sides.select("d", "k", "first", "h", "long").mapInArrow(_delete, "d long, k long, gone array<int>")
+    """(d, k, gone) of each pair (d, k, fd, fk); a first document of many pairs goes to many places."""
+    first = distinct.select(F.struct(F.col("d").alias("fd"), F.col("k").alias("fk")).alias("first"), F.col("h").alias("fh"), F.col("g").alias("fg"))
+    sides = hub_join(pairs.select("d", "k", F.struct("fd", "fk").alias("first")), first, "first", "k").join(distinct, ["d", "k"])
+    return sides.select("d", "k", "fh", "fg", "h", "g", "long").mapInArrow(_delete, "d long, k long, gone array<int>")
+
+
+def _ranked(keys: DataFrame) -> DataFrame:
+    """keys (d, k, key, ys) of at least two documents, with rank from 1 in order of (d, k).
+
+    Documents are cut into ranges; a key is counted in each of them and ranked within them."""
+    totals = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    dealt = hub_join(keys, totals, "key", "k").repartitionByRange(4 * parts(keys.sparkSession), "d", "k")
+    dealt = cut(dealt.withColumn("range", F.spark_partition_id()), "line-ranges")
+    sizes = dealt.groupBy("key", "range").agg(F.count("*").alias("size"))
+    before = sizes.select("key", "range", F.coalesce(F.sum("size").over(Window.partitionBy("key").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))  # a row for each range at most
+    own = F.row_number().over(Window.partitionBy("key", "range").orderBy("d", "k"))
+    return dealt.withColumn("own", own).join(before, ["key", "range"]).select("d", "k", "key", "ys", (F.col("own") + F.col("before")).alias("rank"))
 
 
 def _kept(own: DataFrame, gone: DataFrame) -> DataFrame:
@@ -183,30 +198,19 @@ def _kept(own: DataFrame, gone: DataFrame) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """(row: the given columns; kept: the text without deleted lines; n_lines; n_removed; n_partners), by first holders alone."""
-    own, hashed = _hashed(docs, least)
-    each = hashed.select("d", "k", F.explode(F.array_distinct(F.filter(F.transform(F.arrays_zip("h", "long"), lambda x: F.when(x["long"], x["h"])), lambda x: x.isNotNull()))).alias("h"))
-    first = each.groupBy("h").agg(F.min(F.struct("d", "k")).alias("first"), F.max(F.struct("d", "k")).alias("last")).filter("first <> last").select("h", F.col("first.d").alias("fd"), F.col("first.k").alias("fk"))
-    pairs = each.join(first, "h").filter("d <> fd or k <> fk").select("d", "k", "fd", "fk").distinct()
-    return _kept(own, _align(pairs, hashed.dropDuplicates(["d", "k"])))
-
-
-def dedup_all(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """The columns of dedup_lines, by all earlier documents that share a long line; n_partners counts those aligned."""
+    """(row: the given columns; kept: the text without deleted lines; n_lines; n_removed; n_partners: documents it was aligned with)."""
     own, hashed = _hashed(docs, least)
     distinct = hashed.dropDuplicates(["d", "k"])
-    same = hashed.filter(F.exists("long", lambda x: x)).select("d", "k", F.xxhash64("h").alias("c1"), F.xxhash64(F.lit("#"), "h").alias("c2"), F.size("h").alias("n")).distinct()
+    same = hashed.filter(F.exists("long", lambda x: x)).select("d", "k", F.xxhash64("h", "g").alias("c1"), F.xxhash64(F.lit("#"), "h", "g").alias("c2"), F.size("h").alias("n")).distinct()
     head = same.groupBy("c1", "c2").agg(F.min(F.struct("d", "k")).alias("head"))
-    copies = cut(same.join(head, ["c1", "c2"]).filter(F.struct("d", "k") != F.col("head")).select("d", "k", "n"), "line-copies")
-    rest = hashed.filter(F.exists("long", lambda x: x)).join(copies, ["d", "k"], "left_anti")
+    copies = cut(hub_join(same.select(F.struct("c1", "c2").alias("c"), "d", "k", "n"), head.select(F.struct("c1", "c2").alias("c"), "head"), "c", "k").filter(F.struct("d", "k") != F.col("head")).select("d", "k", "n"), "line-copies")
+    rest = hashed.filter(F.exists("long", lambda x: x)).join(copies, ["d", "k"], "left_anti").select("d", "k", "h", "long")
     keys = rest.mapInArrow(_keys, "d long, k long, key long, ys array<int>").dropDuplicates(["d", "k", "key"])
-    rank = F.row_number().over(Window.partitionBy("key").orderBy("d", "k"))
-    held = keys.withColumn("rank", rank).withColumn("n", F.count("*").over(Window.partitionBy("key"))).filter("n > 1").drop("n")
-    held = cut(held, "line-keys")
+    held = cut(_ranked(keys), "line-keys")
     need, tried, found, low, high = held.filter("rank > 1"), None, [], 1, 1
     while True:
         holders = held.filter(F.col("rank").between(low, high)).select("key", F.col("d").alias("fd"), F.col("k").alias("fk"), F.col("rank").alias("before"))
-        pairs = need.join(holders, "key").filter("before < rank").select("d", "k", "fd", "fk").distinct()
+        pairs = hub_join(need, holders, "key", "k").filter("before < rank").select("d", "k", "fd", "fk").distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["d", "k", "fd", "fk"], "left_anti")
         pairs = cut(pairs, "line-pairs")
@@ -227,5 +231,5 @@ def dedup_all(docs: DataFrame, least: int = LEAST) -> DataFrame:
 
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    out = dedup_all(docs)
+    out = dedup_lines(docs)
     return out.select("row.doc_id", "n_lines", F.col("n_removed").alias("n_removed_lines"), "n_partners", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
