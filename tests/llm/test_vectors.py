@@ -3,7 +3,7 @@ import numpy as np
 from textloom.llm import vectors
 
 
-def brute(rows, least=0.98):
+def brute(rows, least=0.98, kind=np.float64):
     def ok(e, label):
         return label is not None and e is not None and len(e) > 0 and all(x is not None and np.isfinite(x) for x in e) and any(e)
 
@@ -15,7 +15,7 @@ def brute(rows, least=0.98):
             x = parent[x]
         return x
 
-    good = [(i, np.array(np.array(e, np.float32), float), y) for i, e, y in rows if ok(e, y)]
+    good = [(i, np.array(np.array(e, kind), float), y) for i, e, y in rows if ok(e, y)]
     for a, (i, x, y) in enumerate(good):
         for j, z, w in good[:a]:
             if y == w and len(x) == len(z) and x @ z / np.linalg.norm(x) / np.linalg.norm(z) >= least:
@@ -44,6 +44,16 @@ def test_against_brute_force(spark):
     for block in (7, 1024):
         got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vectors.near_duplicates(df, block=block).collect()}
         assert got == brute(rows)
+    few = df.withColumn("embedding", df.embedding.cast("array<float>"))
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vectors.near_duplicates(few, block=30).collect()}
+    assert got == brute(rows, kind=np.float32)
+
+
+def test_the_limit_in_double_precision(spark):
+    at = lambda c: [c, float(np.sqrt(1 - c * c))]
+    rows = [(0, [1.0, 0.0], 0), (1, at(0.98 + 1e-12), 0), (2, [1.0, 0.0], 1), (3, at(0.98 - 1e-12), 1), (4, [3.0, 4.0], 2), (5, [3.0, 4.0], 2)]
+    got = {r.vec_id: r.n_links for r in vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert got == {0: 1, 1: 1, 2: 0, 3: 0, 4: 1, 5: 1}
 
 
 def test_hot_vector_and_chain(spark):

@@ -2,13 +2,15 @@
 
 Cosine >= c of unit vectors is a distance of at most eps = sqrt(2 - 2c), and projections are no
 farther apart than vectors.  Vectors are sorted by label and by their cells (width eps) on the
-leading principal directions, cut into blocks, and blocks whose intervals may come within eps are
-joined recursively: sequences split in halves, halves that are provably distant are skipped, leaves
-are compared in double precision.
+leading principal directions and cut into blocks.  Blocks meet by their cells on the first two
+directions, if their intervals on all of them may come within eps; such pairs are dealt by groups of
+consecutive blocks, so that a block is sent once for a pair of groups.  Two blocks are joined
+recursively: sequences split in halves, halves that are provably distant are skipped, leaves are
+compared in double precision.  Embeddings of doubles stay doubles.
 
 A vector that is null, zero, or holds null or non-finite components links with nothing, nor does
-one without a label; vectors of other lengths never meet.  Equal vectors of a label are one item
-with a count.  A block pair gives counts and a spanning forest, never its pairs.
+one without a label; vectors of other lengths never meet.  Equal vectors of a label (by 128 bits of
+hashes) are one item with a count.  A block pair gives counts and a spanning forest, never its pairs.
 """
 
 from __future__ import annotations
@@ -20,20 +22,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.graph import components
+from textloom.llm.graph import components, hub_join
 from textloom.llm.shared import cut, parts, prepare
 
-DIRECTIONS, BLOCK, LEAF = 4, 1024, 64
+DIRECTIONS, BLOCK, LEAF, GROUP = 4, 1024, 64, 8
 SLACK = 1e-9
 
 
+def _unit(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     """Rows as unit vectors in double precision; shorter ones are filled with zeros."""
-    rows = [np.asarray(x, np.float64) for x in column.to_pylist()]
-    out = np.zeros((len(rows), max(map(len, rows), default=0)))
-    for i, r in enumerate(rows):
-        out[i, : len(r)] = r / np.abs(r).max()
-    return out / np.linalg.norm(out, axis=1, keepdims=True) if len(rows) else out
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    size = column.value_lengths().to_numpy(zero_copy_only=False)
+    out = np.zeros((len(size), size.max(initial=0)))
+    out[np.arange(out.shape[1]) < size[:, None]] = column.flatten().to_numpy(zero_copy_only=False)
+    return _unit(out) if len(size) else out
 
 
 def _moments(batches):
@@ -89,13 +97,13 @@ def _project(axes: np.ndarray, eps: float):
     return run
 
 
-def _blocks(axes: np.ndarray, size: int):
+def _blocks(axes: np.ndarray, size: int, dtype: str):
     """Consecutive items of one label and length, at most `size`, as one row."""
 
     def pack(table):
-        x = _matrix(table.column("v").combine_chunks())
+        x = _matrix(table.column("v"))
         p = x @ axes[: x.shape[1]]
-        v = pa.array([np.asarray(table.column("v").combine_chunks().flatten(), np.float32).tobytes()], pa.binary())
+        v = pa.array([np.asarray(table.column("v").combine_chunks().flatten(), dtype).tobytes()], pa.binary())
         return pa.RecordBatch.from_arrays(
             [pa.array([table.column("label")[0].as_py()], pa.int64()), pa.array([x.shape[1]], pa.int32()), pa.array([table.column("item")[0].as_py()], pa.int64()), pa.array([p.min(0).tolist()], pa.list_(pa.float64())), pa.array([p.max(0).tolist()], pa.list_(pa.float64())), pa.array([np.asarray(table.column("item"), np.int64).tobytes()], pa.binary()), pa.array([np.asarray(table.column("n"), np.int64).tobytes()], pa.binary()), v],
             ["label", "len", "block", "lo", "hi", "items", "counts", "vectors"],
@@ -137,40 +145,49 @@ def _join(a: np.ndarray, b: np.ndarray, pa_: np.ndarray, pb: np.ndarray, ia: np.
                 yield from _join(a, b, pa_, pb, x, y, eps, least, same and m == n)
 
 
-def _compare(axes: np.ndarray, eps: float, least: float):
-    """For a pair of blocks: n links to add to each item, and a spanning forest of the links."""
+def _pair(a: dict, b: dict, same: bool, eps: float, least: float):
+    """For a pair of blocks: (item, root, links to add to it) of a spanning forest of the links."""
+    links = [np.zeros(len(x["items"]), np.int64) for x in (a, b)]
+    label = [np.arange(len(links[0])), np.arange(len(links[0]), len(links[0]) + len(links[1]))]
+    if same:
+        label[1] = label[0]
+    parent = np.arange(len(links[0]) + len(links[1]))
+    for i, j in _join(a["x"], b["x"], a["p"], b["p"], *(np.arange(len(v)) for v in links), eps, least, same):
+        np.add.at(links[0], i, b["counts"][j])
+        np.add.at(links[0 if same else 1], j, a["counts"][i])
+        s, t = label[0][i], label[1][j]
+        while True:  # the least root of both ends, until all links are within a tree
+            u, v = parent[s], parent[t]
+            if (u == v).all():
+                break
+            np.minimum.at(parent, np.maximum(u, v), np.minimum(u, v))
+            while (parent[parent] != parent).any():
+                parent = parent[parent]
+    name = np.concatenate([a["items"], b["items"]])
+    for side, x in ((0, a),) if same else ((0, a), (1, b)):
+        at = np.flatnonzero(links[side])
+        if len(at):
+            yield pa.RecordBatch.from_arrays([pa.array(x["items"][at]), pa.array(name[parent[label[side][at]]]), pa.array(links[side][at])], ["item", "root", "links"])
+
+
+def _compare(axes: np.ndarray, eps: float, least: float, dtype: str):
+    """From rows sorted by (ga, gb), a pair of groups: first its blocks, then its pairs of blocks (a, b)."""
+
+    def block(r: dict) -> dict:
+        x = _unit(np.frombuffer(r["vectors"], dtype).astype(np.float64).reshape(-1, r["len"]))
+        return {"items": np.frombuffer(r["items"], np.int64), "counts": np.frombuffer(r["counts"], np.int64), "x": x, "p": x @ axes[: x.shape[1]]}
 
     def run(batches):
+        now, held = None, {}
         for batch in batches:
-            for r in batch.to_pylist():
-                ids = [np.frombuffer(r[k], np.int64) for k in ("ia", "ib")]
-                n = [np.frombuffer(r[k], np.int64) for k in ("na", "nb")]
-                x = [np.frombuffer(r[k], np.float32).astype(np.float64).reshape(-1, r["len"]) for k in ("va", "vb")]
-                x = [v / np.abs(v).max(1, keepdims=True) for v in x]
-                x = [v / np.linalg.norm(v, axis=1, keepdims=True) for v in x]
-                p = [v @ axes[: v.shape[1]] for v in x]
-                same = r["a"] == r["b"]
-                links = [np.zeros(len(i), np.int64) for i in ids]
-                label = [np.arange(len(ids[0])), np.arange(len(ids[0]), len(ids[0]) + len(ids[1]))]
-                if same:
-                    label[1] = label[0]
-                parent = np.arange(len(ids[0]) + len(ids[1]))
-                for i, j in _join(*x, *p, *(np.arange(len(v)) for v in ids), eps, least, same):
-                    np.add.at(links[0], i, n[1][j])
-                    np.add.at(links[0 if same else 1], j, n[0][i])
-                    s, t = label[0][i], label[1][j]
-                    while True:  # the least root of both ends, until all links are within a tree
-                        u, v = parent[s], parent[t]
-                        if (u == v).all():
-                            break
-                        np.minimum.at(parent, np.maximum(u, v), np.minimum(u, v))
-                        while (parent[parent] != parent).any():
-                            parent = parent[parent]
-                name = np.concatenate(ids)
-                for side in (0,) if same else (0, 1):
-                    at = np.flatnonzero(links[side])
-                    if len(at):
-                        yield pa.RecordBatch.from_arrays([pa.array(ids[side][at]), pa.array(name[parent[label[side][at]]]), pa.array(links[side][at])], ["item", "root", "links"])
+            for i in range(batch.num_rows):
+                r = batch.slice(i, 1).to_pylist()[0]
+                if (r["ga"], r["gb"]) != now:
+                    now, held = (r["ga"], r["gb"]), {}
+                if r["vectors"] is not None:
+                    held[r["a"]] = block(r)
+                else:
+                    yield from _pair(held[r["a"]], held[r["b"]], r["a"] == r["b"], eps, least)
 
     return run
 
@@ -182,36 +199,50 @@ def near_duplicates(rows: DataFrame, cosine: float = 0.98, block: int = BLOCK) -
     spark = rows.sparkSession
     prepare(spark)
     p, eps, least = parts(spark), math.sqrt(2 - 2 * cosine) + SLACK, cosine
-    e = F.col("embedding").cast("array<float>")
+    kind = "array<float>" if rows.schema["embedding"].dataType.simpleString() == "array<float>" else "array<double>"
+    dtype = "<f4" if kind == "array<float>" else "<f8"
+    e = F.col("embedding").cast(kind)
     fine = (F.size(e) > 0) & F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(e, lambda x: x != 0)
     ok = F.coalesce(F.col("label").isNotNull() & fine, F.lit(False))
-    own = rows.select(F.col("vec_id").cast("long"), e.alias("v"), F.col("label").cast("long").alias("label"), F.when(ok, F.xxhash64("label", e)).alias("item"))
-    items = own.filter("item is not null").groupBy("item").agg(F.first("v").alias("v"), F.first("label").alias("label"), F.count("*").alias("n"), F.min("vec_id").alias("first"))
-    items = cut(items.withColumn("len", F.size("v")), "vectors")
+    keys = [F.when(ok, F.xxhash64(F.lit(i), "label", e)).alias(k) for i, k in enumerate(("k1", "k2"))]
+    own = rows.select(F.col("vec_id").cast("long"), e.alias("v"), F.col("label").cast("long").alias("label"), *keys)
+    items = own.filter("k1 is not null").groupBy("k1", "k2").agg(F.first("v").alias("v"), F.first("label").alias("label"), F.count("*").alias("n"), F.min("vec_id").alias("first"))
+    items = cut(items.withColumn("item", F.monotonically_increasing_id()).withColumn("len", F.size("v")), "vectors")
     axes = directions(items)
     g = [f"g{i}" for i in range(DIRECTIONS)]
     ordered = (
         items.select("label", "len", "item", "n", "v")
-        .mapInArrow(_project(axes, eps), "label long, len int, item long, n long, v array<float>, " + ", ".join(f"{c} int" for c in g))
+        .mapInArrow(_project(axes, eps), f"label long, len int, item long, n long, v {kind}, " + ", ".join(f"{c} int" for c in g))
         .repartitionByRange(max(1, p), "label", "len", *g, "item")
         .sortWithinPartitions("label", "len", *g, "item")
     )
-    blocks = cut(ordered.select("label", "len", "item", "n", "v").mapInArrow(_blocks(axes, block), "label long, len int, block long, lo array<double>, hi array<double>, items binary, counts binary, vectors binary"), "vector-blocks")
-    near = lambda x: x.select("label", "len", "block", "lo", "hi", F.explode(F.sequence(F.floor(F.col("lo")[0] / eps) - 1, F.floor(F.col("hi")[0] / eps) + 1)).alias("cell"))
-    x, y = near(blocks).alias("x"), near(blocks).alias("y")
-    apart = [(F.col("x.lo")[i] - F.col("y.hi")[i] <= eps) & (F.col("y.lo")[i] - F.col("x.hi")[i] <= eps) for i in range(DIRECTIONS)]
-    at = (F.col("x.label") == F.col("y.label")) & (F.col("x.len") == F.col("y.len")) & (F.col("x.cell") == F.col("y.cell")) & (F.col("x.block") <= F.col("y.block"))
-    for c in apart:
-        at &= c
-    pairs = x.join(y, at).select(F.col("x.block").alias("a"), F.col("y.block").alias("b")).distinct()
-    side = lambda k: blocks.select(F.col("block").alias(k), F.col("items").alias(f"i{k}"), F.col("counts").alias(f"n{k}"), F.col("vectors").alias(f"v{k}"), *([F.col("len")] if k == "a" else []))
-    found = cut(pairs.join(side("a"), "a").join(side("b"), "b").repartition(4 * p, "a", "b").mapInArrow(_compare(axes, eps, least), "item long, root long, links long"), "vector-links")
+    blocks = ordered.select("label", "len", "item", "n", "v").mapInArrow(_blocks(axes, block, dtype), "label long, len int, block long, lo array<double>, hi array<double>, items binary, counts binary, vectors binary")
+    blocks = cut(blocks.withColumn("seq", F.floor(F.monotonically_increasing_id() / GROUP)), "vector-blocks")  # consecutive blocks share a group
+
+    def cells(more: int) -> DataFrame:
+        """Blocks by the cells of their intervals on two directions, and `more` around."""
+        one = lambda i: F.explode(F.sequence(F.floor(F.col("lo")[i] / eps) - more, F.floor(F.col("hi")[i] / eps) + more))
+        return blocks.select("label", "len", "block", "seq", "lo", "hi", one(0).alias("c0")).select("*", one(1).alias("c1"))
+
+    x, y = cells(0).alias("x"), cells(1).alias("y")
+    at = F.col("x.block") <= F.col("y.block")
+    for c in ("label", "len", "c0", "c1"):
+        at &= F.col(f"x.{c}") == F.col(f"y.{c}")
+    for i in range(DIRECTIONS):
+        at &= (F.col("x.lo")[i] - F.col("y.hi")[i] <= eps) & (F.col("y.lo")[i] - F.col("x.hi")[i] <= eps)
+    near = x.join(y, at).select(F.col("x.block").alias("a"), F.col("y.block").alias("b"), F.col("x.seq").alias("s"), F.col("y.seq").alias("t")).distinct()
+    near = cut(near.select("a", "b", F.least("s", "t").alias("ga"), F.greatest("s", "t").alias("gb")), "vector-pairs")
+    sent = near.select("ga", "gb", F.explode(F.array("a", "b")).alias("a")).distinct()
+    sent = sent.join(blocks.select(F.col("block").alias("a"), "len", "items", "counts", "vectors"), "a").select("ga", "gb", "a", F.lit(None).cast("long").alias("b"), "len", "items", "counts", "vectors")
+    told = near.select("ga", "gb", "a", "b", *(F.lit(None).cast(t).alias(c) for c, t in (("len", "int"), ("items", "binary"), ("counts", "binary"), ("vectors", "binary"))))
+    dealt = sent.unionByName(told).repartition(4 * p, "ga", "gb").sortWithinPartitions("ga", "gb", F.col("b").asc_nulls_first(), "a")
+    found = cut(dealt.mapInArrow(_compare(axes, eps, least, dtype), "item long, root long, links long"), "vector-links")
     comps = components(found.select(F.col("item").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "item")
     sums = found.groupBy("item").agg(F.sum("links").alias("links"))
-    classes = items.select("item", "n", "first").join(sums, "item", "left").join(comps, "item", "left").withColumn("component", F.coalesce("component", "item"))
+    classes = items.select("k1", "k2", "item", "n", "first").join(sums, "item", "left").join(comps, "item", "left").withColumn("component", F.coalesce("component", "item"))
     ids = classes.groupBy("component").agg(F.min("first").alias("component_id"))
-    classes = classes.join(ids, "component").select("item", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id")
-    out = own.select("vec_id", "item").join(classes, "item", "left")
+    classes = hub_join(classes, ids, "component", "item").select("k1", "k2", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id")
+    out = own.select("vec_id", "k1", "k2").join(classes, ["k1", "k2"], "left")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"), F.coalesce(F.col("vec_id") == F.coalesce("component_id", "vec_id"), F.lit(True)).alias("kept"))
 
 
