@@ -157,13 +157,13 @@ def _keys(batches):
 
 
 def _hashed(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
-    """The rows by d and k, and (d, k, h, g: hashes of the lines, long: which are) from disk."""
+    """The rows by d and k, and (d, k, h, g: hashes of the lines, long: which are) of each document once, from disk."""
     prepare(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     own = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST)).alias("d"), F.xxhash64(text).alias("k"))
     trimmed = F.transform(F.split(_body(), "\n", -1), lambda x: F.regexp_replace(x, r"^[ \t\r\f\x0B]+|[ \t\r\f\x0B]+$", ""))
     hashed = own.select("d", "k", trimmed.alias("lines")).select("d", "k", F.transform("lines", lambda x: F.xxhash64(x)).alias("h"), F.transform("lines", lambda x: F.hash(x)).alias("g"), F.transform("lines", lambda x: F.length(x) >= least).alias("long"))
-    return own, cut(hashed, "lines")
+    return own, cut(hashed.dropDuplicates(["d", "k"]), "lines")
 
 
 def _body():
@@ -200,12 +200,11 @@ def _kept(own: DataFrame, gone: DataFrame) -> DataFrame:
 def dedup_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """(row: the given columns; kept: the text without deleted lines; n_lines; n_removed; n_partners: documents it was aligned with)."""
     own, hashed = _hashed(docs, least)
-    distinct = hashed.dropDuplicates(["d", "k"])
-    same = hashed.filter(F.exists("long", lambda x: x)).select("d", "k", F.xxhash64("h", "g").alias("c1"), F.xxhash64(F.lit("#"), "h", "g").alias("c2"), F.size("h").alias("n")).distinct()
+    same = hashed.filter(F.exists("long", lambda x: x)).select("d", "k", F.xxhash64("h", "g").alias("c1"), F.xxhash64(F.lit("#"), "h", "g").alias("c2"), F.size("h").alias("n"))
     head = same.groupBy("c1", "c2").agg(F.min(F.struct("d", "k")).alias("head"))
     copies = cut(hub_join(same.select(F.struct("c1", "c2").alias("c"), "d", "k", "n"), head.select(F.struct("c1", "c2").alias("c"), "head"), "c", "k").filter(F.struct("d", "k") != F.col("head")).select("d", "k", "n"), "line-copies")
     rest = hashed.filter(F.exists("long", lambda x: x)).join(copies, ["d", "k"], "left_anti").select("d", "k", "h", "long")
-    keys = rest.mapInArrow(_keys, "d long, k long, key long, ys array<int>").dropDuplicates(["d", "k", "key"])
+    keys = rest.mapInArrow(_keys, "d long, k long, key long, ys array<int>")
     held = cut(_ranked(keys), "line-keys")
     need, tried, found, low, high = held.filter("rank > 1"), None, [], 1, 1
     while True:
@@ -215,7 +214,7 @@ def dedup_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
             pairs = pairs.join(tried, ["d", "k", "fd", "fk"], "left_anti")
         pairs = cut(pairs, "line-pairs")
         tried = pairs if tried is None else tried.unionByName(pairs)
-        found.append(cut(_align(pairs, distinct), "line-gone"))
+        found.append(cut(_align(pairs, hashed), "line-gone"))
         gone = found[-1].filter(F.size("gone") > 0).groupBy("d", "k").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
         left = need.filter(F.col("rank") > high + 1).join(gone, ["d", "k"], "left")
         left = left.select("key", "d", "k", F.when(F.col("gone").isNull(), F.col("ys")).otherwise(F.array_except("ys", "gone")).alias("ys"), "rank").filter(F.size("ys") > 0)

@@ -114,12 +114,12 @@ class Index:
         self.doc, self.w = row[order].astype(np.int32), w[order]
         self.offset = np.searchsorted(col[order], np.arange(n_terms + 1)).astype(np.int32)
 
-    def nearest(self, row: np.ndarray, col: np.ndarray, w: np.ndarray, texts: int, k: int, but: np.ndarray | None = None):
+    def nearest(self, row: np.ndarray, col: np.ndarray, w: np.ndarray, texts: int, k: int, but: np.ndarray | None = None, batch: int = BATCH):
         """(text, example, cosine) of the k examples of largest positive cosine of each text, nearest first.
         but: an example that a text must not find."""
         out = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
-        for a in range(0, texts, BATCH):
-            b = min(texts, a + BATCH)
+        for a in range(0, texts, batch):
+            b = min(texts, a + batch)
             s, e = np.searchsorted(row, [a, b])
             if s < e:
                 t, x, c = self._batch(row[s:e] - a, col[s:e], w[s:e], b - a, k, None if but is None else but[a:b])
@@ -258,7 +258,7 @@ def _examples(batches):
             for _, word, n, terms in bags(texts.slice(i, 1)):
                 has = terms[word] != 0
                 keys, tf = W.tally(terms[word][has], np.broadcast_to(n[:, None], has.shape)[has])
-            out.append((np.unique(x).tobytes(), keys.tobytes(), tf.tobytes()))
+            out.append((np.unique(x).tobytes(), keys.tobytes(), tf.astype(np.int32).tobytes()))
         blobs = [pa.array([r[j] for r in out], pa.binary()) for j in range(3)]
         yield pa.RecordBatch.from_arrays([*(batch.column(j) for j in range(4)), *blobs], ["k1", "k2", "doc_id", "y", "shingles", "terms", "tf"])
 
@@ -324,15 +324,16 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, k: int =
     of = [np.frombuffer(r["terms"], W.U) for r in rows]
     keys, col = np.unique(np.concatenate(of), return_inverse=True)
     row = np.repeat(np.arange(len(rows)), [len(x) for x in of])
-    tf = np.concatenate([np.frombuffer(r["tf"], np.int64) for r in rows])
+    tf = np.concatenate([np.frombuffer(r["tf"], np.int32) for r in rows])
+    del rows, of
     total, df = frequencies(docs, keys)
-    speaks = marks(np.bincount(col, minlength=len(keys)), np.bincount(col, y[row], len(keys)), have[1] / len(rows))
+    speaks = marks(np.bincount(col, minlength=len(keys)), np.bincount(col, y[row], len(keys)), have[1] / len(ids))
     terms = Terms(keys, np.log((1 + total) / (1 + df)) * (1 + speaks))
     row, col, w = terms.unit(row, col, tf)
-    index = Index(len(rows), len(keys), row, col, w)
+    index = Index(len(ids), len(keys), row, col, w)
     order = np.lexsort((col, row))
-    got = index.nearest(row[order], col[order], w[order], len(rows), k, np.arange(len(rows)))
-    vote = votes(*got, y, len(rows))
+    got = index.nearest(row[order], col[order], w[order], len(ids), k, np.arange(len(ids)), 32)
+    vote = votes(*got, y, len(ids))
     share = [counts[c] / have[c] for c in (0, 1)]
     weight = share[1] * y + share[0] * (1 - y)
     ok = vote >= 0
