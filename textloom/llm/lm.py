@@ -12,7 +12,7 @@ Definitions (D are the discounts of Chen and Goodman, from the counts of counts)
 An unseen u backs off to p1; V distinct training tokens and one class for unknown words.
 
 Nulls and empty texts are documents of the END token alone.  Repeated rows count each time.
-An empty training set gives the uniform model 1/(V+1) with V = 0.
+More than 2^32 - 2 distinct words raise ValueError.  An empty training set gives the uniform model 1/(V+1) with V = 0.
 """
 
 from __future__ import annotations
@@ -313,6 +313,8 @@ def fit(texts: DataFrame, text: str = "text", path: str | None = None) -> dict:
         starts[r.shard + 1] = r.n
     starts = np.cumsum(starts)
     v, n = int(starts[-1]), sum(r.total for r in sizes)
+    if v + 2 > 1 << 32:
+        raise ValueError(f"{v} distinct words: ids of words have 32 bits")
     docs = _end_count(path, bits, starts)
     step = max(1024, -(-(v + 2) // max(8, p // 8)))
     stats = (

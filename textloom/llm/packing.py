@@ -5,8 +5,8 @@ the first of which may be shorter; a piece of full length is a sequence of its o
 dealt at random to groups of a bounded size.  In a group they are placed best fit decreasing, then
 local search works on the bins with room: a document of the emptiest bin moves to a fuller one, or is
 exchanged one-for-one or two-for-one against smaller ones there, each step increasing the sum of
-squared fills, until the bin is empty or no step is left.  Full bins are done; the rest of all groups
-are dealt anew, until they fit one group or a round no longer closes a tenth of the pieces.
+squared fills, until the bin is empty or no step is left for any bin.  Full bins are done; the rest of all
+groups are dealt anew, until they fit one group or a round saves no sequence (then the one before it stays).
 
 Ids are those of the `tokenizers` library for the given file.  A faster library with the same
 vocabulary encodes texts that hold none of the file's special strings, for which both agree.
@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 from textloom.llm.shared import cut, parts, prepare
 
 CAPACITY, END, GROUP = 1024, 2, 1 << 14
-TRIES = 50  # bins in a row that local search gives up on before it ends
 
 
 @lru_cache(maxsize=1)
@@ -109,10 +108,22 @@ class _Search:
         self.items = np.flatnonzero(self.fill[self.bin] < capacity)  # only these can take part
         self.pairs: tuple[np.ndarray, np.ndarray] | None = None
 
+    def _ones(self, items: list[int]) -> dict[int, list[int]]:
+        """Documents by length; of one length any is as good as another."""
+        out: dict[int, list[int]] = {}
+        for i in items:
+            out.setdefault(int(self.size[i]), []).append(i)
+        return out
+
+    def _twos(self, items: list[int]) -> list[tuple[int, int]]:
+        """Two documents, for all pairs of lengths: their number is bounded by the capacity, not by the documents."""
+        ones = list(self._ones(items).values())
+        return [(x[0], y[0]) for n, x in enumerate(ones) for y in ones[:n]] + [(x[0], x[1]) for x in ones if len(x) > 1]
+
     def _pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """Two documents of one bin with room, for all such bins."""
         if self.pairs is None:
-            found = [(b[x], b[y]) for t in np.unique(self.bin[self.items]) if len(b := self.bins[t]) > 1 for x in range(min(len(b), 16)) for y in range(x)]
+            found = [pair for t in np.unique(self.bin[self.items]) for pair in self._twos(self.bins[t])]
             self.pairs = tuple(np.array(found, np.int64).reshape(-1, 2).T)
         return self.pairs
 
@@ -141,8 +152,8 @@ class _Search:
         own = self.bins[d]
         others = self.items[self.bin[self.items] != d]
         targets = np.unique(self.bin[others])
-        singles = [([i], int(self.size[i])) for i in own]
-        doubles = [([i, j], int(self.size[i] + self.size[j])) for n, i in enumerate(own[:32]) for j in own[:n]]
+        singles = [(x[:1], s) for s, x in self._ones(own).items()]
+        doubles = [([i, j], int(self.size[i] + self.size[j])) for i, j in self._twos(own)]
         for out, s in singles:  # moves
             g = self._gain(np.full(len(targets), s), targets, d)
             if len(g) and g.max() > best:
@@ -171,7 +182,7 @@ class _Search:
             open_ = np.flatnonzero((self.fill > 0) & (self.fill < self.capacity))
             room = int((self.capacity - self.fill[open_]).sum())
             left = [b for b in open_ if b not in stuck]
-            if not left or room < self.capacity or len(stuck) > TRIES:  # less room in all than one bin: no bin can be saved
+            if not left or room < self.capacity:  # less room in all than one bin: no bin can be saved
                 break
             d = int(min(left, key=lambda b: self.fill[b]))
             if room - (self.capacity - int(self.fill[d])) < self.fill[d]:
@@ -205,7 +216,7 @@ def _round(number: int, capacity: int):
             for b, items in enumerate(pack(size, capacity)):
                 at = 0
                 for i in items:
-                    sequence[i], offset[i] = number << 56 | int(group[s]) << 24 | b, at
+                    sequence[i], offset[i] = number << 48 | int(group[s]) << 20 | b, at
                     at += size[i]
                 full[items] = at == capacity
             for i in range(0, part.num_rows, 1 << 14):
@@ -224,18 +235,24 @@ def pack_pieces(cuts: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -
     prepare(spark)
     cuts = cut(cuts, "pieces")
     whole = cuts.filter(F.col("length") == capacity).select(*COLUMNS, (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    rest, done, number = cuts.filter(F.col("length") < capacity), [whole], 0
+    rest, done, number, before, bins = cuts.filter(F.col("length") < capacity), [whole], 0, None, 0
     n = rest.count()
     while n:
         number += 1
         groups = -(-n // group)
         dealt = rest.withColumn("group", F.pmod(F.xxhash64(*COLUMNS, F.lit(number)), F.lit(groups)) if groups > 1 else F.lit(0).cast("long"))
-        dealt = dealt.repartition(min(max(1, groups), 4 * parts(spark)), "group")
+        dealt = dealt.repartition(max(1, groups), "group")
         out = cut(dealt.mapInArrow(_round(number, capacity), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long, full boolean"), "packed")
-        left = out.filter("not full").count()
-        last = groups == 1 or left > 0.9 * n or number == 120
-        done.append((out if last else out.filter("full")).drop("full"))
-        rest, n = out.filter("not full").select(COLUMNS), 0 if last else left
+        made = out.groupBy("full").agg(F.count_distinct("sequence_id").alias("bins"), F.count("*").alias("n")).collect()  # two rows
+        if before is not None and sum(r.bins for r in made) >= bins:
+            done.append(before.drop("full"))
+            break
+        done.append(out.filter("full").drop("full"))
+        before, rest = out.filter("not full"), out.filter("not full").select(COLUMNS)
+        n, bins = next(((r.n, r.bins) for r in made if not r.full), (0, 0))
+        if groups == 1:
+            done.append(before.drop("full"))
+            break
     packed = done[0]
     for d in done[1:]:
         packed = packed.unionByName(d)
