@@ -287,3 +287,16 @@ def test_rows(spark):
 def test_hashed_embedding_is_deterministic(spark):
     r = spark.createDataFrame([("a b a",), ("",), (None,)], "t string").select(V.hashed_embedding("t", 16).alias("v")).collect()
     assert sum(x * x for x in r[0].v) == pytest.approx(1) and sum(r[1].v) == sum(r[2].v) == 0
+
+
+def test_every_draw_finds_a_chunk(spark):
+    n = 200
+    pool = spark.createDataFrame([(i, f"c{i}") for i in range(n)], "n long, chunk_id string")
+    allowed = {"few": {7, 150}, "one": {0}, "none": set(), "all": set(range(n))}
+    banned = spark.createDataFrame([(q, f"c{i}") for q, ok in allowed.items() for i in range(n) if i not in ok] + [("few", "elsewhere"), ("few", "c3")], "query_id string, chunk_id string")
+    needs = spark.createDataFrame([(f"{q}-{k}", q) for q in allowed for k in range(60)], "draw string, query_id string")
+    got = {}
+    for r in training.random_chunks(needs, pool, banned, 5).collect():
+        got.setdefault(r.query_id, []).append(int(r.chunk_id[1:]))
+    assert {q: len(v) for q, v in got.items()} == {"few": 60, "one": 60, "all": 60}
+    assert set(got["few"]) == {7, 150} and set(got["one"]) == {0} and len(set(got["all"])) > 40

@@ -9,8 +9,6 @@ from pyspark.sql.window import Window
 from textloom.functions import text as T
 from textloom.operators.mining import by_hash
 
-TRIES, FIRST = 50, 3
-
 
 def valid_count(n: Column, ratio: float) -> Column:
     """Rows of the validation part: n (1 - ratio), halves to even, at least one."""
@@ -40,22 +38,19 @@ def split_counts(rows: DataFrame, key: str = "query_id") -> DataFrame:
     return rows.agg(F.count_distinct(key).alias("total_ids"), one("train").alias("train_ids"), one("valid").alias("valid_ids"))
 
 
-def random_chunks(needs: DataFrame, pool: DataFrame, excluded: DataFrame, seed: int, tries: int = TRIES) -> DataFrame:
+def random_chunks(needs: DataFrame, pool: DataFrame, excluded: DataFrame, seed: int) -> DataFrame:
     """needs (draw, query_id) with a chunk_id of pool (n from 0, chunk_id) not excluded (query_id, chunk_id) for it.
-    Each draw tries places hash(seed:draw:try) mod size in turn; the first that is allowed counts.  Few tries are
-    made for all draws, the others only for those that are still without."""
-    size = pool.agg(F.count("*").alias("size"))
-    place = F.conv(F.left(T.sha256(F.concat(F.lit(f"{seed}:"), F.col("draw"), F.lit(":"), F.col("t").cast("string"))), F.lit(15)), 16, 10).cast("long") % F.col("size")
-    banned = excluded.select("query_id", "chunk_id").distinct()
 
-    def some(rows: DataFrame, a: int, b: int) -> DataFrame:
-        asked = rows.withColumn("t", F.explode(F.sequence(F.lit(a), F.lit(b - 1)))).join(F.broadcast(size)).withColumn("n", place)  # size is one row
-        allowed = asked.join(pool, "n").join(banned, ["query_id", "chunk_id"], "left_anti")
-        return allowed.groupBy("draw", "query_id").agg(F.min(F.struct("t", "chunk_id")).alias("r")).select("draw", "query_id", F.col("r.chunk_id").alias("chunk_id"))
-
-    needs = needs.select("draw", "query_id")
-    first = some(needs, 0, min(FIRST, tries))
-    return first if tries <= FIRST else first.unionByName(some(needs.join(first, ["draw", "query_id"], "left_anti"), FIRST, tries))
+    A draw is the hash(seed:draw)-th of the chunks allowed for its query, counted past the excluded places in
+    order, so every draw finds one.  A query for which the whole pool is excluded has none and no row."""
+    size = pool.agg(F.count("*").alias("size"))
+    places = excluded.select("query_id", "chunk_id").distinct().join(pool, "chunk_id").groupBy("query_id").agg(F.array_sort(F.collect_list(F.col("n").cast("long"))).alias("banned"))  # a pack's chunks
+    asked = needs.select("draw", "query_id").join(places, "query_id", "left").join(F.broadcast(size))  # one row
+    asked = asked.withColumn("banned", F.coalesce("banned", F.array().cast("array<bigint>"))).filter(F.col("size") > F.size("banned"))
+    free = F.col("size") - F.size("banned")
+    start = F.conv(F.left(T.sha256(F.concat(F.lit(f"{seed}:"), "draw")), F.lit(15)), 16, 10).cast("long") % F.when(free > 0, free)
+    place = F.aggregate("banned", start, lambda n, x: n + (x <= n).cast("long"))
+    return asked.withColumn("n", place).join(pool.select(F.col("n").cast("long").alias("n"), "chunk_id"), "n").select("draw", "query_id", "chunk_id")
 
 
 def epoch_pairs(packs: DataFrame, pool: DataFrame, epoch: int, seed: int = 42, random_per_positive: int = 1) -> DataFrame:

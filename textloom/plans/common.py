@@ -13,6 +13,9 @@ from textloom.functions import text as T
 from textloom.operators import chunk
 
 
+CHUNK_PLACES, TURNS = 1 << 24, 1 << 32  # more than chunks of the longest text, and than turns: keys made of two numbers never meet
+
+
 @dataclass(frozen=True)
 class Query:
     """A query and the SQL that gives the same rows (None: SQL can't express it)."""
@@ -33,12 +36,12 @@ def scratch(spark: SparkSession, name: str) -> str:
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of documents with ord, their order over all."""
     made = chunk.sliding(table(spark, sf_dir, "documents"))
-    return made.withColumn("ord", F.col("doc_id") * F.lit(100000) + F.col("chunk_index"))
+    return made.withColumn("ord", F.col("doc_id") * F.lit(CHUNK_PLACES) + F.col("chunk_index"))
 
 
 def asked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What users said: (ord, text, query_text_norm, query_id)."""
-    said = table(spark, sf_dir, "conversations").filter("role = 'user'").select((F.col("conv_id") * 1000 + F.col("turn")).alias("ord"), "text")
+    said = table(spark, sf_dir, "conversations").filter("role = 'user'").select((F.col("conv_id") * F.lit(TURNS) + F.col("turn")).alias("ord"), "text")
     return said.withColumn("query_text_norm", T.normalize("text")).withColumn("query_id", T.short_id("query_text_norm"))
 
 
@@ -82,11 +85,11 @@ windowed AS (SELECT doc_id, s, {s_strip("substr(t, s + 1, 1200)")} AS c FROM (SE
 chunks AS (
   SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY s) - 1 AS INTEGER) AS chunk_index, c AS chunk_text,
     sha256(c) AS chunk_text_hash, left(sha256(c), 24) AS chunk_id FROM windowed WHERE c <> ''),
-placed AS (SELECT *, doc_id * 100000 + chunk_index AS ord FROM chunks)
+placed AS (SELECT *, doc_id * {CHUNK_PLACES} + chunk_index AS ord FROM chunks)
 """
 
 ASKED = f"""
-said AS (SELECT conv_id * 1000 + turn AS ord, text, {s_norm("text")} AS query_text_norm FROM conversations WHERE role = 'user'),
+said AS (SELECT conv_id * {TURNS} + turn AS ord, text, {s_norm("text")} AS query_text_norm FROM conversations WHERE role = 'user'),
 asked AS (SELECT *, {s_id("query_text_norm")} AS query_id FROM said)
 """
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from textloom.functions import vectors as V
 from textloom.functions.stem import analyzed_terms
 from textloom.operators import dedup, retrieve, training
-from textloom.plans.common import ASKED, BM25, DENSE, VECTORS, Query, asked, benchmark, s_tokens, table
+from textloom.plans.common import TURNS, ASKED, BM25, DENSE, VECTORS, Query, asked, benchmark, s_tokens, table
 
 NEAR, K = 0.30, 20
 
@@ -137,7 +137,7 @@ def query_semantic_dedup(spark, d):
 
 def merge_queries_exact(spark, d):
     q = asked(spark, d).select("query_id", "ord")
-    return dedup.merge_exact(q.filter("ord < 50000"), q.filter("ord >= 40000"))
+    return dedup.merge_exact(q.filter(F.col("ord") < 50 * TURNS), q.filter(F.col("ord") >= 40 * TURNS))
 
 
 def orphan_doc_ids(spark, d):
@@ -190,7 +190,7 @@ QUERIES = {
           SELECT x.query_id, x.ord, CASE WHEN list_has_any(s.kept, coalesce(x.near, [])) THEN s.kept ELSE list_append(s.kept, x.ord) END FROM scan s JOIN x ON x.query_id = s.query_id AND x.ord = s.ord + 1)
         SELECT c.query_id, c.doc_key, list_contains(f.kept, c.ord) AS kept FROM c JOIN (SELECT query_id, arg_max(kept, ord) AS kept FROM scan GROUP BY query_id) f USING (query_id)"""),
     "query_semantic_dedup": Query(query_semantic_dedup, None),
-    "merge_queries_exact": Query(merge_queries_exact, f"WITH {ASKED}, a AS (SELECT query_id, ord FROM asked WHERE ord < 50000) SELECT * FROM a UNION ALL SELECT query_id, ord FROM asked WHERE ord >= 40000 AND query_id NOT IN (SELECT query_id FROM a)"),
+    "merge_queries_exact": Query(merge_queries_exact, f"WITH {ASKED}, a AS (SELECT query_id, ord FROM asked WHERE ord < {50 * TURNS}) SELECT * FROM a UNION ALL SELECT query_id, ord FROM asked WHERE ord >= {40 * TURNS} AND query_id NOT IN (SELECT query_id FROM a)"),
     "orphan_doc_ids": Query(orphan_doc_ids, "SELECT DISTINCT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)"),
     "alignment_check": Query(alignment_check, "SELECT (SELECT count(*) FROM documents) AS n_chunks, (SELECT count(*) FROM embeddings) AS n_vectors, (SELECT count(*) FROM documents WHERE doc_id NOT IN (SELECT vec_id FROM embeddings)) AS chunks_without, (SELECT count(*) FROM embeddings WHERE vec_id NOT IN (SELECT doc_id FROM documents)) AS vectors_without"),
 }

@@ -8,7 +8,7 @@ from textloom.functions import arrays as A
 from textloom.functions import text as T
 from textloom.functions.stem import analyzed_terms
 from textloom.operators import answer, chunk, dedup, mining
-from textloom.plans.common import ASKED, CHUNKS, Query, WS, asked, benchmark, chunks, scratch, s_count, s_id, s_norm, s_rstrip, s_strip, s_tokens, table
+from textloom.plans.common import TURNS, ASKED, CHUNKS, Query, WS, asked, benchmark, chunks, scratch, s_count, s_id, s_norm, s_rstrip, s_strip, s_tokens, table
 from textloom.sources import jsonl
 
 docs = lambda spark, d: table(spark, d, "documents")
@@ -216,7 +216,7 @@ QUERIES = {
     "chunk_ids": Query(chunk_ids, f"WITH {CHUNKS} SELECT doc_id, chunk_index, chunk_id, chunk_text_hash FROM chunks"),
     "sliding_window_chunks": Query(sliding_window_chunks, f"WITH {S_WINDOWS} SELECT * FROM c"),
     "query_ids": Query(query_ids, f"WITH {ASKED} SELECT ord, query_text_norm, query_id FROM asked"),
-    "query_postprocess": Query(query_postprocess, f"SELECT ord, {s_strip('left(t, 200)')} AS query_text FROM (SELECT conv_id * 1000 + turn AS ord, {PARTS} AS t FROM conversations WHERE role = 'user') WHERE length(t) >= 40"),
+    "query_postprocess": Query(query_postprocess, f"SELECT ord, {s_strip('left(t, 200)')} AS query_text FROM (SELECT conv_id * {TURNS} + turn AS ord, {PARTS} AS t FROM conversations WHERE role = 'user') WHERE length(t) >= 40"),
     "chunk_header": Query(chunk_header, f"SELECT doc_id, 'lang:' || lang || ', source:' || source || chr(10) || {s_strip('left(text, 300)')} AS chunk_text FROM documents"),
     "full_text": Query(full_text, f"SELECT doc_id, CASE WHEN t = '' THEN b ELSE t || ' ' || b END AS index_text, CASE WHEN t = '' THEN b ELSE t || chr(10) || b END AS pair_text, 'Represent the passage:' || chr(10) || left(b, 50) AS encoder_text FROM (SELECT doc_id, {s_strip('split_part(text, chr(10), 1)')} AS t, left(text, 200) AS b FROM documents)"),
     "truncate_text": Query(truncate_text, f"SELECT doc_id, CASE WHEN length(t) <= 200 THEN t ELSE {s_rstrip('left(t, 200)')} || '…' END AS short FROM (SELECT doc_id, {PARTS} AS t FROM documents)"),

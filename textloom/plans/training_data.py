@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions import vectors as V
 from textloom.operators import answer, dedup, mining, retrieve, rows, training
-from textloom.plans.common import ASKED, BM25, CHUNKS, WS, Query, asked, benchmark, chunks, s_norm, s_rstrip, s_strip, s_tokens, scratch, table
+from textloom.plans.common import TURNS, CHUNK_PLACES, ASKED, BM25, CHUNKS, WS, Query, asked, benchmark, chunks, s_norm, s_rstrip, s_strip, s_tokens, scratch, table
 from textloom.plans.search import found_bm25
 from textloom.streaming import incremental
 
@@ -23,7 +23,7 @@ def sample_per_doc(spark, d):
 
 def incremental_chunks(spark, d):
     all_ = chunks(spark, d).select("chunk_id", "ord")
-    return incremental.append_new(all_, all_.filter("ord % 300000 = 0"), "chunk_id")
+    return incremental.append_new(all_, all_.filter(f"ord % {3 * CHUNK_PLACES} = 0"), "chunk_id")
 
 
 def query_batches(spark, d):
@@ -42,7 +42,7 @@ def target_stop(spark, d):
 
 def resume_queries(spark, d):
     q = asked(spark, d).select("query_id", "ord")
-    return q.join(q.filter("ord < 30000").select("query_id").distinct(), "query_id", "left_anti")
+    return q.join(q.filter(F.col("ord") < 30 * TURNS).select("query_id").distinct(), "query_id", "left_anti")
 
 
 def query_generation(spark, d):
@@ -200,7 +200,7 @@ def coerce_rows(spark, d):
 def merge_queries_semantic(spark, d):
     """User turns of two files: those of the second that are in the first go, exactly, then by meaning."""
     q = asked(spark, d).select("query_id", "text", F.col("ord").alias("id"))
-    return dedup.query_dedup(dedup.merge_exact(q.filter("id < 50000"), q.filter("id >= 50000")).select("id", "text"), 20, 0.9)
+    return dedup.query_dedup(dedup.merge_exact(q.filter(F.col("id") < 50 * TURNS), q.filter(F.col("id") >= 50 * TURNS)).select("id", "text"), 20, 0.9)
 
 
 def search_hits(spark, d):
@@ -232,8 +232,11 @@ SPLIT = "ids AS (SELECT DISTINCT CAST(conv_id AS VARCHAR) AS query_id FROM conve
 
 
 def s_draws(needs: str, banned: str, seed: int) -> str:
-    place = f"('0x' || left(sha256('{seed}:' || draw || ':' || t), 15))::BIGINT % (SELECT count(*) FROM pool)"
-    return f"SELECT draw, query_id, arg_min(chunk_id, t) AS chunk_id FROM (SELECT *, {place} AS n FROM {needs}, range(50) r(t)) JOIN pool USING (n) WHERE (query_id, chunk_id) NOT IN (SELECT query_id, chunk_id FROM {banned}) GROUP BY draw, query_id"
+    start = f"('0x' || left(sha256('{seed}:' || draw), 15))::BIGINT % (s - len(b))"
+    lists = f"SELECT query_id, list(n ORDER BY n) AS b FROM (SELECT DISTINCT query_id, chunk_id FROM {banned}) JOIN pool USING (chunk_id) GROUP BY query_id"
+    return f"""SELECT draw, query_id, chunk_id FROM (
+        SELECT draw, query_id, list_reduce(list_prepend({start}, b), lambda n, x: n + CASE WHEN x <= n THEN 1 ELSE 0 END) AS n
+        FROM (SELECT draw, query_id, coalesce(b, []) AS b, (SELECT count(*) FROM pool) AS s FROM {needs} LEFT JOIN ({lists}) USING (query_id)) WHERE s > len(b)) JOIN pool USING (n)"""
 
 
 def s_context(limit: int) -> str:
@@ -248,10 +251,10 @@ HARD = "list_sort(list_transform(negatives, lambda x: {'r': sha256('43:' || quer
 QUERIES = {
     "sample_chunks": Query(sample_chunks, f"WITH {CHUNKS} SELECT chunk_id, ord FROM placed ORDER BY sha256('42:' || chunk_id), chunk_id LIMIT 300"),
     "sample_per_doc": Query(sample_per_doc, f"WITH {CHUNKS} SELECT chunk_id, doc_id, chunk_index FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY sha256('42:' || chunk_id), chunk_id) AS r FROM chunks) WHERE r <= 2"),
-    "incremental_chunks": Query(incremental_chunks, f"WITH {CHUNKS} SELECT chunk_id, min(ord) AS ord FROM placed WHERE chunk_id NOT IN (SELECT chunk_id FROM placed WHERE ord % 300000 = 0) GROUP BY chunk_id"),
+    "incremental_chunks": Query(incremental_chunks, f"WITH {CHUNKS} SELECT chunk_id, min(ord) AS ord FROM placed WHERE chunk_id NOT IN (SELECT chunk_id FROM placed WHERE ord % {3 * CHUNK_PLACES} = 0) GROUP BY chunk_id"),
     "query_batches": Query(query_batches, f"WITH {ASKED}, {NUMBERED} SELECT ord, query_id, n, n // 15 AS batch FROM numbered"),
     "target_stop": Query(target_stop, f"WITH {ASKED}, {NUMBERED}, m AS (SELECT *, n // 15 AS b, list_has_any({s_tokens('text')}, ['the', 'of']) AS in_domain FROM numbered), s AS (SELECT b, 5 + coalesce(sum(h) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM (SELECT b, count(*) FILTER (in_domain) AS h FROM m GROUP BY b)) SELECT ord, query_id, in_domain FROM m JOIN s USING (b) WHERE before < 60"),
-    "resume_queries": Query(resume_queries, f"WITH {ASKED} SELECT query_id, ord FROM asked WHERE query_id NOT IN (SELECT query_id FROM asked WHERE ord < 30000)"),
+    "resume_queries": Query(resume_queries, f"WITH {ASKED} SELECT query_id, ord FROM asked WHERE query_id NOT IN (SELECT query_id FROM asked WHERE ord < {30 * TURNS})"),
     "query_generation": Query(query_generation, f"""WITH {CHUNKS}, picked AS (SELECT chunk_id, chunk_text, ord FROM placed ORDER BY sha256('42:' || chunk_id), chunk_id LIMIT 500),
         parts AS (SELECT *, list_filter(list_transform(string_split_regex(left(chunk_text, 2100), '[.!?\\n]+'), lambda x: {s_strip('x')}), lambda x: x <> '')[1:2] AS l FROM picked),
         each AS (SELECT chunk_id, ord, unnest(l) AS q, unnest(range(len(l))) AS place FROM parts), fit AS (SELECT *, {s_norm(s_strip('left(q, 160)'))} AS t FROM each WHERE length(q) >= 12),
