@@ -1,17 +1,42 @@
-"""Cutting lineage in the shared folder, for loops over DataFrames."""
+"""Cutting lineage in the shared folder: for loops over DataFrames, and for tables that a query reads several times."""
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def base(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir; one of our own only where that is unset, on one machine."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = "file://" + os.path.join(tempfile.gettempdir(), "textloom-checkpoints")
+    return folder.rstrip("/")
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df.checkpoint() in the folder of spark.checkpoint.dir; a folder of our own only where that is unset."""
+    """df.checkpoint() in the shared folder."""
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or "file://" + os.path.join(tempfile.gettempdir(), "textloom-checkpoints"))
+        context.setCheckpointDir(base(df.sparkSession))
     return df.checkpoint()
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The same rows from a Parquet table in the shared folder, so that later scans still prune columns; it goes when the application ends."""
+    spark = df.sparkSession
+    own = f"{base(spark)}/textloom-tables-{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(own)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not store.exists(path):
+        store.mkdirs(path)
+        store.deleteOnExit(path)
+    place = f"{own}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(place)
+    return spark.read.schema(df.schema).parquet(place)

@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 from textloom.functions import text as T
 from textloom.functions import vectors as V
 from textloom.operators import dedup, retrieve
+from textloom.operators.lineage import cut
 
 KEYWORDS = ["the", "and", "with"]
 HEAD = "Read the text below and write {n} {style} search queries that it answers, one on each line."
@@ -89,7 +90,7 @@ def until_target(batches: DataFrame, target: int, done: int = 0) -> DataFrame:
 
 def query_run(chunks: DataFrame, previous: DataFrame | None = None, target: int = 2000, cap: int = 6500, seed: int = 42, size: int = 15, classify: Callable[[Column], Column] = keyword_domain, **options) -> DataFrame:
     """Incremental query generation: sample, generate, skip ids already there, classify in batches, stop at the target."""
-    new = generated(sample(chunks, cap, seed), **options)
+    new = cut(generated(sample(chunks, cap, seed), **options))  # a few rows for each of cap chunks, ranked and counted below
     done = 0
     if previous is not None:
         new = new.join(previous.select("query_id").distinct(), "query_id", "left_anti")

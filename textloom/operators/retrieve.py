@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from textloom.functions import text as T
+from textloom.operators.lineage import stored
 
 K1, B, EPSILON = 1.5, 0.75, 0.25
 BLOCK = 1024
@@ -37,12 +38,14 @@ def term_counts(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text", postings: DataFrame | None = None, tokenizer: str = "simple") -> Index:
-    """The tables of an index; idf = ln(N - df + 0.5) - ln(df + 0.5), below zero: a quarter of the mean."""
-    postings = term_counts(docs, key, text) if postings is None else postings
+    """The tables of an index; idf = ln(N - df + 0.5) - ln(df + 0.5), below zero: a quarter of the mean.
+    Postings, lengths and frequencies are stored once, so texts are read and tokenised once whatever is asked of the index."""
+    postings = stored(term_counts(docs, key, text) if postings is None else postings, "postings")
     lengths = docs.select(F.col(key).alias("doc_key")).join(postings.groupBy("doc_key").agg(F.sum("tf").alias("len")), "doc_key", "left").select("doc_key", F.coalesce("len", F.lit(0)).alias("len"))
+    lengths = stored(lengths, "lengths")
     totals = lengths.agg(F.count("*").alias("n_docs"), F.avg("len").alias("avgdl"))
     raw = postings.groupBy("term").agg(F.count("*").alias("df")).join(F.broadcast(totals.select("n_docs")))  # one row
-    raw = raw.select("term", "df", (F.log(F.col("n_docs") - F.col("df") + F.lit(0.5)) - F.log(F.col("df") + F.lit(0.5))).alias("raw"))
+    raw = stored(raw.select("term", "df", (F.log(F.col("n_docs") - F.col("df") + F.lit(0.5)) - F.log(F.col("df") + F.lit(0.5))).alias("raw")), "terms")
     mean = raw.agg(F.avg("raw").alias("mean"))  # one row
     terms = raw.join(F.broadcast(mean)).select("term", "df", F.when(F.col("raw") < 0, F.lit(EPSILON) * F.col("mean")).otherwise(F.col("raw")).alias("idf"))
     return Index(postings, lengths, terms, totals, tokenizer)
@@ -71,9 +74,11 @@ def top(rows: DataFrame, k: int, score: str = "score", places: int = 6, key: str
 
 def bm25(index: Index, queries: DataFrame, k: int, fill: bool = False, terms: DataFrame | None = None) -> DataFrame:
     """(query_id, doc_key, score, rank) of queries (query_id, text).  A term counts as often as the query holds it.
-    fill: queries with fewer than k matches also get documents of score 0, in order of key."""
+    fill: queries with fewer than k matches also get documents of score 0, in order of key.
+    The asked terms are stored, so that Spark knows their size when it chooses how they meet the postings:
+    few of them are sent to the postings' partitions, many are joined by term."""
     asked = (queries.select("query_id", F.explode(T.tokenize("text")).alias("term")) if terms is None else terms).groupBy("query_id", "term").agg(F.count("*").alias("times"))
-    weighted = asked.join(index.terms.select("term", "idf"), "term")
+    weighted = stored(asked.join(index.terms.select("term", "idf"), "term"), "asked")
     hits = index.postings.join(weighted, "term").join(index.lengths, "doc_key").join(F.broadcast(index.totals.select("avgdl")))  # one row
     tf = F.col("tf").cast("double")
     part = F.col("times") * F.col("idf") * tf * F.lit(K1 + 1) / (tf + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * F.col("len") / F.col("avgdl")))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from textloom.functions import text as T
+from textloom.operators.lineage import stored
 from textloom.operators.mining import by_hash
 
 
@@ -61,6 +62,7 @@ def epoch_pairs(packs: DataFrame, pool: DataFrame, epoch: int, seed: int = 42, r
     repeats.  With hard ones come random_per_positive random chunks that are neither source, positive nor
     negative.  A pack without positives fails the query.
     """
+    packs = stored(packs, "packs")  # read by every kind of negative
     checked = packs.filter(F.assert_true(F.size("positives") > 0, F.lit("a pack has no positives")).isNull())
     rows = checked.select("query_id", "source_id", "positives", "negatives", F.posexplode("positives").alias("i", "positive"))
     p, h, s = F.size("positives"), F.size("negatives"), f"{seed + epoch}:"

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions import text as T
 from textloom.operators import chunk
+from textloom.operators.lineage import base
 
 
 CHUNK_PLACES, TURNS = 1 << 24, 1 << 32  # more than chunks of the longest text, and than turns: keys made of two numbers never meet
@@ -30,7 +31,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder in the one that spark.checkpoint.dir names, which executors share."""
-    return f"{spark.conf.get('spark.checkpoint.dir', None) or 'file:///tmp/textloom-checkpoints'}/{name}-{uuid.uuid4().hex}"
+    return f"{base(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
