@@ -4,7 +4,7 @@ import random
 
 from textloom.llm import quotes
 
-COLUMNS = ["conv_id", "turn", "role", "text_unquoted", "n_quoted", "n_linked", "parent_turn", "root_turn", "depth"]
+COLUMNS = ["conv_id", "turn", "role", "text_unquoted", "n_quoted", "n_linked", "parent_turn", "root_turn", "depth", "reply_order"]
 
 
 def same_as_sql(spark, rows):
@@ -33,8 +33,8 @@ def test_threads(spark):
         (1, 2, "user", "a row of the same turn\n> second"),
     ]
     got = same_as_sql(spark, rows)
-    assert got[1, 1][3:] == ("Answer one", 1, 1, 0, 0, 1)
-    assert got[1, 3][6:] == (1, 0, 2) and got[1, 4][6:] == (None, 4, 0) and got[2, 0][6:] == (None, 0, 0)
+    assert got[1, 1][3:] == ("Answer one", 1, 1, 0, 0, 1, 1)
+    assert got[1, 3][6:9] == (1, 0, 2) and got[1, 4][6:] == (None, 4, 0, 0) and got[2, 0][6:] == (None, 0, 0, 0)
 
 
 def test_random_against_sql(spark):
@@ -54,7 +54,14 @@ def test_random_against_sql(spark):
 def test_deep_chain(spark):
     rows = [(7, 0, "u", "p0")] + [(7, t, "u", f"> p{t - 1}\np{t}") for t in range(1, 70)]
     got = same_as_sql(spark, rows)
-    assert got[7, 69][6:] == (68, 0, 69)
+    assert got[7, 69][6:] == (68, 0, 69, 69)
+
+
+def test_reply_order_is_depth_first(spark):
+    parent = {1: 0, 2: 0, 3: 1, 4: 2, 1100: 0, 1101: 1, 2500: 3, 2501: 1100}
+    rows = [(3, 0, "u", "p0")] + [(3, t, "u", f"> p{p}\np{t}") for t, p in parent.items()]
+    got = same_as_sql(spark, rows)
+    assert [t for _, t in sorted(got, key=lambda k: got[k][9])] == [0, 1, 3, 2500, 1101, 2, 4, 1100, 2501]
 
 
 def test_no_rows(spark):

@@ -6,9 +6,9 @@ hashed.  A quoted passage is joined to the latest earlier turn of its conversati
 unquoted; so each passage gives one link at most, however often it occurs.  A message's parent is the
 turn that most of its linked passages of the least linked level point to; ties go to the later turn.
 
-The result has one row for each message: its text without quotes, parent, the root of its thread
-and its depth below it.  Ordering a conversation by root_turn, depth, turn puts every message after
-the one it answers.  Nulls are empty texts; messages without conv_id or turn are linked to nothing;
+The result has one row for each message: its text without quotes, parent, the root of its thread, its
+depth below it and its reply order in the thread: depth first, replies of one message by turn, the root 0.
+Ordering a conversation by root_turn, reply_order gives it in reply order, every answer below what it answers.  Nulls are empty texts; messages without conv_id or turn are linked to nothing;
 rows of one conv_id and turn share their links.
 """
 
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from textloom.llm.shared import cut
+from textloom.llm.shared import cut, drop
 
 SPAN = 1024
 MARKS = r"^( ?>)+"
@@ -69,18 +69,45 @@ def parents(linked: DataFrame) -> DataFrame:
 
 
 def threads(edges: DataFrame) -> DataFrame:
-    """(conv_id, turn, root_turn, depth) of messages with a parent, by doubling: each round follows twice as many steps."""
-    state = cut(edges.select("conv_id", "turn", F.col("parent_turn").alias("root_turn"), F.lit(1).cast("long").alias("depth")), "threads")
+    """(conv_id, turn, root_turn, depth, reply_order) of messages with a parent, by doubling: each round follows twice as many steps."""
+    # size: the message and those below it within the steps of the round
+    state = cut(edges.select("conv_id", "turn", "parent_turn", F.col("parent_turn").alias("root_turn"), F.lit(1).cast("long").alias("depth"), F.lit(1).cast("long").alias("size")), "threads")
+    held, step = state, 1
     while True:
         above = state.select("conv_id", F.col("turn").alias("root_turn"), F.col("root_turn").alias("next"), F.col("depth").alias("more"))
-        moved = cut(state.join(above, ["conv_id", "root_turn"], "left"), "threads")
+        below = state.filter(F.col("depth") == step).groupBy("conv_id", F.col("root_turn").alias("turn")).agg(F.sum("size").alias("lower"))
+        moved = cut(state.join(above, ["conv_id", "root_turn"], "left").join(below, ["conv_id", "turn"], "left"), "threads")
         if moved.filter("next is not null").isEmpty():
-            return state
-        state = moved.select("conv_id", "turn", F.coalesce("next", "root_turn").alias("root_turn"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"))
+            break
+        drop(held)
+        held, step = moved, 2 * step
+        state = moved.select("conv_id", "turn", "parent_turn", F.coalesce("next", "root_turn").alias("root_turn"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), (F.col("size") + F.coalesce("lower", F.lit(0))).alias("size"))
+    return state.select("conv_id", "turn", "root_turn", "depth").join(_reply_order(state), ["conv_id", "turn"])
+
+
+def _reply_order(sized: DataFrame) -> DataFrame:
+    """(conv_id, turn, reply_order) of (conv_id, turn, parent_turn, size): a message stands one place after its parent
+    and the earlier replies to it with all below them; these distances are added up to the root, again by doubling.
+    Replies of one message are summed by ranges of turns first."""
+    earlier = lambda keys, order: Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    replies = sized.select("conv_id", "turn", "parent_turn", F.floor(F.col("turn") / SPAN).alias("bucket"), "size")
+    sums = replies.groupBy("conv_id", "parent_turn", "bucket").agg(F.sum("size").alias("sum")).withColumn("base", F.sum("sum").over(earlier(["conv_id", "parent_turn"], "bucket"))).drop("sum")
+    within = replies.withColumn("within", F.sum("size").over(earlier(["conv_id", "parent_turn", "bucket"], "turn")))
+    distance = F.lit(1) + F.coalesce("base", F.lit(0)) + F.coalesce("within", F.lit(0))
+    state = cut(within.join(sums, ["conv_id", "parent_turn", "bucket"]).select("conv_id", "turn", F.col("parent_turn").alias("above"), distance.cast("long").alias("reply_order")), "places")
+    held = state
+    while True:
+        up = state.select("conv_id", F.col("turn").alias("above"), F.col("above").alias("next"), F.col("reply_order").alias("more"))
+        moved = cut(state.join(up, ["conv_id", "above"], "left"), "places")
+        if moved.filter("next is not null").isEmpty():
+            return state.select("conv_id", "turn", "reply_order")
+        drop(held)
+        held = moved
+        state = moved.select("conv_id", "turn", F.coalesce("next", "above").alias("above"), (F.col("reply_order") + F.coalesce("more", F.lit(0))).alias("reply_order"))
 
 
 def link_quotations(messages: DataFrame) -> DataFrame:
-    """messages (conv_id, turn, role, text) with text_unquoted, n_quoted, n_linked, parent_turn, root_turn and depth; the text goes."""
+    """messages (conv_id, turn, role, text) with text_unquoted, n_quoted, n_linked, parent_turn, root_turn, depth and reply_order; the text goes."""
     base = messages.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
     found = cut(passages(base.filter("conv_id is not null and turn is not null").select("conv_id", "turn", "text")), "passages")
     quoted = found.filter("level > 0").groupBy("conv_id", "turn").agg(F.count("*").alias("n_quoted"))
@@ -98,6 +125,7 @@ def link_quotations(messages: DataFrame) -> DataFrame:
         "parent_turn",
         F.coalesce("root_turn", "turn").alias("root_turn"),
         F.coalesce("depth", F.lit(0)).cast("long").alias("depth"),
+        F.coalesce("reply_order", F.lit(0)).cast("long").alias("reply_order"),
     )
 
 
@@ -135,18 +163,20 @@ WITH RECURSIVE base AS (
   FROM (SELECT *, sum(n) OVER (PARTITION BY conv_id, turn) AS total,
     row_number() OVER (PARTITION BY conv_id, turn ORDER BY level, n DESC, source DESC) AS r FROM vote) WHERE r = 1
 ), thread AS (
-  SELECT conv_id, turn, parent_turn AS root_turn, 1 AS depth FROM parent
+  SELECT conv_id, turn, parent_turn AS root_turn, 1 AS depth, [turn] AS path FROM parent
   UNION ALL
-  SELECT t.conv_id, t.turn, p.parent_turn, t.depth + 1 FROM thread t JOIN parent p ON p.conv_id = t.conv_id AND p.turn = t.root_turn
+  SELECT t.conv_id, t.turn, p.parent_turn, t.depth + 1, list_prepend(t.root_turn, t.path) FROM thread t JOIN parent p ON p.conv_id = t.conv_id AND p.turn = t.root_turn
 ), root AS (
-  SELECT conv_id, turn, arg_max(root_turn, depth) AS root_turn, max(depth) AS depth FROM thread GROUP BY ALL
+  SELECT *, row_number() OVER (PARTITION BY conv_id, root_turn ORDER BY path) AS reply_order
+  FROM (SELECT conv_id, turn, arg_max(root_turn, depth) AS root_turn, max(depth) AS depth, arg_max(path, depth) AS path FROM thread GROUP BY ALL)
 ), quoted AS (
   SELECT conv_id, turn, count(*) AS n_quoted FROM passage WHERE level > 0 GROUP BY ALL
 )
 SELECT b.conv_id, b.turn, b.role,
   regexp_replace(array_to_string(list_filter(string_split(b.text, chr(10)), lambda x: NOT regexp_matches(x, '^ ?>')), chr(10)), '^\n+|\n+$', '', 'g') AS text_unquoted,
   CAST(coalesce(q.n_quoted, 0) AS BIGINT) AS n_quoted, CAST(coalesce(p.n_linked, 0) AS BIGINT) AS n_linked, p.parent_turn,
-  coalesce(r.root_turn, b.turn) AS root_turn, CAST(coalesce(r.depth, 0) AS BIGINT) AS depth
+  coalesce(r.root_turn, b.turn) AS root_turn, CAST(coalesce(r.depth, 0) AS BIGINT) AS depth,
+  CAST(coalesce(r.reply_order, 0) AS BIGINT) AS reply_order
 FROM base b
 LEFT JOIN quoted q ON q.conv_id = b.conv_id AND q.turn = b.turn
 LEFT JOIN parent p ON p.conv_id = b.conv_id AND p.turn = b.turn
