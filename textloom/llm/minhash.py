@@ -165,52 +165,65 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, k: int = WORDS, ban
     Equal texts are one item.  Items that share a band are candidates: each is verified against
     the least item of its band's group; those that fail, against all of the group.  So a group of
     near copies costs pairs in proportion to its size, and no link between different classes is
-    lost.  `bands` x `rows` places of the signature are used.
+    lost.  `bands` x `rows` places of the signature are used.  Only keys of bands are kept for all
+    items; the texts of items that share one meet again for the verification.
     """
     spark = docs.sparkSession
     prepare(spark)
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.xxhash64(*text_key(F.col("text"))).alias("item"))
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), F.xxhash64(*text_key(F.col("text"))).alias("item"))
 
     def sign(batches):
         for batch in batches:
             data, offsets = W.buffers(batch.column(1))
             for a, b in W.slices(offsets):
                 off = offsets[a : b + 1]
-                x, begin = W.shingles(*W.words(data[off[0] : off[-1]], off - off[0]), k)
-                sig = signatures(x, begin, bands * rows).reshape(b - a, bands, rows)
-                sets = [np.unique(x[s:e]).tobytes() for s, e in zip(begin[:-1], begin[1:], strict=True)]
-                key = [[int.from_bytes(hashlib.blake2b(bytes([i]) + s[i].tobytes(), digest_size=8).digest(), "little", signed=True) for i in range(bands)] for s in sig]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(sets, pa.binary()), pa.array(key, pa.list_(pa.int64()))], ["item", "grams", "keys"])
-
-    first = base.groupBy("item").agg(F.first("text").alias("text"))
-    items = cut(first.select("item", "text").mapInArrow(sign, "item long, grams binary, keys array<long>"), "minhash")
-    banded = items.select("item", F.explode("keys").alias("key"))
-    hubs = banded.groupBy("key").agg(F.min("item").alias("hub"), F.count("*").alias("n")).filter("n > 1")
-    member = cut(banded.join(hubs, "key").filter("item <> hub").select("key", "item", "hub"), "minhash-members")
-    stars = cut(_verified(member.select(F.col("item").alias("a"), F.col("hub").alias("b")).distinct(), items, threshold), "minhash-links")
+                sig = signatures(*W.shingles(*W.words(data[off[0] : off[-1]], off - off[0]), k), bands * rows).reshape(b - a, bands, rows)
+                key = [b"".join(hashlib.blake2b(bytes([i]) + s[i].tobytes(), digest_size=8).digest() for i in range(bands)) for s in sig]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(key, pa.binary())], ["item", "keys"])
+
+    signed = base.select("item", "text").mapInArrow(sign, "item long, keys binary").groupBy("item").agg(F.max("keys").alias("keys"))
+    items = cut(signed, "minhash")
+    banded = items.select("item", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("i"), "keys").select("item", F.expr("substring(keys, 8 * i + 1, 8)").alias("key"))
+    hubs = banded.groupBy("key").agg(F.min("item").alias("hub"), F.count("*").alias("n")).filter("n > 1").select("key", "hub")
+    member = cut(banded.join(hubs, "key").filter("item <> hub"), "minhash-members")
+    either = member.select("item").unionByName(member.select(F.col("hub").alias("item"))).distinct()
+    texts = cut(base.select("item", "text").join(either, "item", "left_semi").groupBy("item").agg(F.max("text").alias("text")), "minhash-texts")
+    stars = cut(_verified(member.select(F.col("item").alias("a"), F.col("hub").alias("b")).distinct(), texts, threshold, k), "minhash-links")
     failed = member.join(stars.select(F.col("a").alias("item"), F.col("b").alias("hub")), ["item", "hub"], "left_anti")
     rest = failed.select("key", F.col("item").alias("a")).join(member.select("key", F.col("item").alias("b")), "key").filter("a <> b")
     rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links = stars.unionByName(_verified(rest, items, threshold))
+    links = stars.unionByName(_verified(rest, texts, threshold, k))
     found = components(links).withColumnRenamed("node", "item")
     ids = base.select("doc_id", "item").join(found, "item", "left").select("doc_id", F.coalesce("component", "item").alias("c"))
     return ids.join(ids.groupBy("c").agg(F.min("doc_id").alias("class_id")), "c").select("doc_id", "class_id")
 
 
-def _verified(pairs: DataFrame, items: DataFrame, threshold: float) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, threshold: float, k: int) -> DataFrame:
+    """The pairs (a, b) of items whose sets of shingles have Jaccard similarity of the threshold or more."""
+
+    def sets(data, offsets):
+        x, begin = W.shingles(*W.words(data[offsets[0] : offsets[-1]], offsets - offsets[0]), k)
+        return [np.unique(x[s:e]) for s, e in zip(begin[:-1], begin[1:], strict=True)]
+
     def run(batches):
         for batch in batches:
-            ok = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                ok.append(both >= threshold * (len(p) + len(q) - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            (one, at), (two, to) = (W.buffers(batch.column(i)) for i in (2, 3))
+            for i, j in W.slices(at + to):
+                ok = []
+                for p, q in zip(sets(one, at[i : j + 1]), sets(two, to[i : j + 1]), strict=True):
+                    both = len(np.intersect1d(p, q, assume_unique=True))
+                    ok.append(both >= threshold * (len(p) + len(q) - both))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    grams = items.select(F.col("item").alias("a"), F.col("grams").alias("ga"))
-    other = items.select(F.col("item").alias("b"), F.col("grams").alias("gb"))
-    return pairs.join(grams, "a").join(other, "b").select("a", "b", "ga", "gb").mapInArrow(run, "a long, b long")
+    one = texts.select(F.col("item").alias("a"), F.col("text").alias("ta"))
+    two = texts.select(F.col("item").alias("b"), F.col("text").alias("tb"))
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     return fingerprints(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+
+
+def classes(spark, sf_dir: str) -> DataFrame:
+    """The second half of the method over the whole table: doc_id and its class's least doc_id."""
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))

@@ -9,6 +9,7 @@ QUERIES = {
     "op1_lm_scoring": lm.query,
     "op2_quotation_linking": quotes.query,
     "op3_minhash_fingerprints": minhash.query,
+    "minhash_near_duplicates": minhash.classes,
     "op4_suffix_array_dedup": suffix.query,
     "op5_best_fit_packing": packing.query,
     "op6_simhash_near_dedup": simhash.query,
