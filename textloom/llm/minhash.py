@@ -163,10 +163,11 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, k: int = WORDS, ban
     """(doc_id, class_id): class_id is the least doc_id that verified links reach.
 
     Equal texts are one item.  Items that share a band are candidates: each is verified against
-    the least item of its band's group; those that fail, against all of the group.  So a group of
-    near copies costs pairs in proportion to its size, and no link between different classes is
-    lost.  `bands` x `rows` places of the signature are used.  Only keys of bands are kept for all
-    items; the texts of items that share one meet again for the verification.
+    the least item of its band's group; those that fail, against all of the group that these links
+    don't reach yet.  So near copies of the least item cost pairs in proportion to their number, and
+    no link between different classes is lost; a band of many texts below the threshold still costs
+    all its pairs.  `bands` x `rows` places of the signature are used.  Only keys of bands are kept
+    for all items; the texts of items that share one meet again for the verification.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -189,8 +190,10 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, k: int = WORDS, ban
     either = member.select("item").unionByName(member.select(F.col("hub").alias("item"))).distinct()
     texts = cut(base.select("item", "text").join(either, "item", "left_semi").groupBy("item").agg(F.max("text").alias("text")), "minhash-texts")
     stars = cut(_verified(member.select(F.col("item").alias("a"), F.col("hub").alias("b")).distinct(), texts, threshold, k), "minhash-links")
-    failed = member.join(stars.select(F.col("a").alias("item"), F.col("b").alias("hub")), ["item", "hub"], "left_anti")
-    rest = failed.select("key", F.col("item").alias("a")).join(member.select("key", F.col("item").alias("b")), "key").filter("a <> b")
+    reached = cut(components(stars).withColumnRenamed("node", "item"), "minhash-reached")
+    placed = cut(member.join(reached, "item", "left").withColumn("component", F.coalesce("component", "item")), "minhash-placed")
+    failed = placed.join(stars.select(F.col("a").alias("item"), F.col("b").alias("hub")), ["item", "hub"], "left_anti")
+    rest = failed.select("key", F.col("item").alias("a"), F.col("component").alias("ca")).join(placed.select("key", F.col("item").alias("b"), F.col("component").alias("cb")), "key").filter("ca <> cb")
     rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = stars.unionByName(_verified(rest, texts, threshold, k))
     found = components(links).withColumnRenamed("node", "item")
