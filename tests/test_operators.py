@@ -5,6 +5,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from textloom import engine
+from textloom.functions import calls
 from textloom.functions import vectors as V
 from textloom.operators import answer, crawl, dedup, mining, retrieve, rows, training
 from textloom.sources import jsonl, stores
@@ -207,6 +209,58 @@ def test_answer_chain(spark):
     assert got[1].mode == "rag" and got[1].answer == "All about fish" and got[2].mode == "direct" and got[3].answer == "" and got[4].answer == ""
 
 
+def test_direct_versus_rag(spark):
+    q = spark.createDataFrame([(1, "about fish", "all about fish"), (2, "hello", "bye")], "query_id int, text string, gold string")
+    found = spark.createDataFrame([(1, "No match here. x", 1), (1, "All about fish. y", 2)], "query_id int, chunk_text string, rank int")
+    got = {(r.query_id, r.system): (r.answer, round(r.score, 3), r.is_correct) for r in answer.direct_versus_rag(q, found, least=0.9).collect()}
+    assert got == {(1, "rag"): ("All about fish", 1.0, True), (1, "direct"): ("about fish", 0.8, False), (2, "rag"): ("", 0.0, False), (2, "direct"): ("hello", 0.0, False)}
+    both = answer.direct_versus_rag(q, found)
+    assert {r.system: (r.n, r.accuracy) for r in answer.judge_summary(both).collect()} == {"rag": (2, 0.5), "direct": (2, 0.5)}
+
+
+def test_steady():
+    now, slept, tries = [0.0], [], []
+
+    def sleep(s):
+        slept.append(s)
+        now[0] += s
+
+    def fails(x):
+        tries.append(x)
+        if len(tries) < 3:
+            raise OSError("busy")
+        return x * 2
+
+    how = {"sleep": sleep, "clock": lambda: now[0]}
+    assert calls.steady(fails, 3, 1.0, **how)(4) == 8 and slept == [1.0, 2.0]
+    with pytest.raises(OSError):
+        calls.steady(lambda: (_ for _ in ()).throw(OSError()), 2, 0.5, **how)()
+    with pytest.raises(ValueError):
+        calls.steady(fails, 0)
+    with pytest.raises(KeyError):  # an error that is not named isn't tried again
+        calls.steady(lambda: {}["a"], 3, errors=(OSError,), **how)()
+    slept.clear()
+    slow = calls.steady(lambda x: x, per_second=2.0, **how)
+    assert [slow(i) for i in range(3)] == [0, 1, 2] and slept == [0.5, 0.5]
+
+
+def test_engine_and_model_hooks(spark):
+    def make():
+        return lambda prompts: [f"<{p}>" for p in prompts]
+
+    docs = spark.createDataFrame([(7, "All about fish. More."), (8, "Birds fly. Far."), (9, None), (10, "Trees grow slowly")], "doc_id int, text string")
+    index = retrieve.build_index(docs)
+    plain = engine.Engine(index, docs, ["fish", "bird"], k=2)
+    assert plain.ask("tell about fish") == {"mode": "rag", "answer": "All about fish", "context": "Document:\nAll about fish. More.", "sources": ["7"]}
+    assert plain.ask("hello")["mode"] == "direct" and plain.ask("hello")["sources"] == [] and plain.ask("")["answer"] == ""
+    model = {"answer": calls.by_model(make, lambda q, t: F.concat_ws("|", q, t)), "direct": calls.by_model(make, lambda q: q, batch=1)}
+    hooked = engine.Engine(index, docs, ["fish", "bird"], k=2, **model)
+    assert hooked.ask("fish")["answer"] == "<fish|All about fish. More.>" and hooked.ask("hello")["answer"] == "<hello>"
+    bad = calls.by_model(lambda: lambda prompts: [], lambda q: q, tries=1)
+    with pytest.raises(Exception, match="0 texts for 1 prompts"):
+        docs.limit(1).select(bad(F.col("text"))).collect()
+
+
 def test_jsonl(spark, tmp_path):
     (tmp_path / "a.jsonl").write_text('{"a": 1}\n\n[1]\nnot json\n{"a": 2, "b": "x"}\n"s"\n')
     path = f"file://{tmp_path}/a.jsonl"

@@ -74,16 +74,36 @@ def judge_summary(rows: DataFrame) -> DataFrame:
     return rows.groupBy("system").agg(F.count("*").alias("n"), F.avg(F.col("is_correct").cast("double")).alias("accuracy"), F.avg(T.clamp("score")).alias("mean_score"))
 
 
-def answer_chain(queries: DataFrame, found: DataFrame, keywords: list[str], max_docs: int = 2, max_tokens: int = 20000, answer: Callable[[Column, Column], Column] = first_sentence) -> DataFrame:
+def echo(query: Column) -> Column:
+    """The default answerer without documents: the question itself."""
+    return T.strip(T.safe(query))
+
+
+def grounded(queries: DataFrame, found: DataFrame, max_docs: int = 2, max_tokens: int = 20000, answer: Callable[[Column, Column], Column] = first_sentence) -> DataFrame:
+    """(query_id, answer, context) of queries (query_id, text) from what was found (query_id, chunk_text, rank), reranked by overlap."""
+    rag = queries.select("query_id", "text").join(found.select("query_id", "chunk_text", "rank"), "query_id", "left")
+    scored = rag.withColumn("s", F.round(overlap_score(F.col("text"), F.col("chunk_text")), 6))
+    docs = scored.groupBy("query_id", "text").agg(F.transform(F.array_sort(F.collect_list(F.when(F.col("chunk_text").isNotNull(), F.struct((-F.col("s")).alias("s"), "rank", "chunk_text")))), lambda x: x["chunk_text"]).alias("docs"))
+    return docs.select("query_id", F.coalesce(answer(F.col("text"), F.get("docs", F.lit(0))), F.lit("")).alias("answer"), context(F.col("docs"), max_docs, max_tokens).alias("context"))
+
+
+def answer_chain(queries: DataFrame, found: DataFrame, keywords: list[str], max_docs: int = 2, max_tokens: int = 20000, answer: Callable[[Column, Column], Column] = first_sentence, direct: Callable[[Column], Column] = echo) -> DataFrame:
     """(query_id, mode, answer, context) of queries (query_id, text): routed ones get an answer from what was
     found (query_id, chunk_text, rank), reranked by overlap; others a direct one; blanks an empty one."""
     routed = queries.withColumn("router", route("text", keywords))
-    rag = routed.filter("router.use_rag").join(found.select("query_id", "chunk_text", "rank"), "query_id", "left")
-    scored = rag.withColumn("s", F.round(overlap_score(F.col("text"), F.col("chunk_text")), 6))
-    docs = scored.groupBy("query_id", "text").agg(F.transform(F.array_sort(F.collect_list(F.when(F.col("chunk_text").isNotNull(), F.struct((-F.col("s")).alias("s"), "rank", "chunk_text")))), lambda x: x["chunk_text"]).alias("docs"))
-    grounded = docs.select("query_id", F.lit("rag").alias("mode"), F.coalesce(answer(F.col("text"), F.get("docs", F.lit(0))), F.lit("")).alias("answer"), context(F.col("docs"), max_docs, max_tokens).alias("context"))
-    direct = routed.filter("not router.use_rag").select("query_id", F.lit("direct").alias("mode"), T.strip(T.safe("text")).alias("answer"), F.lit("").alias("context"))
-    return grounded.unionByName(direct)
+    rag = grounded(routed.filter("router.use_rag"), found, max_docs, max_tokens, answer)
+    alone = routed.filter("not router.use_rag")
+    plain = F.when(T.strip(T.safe("text")) == "", "").otherwise(direct(F.col("text")))
+    return rag.select("query_id", F.lit("rag").alias("mode"), "answer", "context").unionByName(alone.select("query_id", F.lit("direct").alias("mode"), plain.alias("answer"), F.lit("").alias("context")))
+
+
+def direct_versus_rag(queries: DataFrame, found: DataFrame, max_docs: int = 2, max_tokens: int = 20000, answer: Callable[[Column, Column], Column] = first_sentence, direct: Callable[[Column], Column] = echo, score: Callable[[Column, Column], Column] = judge, least: float = 0.5) -> DataFrame:
+    """(query_id, system, answer, score, is_correct): every question of queries (query_id, text, gold) answered both
+    ways, direct and from what was found, and judged against gold; right from a score of `least` on.  For judge_summary()."""
+    rag = grounded(queries, found, max_docs, max_tokens, answer).select("query_id", F.lit("rag").alias("system"), "answer")
+    alone = queries.select("query_id", F.lit("direct").alias("system"), direct(F.col("text")).alias("answer"))
+    judged = rag.unionByName(alone).join(queries.select("query_id", "gold"), "query_id").withColumn("score", T.clamp(score(F.col("answer"), F.col("gold"))))
+    return judged.select("query_id", "system", "answer", "score", (F.col("score") >= least).alias("is_correct"))
 
 
 def qa_rows(queries: DataFrame, grounded: DataFrame, phrases: list[str], answer: Callable[[Column, Column], Column] = first_sentence) -> DataFrame:

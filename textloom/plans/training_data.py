@@ -146,6 +146,12 @@ def judge_summary(spark, d):
     return answer.judge_summary(rows).select("system", "n", F.round("accuracy", 6).alias("accuracy"), F.round("mean_score", 6).alias("mean_score"))
 
 
+def direct_vs_rag(spark, d):
+    found = found_bm25(spark, d, 3).join(table(spark, d, "documents").select(F.col("doc_id").alias("doc_key"), F.col("text").alias("chunk_text")), "doc_key")
+    rows = answer.direct_versus_rag(benchmark(spark, d).withColumn("gold", F.col("text")), found, 2, 400, least=0.1)
+    return rows.select("query_id", "system", "answer", F.round("score", 6).alias("score"), "is_correct")
+
+
 def judge_table(spark, d):
     e = table(spark, d, "events").select(F.col("event_type").alias("system"), (F.col("value") > 4).alias("is_correct"), (F.col("value") / 10).alias("score"))
     return answer.judge_summary(e).select("system", "n", F.round("accuracy", 6).alias("accuracy"), F.round("mean_score", 6).alias("mean_score"))
@@ -247,7 +253,22 @@ def s_context(limit: int) -> str:
         FROM walk w JOIN c ON c.query_id = w.query_id AND c.rank = w.rank + 1))"""
 
 
+F1 = f"(SELECT query_id, {{0}} AS system, answer, 2 * CAST(len(list_intersect(list_distinct({s_tokens('answer')}), list_distinct({s_tokens('text')}))) AS DOUBLE) / nullif(len(list_distinct({s_tokens('answer')})) + len(list_distinct({s_tokens('text')})), 0) AS f, {s_strip('text')} AS q FROM {{1}} JOIN benchmark ON item_id = query_id)"
+ANSWERS = f"""{BM25},
+    hit AS (SELECT query_id, rank, d.text AS t, round(coalesce(CAST(len(list_intersect(list_distinct({s_tokens('b.text')}), {s_tokens('d.text')})) AS DOUBLE) / nullif(len(list_distinct({s_tokens('b.text')})), 0), 0), 6) AS s
+      FROM bm25 JOIN benchmark b ON b.item_id = query_id JOIN documents d ON d.doc_id = doc_key WHERE rank <= 3),
+    lead AS (SELECT query_id, first({s_strip('t')} ORDER BY s DESC, rank) AS t FROM hit GROUP BY query_id),
+    grounded AS (SELECT item_id AS query_id, coalesce({s_strip("split_part(regexp_replace(t, '[.!?]', chr(10), 'g'), chr(10), 1)")}, '') AS answer FROM benchmark LEFT JOIN lead ON query_id = item_id),
+    echoed AS (SELECT item_id AS query_id, {s_strip("coalesce(text, '')")} AS answer FROM benchmark),
+    judged AS (SELECT query_id, system, answer, coalesce(f, 0) AS score, contains(lower(q), 'the') OR contains(lower(q), 'de') AS routed FROM (FROM {F1.format("'rag'", 'grounded')} UNION ALL FROM {F1.format("'direct'", 'echoed')}))"""
 HARD = "list_sort(list_transform(negatives, lambda x: {'r': sha256('43:' || query_id || ':' || i || ':' || x), 'n': x}))"
+PAIRS = f"""WITH {SIMPLE}, {POOL}, e AS (SELECT query_id, source_id, positives, negatives, unnest(positives) AS positive, unnest(range(len(positives))) AS i FROM packs),
+        h AS (SELECT query_id, positive, i, len(negatives) AS m, CASE WHEN len(negatives) = 0 THEN [] WHEN len(negatives) < len(positives) THEN list_transform({HARD}, lambda x: x.n)[1:1] ELSE list_transform({HARD}, lambda x: x.n)[1:len(negatives) // len(positives)] END AS l FROM e),
+        strict_ AS (SELECT query_id, unnest(list_concat([source_id], positives, negatives)) AS chunk_id FROM packs), own AS (SELECT query_id, unnest(positives) AS chunk_id FROM packs),
+        needs AS (SELECT query_id, positive, query_id || ':' || i || ':0' AS draw FROM h WHERE m > 0), bare AS (SELECT query_id, positive, query_id || ':' || i || ':f' AS draw FROM h WHERE m = 0),
+        r AS ({s_draws('needs', 'strict_', 43)}), f AS ({s_draws('bare', 'own', 43)})"""
+PAIR_ROWS = """SELECT query_id, positive, unnest(l) AS negative, 'hard_negative' AS type, 1 AS epoch FROM h UNION ALL
+        SELECT query_id, positive, chunk_id, 'random_negative', 1 FROM needs JOIN r USING (draw, query_id) UNION ALL SELECT query_id, positive, chunk_id, 'random_negative_fallback', 1 FROM bare JOIN f USING (draw, query_id)"""
 QUERIES = {
     "sample_chunks": Query(sample_chunks, f"WITH {CHUNKS} SELECT chunk_id, ord FROM placed ORDER BY sha256('42:' || chunk_id), chunk_id LIMIT 300"),
     "sample_per_doc": Query(sample_per_doc, f"WITH {CHUNKS} SELECT chunk_id, doc_id, chunk_index FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY sha256('42:' || chunk_id), chunk_id) AS r FROM chunks) WHERE r <= 2"),
@@ -268,23 +289,18 @@ QUERIES = {
     "pack_lists": Query(pack_lists, f"WITH {SIMPLE} SELECT * FROM packs"),
     "train_valid_split": Query(train_valid_split, f"WITH {SPLIT} SELECT * FROM parted"),
     "split_counts": Query(split_counts, f"WITH {SPLIT} SELECT count(DISTINCT query_id) AS total_ids, count(DISTINCT query_id) FILTER (split = 'train') AS train_ids, count(DISTINCT query_id) FILTER (split = 'valid') AS valid_ids FROM parted"),
-    "epoch_pairs": Query(epoch_pairs, f"""WITH {SIMPLE}, {POOL}, e AS (SELECT query_id, source_id, positives, negatives, unnest(positives) AS positive, unnest(range(len(positives))) AS i FROM packs),
-        h AS (SELECT query_id, positive, i, len(negatives) AS m, CASE WHEN len(negatives) = 0 THEN [] WHEN len(negatives) < len(positives) THEN list_transform({HARD}, lambda x: x.n)[1:1] ELSE list_transform({HARD}, lambda x: x.n)[1:len(negatives) // len(positives)] END AS l FROM e),
-        strict_ AS (SELECT query_id, unnest(list_concat([source_id], positives, negatives)) AS chunk_id FROM packs), own AS (SELECT query_id, unnest(positives) AS chunk_id FROM packs),
-        needs AS (SELECT query_id, positive, query_id || ':' || i || ':0' AS draw FROM h WHERE m > 0), bare AS (SELECT query_id, positive, query_id || ':' || i || ':f' AS draw FROM h WHERE m = 0),
-        r AS ({s_draws('needs', 'strict_', 43)}), f AS ({s_draws('bare', 'own', 43)})
-        SELECT query_id, positive, unnest(l) AS negative, 'hard_negative' AS type, 1 AS epoch FROM h UNION ALL
-        SELECT query_id, positive, chunk_id, 'random_negative', 1 FROM needs JOIN r USING (draw, query_id) UNION ALL SELECT query_id, positive, chunk_id, 'random_negative_fallback', 1 FROM bare JOIN f USING (draw, query_id)"""),
+    "epoch_pairs": Query(epoch_pairs, f"{PAIRS} {PAIR_ROWS}"),
     "random_negatives": Query(random_negatives, f"WITH {SIMPLE}, {POOL}, needs AS (SELECT query_id || '-r' AS draw, query_id FROM packs), banned AS (SELECT query_id, unnest(list_concat(positives, negatives)) AS chunk_id FROM packs) {s_draws('needs', 'banned', 7)}"),
     "cap_negatives": Query(cap_negatives, f"WITH {SIMPLE}, c AS (SELECT query_id, positives, list_transform(list_sort(list_transform(negatives, lambda x: {{'r': sha256('42:' || query_id || ':' || x), 'n': x}})), lambda x: x.n)[1:3] AS few FROM packs) SELECT query_id, list_concat(positives, few) AS doc_ids, CAST(list_concat(list_transform(positives, lambda x: 1), list_transform(few, lambda x: 0)) AS INTEGER[]) AS labels FROM c"),
     "pairwise_loss": Query(pairwise_loss, f"WITH {BM25}, s AS (SELECT max(score) FILTER (rank = 1) AS p, max(score) FILTER (rank = 2) AS n FROM bm25 GROUP BY query_id), b AS (SELECT p - n AS d FROM s WHERE n IS NOT NULL UNION ALL SELECT value - CAST(event_id % 13 AS DOUBLE) FROM events) SELECT round(avg(greatest(-d, 0) + ln(1 + exp(-abs(d)))), 6) AS logistic, round(avg(greatest(0, 1 - d)), 6) AS margin FROM b"),
     "context_block": Query(context_block, f"WITH RECURSIVE {BM25}, {s_context(1280)} SELECT query_id, {s_strip('array_to_string(arg_max(parts, rank), chr(10))')} AS context FROM walk GROUP BY query_id"),
     "answer_chain": Query(answer_chain, None),
-    "judge_summary": Query(judge_summary, None),
+    "judge_summary": Query(judge_summary, f"WITH {ANSWERS} SELECT system, count(*) AS n, round(avg(CAST(score >= 0.1 AS INTEGER)), 6) AS accuracy, round(avg(score), 6) AS mean_score FROM judged WHERE routed = (system = 'rag') GROUP BY system"),
+    "direct_vs_rag": Query(direct_vs_rag, f"WITH {ANSWERS} SELECT query_id, system, answer, round(score, 6) AS score, score >= 0.1 AS is_correct FROM judged"),
     "judge_table": Query(judge_table, "SELECT event_type AS system, count(*) AS n, round(avg(CAST(value > 4 AS INTEGER)), 6) AS accuracy, round(avg(greatest(least(value / 10, 1), 0)), 6) AS mean_score FROM events GROUP BY event_type"),
     "qa_dataset": Query(qa_dataset, f"WITH {BM25}, q AS (SELECT CAST(query_id AS VARCHAR) AS query_id, {s_strip('b.text')} AS question, {s_strip(f'''split_part(regexp_replace({s_strip('d.text')}, '[.!?]', chr(10), 'g'), chr(10), 1)''')} AS a, [CAST(doc_key AS VARCHAR)] AS used_ids FROM bm25 JOIN benchmark b ON b.item_id = query_id JOIN documents d ON d.doc_id = doc_key WHERE rank = 1) SELECT query_id, question, CASE WHEN length(a) > 900 THEN {s_rstrip('left(a, 900)')} ELSE a END AS answer, used_ids FROM q WHERE a <> '' AND NOT contains(lower(a), 'not answerable')"),
     "epoch_shuffle": Query(epoch_shuffle, "SELECT doc_id, toxic, sha256('42002:' || doc_id) AS shuffle_key FROM labels"),
-    "pair_texts": Query(pair_texts, None),
+    "pair_texts": Query(pair_texts, f"{PAIRS}, pairs AS ({PAIR_ROWS}), titled AS (SELECT CAST(doc_id AS VARCHAR) AS chunk_id, CASE WHEN title = '' THEN text ELSE title || chr(10) || text END AS t FROM (SELECT doc_id, {s_strip("coalesce(source, '')")} AS title, coalesce(text, '') AS text FROM documents)) SELECT b.text AS query_text, p.t AS positive_text, n.t AS negative_text, type FROM pairs JOIN benchmark b ON CAST(b.item_id AS VARCHAR) = query_id JOIN titled p ON p.chunk_id = positive JOIN titled n ON n.chunk_id = negative WHERE type <> 'random_negative_fallback'"),
     "prune_removed": Query(prune_removed, "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)"),
     "structure_length": Query(structure_length, "SELECT doc_id, CAST(length(text) + length(lang) AS INTEGER) AS chars FROM documents"),
     "coerce_rows": Query(coerce_rows, f"SELECT CAST(doc_id AS VARCHAR) AS chunk_id, CAST(0 AS INTEGER) AS chunk_index, sha1(CASE WHEN doc_id % 3 > 0 THEN {s_norm('text')} ELSE '' END) AS chunk_text_hash, source, CAST(NULL AS VARCHAR) AS url FROM documents"),
