@@ -79,6 +79,14 @@ def test_near_duplicates_against_brute_force(spark):
     assert got == {i: root(i) for i in range(len(texts))}
 
 
+def test_near_duplicates_nulls_and_no_rows(spark):
+    kind = "doc_id long, text string, key string"
+    rows = [(None, "a b c d e f", "k"), (4, "a b c d e f", "k"), (4, "A b c d e f", "k"), (4, "other words here", None), (9, None, "k"), (7, "", "k"), (None, "quite alone", "k")]
+    got = [(r.doc_id, r.class_id) for r in minhash.near_duplicates(spark.createDataFrame(rows, kind)).collect()]
+    assert sorted(got, key=str) == sorted([(None, 4), (4, 4), (4, 4), (4, 4), (9, 7), (7, 7), (None, None)], key=str)
+    assert minhash.near_duplicates(spark.createDataFrame([], kind)).count() == 0
+
+
 def test_blocks_of_long_texts_do_not_matter(monkeypatch):
     import numpy as np
 

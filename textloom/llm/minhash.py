@@ -167,7 +167,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, k: int = WORDS, ban
     don't reach yet.  So near copies of the least item cost pairs in proportion to their number, and
     no link between different classes is lost; a band of many texts below the threshold still costs
     all its pairs.  `bands` x `rows` places of the signature are used.  Only keys of bands are kept
-    for all items; the texts of items that share one meet again for the verification.
+    for all items; the texts of items that share one meet again for the verification.  Texts without
+    words are alike; every row comes back, repeated ones too; a class of null ids alone has none.
     """
     spark = docs.sparkSession
     prepare(spark)
