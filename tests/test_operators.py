@@ -80,6 +80,26 @@ def test_fusion(spark):
         retrieve.fuse(dense, sparse, 3, "other")
 
 
+def test_equal_texts_have_equal_scores(spark):
+    """Else ranks by the fused score at 12 places tell copies apart by the order of summation."""
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(words)] * 40 + [" ".join(rng.choice(words, 9)) for _ in range(300)]
+    index = retrieve.build_index(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    found = retrieve.bm25(index, spark.createDataFrame([(0, " ".join(words + words[::7]))], "query_id long, text string"), 400).collect()
+    assert len(found) == 340 and len({r.score for r in found if r.doc_key < 40}) == 1
+
+
+def test_equal_vectors_have_equal_scores(spark):
+    rng = np.random.default_rng(5)
+    v, q = rng.normal(size=64).tolist(), rng.normal(size=(24, 64))
+    docs = spark.createDataFrame([(i, v) for i in range(7)], "doc_key long, v array<double>").coalesce(1)
+    asked = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(q)], "query_id long, v array<double>").repartition(12, "query_id")
+    for metric in ("dot", "l2"):
+        found = retrieve.nearest(asked, docs, 7, metric=metric).collect()
+        assert len(found) == 24 * 7 and len({(r.query_id, r.score) for r in found}) == 24
+
+
 def okapi(docs, query):
     n, avg = len(docs), sum(map(len, docs)) / len(docs)
     df = {}
