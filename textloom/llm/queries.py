@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from textloom.llm import bpe, lines, lm, minhash, packing, quotes, simhash, suffix, toxicity, vectors
+from textloom.llm import bpe, codes, lines, lm, minhash, negatives, packing, pieces, quotes, simhash, suffix, toxicity, vectors
 
 QUERIES = {
     "op1_lm_scoring": lm.query,
@@ -17,9 +17,14 @@ QUERIES = {
     "op8_embedding_near_dedup": vectors.query,
     "op9_byte_bpe": bpe.query,
     "op10_toxicity": toxicity.query,
+    "op11_hard_negatives": negatives.query,
+    "op12_token_counts": pieces.query,
+    "op13_vector_codes": codes.query,
     "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {
     "op2_quotation_linking": quotes.SQL,
+    "op11_hard_negatives": negatives.SQL,
+    "op13_vector_codes": codes.SQL,
 }

@@ -9,6 +9,7 @@ import tempfile
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,6 +76,34 @@ def text_key(text: Column) -> list[Column]:
     return [F.xxhash64(t).alias("k1"), F.xxhash64(F.lit("#"), t).alias("k2")]
 
 
+def unfit(docs: DataFrame, made: list[str]) -> None:
+    """Refuse rows that already have a column of a name that an operator makes."""
+    clash = sorted({c.lower() for c in docs.columns} & set(made))
+    if clash:
+        raise ValueError(f"rename these columns first, the operator makes them: {', '.join(clash)}")
+
+
+#: Components of integer vectors are smaller than this, so that sums of squares and products of 4,096 of them fit a long with room for a factor of 2.
+LARGEST = 2**24
+
+
+def whole_vector(embedding: Column, scale: int = 256) -> Column:
+    """floor(scale * x) of each component as array<long>; null for a vector that is null, empty or holds null or
+    non-finite components.  Components from LARGEST / scale on raise an error."""
+    e = embedding.cast("array<double>")
+    fine = (F.size(e) > 0) & F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    far = F.exists(e, lambda x: F.abs(x) * scale >= LARGEST)
+    v = F.transform(e, lambda x: F.floor(x * F.lit(float(scale))))
+    return F.when(F.coalesce(fine, F.lit(False)), F.when(far, F.raise_error(F.lit(f"a vector's component is {LARGEST // scale} or more"))).otherwise(v))
+
+
+def whole_matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Vectors of one length as the rows of an int64 matrix."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1) if len(column) else np.zeros((0, 0), np.int64)
+
+
 def _fs(uri: str):
     from pyarrow import fs
 
