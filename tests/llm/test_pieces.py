@@ -8,7 +8,7 @@ from textloom.llm import pieces
 from textloom.llm.queries import QUERIES
 
 PATH = public.path("piece_bpe_32k.model")
-ODD = [None, "", " ", "  ", "\n", "a", " a", "a ", "▁", "a▁b ▁ c", "<s> </s> <unk> <0x0A>", "x\0y", "\t\r\n  x", "né é ﬁ　Ａ", "日本語テキスト", "😀😀 👩‍👩‍👧", "1234567890", "a" * 5000, "ab" * 40 + " " + "ab" * 40, " " * 300 + "x", "word " * 3000, "don't stop,now…ok", "\n\n\n", "Ωμέγα и привет"]
+ODD = [None, "", " ", "  ", "\n", "a", " a", "a ", "▁", "a▁b ▁ c", "<s> </s> <unk> <0x0A>", "x\0y", "\t\r\n  x", "né é ﬁ　Ａ", "日本語テキスト", "😀😀 👩‍👩‍👧", "1234567890", "a" * 5000, "ab" * 40 + " " + "ab" * 40, " " * 300 + "x", "word " * 3000, "don't stop,now…ok", "\n\n\n", "Ωμέγα и привет", "a ·b · \r\n \r", "x²·y", "据数 取获 一个 ال──══"]
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +19,7 @@ def library():
 
 def texts(seed, n):
     rng = random.Random(seed)
-    parts = ["the", "of", "▁", " ", "  ", "\n", "é", "ing", "日", "本", ",", ".", "..", "<s>", "0", "42", "XYZ", "\0", "qu" * 30, "😀"]
+    parts = ["the", "of", "▁", " ", "  ", "\n", "é", "ing", "日", "本", ",", ".", "..", "<s>", "0", "42", "XYZ", "·", "\r", "и", "«", "\0", "qu" * 30, "😀"]
     return ["".join(rng.choice(parts) for _ in range(rng.randrange(40))) for _ in range(n)]
 
 

@@ -1,9 +1,10 @@
 """Token counts without token ids: each distinct pre-token is counted once.
 
 A pre-token is a part of a text that the merges of a byte-fallback BPE model can't leave: a run of spaces with
-what follows it, up to the next space or to a character that no piece of two or more characters holds (each
-of these is a pre-token of its own, such as a line end).  Neither may stand inside a piece of the vocabulary
-after something else, so pieces never cross these borders and counts add up.
+the run of characters of one class after it, or with the one character that is in no class.  Classes come from
+the vocabulary: characters that stand side by side in a piece are of one class (as it turns out, letters of a
+script, or punctuation).  No piece holds characters of two classes, nor a space after something else, so pieces
+never cross these borders and counts add up.
 
 One pass over the texts gives the pre-tokens' frequencies, summed in tasks before the shuffle; the model then
 counts the pieces of each distinct pre-token once, into a table.  The counts of the most frequent ones (at most
@@ -34,6 +35,24 @@ from textloom.llm.shared import cut, prepare, unfit
 FREQUENT, NAME, HELD, BATCH = 1 << 16, 48, 200_000, 4096
 
 
+def _classes(pieces: list[str]) -> list[str]:
+    """Characters that pieces join, directly or by way of others: no piece holds characters of two classes."""
+    root: dict[str, str] = {}
+
+    def find(c: str) -> str:
+        while root.setdefault(c, c) != c:
+            c = root[c]
+        return c
+
+    for p in pieces:
+        for a, b in zip(p, p[1:], strict=False):
+            root[find(a)] = find(b)
+    classes: dict[str, str] = {}
+    for c in sorted(root):
+        classes[find(c)] = classes.get(find(c), "") + c
+    return sorted(classes.values(), key=len, reverse=True)
+
+
 class Pieces:
     def __init__(self, path: str):
         import sentencepiece
@@ -45,11 +64,10 @@ class Pieces:
         own = [m.id_to_piece(i) for i in range(len(m)) if not (m.is_control(i) or m.is_byte(i) or m.is_unknown(i))]
         if any("▁" in p.lstrip("▁") for p in own):
             raise ValueError("a piece holds a space after another character")
-        inside = sorted({c for p in own if len(p) > 1 for c in p} - {"▁"})
-        if "\n" in inside:
+        if any("\n" in p for p in own if len(p) > 1):
             raise ValueError("a longer piece holds a line end")
-        chars = "".join(map(re.escape, inside))
-        self.find = re.compile(f" *[{chars}]+| +|[^{chars} ]").findall
+        runs = "|".join(f"[{re.escape(c)}]+" for c in _classes([p.lstrip("▁") for p in own]))
+        self.find = re.compile(f" *(?:{runs}|[^ ])| +", re.DOTALL).findall
         self.lead = len(m.encode("\n"))
 
     def split(self, text: str | None) -> list[str]:
@@ -79,7 +97,7 @@ def _frequencies(path: str):
             items = list(seen.items())
             for i in range(0, len(items), BATCH):
                 some = items[i : i + BATCH]
-                yield pa.RecordBatch.from_arrays([pa.array([name(p) for p, _ in some], pa.string()), pa.array([p for p, _ in some], pa.string()), pa.array([n for _, n in some], pa.int64())], ["name", "pretoken", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([name(p) for p, _ in some], pa.string()), pa.array([p if len(p) > NAME else None for p, _ in some], pa.string()), pa.array([n for _, n in some], pa.int64())], ["name", "pretoken", "n"])
             seen.clear()
 
         for batch in batches:
@@ -96,7 +114,7 @@ def _count(path: str):
     def run(batches):
         counts = load(path).counts
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(counts(batch.column(1).to_pylist()), pa.int64())], ["name", "n", "pieces"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(counts([long or short for short, long in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]), pa.int64())], ["name", "n", "pieces"])
 
     return run
 
@@ -104,7 +122,7 @@ def _count(path: str):
 def piece_counts(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """(name, n, pieces) of each distinct pre-token: how often it occurs and how many pieces it has; a table."""
     seen = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(_frequencies(path), "name string, pretoken string, n long")
-    distinct = seen.groupBy("name").agg(F.min("pretoken").alias("pretoken"), F.sum("n").alias("n"))
+    distinct = seen.groupBy("name").agg(F.max("pretoken").alias("pretoken"), F.sum("n").alias("n"))
     return cut(distinct.mapInArrow(_count(path), "name string, n long, pieces long"), "pieces")
 
 
