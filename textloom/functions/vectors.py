@@ -27,6 +27,12 @@ def l2_normalize(a, floor: float = 1e-12) -> Column:
     return F.transform(col(a).cast("array<double>"), lambda x: x / n)
 
 
+def usable(v) -> Column:
+    """Whether a vector is there, not empty, and all its components are finite numbers."""
+    e = col(v).cast("array<double>")
+    return F.coalesce((F.size(e) > 0) & F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False))
+
+
 def cosine(a, b) -> Column:
     return dot(l2_normalize(a), l2_normalize(b))
 

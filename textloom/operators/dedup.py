@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from textloom.functions import vectors as V
+from textloom.operators import vectorindex
 from textloom.operators.lineage import cut
 from textloom.operators.retrieve import nearest
 
@@ -41,12 +42,18 @@ def greedy(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         state = cut(state.join(decided, "id", "left").select("id", F.coalesce("removed", "now").alias("removed")))
 
 
-def near_dedup(rows: DataFrame, threshold: float = 0.95, k: int = 20, key: str = "id", vector: str = "embedding") -> DataFrame:
-    """(id, removed) of rows (key: long, vector): greedy removal of later rows among the k nearest (itself counted) with cosine >= threshold."""
+def near_dedup(rows: DataFrame, threshold: float = 0.95, k: int = 20, key: str = "id", vector: str = "embedding", path: str | None = None) -> DataFrame:
+    """(id, removed) of rows (key: long, vector): greedy removal of later rows among the k nearest (itself counted) with cosine >= threshold.
+    The nearest rows are those of a whole scan, or with a path those that a vector index written there finds.
+    A row without a usable vector is kept."""
     if k < 2:
         raise ValueError("k is at least 2")
     unit = rows.select(F.col(key).alias("id"), V.l2_normalize(vector).alias("v"))
-    near = nearest(unit.select(F.col("id").alias("query_id"), "v"), unit.select(F.col("id").alias("doc_key"), "v"), k - 1, skip_self=True)
+    queries, corpus = unit.select(F.col("id").alias("query_id"), "v"), unit.select(F.col("id").alias("doc_key"), "v")
+    if path is None:
+        near = nearest(queries, corpus, k - 1, skip_self=True)
+    else:
+        near = vectorindex.search(vectorindex.build_vector_index(corpus, path, k=k), queries, k - 1, skip_self=True)
     edges = near.filter((F.col("score") >= threshold) & (F.col("doc_key") > F.col("query_id"))).select(F.col("query_id").alias("src"), F.col("doc_key").alias("dst"))
     return greedy(unit, edges)
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from textloom.functions import text as T
+from textloom.functions import vectors as V
 from textloom.operators.lineage import stored
 
 K1, B, EPSILON = 1.5, 0.75, 0.25
@@ -99,13 +100,16 @@ def bm25(index: Index, queries: DataFrame, k: int, fill: bool = False, terms: Da
 
 
 def _blocks(name: str):
+    """Rows (key, v) as blocks of at most BLOCK rows of one length."""
+
     def run(batches):
         for batch in batches:
-            for i in range(0, batch.num_rows, BLOCK):
-                part = batch.slice(i, BLOCK)
-                rows = part.column(1).to_pylist()
-                dim = max((len(r) for r in rows), default=0)
-                yield pa.RecordBatch.from_arrays([pa.array([part.column(0).to_pylist()], pa.list_(part.column(0).type)), pa.array([np.array(rows, np.float64).tobytes()], pa.binary()), pa.array([dim], pa.int32())], [f"{name}_keys", f"{name}_matrix", f"{name}_dim"])
+            lengths = batch.column(1).value_lengths().to_numpy(zero_copy_only=False)
+            for dim in np.unique(lengths).tolist():
+                whole = batch.take(pa.array(np.flatnonzero(lengths == dim)))
+                for i in range(0, whole.num_rows, BLOCK):
+                    part = whole.slice(i, BLOCK)
+                    yield pa.RecordBatch.from_arrays([pa.array([part.column(0).to_pylist()], pa.list_(part.column(0).type)), pa.array([np.array(part.column(1).to_pylist(), np.float64).tobytes()], pa.binary()), pa.array([dim], pa.int32())], [f"{name}_keys", f"{name}_matrix", "dim"])
 
     return run
 
@@ -115,11 +119,12 @@ def nearest(queries: DataFrame, corpus: DataFrame, k: int, skip_self: bool = Fal
     (metric l2: the least distance, as its negative) for each query (query_id, v).  Exact.  Blocks of both
     sides are multiplied as matrices; each gives k rows a query, merged by a window.  A grid of about as many
     cells as partitions holds the pairs of blocks: a block is copied along its row or column, so once for each
-    root of that number; neither side is collected or broadcast."""
+    root of that number; neither side is collected or broadcast.  Vectors of different lengths don't meet; a vector
+    that is null, empty or holds null or non-finite components is no neighbour and has none."""
     side = slots or max(1, math.isqrt(int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))) + 1)
     kinds = queries.schema["query_id"].dataType.simpleString(), corpus.schema["doc_key"].dataType.simpleString()
-    q = queries.select("query_id", F.col("v").cast("array<double>")).mapInArrow(_blocks("q"), f"q_keys array<{kinds[0]}>, q_matrix binary, q_dim int")
-    d = corpus.select("doc_key", F.col("v").cast("array<double>")).mapInArrow(_blocks("d"), f"d_keys array<{kinds[1]}>, d_matrix binary, d_dim int")
+    q = queries.filter(V.usable("v")).select("query_id", F.col("v").cast("array<double>")).mapInArrow(_blocks("q"), f"q_keys array<{kinds[0]}>, q_matrix binary, dim int")
+    d = corpus.filter(V.usable("v")).select("doc_key", F.col("v").cast("array<double>")).mapInArrow(_blocks("d"), f"d_keys array<{kinds[1]}>, d_matrix binary, dim int")
     every = F.explode(F.sequence(F.lit(0), F.lit(side - 1)))
     q = q.withColumn("row", F.pmod(F.xxhash64("q_keys"), F.lit(side)).cast("int")).withColumn("col", every)
     d = d.withColumn("col", F.pmod(F.xxhash64("d_keys"), F.lit(side)).cast("int")).withColumn("row", every)
@@ -146,7 +151,7 @@ def nearest(queries: DataFrame, corpus: DataFrame, k: int, skip_self: bool = Fal
                 rows, cols, score = rows[ok], cols[ok], score.ravel()[ok]
                 yield pa.RecordBatch.from_arrays([pa.array([r["q_keys"][i] for i in rows], batch.schema.field("q_keys").type.value_type), pa.array([r["d_keys"][j] for j in cols], batch.schema.field("d_keys").type.value_type), pa.array(score)], ["query_id", "doc_key", "score"])
 
-    found = q.join(d, ["row", "col"]).mapInArrow(best, f"query_id {kinds[0]}, doc_key {kinds[1]}, score double")
+    found = q.join(d, ["row", "col", "dim"]).mapInArrow(best, f"query_id {kinds[0]}, doc_key {kinds[1]}, score double")
     return top(found, k).select("query_id", "doc_key", "score", "rank")
 
 
