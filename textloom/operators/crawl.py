@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from textloom.functions import html as H
 from textloom.functions import text as T
 from textloom.functions import url as U
+from textloom.operators import mining
 from textloom.operators.lineage import cut
 
 
@@ -59,38 +60,73 @@ def counters(pages: DataFrame, min_chars: int = 200) -> DataFrame:
     return pages.agg(F.count("*").alias("total"), one(ok & (n >= min_chars)).alias("kept"), one(ok & (n < min_chars)).alias("dropped"), one(~ok).alias("errors"))
 
 
+def _claims(found: DataFrame, max_links: int) -> DataFrame:
+    """Of links (seed, parent, pos, url, ..) found by one level's pages, those that a queue would take: pages come in
+    order of parent, each takes its first max_links URLs that no earlier page has taken.
+
+    All pages propose their first max_links links at once; a URL stays with the earliest page, and whatever later
+    pages hold of it goes, so they propose further ones.  A page's links only ever go to earlier pages, so the
+    rounds end, and they end where the queue does."""
+    open_ = cut(found)
+    w = Window.partitionBy("seed", "parent").orderBy("pos")
+    while True:
+        taken = open_.withColumn("n", F.row_number().over(w)).filter(F.col("n") <= max_links).drop("n")
+        holder = taken.groupBy("seed", "url").agg(F.min("parent").alias("holder"), F.max("parent").alias("last"))
+        if holder.filter("last > holder").isEmpty():
+            return taken
+        open_ = cut(open_.join(holder.drop("last"), ["seed", "url"], "left").filter("holder is null or parent <= holder").drop("holder"))
+
+
+def _within_total(seen: DataFrame, total: int) -> DataFrame:
+    """Rows (s, place, ..) of seeds one after another, as many as the total allows."""
+    counts = mining.sum_before(seen.groupBy("s").agg(F.count("*").alias("n")), "s", "n")
+    return seen.join(counts.select("s", "before"), "s").filter(F.col("before") + F.col("place") < total).drop("before")
+
+
 def breadth_first(pages: DataFrame, seed_urls: DataFrame, max_depth: int = 2, max_links: int = 30, per_seed: int = 200, total: int = 1000, drop: list[str] | None = None, allow: list[str] | None = None, same_domain_only: bool = True) -> DataFrame:
-    """(seed, url, depth, found_by, place): pages reached from each seed, level by level.
-
-    Of a page's links, the first `max_links` admitted ones not yet seen by that seed are followed; a URL found
-    by several pages of a level belongs to the first in order.  Budgets cut each level in that order.  Visited
-    sets are per seed; the loop runs over levels, each one a few joins.
-    """
-    graph = cut(links(pages.select(U.canonical("url").alias("url"), "html")).select("url", "pos", U.canonical("target").alias("target")))
-    known = pages.select(U.canonical("url").alias("url")).distinct()
-    level = seed_urls.select(U.canonical("url").alias("seed")).distinct().withColumn("url", F.col("seed")).join(known, "url", "left_semi")
-    level = cut(_budget(level.select("seed", "url", F.lit(0).alias("depth"), F.lit("").alias("found_by"), F.lit(0).alias("place")), total))
-    seen = level
+    """(seed, url, depth, found_by, place): what a queue for each seed fetches of a table of pages (url, html).
+
+    Seeds (url, and ord for their order; by URL without it) are crawled one after another, each with visited URLs
+    of its own.  A page adds its first `max_links` admitted links that its seed's crawl has not yet come across,
+    whether or not they lead to a page; place is the order of fetching, from 0.  A seed ends after per_seed
+    pages, the crawl after total pages of all seeds.  URLs are compared in canonical form; of pages with one
+    form the one with the least URL and html counts, of seeds the first.  PDF pages lead nowhere.
+
+    All seeds advance together, a level at a time; that budgets cut sequences in order lets the total be taken
+    off afterwards (and seeds that it can't reach are left out early).  Windows are over a page's links or a
+    seed's level, which the budgets bound."""
+    one = pages.select(U.canonical("url").alias("at"), "url", F.coalesce("html", F.lit("")).alias("html")).filter("at is not null").groupBy("at").agg(F.min(F.struct("url", "html"))["html"].alias("html"))
+    one = cut(one.select(F.col("at").alias("url"), "html"))
+    targets = links(one.filter(~F.endswith(F.lower("url"), F.lit(".pdf")))).groupBy("url", U.canonical("target").alias("target")).agg(F.min("pos").alias("pos"))
+    graph = cut(targets.filter("target is not null").select(F.col("url").alias("found_by"), F.col("target").alias("url"), "pos"))
+    known = one.select("url")
+    admitted = lambda rows: rows.filter(U.admitted("url", "seed", drop or [], allow, same_domain_only))
+    given = seed_urls.filter("url is not null").select(U.canonical("url").alias("seed"), (F.col("ord") if "ord" in seed_urls.columns else F.lit(0)).cast("long").alias("ord"))
+    order = given.groupBy("seed").agg(F.min("ord").alias("ord"))
+    level = cut(mining.numbered(order, ["ord", "seed"], "s").select("seed", "s", F.col("seed").alias("url")))
+    met = [admitted(level).select("seed", "url")]  # URLs that a seed's crawl has come across
+    level = admitted(level).join(known, "url", "left_semi").select("seed", "s", "url", F.lit(0).alias("depth"), F.lit("").alias("found_by"), F.lit(0).alias("place"))
+    seen = cut(_within_total(level, total))
+    level = seen
     for depth in range(1, max_depth + 1):
-        out = level.select("seed", F.col("url").alias("found_by"), F.col("place").alias("parent")).join(graph.withColumnRenamed("url", "found_by"), "found_by")
-        out = out.filter(U.admitted("target", "seed", drop or [], allow, same_domain_only)).withColumnRenamed("target", "url")
-        out = out.groupBy("seed", "found_by", "parent", "url").agg(F.min("pos").alias("pos")).join(seen.select("seed", "url"), ["seed", "url"], "left_anti")
-        w = Window.partitionBy("seed", "found_by").orderBy("pos")
-        out = out.withColumn("n", F.row_number().over(w)).filter(F.col("n") <= max_links)
-        first = out.groupBy("seed", "url").agg(F.min(F.struct("parent", "pos", "found_by")).alias("at")).join(known, "url", "left_semi")
-        w = Window.partitionBy("seed").orderBy("at")
-        ranked = first.select("seed", "url", F.lit(depth).alias("depth"), F.col("at.found_by").alias("found_by"), F.row_number().over(w).alias("place"))
-        before = seen.groupBy("seed").agg(F.count("*").alias("have"))
-        ranked = ranked.join(before, "seed").filter(F.col("have") + F.col("place") <= per_seed).drop("have")
-        left = total - seen.count()
-        if left <= 0:
-            break
-        level = cut(_budget(ranked, left))
+        out = level.select("seed", "s", F.col("url").alias("found_by"), F.col("place").alias("parent")).join(graph, "found_by")
+        before = met[0]
+        for more in met[1:]:
+            before = before.unionByName(more)
+        claimed = cut(_claims(admitted(out).join(before, ["seed", "url"], "left_anti"), max_links))
+        met.append(claimed.select("seed", "url"))
+        have = seen.groupBy("seed").agg(F.count("*").cast("int").alias("have"))
+        w = Window.partitionBy("seed").orderBy("parent", "pos")
+        ranked = claimed.join(known, "url", "left_semi").withColumn("n", F.row_number().over(w)).join(have, "seed").withColumn("place", F.col("have") + F.col("n") - 1)
+        ranked = ranked.filter(F.col("place") < min(per_seed, total)).select("seed", "s", "url", F.lit(depth).alias("depth"), "found_by", "place")
+        both = cut(_within_total(seen.unionByName(ranked), total))
+        level, seen = both.filter(F.col("depth") == depth), both
         if level.isEmpty():
             break
-        seen = cut(seen.unionByName(level))
-    return seen
+    return seen.select("seed", "url", "depth", "found_by", "place")
 
 
-def _budget(rows: DataFrame, n: int) -> DataFrame:
-    return rows.orderBy("seed", "place", "url").limit(n)
+def crawl_manifest(found: DataFrame, seed_urls: DataFrame) -> DataFrame:
+    """(url, seed, depth, found_by, place) of a crawl's pages, one row each: the last seed's that fetched it."""
+    order = seed_urls.groupBy(U.canonical("url").alias("seed")).agg(F.min("ord").alias("ord"))
+    return found.join(order, "seed").groupBy("url").agg(F.max(F.struct("ord", "seed", "depth", "found_by", "place")).alias("r")).select("url", "r.seed", "r.depth", "r.found_by", "r.place")

@@ -17,9 +17,14 @@ from textloom.operators.retrieve import nearest
 
 
 def keep_first(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """The first row of each key.  Map-side: the least order is aggregated, then joined back; order is unique within a key."""
-    first = rows.groupBy(*key).agg(F.min(F.struct(*order)).alias("__first"))
-    return rows.join(first, key).filter(F.struct(*order) == F.col("__first")).drop("__first")
+    """The first row of each key, null keys too (nulls are equal); nulls of the order come first, and of rows with one
+    order the least in all columns stays (columns that can't be ordered decide nothing).  Map-side: the first
+    row is aggregated, so no key's rows meet."""
+    rest = [c for c in rows.columns if c not in key]
+    sortable = [c for c in rest if "map<" not in rows.schema[c].dataType.simpleString() and "variant" not in rows.schema[c].dataType.simpleString()]
+    first = F.min_by(F.struct(*rest), F.struct(*order, *(c for c in sortable if c not in order))) if rest else F.lit(None)
+    kept = rows.groupBy(*key).agg(first.alias("__first"))
+    return kept.select(*(F.col(c) if c in key else F.col(f"__first.{c}").alias(c) for c in rows.columns))
 
 
 def require_key(rows: DataFrame, key: str) -> DataFrame:

@@ -60,12 +60,13 @@ def batched(queries: DataFrame, size: int = 15, order: list[str] | None = None)
 
 
 def numbered(rows: DataFrame, order: list[str], out: str = "n") -> DataFrame:
-    """rows with their place from 0 in the given order (a whole number first, distinct): a running count of a few
-    ranges of the first column for each partition, and a window within each.  No task ranks all rows."""
-    ends = rows.agg(F.min(order[0]).alias("lo"), F.max(order[0]).alias("hi")).first()
+    """rows with their place from 0 in the given order (nulls first; a number first, many values of it): a running
+    count of a few ranges of the first column for each partition, each of about as many rows, and a window within
+    each.  No task ranks all rows."""
     ranges = 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    span = max(1, -(-((ends.hi or 0) - (ends.lo or 0) + 1) // ranges))
-    marked = rows.withColumn("__b", F.floor((F.col(order[0]) - F.lit(ends.lo or 0)) / span))
+    cuts = rows.agg(F.percentile_approx(order[0], [i / ranges for i in range(1, ranges)], 100 * ranges)).first()[0] or []
+    place = F.size(F.filter(F.array(*map(F.lit, sorted(set(cuts)))), lambda c: c < F.col(order[0]))) if cuts else F.lit(0)
+    marked = rows.withColumn("__b", F.when(F.col(order[0]).isNull(), -1).otherwise(place))
     sizes = marked.groupBy("__b").agg(F.count("*").alias("__size"))
     starts = sizes.withColumn("__start", F.sum("__size").over(Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)))  # a row for each range
     joined = marked.withColumn("__i", F.row_number().over(Window.partitionBy("__b").orderBy(*order)) - 1).join(starts.select("__b", F.coalesce("__start", F.lit(0)).alias("__start")), "__b")
