@@ -87,8 +87,32 @@ def manifest_incremental(spark, d):
     return crawl.snapshot(crawl.latest(p.select("url", "content_hash", F.col("page_id").alias("ord"))).select("url", "content_hash"), crawl.latest(old.withColumn("ord", F.length("rel_path"))).select("url", "content_hash", "rel_path"))
 
 
+JUMPS = [(2, 1), (3, 2), (5, 7), (1, 1)]
+CRAWL = {"max_depth": 4, "max_links": 8, "per_seed": 30, "total": 300}
+
+
+def linked_pages(spark, d):
+    """Pages that lead to one another: to each page's html links to the pages numbered m * page_id + b, in a ring."""
+    p = pages(spark, d)
+    ring = p.agg(F.count("*").alias("n"))  # one row
+    to = p.join(F.broadcast(ring)).select("page_id", F.posexplode(F.array(*((F.col("page_id") * m + b) % F.col("n") for m, b in JUMPS))).alias("k", "j"))
+    anchor = F.concat(F.lit('<a href="'), F.replace(U.canonical("url"), F.lit("&"), F.lit("&amp;")), F.lit('">next</a>'))
+    named = to.join(p.select(F.col("page_id").alias("j"), anchor.alias("a")), "j").groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("k", "a"))).alias("l"))  # a few of each page
+    more = named.select("page_id", F.array_join(F.transform("l", lambda x: x["a"]), "").alias("more"))
+    return p.join(more, "page_id", "left").select("page_id", "url", F.concat("html", F.coalesce("more", F.lit(""))).alias("html"))
+
+
+def crawl_seeds(spark, d):
+    """The stated query set: pages whose id is divisible by 20, in that order."""
+    return pages(spark, d).filter("page_id % 20 = 0").select("url", F.col("page_id").alias("ord"))
+
+
 def crawl_bfs(spark, d):
-    return crawl.breadth_first(pages(spark, d), pages(spark, d).select("url"), max_depth=1).select("seed", "url", "depth", "found_by", "place")
+    return crawl.breadth_first(linked_pages(spark, d), crawl_seeds(spark, d), same_domain_only=False, **CRAWL)
+
+
+def crawl_manifest(spark, d):
+    return crawl.crawl_manifest(crawl_bfs(spark, d), crawl_seeds(spark, d))
 
 
 PARTS = U.PARTS.replace("'", "''")
@@ -117,15 +141,44 @@ def s_title(x: str) -> str:
     return s_strip(s_unescape(f"regexp_extract({x}, '(?is)<title\\b[^>]*>(.*?)</title\\s*>', 1)"))
 
 
-CANONICAL = f"""
-p AS (SELECT page_id, url, {SCHEME} AS s, {HOST} AS h, {part(3)} AS path, string_split({part(4)}, '&') AS pairs FROM pages),
-q AS (SELECT *, list_sort(list_filter(list_transform(list_filter(pairs, lambda x: x <> ''), lambda x: {{'k': split_part(x, '=', 1), 'v': CASE WHEN contains(x, '=') THEN substr(x, strpos(x, '=') + 1) ELSE '' END}}), lambda x: NOT regexp_matches(x.k, '(?i){U.TRACKING}'))) AS kept FROM p),
-canon AS (SELECT page_id, url, CASE WHEN s = '' THEN 'http' ELSE s END || '://' || h || CASE WHEN path = '' THEN '/' WHEN path <> '/' THEN regexp_replace(path, '/$', '') ELSE path END
-  || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(list_transform(kept, lambda x: x.k || '=' || x.v), '&') ELSE '' END AS canonical FROM q)
+def s_canonical(rows: str, out: str, keep: str) -> str:
+    """Table `out` of the columns `keep`, url and canonical from the rows of a table with a url."""
+    return f"""
+{out}_p AS (SELECT {keep}, url, {SCHEME} AS s, {HOST} AS h, {part(3)} AS path, string_split({part(4)}, '&') AS pairs FROM {rows}),
+{out}_q AS (SELECT *, list_sort(list_filter(list_transform(list_filter(pairs, lambda x: x <> ''), lambda x: {{'k': split_part(x, '=', 1), 'v': CASE WHEN contains(x, '=') THEN substr(x, strpos(x, '=') + 1) ELSE '' END}}), lambda x: NOT regexp_matches(x.k, '(?i){U.TRACKING}'))) AS kept FROM {out}_p),
+{out} AS (SELECT {keep}, url, CASE WHEN s = '' THEN 'http' ELSE s END || '://' || h || CASE WHEN path = '' THEN '/' WHEN path <> '/' THEN regexp_replace(path, '/$', '') ELSE path END
+  || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(list_transform(kept, lambda x: x.k || '=' || x.v), '&') ELSE '' END AS canonical FROM {out}_q)
 """
+
+
+CANONICAL = s_canonical("pages", "canon", "page_id")
 HREF = r"""(?is)<a\b[^>]*?\bhref\s*=\s*("[^"]*"|''[^'']*'')"""
 LINKS = f"list_transform(regexp_extract_all(html, '{HREF}', 1), lambda x: {s_unescape(s_strip('substr(x, 2, length(x) - 2)'))})"
 
+# a queue in SQL: each step takes the next URL of the queue, or the next seed
+CRAWLED = f"""WITH RECURSIVE {CANONICAL},
+jump AS (SELECT page_id, k, (page_id * m + b) % (SELECT count(*) FROM pages) AS j FROM pages, (VALUES {", ".join(f"({i}, {m}, {b})" for i, (m, b) in enumerate(JUMPS))}) t(k, m, b)),
+more AS (SELECT jump.page_id, string_agg('<a href="' || replace(canonical, '&', '&amp;') || '">next</a>', '' ORDER BY k) AS a FROM jump JOIN canon ON canon.page_id = j GROUP BY jump.page_id),
+one AS MATERIALIZED (SELECT canonical AS url, arg_min(h, {{'u': url, 'h': h}}) AS html FROM (SELECT canonical, canon.url, html || coalesce(a, '') AS h FROM canon JOIN pages USING (page_id) LEFT JOIN more USING (page_id)) GROUP BY canonical),
+link AS (SELECT url AS page, unnest(l) AS href, unnest(range(len(l))) AS pos FROM (SELECT url, {LINKS} AS l FROM one)),
+aim AS (SELECT page, pos, CASE WHEN starts_with(href, 'http') THEN href ELSE {part(1, 'page')} || '://' || {part(2, 'page')} || href END AS url FROM link),
+{s_canonical("aim", "aimed", "page, pos")},
+graph AS MATERIALIZED (SELECT page, list(u ORDER BY pos) AS us FROM (SELECT page, canonical AS u, min(pos) AS pos FROM aimed GROUP BY ALL) GROUP BY page),
+seeds AS MATERIALIZED (SELECT seed, ord, row_number() OVER (ORDER BY ord, seed) AS s FROM (SELECT canonical AS seed, min(page_id) AS ord FROM canon WHERE page_id % 20 = 0 GROUP BY canonical)),
+walk AS (
+  SELECT s, 0 AS i, [{{'u': seed, 'd': 0, 'b': ''}}] AS q, [seed] AS met, 0 AS f, 0 AS total, seed, CAST(NULL AS VARCHAR) AS url, 0 AS depth, '' AS found_by, 0 AS place FROM seeds WHERE s = 1
+  UNION ALL
+  SELECT CASE WHEN ended THEN s + 1 ELSE s END, CASE WHEN ended THEN 0 ELSE i + 1 END,
+    CASE WHEN ended THEN [{{'u': next_seed, 'd': 0, 'b': ''}}] ELSE list_concat(q, list_transform(new, lambda u: {{'u': u, 'd': x.d + 1, 'b': x.u}})) END,
+    CASE WHEN ended THEN [next_seed] ELSE list_concat(met, new) END,
+    CASE WHEN ended THEN 0 WHEN is_page THEN f + 1 ELSE f END, CASE WHEN is_page AND NOT ended THEN total + 1 ELSE total END,
+    CASE WHEN ended THEN next_seed ELSE seed END, CASE WHEN is_page AND NOT ended THEN x.u END, x.d, x.b, f
+  FROM (SELECT w.*, n.seed AS next_seed, w.i >= len(w.q) OR w.f >= {CRAWL["per_seed"]} AS ended, o.url IS NOT NULL AS is_page, w.q[w.i + 1] AS x,
+      CASE WHEN o.url IS NOT NULL AND w.q[w.i + 1].d < {CRAWL["max_depth"]} THEN list_filter(coalesce(g.us, []), lambda u: NOT list_contains(w.met, u))[1:{CRAWL["max_links"]}] ELSE [] END AS new
+    FROM (SELECT s, i, q, met, f, total, seed FROM walk) w LEFT JOIN seeds n ON n.s = w.s + 1 LEFT JOIN one o ON o.url = w.q[w.i + 1].u LEFT JOIN graph g ON g.page = w.q[w.i + 1].u)
+  WHERE total < {CRAWL["total"]} AND NOT (ended AND next_seed IS NULL)),
+found AS (SELECT seed, url, CAST(depth AS INTEGER) AS depth, found_by, CAST(place AS INTEGER) AS place FROM walk WHERE url IS NOT NULL)"""
+
 QUERIES = {
     "url_hash": Query(url_hash, f"SELECT page_id, {s_id('url')} AS url_hash FROM pages"),
     "document_ids": Query(document_ids, f"SELECT page_id, {s_id('url || sha256(html)')} AS doc_id FROM pages"),
@@ -146,5 +199,6 @@ QUERIES = {
     "seed_distinct": Query(seed_distinct, f"WITH e AS (SELECT page_id AS block, 0 AS place, {SCHEME} || '://' || {HOST} || '/' AS url FROM pages UNION ALL SELECT page_id, 1, 'https://' || {HOST} || '/' FROM pages) SELECT url, block, CAST(place AS INTEGER) AS place FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY block, place) AS r FROM e) WHERE r = 1"),
     "manifest_incremental": Query(manifest_incremental, f"""WITH p AS (SELECT url, arg_max(sha256(html), page_id) AS h FROM pages GROUP BY url), o AS (SELECT url, max(CASE WHEN contains(url, 'utm_') THEN 'changed' ELSE sha256(html) END) AS h FROM pages WHERE length(html) > 1500 GROUP BY url)
         SELECT p.url, p.h AS content_hash, CASE WHEN p.h = o.h THEN 'old/' || {s_id('p.url')} ELSE 'raw/' || {s_id('p.url')} || '/' || left(p.h, 12) || '.html' END AS rel_path, coalesce(p.h = o.h, false) AS reused FROM p LEFT JOIN o USING (url)"""),
-    "crawl_bfs": Query(crawl_bfs, f"WITH {CANONICAL} SELECT seed, seed AS url, CAST(0 AS INTEGER) AS depth, '' AS found_by, CAST(0 AS INTEGER) AS place FROM (SELECT DISTINCT canonical AS seed FROM canon ORDER BY 1 LIMIT 1000)"),
+    "crawl_bfs": Query(crawl_bfs, f"{CRAWLED} SELECT * FROM found"),
+    "crawl_manifest": Query(crawl_manifest, f"{CRAWLED} SELECT url, r.seed, r.depth, r.found_by, r.place FROM (SELECT url, arg_max(found, s.ord) AS r FROM found JOIN seeds s USING (seed) GROUP BY url)"),
 }
