@@ -165,15 +165,19 @@ def sentence_ends(text: str) -> list[int]:
 
 
 def last_sentence_end(text, start, end) -> Column:
-    """The last place in [start, end) that ends a sentence by a terminator; null if none."""
-    s, e = T.col(start), T.col(end)
+    """The last place in [start, end) that ends a sentence by a terminator; null if none.  One expression over the
+    window, with the character after it, which tells whether a terminator at its end ends a sentence."""
+    ends = r"(?s)^(.*[.!?…。！？])"
 
-    def last(t: Column) -> Column:
-        places = F.filter(F.sequence(F.lit(0), F.length(t)), lambda i: (i >= s) & (i < e) & (i < F.length(t)))
-        ok = F.filter(places, lambda i: F.substring(t, i + 1, F.lit(1)).isin(*".!?…。！？") & ((i + 1 >= F.length(t)) | F.substring(t, i + 2, F.lit(1)).isin(" ", "\n", "\t", "\r")))
-        return F.array_max(ok)
+    def last(x: Column) -> Column:
+        found = F.when(x["whole"], F.regexp_extract(x["w"], ends + r"(?:[ \n\t\r]|\z)", 1)).otherwise(F.regexp_extract(x["w"], ends + r"[ \n\t\r]", 1))
+        return T.let(found, lambda m: F.when(m != "", x["s"] + F.length(m) - 1))
 
-    return T.let(T.safe(text), last)
+    def window(t: Column) -> Column:
+        s, e = F.greatest(T.col(start), F.lit(0)), F.least(T.col(end), F.length(t))
+        return T.let(F.struct(s.alias("s"), (e >= F.length(t)).alias("whole"), F.substring(t, s + 1, F.greatest(e - s, F.lit(0)) + F.when((e < F.length(t)) & (e > s), 1).otherwise(0)).alias("w")), last)
+
+    return T.let(T.safe(text), window)
 
 
 def _seam(cur: str, nxt: str, overlap: int, back: int, forward: int) -> tuple[int, int] | None:

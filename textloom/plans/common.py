@@ -98,17 +98,23 @@ UNIT = "list_transform(embedding::DOUBLE[], lambda x: x / greatest(sqrt(list_dot
 VECTORS = f"units AS (SELECT vec_id, label, {UNIT} AS v FROM embeddings)"
 
 # BM25 over documents for benchmark texts
-BM25 = f"""
+POSTINGS = f"""
 token AS (SELECT doc_id AS doc_key, unnest({s_tokens("text")}) AS term FROM documents),
 posting AS (SELECT doc_key, term, count(*) AS tf FROM token GROUP BY ALL),
 doclen AS (SELECT doc_key, sum(tf) AS len FROM posting GROUP BY ALL),
 total AS (SELECT count(*) AS n, CAST(sum(coalesce(len, 0)) AS DOUBLE) / count(*) AS avgdl FROM (SELECT doc_id AS doc_key FROM documents) LEFT JOIN doclen USING (doc_key)),
 rawidf AS (SELECT term, count(*) AS df, ln(any_value(n) - count(*) + CAST(0.5 AS DOUBLE)) - ln(count(*) + CAST(0.5 AS DOUBLE)) AS raw FROM posting, total GROUP BY term),
-idf AS (SELECT term, df, CASE WHEN raw < 0 THEN CAST(0.25 AS DOUBLE) * (SELECT avg(raw) FROM rawidf) ELSE raw END AS idf FROM rawidf),
-wanted AS (SELECT item_id AS query_id, term, count(*) AS times FROM (SELECT item_id, unnest({s_tokens("text")}) AS term FROM benchmark) GROUP BY ALL),
+idf AS (SELECT term, df, CASE WHEN raw < 0 THEN CAST(0.25 AS DOUBLE) * (SELECT avg(raw) FROM rawidf) ELSE raw END AS idf FROM rawidf)
+"""
+WANTED = f"""
+wanted AS (SELECT item_id AS query_id, term, count(*) AS times FROM (SELECT item_id, unnest({s_tokens("text")}) AS term FROM benchmark) GROUP BY ALL)
+"""
+SCORED = """
 scored AS (
   SELECT query_id, doc_key, sum(times * idf * tf * CAST(2.5 AS DOUBLE) / (tf + CAST(1.5 AS DOUBLE) * (CAST(0.25 AS DOUBLE) + CAST(0.75 AS DOUBLE) * len / avgdl))) AS score
-  FROM posting JOIN wanted USING (term) JOIN idf USING (term) JOIN doclen USING (doc_key), total GROUP BY ALL),
+  FROM posting JOIN wanted USING (term) JOIN idf USING (term) JOIN doclen USING (doc_key), total GROUP BY ALL)
+"""
+BM25 = f"""{POSTINGS},{WANTED},{SCORED},
 bm25 AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, doc_key) AS INTEGER) AS rank FROM scored) WHERE rank <= 60)
 """
 

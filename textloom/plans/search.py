@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from textloom.functions import text as T
 from textloom.functions import vectors as V
 from textloom.functions.stem import analyzed_terms
 from textloom.operators import dedup, retrieve, training, vectorindex
-from textloom.plans.common import TURNS, ASKED, BM25, DENSE, VECTORS, Query, asked, benchmark, s_tokens, scratch, table
+from textloom.plans.common import TURNS, ASKED, BM25, POSTINGS, SCORED, DENSE, VECTORS, Query, asked, benchmark, s_tokens, scratch, table
 
 NEAR, K = 0.30, 20
 
@@ -104,9 +105,9 @@ def bm25_topk(spark, d):
 
 
 def bm25_fill(spark, d):
-    """Queries of one rare word each: documents without a match fill the list."""
-    q = table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), F.element_at(F.split("text", " "), 3).alias("text"))
-    return retrieve.bm25(index(spark, d), q, 10, fill=True).groupBy("query_id").agg(F.count("*").alias("n"), F.count_if(F.col("score") == 0).alias("zeros"))
+    """Each word of the questions as a query of its own: where fewer than ten documents hold it, others fill the list."""
+    q = benchmark(spark, d).select(F.explode(T.tokenize("text")).alias("text")).distinct().select(F.col("text").alias("query_id"), "text")
+    return retrieve.bm25(index(spark, d), q, 10, fill=True).select("query_id", "doc_key", F.round("score", 6).alias("score"), "rank")
 
 
 def bm25_stemmed(spark, d):
@@ -200,7 +201,10 @@ QUERIES = {
     "vector_index_report": Query(vector_index_report, None),
     "bm25_stats": Query(bm25_stats, f"WITH {BM25} SELECT term, df, round(idf, 6) AS idf FROM idf"),
     "bm25_topk": Query(bm25_topk, f"WITH {BM25} SELECT query_id, doc_key, round(score, 6) AS score, rank FROM bm25 WHERE rank <= 10"),
-    "bm25_fill": Query(bm25_fill, f"WITH token AS (SELECT DISTINCT doc_id, unnest({s_tokens('text')}) AS term FROM documents), q AS (SELECT item_id AS query_id, unnest(list_distinct({s_tokens('split_part(text, chr(32), 3)')})) AS term FROM benchmark), m AS (SELECT query_id, count(DISTINCT doc_id) AS n FROM q JOIN token USING (term) GROUP BY ALL) SELECT item_id AS query_id, CAST(10 AS BIGINT) AS n, CAST(greatest(10 - coalesce(n, 0), 0) AS BIGINT) AS zeros FROM benchmark LEFT JOIN m ON m.query_id = item_id"),
+    "bm25_fill": Query(bm25_fill, f"""WITH {POSTINGS}, wanted AS (SELECT DISTINCT term AS query_id, term, 1 AS times FROM (SELECT unnest({s_tokens('text')}) AS term FROM benchmark)), {SCORED},
+        few AS (SELECT query_id FROM (SELECT DISTINCT query_id FROM wanted) LEFT JOIN scored USING (query_id) GROUP BY query_id HAVING count(doc_key) < 10),
+        filled AS (SELECT query_id, doc_key, score FROM scored UNION ALL SELECT query_id, doc_id, CAST(0 AS DOUBLE) FROM few, (SELECT doc_id FROM documents ORDER BY doc_id LIMIT 20) WHERE (query_id, doc_id) NOT IN (SELECT (query_id, doc_key) FROM scored))
+        SELECT query_id, doc_key, round(score, 6) AS score, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, doc_key) AS INTEGER) AS rank FROM filled) WHERE rank <= 10"""),
     "bm25_stemmed": Query(bm25_stemmed, None),
     "rrf_fusion": Query(_hybrid("rrf"), FUSED(f"coalesce({ONE} / (60 + dense_rank), 0) + coalesce({ONE} / (60 + bm25_rank), 0)", 9)),
     "linear_fusion": Query(_hybrid("linear"), FUSED(f"{HALF} * coalesce(ds, 0) + {HALF} * coalesce(ss, 0)", 6)),

@@ -57,11 +57,11 @@ def query_postprocess(spark, d):
 
 def chunk_header(spark, d):
     h = F.create_map(F.lit("lang"), "lang", F.lit("source"), "source")
-    return docs(spark, d).select("doc_id", T.header_text(h, F.left("text", F.lit(300))).alias("chunk_text"))
+    return docs(spark, d).select("doc_id", T.header_text(h, "text").alias("chunk_text"))
 
 
 def full_text(spark, d):
-    return docs(spark, d).select("doc_id", T.with_title(T.first_line("text"), F.left("text", F.lit(200))).alias("index_text"), T.with_title(T.first_line("text"), F.left("text", F.lit(200)), "\n").alias("pair_text"), T.instructed("Represent the passage:", F.left("text", F.lit(50))).alias("encoder_text"))
+    return docs(spark, d).select("doc_id", T.with_title(T.first_line("text"), "text").alias("index_text"), T.with_title(T.first_line("text"), "text", "\n").alias("pair_text"), T.instructed("Represent the passage:", "text").alias("encoder_text"))
 
 
 def truncate_text(spark, d):
@@ -85,12 +85,11 @@ def overlap_check(spark, d):
 
 
 def sentence_ends(spark, d):
-    return docs(spark, d).select("doc_id", chunk.last_sentence_end(F.left("text", F.lit(600)), F.lit(100), F.lit(500)).alias("last_end"))
+    return docs(spark, d).select("doc_id", chunk.last_sentence_end("text", F.lit(0), F.length("text")).alias("last_end"), chunk.last_sentence_end("text", F.lit(100), F.lit(500)).alias("end_in_window"))
 
 
 def noise_filter(spark, d):
-    t = F.left("text", F.lit(700))
-    return docs(spark, d).select("doc_id", chunk.is_noise(t).alias("noise"), T.count_chars("text", chunk.SEPARATORS).alias("separators"))
+    return docs(spark, d).select("doc_id", chunk.is_noise("text").alias("noise"), T.count_chars("text", chunk.SEPARATORS).alias("separators"))
 
 
 def trim_noise_edges(spark, d):
@@ -197,7 +196,7 @@ c AS (SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY s) - 1
 """
 S_NOISY = f"""(length(p) < cap AND length(p) - length(replace(p, chr(10), '')) >= 2
   OR regexp_matches(p, '{STRONG}') OR (length(p) < cap AND regexp_matches(p, '{WEAK}')) OR (length(p) < cap AND {s_count('p', chunk.SEPARATORS)} >= 3))"""
-T700 = s_strip("left(coalesce(text, ''), 700)")
+S_END = "(?s)^(.*[.!?…。！？])"
 S_IN = "list_filter([1, 2, 3, 4, 5, 6], lambda i: list_contains([1, event_id % 6, event_id % 4], i))"
 S_OUT = "list_filter([1, 2, 3, 4, 5, 6], lambda i: list_contains([event_id % 5, 3, 9], i))"
 
@@ -217,16 +216,16 @@ QUERIES = {
     "sliding_window_chunks": Query(sliding_window_chunks, f"WITH {S_WINDOWS} SELECT * FROM c"),
     "query_ids": Query(query_ids, f"WITH {ASKED} SELECT ord, query_text_norm, query_id FROM asked"),
     "query_postprocess": Query(query_postprocess, f"SELECT ord, {s_strip('left(t, 200)')} AS query_text FROM (SELECT conv_id * {TURNS} + turn AS ord, {PARTS} AS t FROM conversations WHERE role = 'user') WHERE length(t) >= 40"),
-    "chunk_header": Query(chunk_header, f"SELECT doc_id, 'lang:' || lang || ', source:' || source || chr(10) || {s_strip('left(text, 300)')} AS chunk_text FROM documents"),
-    "full_text": Query(full_text, f"SELECT doc_id, CASE WHEN t = '' THEN b ELSE t || ' ' || b END AS index_text, CASE WHEN t = '' THEN b ELSE t || chr(10) || b END AS pair_text, 'Represent the passage:' || chr(10) || left(b, 50) AS encoder_text FROM (SELECT doc_id, {s_strip('split_part(text, chr(10), 1)')} AS t, left(text, 200) AS b FROM documents)"),
+    "chunk_header": Query(chunk_header, f"SELECT doc_id, 'lang:' || lang || ', source:' || source || chr(10) || {s_strip('text')} AS chunk_text FROM documents"),
+    "full_text": Query(full_text, f"SELECT doc_id, CASE WHEN t = '' THEN b ELSE t || ' ' || b END AS index_text, CASE WHEN t = '' THEN b ELSE t || chr(10) || b END AS pair_text, 'Represent the passage:' || chr(10) || b AS encoder_text FROM (SELECT doc_id, {s_strip('split_part(text, chr(10), 1)')} AS t, text AS b FROM documents)"),
     "truncate_text": Query(truncate_text, f"SELECT doc_id, CASE WHEN length(t) <= 200 THEN t ELSE {s_rstrip('left(t, 200)')} || '…' END AS short FROM (SELECT doc_id, {PARTS} AS t FROM documents)"),
     "clamp": Query(clamp, "SELECT event_id, greatest(least(value, CAST(10 AS DOUBLE)), CAST(0 AS DOUBLE)) AS clamped, CAST(0 AS DOUBLE) AS parsed FROM events"),
     "iso_time": Query(iso_time, "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS iso, epoch_us(ts) // 1000 AS ms, strftime(ts, '%Y-%m-%d') AS run_date FROM events"),
     "overlap_check": Query(overlap_check, f"WITH {S_WINDOWS} SELECT doc_id, chunk_index, length(a) >= 120 AND length(b) >= 120 AND right(a, 120) = left(b, 120) AS same, CAST(length(a) + 1 + length(b) AS INTEGER) AS joined_chars FROM (SELECT doc_id, chunk_index, chunk_text AS a, lead(chunk_text) OVER (PARTITION BY doc_id ORDER BY chunk_index) AS b FROM c) WHERE b IS NOT NULL"),
-    "sentence_ends": Query(sentence_ends, "SELECT doc_id, CAST(list_max(list_filter(range(100, 500), lambda i: i < length(t) AND substr(t, i + 1, 1) IN ('.', '!', '?', '…', '。', '！', '？') AND (i + 1 >= length(t) OR substr(t, i + 2, 1) IN (' ', chr(10), chr(9), chr(13))))) AS INTEGER) AS last_end FROM (SELECT doc_id, left(text, 600) AS t FROM documents)"),
+    "sentence_ends": Query(sentence_ends, f"SELECT doc_id, CAST(nullif(length(regexp_extract(text, '{S_END}(?:[ \\n\\t\\r]|$)', 1)), 0) - 1 AS INTEGER) AS last_end, CAST(99 + nullif(length(regexp_extract(substr(text, 101, 401), '{S_END}' || CASE WHEN length(text) > 500 THEN '[ \\n\\t\\r]' ELSE '(?:[ \\n\\t\\r]|$)' END, 1)), 0) AS INTEGER) AS end_in_window FROM documents"),
     "noise_filter": Query(noise_filter, f"""SELECT doc_id, CASE WHEN t = '' OR length(t) < 200 THEN true WHEN length(t) < 250 AND {s_count('t', chunk.SEPARATORS)} >= 4 THEN true
         WHEN length(t) < 600 AND regexp_matches(t, '{STRONG}') THEN true WHEN length(t) < 250 AND regexp_matches(t, '{WEAK}') THEN true ELSE false END AS noise, CAST({s_count('text', chunk.SEPARATORS)} AS INTEGER) AS separators
-        FROM (SELECT doc_id, text, {T700} AS t FROM documents)"""),
+        FROM (SELECT doc_id, text, {PARTS} AS t FROM documents)"""),
     "trim_noise_edges": Query(trim_noise_edges, f"""WITH a AS (SELECT doc_id, {PARTS} AS t FROM documents), b AS (SELECT doc_id, least(120, CAST(floor(length(t) * CAST(0.35 AS DOUBLE)) AS INTEGER)) AS cap,
         list_filter(list_transform(string_split_regex(t, '{chunk.EDGE_RE}'), lambda p: {s_strip('p')}), lambda p: p <> '') AS parts FROM a),
         e AS (SELECT doc_id, cap, unnest(parts) AS p, unnest(range(len(parts))) AS i FROM b), f AS (SELECT doc_id, min(i) AS lo, max(i) AS hi FROM e WHERE NOT {S_NOISY} GROUP BY ALL)

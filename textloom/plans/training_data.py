@@ -63,7 +63,7 @@ def _documents(spark, d):
 
 def source_chunk_lookup(spark, d):
     _, q = _queries(spark, d)
-    good, bad = mining.source_chunks(q, _documents(spark, d).filter("ord % 3 <> 0"))
+    good, bad = mining.source_chunks(q, _documents(spark, d))
     return good.select("query_id", "chunk_id", F.lit(True).alias("found")).unionByName(bad.select("query_id", "chunk_id", F.lit(False).alias("found")))
 
 
@@ -183,7 +183,7 @@ def epoch_shuffle(spark, d):
 
 
 def pair_texts(spark, d):
-    pairs = epoch_pairs(spark, d).filter("type <> 'random_negative_fallback'").join(benchmark(spark, d).select(F.col("query_id").cast("string").alias("query_id"), F.col("text").alias("query_text")), "query_id")
+    pairs = epoch_pairs(spark, d).join(benchmark(spark, d).select(F.col("query_id").cast("string").alias("query_id"), F.col("text").alias("query_text")), "query_id")
     documents = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("chunk_id"), F.col("source").alias("title"), F.col("text").alias("chunk_text"))
     return rows.pair_texts(pairs, documents).select("query_text", "positive_text", "negative_text", "type")
 
@@ -211,7 +211,7 @@ def merge_queries_semantic(spark, d):
 
 def search_hits(spark, d):
     found = found_bm25(spark, d, 5)
-    return retrieve.hits(found, table(spark, d, "documents").filter("doc_id % 4 <> 0"), "doc_id", "text").select("query_id", "doc_key", "rank", F.length("chunk_text").alias("chars"))
+    return retrieve.hits(found, table(spark, d, "documents"), "doc_id", "text").select("query_id", "doc_key", "rank", F.length("chunk_text").alias("chars"))
 
 
 def model_score(spark, d):
@@ -283,7 +283,7 @@ QUERIES = {
         placed_ AS (SELECT *, (row_number() OVER (ORDER BY r.o, r.p, query_id) - 1) // 15 AS b, list_has_any({s_tokens('t')}, ['the', 'and', 'with']) AS ok FROM named),
         s AS (SELECT b, coalesce(sum(h) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM (SELECT b, count(*) FILTER (ok) AS h FROM placed_ GROUP BY b))
         SELECT query_id, t AS query_text_norm, r.c AS chunk_id, CASE WHEN ok THEN 'in' ELSE 'out' END AS domain, b AS batch FROM placed_ JOIN s USING (b) WHERE before < 40"""),
-    "source_chunk_lookup": Query(source_chunk_lookup, f"WITH {BM25} SELECT CAST(query_id AS VARCHAR) AS query_id, CAST(doc_key AS VARCHAR) AS chunk_id, doc_key % 3 <> 0 AS found FROM bm25 WHERE rank = 1"),
+    "source_chunk_lookup": Query(source_chunk_lookup, f"WITH {BM25} SELECT CAST(query_id AS VARCHAR) AS query_id, CAST(doc_key AS VARCHAR) AS chunk_id, true AS found FROM bm25 WHERE rank = 1"),
     "grounded_sources": Query(grounded_sources, f"WITH {BM25} SELECT CAST(query_id AS VARCHAR) AS query_id, list(CAST(doc_key AS VARCHAR) ORDER BY rank) AS used_ids, string_agg(text, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY rank) AS chunk_text FROM bm25 JOIN documents ON doc_id = doc_key WHERE rank <= 3 GROUP BY query_id"),
     "query_packs": Query(query_packs, None),
     "pack_lists": Query(pack_lists, f"WITH {SIMPLE} SELECT * FROM packs"),
@@ -300,12 +300,12 @@ QUERIES = {
     "judge_table": Query(judge_table, "SELECT event_type AS system, count(*) AS n, round(avg(CAST(value > 4 AS INTEGER)), 6) AS accuracy, round(avg(greatest(least(value / 10, 1), 0)), 6) AS mean_score FROM events GROUP BY event_type"),
     "qa_dataset": Query(qa_dataset, f"WITH {BM25}, q AS (SELECT CAST(query_id AS VARCHAR) AS query_id, {s_strip('b.text')} AS question, {s_strip(f'''split_part(regexp_replace({s_strip('d.text')}, '[.!?]', chr(10), 'g'), chr(10), 1)''')} AS a, [CAST(doc_key AS VARCHAR)] AS used_ids FROM bm25 JOIN benchmark b ON b.item_id = query_id JOIN documents d ON d.doc_id = doc_key WHERE rank = 1) SELECT query_id, question, CASE WHEN length(a) > 900 THEN {s_rstrip('left(a, 900)')} ELSE a END AS answer, used_ids FROM q WHERE a <> '' AND NOT contains(lower(a), 'not answerable')"),
     "epoch_shuffle": Query(epoch_shuffle, "SELECT doc_id, toxic, sha256('42002:' || doc_id) AS shuffle_key FROM labels"),
-    "pair_texts": Query(pair_texts, f"{PAIRS}, pairs AS ({PAIR_ROWS}), titled AS (SELECT CAST(doc_id AS VARCHAR) AS chunk_id, CASE WHEN title = '' THEN text ELSE title || chr(10) || text END AS t FROM (SELECT doc_id, {s_strip("coalesce(source, '')")} AS title, coalesce(text, '') AS text FROM documents)) SELECT b.text AS query_text, p.t AS positive_text, n.t AS negative_text, type FROM pairs JOIN benchmark b ON CAST(b.item_id AS VARCHAR) = query_id JOIN titled p ON p.chunk_id = positive JOIN titled n ON n.chunk_id = negative WHERE type <> 'random_negative_fallback'"),
+    "pair_texts": Query(pair_texts, f"{PAIRS}, pairs AS ({PAIR_ROWS}), titled AS (SELECT CAST(doc_id AS VARCHAR) AS chunk_id, CASE WHEN title = '' THEN text ELSE title || chr(10) || text END AS t FROM (SELECT doc_id, {s_strip("coalesce(source, '')")} AS title, coalesce(text, '') AS text FROM documents)) SELECT b.text AS query_text, p.t AS positive_text, n.t AS negative_text, type FROM pairs JOIN benchmark b ON CAST(b.item_id AS VARCHAR) = query_id JOIN titled p ON p.chunk_id = positive JOIN titled n ON n.chunk_id = negative"),
     "prune_removed": Query(prune_removed, "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)"),
     "structure_length": Query(structure_length, "SELECT doc_id, CAST(length(text) + length(lang) AS INTEGER) AS chars FROM documents"),
     "coerce_rows": Query(coerce_rows, f"SELECT CAST(doc_id AS VARCHAR) AS chunk_id, CAST(0 AS INTEGER) AS chunk_index, sha1(CASE WHEN doc_id % 3 > 0 THEN {s_norm('text')} ELSE '' END) AS chunk_text_hash, source, CAST(NULL AS VARCHAR) AS url FROM documents"),
     "merge_queries_semantic": Query(merge_queries_semantic, None),
-    "search_hits": Query(search_hits, f"WITH {BM25} SELECT query_id, doc_key, rank, CAST(length(text) AS INTEGER) AS chars FROM bm25 JOIN documents ON doc_id = doc_key WHERE rank <= 5 AND doc_key % 4 <> 0"),
+    "search_hits": Query(search_hits, f"WITH {BM25} SELECT query_id, doc_key, rank, CAST(length(text) AS INTEGER) AS chars FROM bm25 JOIN documents ON doc_id = doc_key WHERE rank <= 5"),
     "model_score": Query(model_score, "SELECT event_id, value AS score FROM events"),
     "learned_reranker": Query(learned_reranker, None),
     "event_windows": Query(event_windows, "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL"),
