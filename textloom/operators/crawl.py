@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from textloom.functions import blocks as B
 from textloom.functions import html as H
 from textloom.functions import text as T
 from textloom.functions import url as U
@@ -46,18 +47,29 @@ def links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     return each.withColumn("target", U.absolute("url", "href"))
 
 
+LEAST = 200  # characters that the main content has, or else the whole page's text counts
+
+
+def contents(pages: DataFrame, html: str = "html") -> DataFrame:
+    """pages with title and text: the main content where it has LEAST characters, else all text outside the denied elements."""
+    read = pages.withColumn("__main", B.main_content(html))
+    enough = F.length("__main.text") >= LEAST
+    title = F.when(enough & (F.col("__main.title") != ""), F.col("__main.title")).otherwise(H.title(html))
+    return read.withColumn("title", title).withColumn("text", F.when(enough, F.col("__main.text")).otherwise(H.to_text(html))).drop("__main")
+
+
 def clean(pages: DataFrame, min_chars: int = 200, run_date: str = "1970-01-01") -> DataFrame:
     """Documents of pages (url, html): ids, title, text; pages whose text is shorter than min_chars go."""
-    t = pages.select("url", T.sha256("html").alias("content_hash"), H.title("html").alias("title"), H.to_text("html").alias("text"))
+    t = contents(pages.select("url", "html")).withColumn("content_hash", T.sha256("html"))
     return t.filter(F.length("text") >= min_chars).select(T.document_id("url", "content_hash").alias("doc_id"), "url", "title", "text", "content_hash", F.lit("html").alias("content_type"), F.lit(run_date).alias("run_date"))
 
 
 def counters(pages: DataFrame, min_chars: int = 200) -> DataFrame:
     """One row: total, kept and dropped pages and errors (no html)."""
-    n = F.length(H.to_text("html"))
+    n = F.length("text")
     ok = F.col("html").isNotNull()
     one = lambda c: F.count_if(c)
-    return pages.agg(F.count("*").alias("total"), one(ok & (n >= min_chars)).alias("kept"), one(ok & (n < min_chars)).alias("dropped"), one(~ok).alias("errors"))
+    return contents(pages.select("html")).agg(F.count("*").alias("total"), one(ok & (n >= min_chars)).alias("kept"), one(ok & (n < min_chars)).alias("dropped"), one(~ok).alias("errors"))
 
 
 def _claims(found: DataFrame, max_links: int) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from textloom.functions import blocks as B
 from textloom.functions import html as H
 from textloom.functions import text as T
 from textloom.functions import url as U
@@ -40,6 +41,10 @@ def html_text(spark, d):
     return pages(spark, d).select("page_id", H.to_text("html").alias("text"))
 
 
+def main_content(spark, d):
+    return crawl.contents(pages(spark, d)).select("page_id", "title", "text")
+
+
 def html_title(spark, d):
     return pages(spark, d).select("page_id", H.title("html").alias("title"))
 
@@ -53,6 +58,17 @@ def section_chunks(spark, d):
     return chunk.split_sections(chunk.sections(pages(spark, d), "page_id"), 1000)
 
 
+def semantic_chunks(spark, d):
+    """Sections at h1 and h2 in chunks of 1,000 characters that hold tables, lists and code whole."""
+    p = pages(spark, d).select("page_id", H.title("html").alias("title"), F.posexplode(B.semantic_chunks("html", 1000)).alias("chunk_index", "c"))
+    return p.select("page_id", "title", "chunk_index", "c.header_1", "c.header_2", "c.chunk_text")
+
+
+def token_chunks(spark, d):
+    blocks = pages(spark, d).select("page_id", F.posexplode(B.outline("html")).alias("pos", "b")).select("page_id", "pos", "b.level", "b.text")
+    return chunk.token_chunks(blocks, "page_id", 256)
+
+
 def extract_links(spark, d):
     return crawl.links(pages(spark, d)).select("url", "pos", "href", "target")
 
@@ -137,6 +153,12 @@ def s_text(x: str) -> str:
     return f"array_to_string(list_filter(list_transform({lines}, lambda l: {s_strip('l')}), lambda l: l <> ''), chr(10))"
 
 
+def s_main(x: str) -> str:
+    """What the extractor gives for pages of one article of headings and paragraphs."""
+    article = f"regexp_replace(regexp_replace(regexp_extract({x}, '(?is)<article\\b[^>]*>(.*?)</article\\s*>', 1), '\\s+', ' ', 'g'), '(?i)</?b>', '', 'g')"
+    return f"CASE WHEN length({s_text(article)}) >= 200 THEN {s_text(article)} ELSE {s_text(x)} END"
+
+
 def s_title(x: str) -> str:
     return s_strip(s_unescape(f"regexp_extract({x}, '(?is)<title\\b[^>]*>(.*?)</title\\s*>', 1)"))
 
@@ -186,14 +208,17 @@ QUERIES = {
     "url_tests": Query(url_tests, f"SELECT page_id, {HOST} AS host, {HOST} = 'spam-farm.example.org' AS same_domain, {SCHEME} IN ('http', 'https') AND {HOST} <> '' AS is_http, {DROPPED} AS dropped FROM pages"),
     "crawl_admission": Query(crawl_admission, f"SELECT page_id, NOT {DROPPED} AND {HOST} = 'spam-farm.example.org' AS by_domain, NOT {DROPPED} AND {HOST} IN ('spam-farm.example.org', 'm.ththth.example.net') AS by_list, {SCHEME} IN ('http', 'https') AND {HOST} <> '' AS open FROM pages"),
     "html_text": Query(html_text, f"SELECT page_id, {s_text('html')} AS text FROM pages"),
+    "main_content": Query(main_content, f"SELECT page_id, {s_title('html')} AS title, {s_main('html')} AS text FROM pages"),
     "html_title": Query(html_title, f"SELECT page_id, {s_title('html')} AS title FROM pages"),
     "html_sections": Query(html_sections, f"""WITH p AS (SELECT page_id, string_split(regexp_replace(html, '(?is)<h[12]\\b[^>]*>', chr(1), 'g'), chr(1)) AS l FROM pages), e AS (SELECT page_id, unnest(l) AS x, CAST(unnest(range(len(l))) AS INTEGER) AS place FROM p)
         SELECT page_id, place, CASE WHEN place = 0 THEN '' ELSE {s_strip(f'''regexp_replace({s_unescape("regexp_replace(regexp_extract(x, '(?is)^(.*?)</h[12]\\s*>', 1), '(?s)<[^>]*>', ' ', 'g')")}, '[ \\t\\n\\r\\f\\x0B]+', ' ', 'g')''')} END AS header,
         {s_text("(CASE WHEN place = 0 THEN x ELSE regexp_replace(x, '(?is)^.*?</h[12]\\s*>', '') END)")} AS content FROM e"""),
     "section_chunks": Query(section_chunks, None),
+    "semantic_chunks": Query(semantic_chunks, None),
+    "token_chunks": Query(token_chunks, None),
     "extract_links": Query(extract_links, f"SELECT url, CAST(pos AS INTEGER) AS pos, href, {part(1)} || '://' || {part(2)} || href AS target FROM (SELECT url, unnest(l) AS href, unnest(range(len(l))) AS pos FROM (SELECT url, {LINKS} AS l FROM pages))"),
-    "clean_pages": Query(clean_pages, f"SELECT {s_id('url || sha256(html)')} AS doc_id, url, title, text, sha256(html) AS content_hash, 'html' AS content_type, '2024-01-01' AS run_date FROM (SELECT url, html, {s_title('html')} AS title, {s_text('html')} AS text FROM pages) WHERE length(text) >= 500"),
-    "clean_counters": Query(clean_counters, f"SELECT count(*) AS total, count(*) FILTER (n >= 1500) AS kept, count(*) FILTER (n < 1500) AS dropped, count(*) FILTER (n IS NULL) AS errors FROM (SELECT length({s_text('html')}) AS n FROM pages)"),
+    "clean_pages": Query(clean_pages, f"SELECT {s_id('url || sha256(html)')} AS doc_id, url, title, text, sha256(html) AS content_hash, 'html' AS content_type, '2024-01-01' AS run_date FROM (SELECT url, html, {s_title('html')} AS title, {s_main('html')} AS text FROM pages) WHERE length(text) >= 500"),
+    "clean_counters": Query(clean_counters, f"SELECT count(*) AS total, count(*) FILTER (n >= 1500) AS kept, count(*) FILTER (n < 1500) AS dropped, count(*) FILTER (n IS NULL) AS errors FROM (SELECT length({s_main('html')}) AS n FROM pages)"),
     "manifest_latest": Query(manifest_latest, "SELECT 'u' || user_id AS url, arg_max(event_type, event_id) AS content_hash, min(event_id) AS first_ord FROM events GROUP BY user_id"),
     "manifest_rows": Query(manifest_rows, f"SELECT url, 'raw/' || {s_id('url')} AS rel_path, 'HTML' AS content_type FROM pages WHERE length(html) > 1500 AND NOT contains(url, 'utm_')"),
     "seed_distinct": Query(seed_distinct, f"WITH e AS (SELECT page_id AS block, 0 AS place, {SCHEME} || '://' || {HOST} || '/' AS url FROM pages UNION ALL SELECT page_id, 1, 'https://' || {HOST} || '/' FROM pages) SELECT url, block, CAST(place AS INTEGER) AS place FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY block, place) AS r FROM e) WHERE r = 1"),
