@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from textloom.functions.text import col
+from textloom.functions.text import col, let
 
 
 def dot(a, b) -> Column:
@@ -23,8 +23,7 @@ def norm(a) -> Column:
 
 def l2_normalize(a, floor: float = 1e-12) -> Column:
     """The unit vector; a zero vector stays zero."""
-    n = F.greatest(norm(a), F.lit(floor))
-    return F.transform(col(a).cast("array<double>"), lambda x: x / n)
+    return let(F.greatest(norm(a), F.lit(floor)), lambda n: F.transform(col(a).cast("array<double>"), lambda x: x / n))
 
 
 def usable(v) -> Column:

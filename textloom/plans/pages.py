@@ -8,8 +8,8 @@ from textloom.functions import blocks as B
 from textloom.functions import html as H
 from textloom.functions import text as T
 from textloom.functions import url as U
-from textloom.operators import chunk, crawl
-from textloom.plans.common import Query, s_id, s_strip, table
+from textloom.operators import chunk, crawl, stages
+from textloom.plans.common import Query, s_id, s_strip, scratch, table
 
 pages = lambda spark, d: table(spark, d, "pages")
 SEED, DROP, ALLOW = "http://spam-farm.example.org/", ["utm_", "PILLS"], ["spam-farm.example.org", "m.ththth.example.net"]
@@ -81,6 +81,15 @@ def clean_counters(spark, d):
     return crawl.counters(pages(spark, d), 1500)
 
 
+def stage_counts(spark, d):
+    """What a cleaning stage observed while it wrote its rows."""
+    with stages.Stage(spark, "clean", scratch(spark, "clean")) as stage:
+        seen = stage.counted(pages(spark, d), "pages", total=F.count("*"), errors=F.count_if(F.col("html").isNull()))
+        stage.write(crawl.clean(seen, 1500), kept=F.count("*"), chars=F.sum(F.length("text")))
+    told = stages.read_json(spark, stage.stats["outputs"]["stats"])["counts"]
+    return spark.createDataFrame(sorted(told.items()), "name string, value long")
+
+
 def manifest_latest(spark, d):
     log = table(spark, d, "events").select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("url"), F.col("event_id").alias("ord"), F.col("event_type").alias("content_hash"))
     return crawl.latest(log)
@@ -219,6 +228,7 @@ QUERIES = {
     "extract_links": Query(extract_links, f"SELECT url, CAST(pos AS INTEGER) AS pos, href, {part(1)} || '://' || {part(2)} || href AS target FROM (SELECT url, unnest(l) AS href, unnest(range(len(l))) AS pos FROM (SELECT url, {LINKS} AS l FROM pages))"),
     "clean_pages": Query(clean_pages, f"SELECT {s_id('url || sha256(html)')} AS doc_id, url, title, text, sha256(html) AS content_hash, 'html' AS content_type, '2024-01-01' AS run_date FROM (SELECT url, html, {s_title('html')} AS title, {s_main('html')} AS text FROM pages) WHERE length(text) >= 500"),
     "clean_counters": Query(clean_counters, f"SELECT count(*) AS total, count(*) FILTER (n >= 1500) AS kept, count(*) FILTER (n < 1500) AS dropped, count(*) FILTER (n IS NULL) AS errors FROM (SELECT length({s_main('html')}) AS n FROM pages)"),
+    "stage_counts": Query(stage_counts, f"WITH n AS (SELECT html, length({s_main('html')}) AS n FROM pages) SELECT 'total' AS name, count(*) AS value FROM n UNION ALL SELECT 'errors', count(*) FILTER (html IS NULL) FROM n UNION ALL SELECT 'kept', count(*) FILTER (n >= 1500) FROM n UNION ALL SELECT 'chars', CAST(sum(n) FILTER (n >= 1500) AS BIGINT) FROM n"),
     "manifest_latest": Query(manifest_latest, "SELECT 'u' || user_id AS url, arg_max(event_type, event_id) AS content_hash, min(event_id) AS first_ord FROM events GROUP BY user_id"),
     "manifest_rows": Query(manifest_rows, f"SELECT url, 'raw/' || {s_id('url')} AS rel_path, 'HTML' AS content_type FROM pages WHERE length(html) > 1500 AND NOT contains(url, 'utm_')"),
     "seed_distinct": Query(seed_distinct, f"WITH e AS (SELECT page_id AS block, 0 AS place, {SCHEME} || '://' || {HOST} || '/' AS url FROM pages UNION ALL SELECT page_id, 1, 'https://' || {HOST} || '/' FROM pages) SELECT url, block, CAST(place AS INTEGER) AS place FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY block, place) AS r FROM e) WHERE r = 1"),

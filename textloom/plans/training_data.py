@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from textloom.functions import vectors as V
-from textloom.operators import answer, dedup, mining, retrieve, rows, training
+from textloom.operators import answer, dedup, mining, retrieve, rows, stages, training
 from textloom.plans.common import TURNS, CHUNK_PLACES, ASKED, BM25, CHUNKS, WS, Query, asked, benchmark, chunks, s_norm, s_rstrip, s_strip, s_tokens, scratch, table
 from textloom.plans.search import found_bm25
 from textloom.streaming import incremental
@@ -26,6 +26,13 @@ def incremental_chunks(spark, d):
     return incremental.append_new(all_, all_.filter(f"ord % {3 * CHUNK_PLACES} = 0"), "chunk_id")
 
 
+def embedding_id_map(spark, d):
+    """The id map of all chunks' vectors, as the embedding stage writes it beside the index."""
+    path = scratch(spark, "embedded")
+    stages.embed_chunks(chunks(spark, d).select("chunk_id", "chunk_text", "ord"), path)
+    return spark.read.schema("id long, chunk_id string").json(f"{path}/id_map")
+
+
 def query_batches(spark, d):
     q = asked(spark, d).select("ord", "query_id")
     return mining.batched(q, 15, ["ord"]).select("ord", "query_id", "n", F.col("batch").cast("long").alias("batch"))
@@ -273,6 +280,7 @@ QUERIES = {
     "sample_chunks": Query(sample_chunks, f"WITH {CHUNKS} SELECT chunk_id, ord FROM placed ORDER BY sha256('42:' || chunk_id), chunk_id LIMIT 300"),
     "sample_per_doc": Query(sample_per_doc, f"WITH {CHUNKS} SELECT chunk_id, doc_id, chunk_index FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY sha256('42:' || chunk_id), chunk_id) AS r FROM chunks) WHERE r <= 2"),
     "incremental_chunks": Query(incremental_chunks, f"WITH {CHUNKS} SELECT chunk_id, min(ord) AS ord FROM placed WHERE chunk_id NOT IN (SELECT chunk_id FROM placed WHERE ord % {3 * CHUNK_PLACES} = 0) GROUP BY chunk_id"),
+    "embedding_id_map": Query(embedding_id_map, f"WITH {CHUNKS} SELECT row_number() OVER (ORDER BY ord) - 1 AS id, chunk_id FROM placed"),
     "query_batches": Query(query_batches, f"WITH {ASKED}, {NUMBERED} SELECT ord, query_id, n, n // 15 AS batch FROM numbered"),
     "target_stop": Query(target_stop, f"WITH {ASKED}, {NUMBERED}, m AS (SELECT *, n // 15 AS b, list_has_any({s_tokens('text')}, ['the', 'of']) AS in_domain FROM numbered), s AS (SELECT b, 5 + coalesce(sum(h) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM (SELECT b, count(*) FILTER (in_domain) AS h FROM m GROUP BY b)) SELECT ord, query_id, in_domain FROM m JOIN s USING (b) WHERE before < 60"),
     "resume_queries": Query(resume_queries, f"WITH {ASKED} SELECT query_id, ord FROM asked WHERE query_id NOT IN (SELECT query_id FROM asked WHERE ord < {30 * TURNS})"),
