@@ -28,15 +28,29 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The same rows from a Parquet table in the shared folder, so that later scans still prune columns; it goes when the application ends."""
-    spark = df.sparkSession
+def place(spark: SparkSession, name: str) -> str:
+    """A new folder's name in the application's own part of the shared folder, which goes when the application ends."""
     own = f"{base(spark)}/textloom-tables-{spark.sparkContext.applicationId}"
     path = spark._jvm.org.apache.hadoop.fs.Path(own)
     store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not store.exists(path):
         store.mkdirs(path)
         store.deleteOnExit(path)
-    place = f"{own}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(place)
-    return spark.read.schema(df.schema).parquet(place)
+    return f"{own}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The same rows from a Parquet table in the shared folder, so that later scans still prune columns; it goes when the application ends."""
+    path = place(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def version(spark: SparkSession, path: str) -> str:
+    """What tells a table's files from later ones: their names, sizes and times."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files, out = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(at, True), []
+    while files.hasNext():
+        f = files.next()
+        out.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+    return "\n".join(sorted(out))

@@ -18,7 +18,7 @@ from pyspark.sql.window import Window
 
 from textloom.functions import text as T
 from textloom.functions import vectors as V
-from textloom.operators.lineage import stored
+from textloom.operators.lineage import place, stored
 
 K1, B, EPSILON = 1.5, 0.75, 0.25
 BLOCK = 1024
@@ -26,51 +26,100 @@ BLOCK = 1024
 
 @dataclass
 class Index:
-    """Postings (doc_key, term, tf), lengths (doc_key, len), terms (term, df, idf), totals (n_docs, avgdl); all tables."""
+    """A stored BM25 index below path.
 
-    postings: DataFrame
+    blocks   (term, range, n, max_tf, min_len, keys, tfs, lens): a term's postings among RANGE documents or so, with
+             the largest frequency and the least length among them, which bound what any of them can score
+    lengths  (doc_key, len)
+    terms    (term, df, raw): raw = ln(N - df + 0.5) - ln(df + 0.5)
+    and of all documents their number, mean length and the terms' mean raw."""
+
+    path: str
+    blocks: DataFrame
     lengths: DataFrame
-    terms: DataFrame
-    totals: DataFrame
+    raw: DataFrame
+    n_docs: int
+    n_ranges: int
+    avgdl: float
+    mean_raw: float
     tokenizer: str = "simple"
 
+    @property
+    def terms(self) -> DataFrame:
+        """(term, df, idf): where raw is below zero, idf is a quarter of its mean."""
+        return self.raw.select("term", "df", F.when(F.col("raw") < 0, F.lit(EPSILON * self.mean_raw)).otherwise(F.col("raw")).alias("idf"))
+
+
+RANGE, WIDE = 512, 64
+
 
 def exact_sum(x: Column) -> Column:
-    """The sum of doubles below 10^10 by their first 18 places, the same in any order."""
-    return F.sum(x.cast("decimal(28,18)")).cast("double")
+    """The sum of doubles at 12 places, the same in any order; for sums below a million."""
+    return F.sum(F.round(x * F.lit(1e12)).cast("long")) / F.lit(1e12)
 
 
 def term_counts(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).alias("doc_key"), F.explode(T.tokenize(text)).alias("term")).groupBy("doc_key", "term").agg(F.count("*").alias("tf"))
 
 
-def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text", postings: DataFrame | None = None, tokenizer: str = "simple") -> Index:
-    """The tables of an index; idf = ln(N - df + 0.5) - ln(df + 0.5), below zero: a quarter of the mean.
-    Postings, lengths and frequencies are stored once, so texts are read and tokenised once whatever is asked of the index."""
-    postings = stored(term_counts(docs, key, text) if postings is None else postings, "postings")
-    lengths = docs.select(F.col(key).alias("doc_key")).join(postings.groupBy("doc_key").agg(F.sum("tf").alias("len")), "doc_key", "left").select("doc_key", F.coalesce("len", F.lit(0)).alias("len"))
-    lengths = stored(lengths, "lengths")
-    totals = lengths.agg(F.count("*").alias("n_docs"), F.avg("len").alias("avgdl"))
-    raw = postings.groupBy("term").agg(F.count("*").alias("df")).join(F.broadcast(totals.select("n_docs")))  # one row
-    raw = stored(raw.select("term", "df", (F.log(F.col("n_docs") - F.col("df") + F.lit(0.5)) - F.log(F.col("df") + F.lit(0.5))).alias("raw")), "terms")
-    mean = raw.agg(F.try_divide(exact_sum(F.col("raw")), F.count("raw")).alias("mean"))  # one row
-    terms = raw.join(F.broadcast(mean)).select("term", "df", F.when(F.col("raw") < 0, F.lit(EPSILON) * F.col("mean")).otherwise(F.col("raw")).alias("idf"))
-    return Index(postings, lengths, terms, totals, tokenizer)
+def _segment(docs: DataFrame, key: str, text: str, postings: DataFrame | None, path: str, first: int, mode: str) -> int:
+    """Writes blocks and lengths of documents with distinct keys, their ranges counted from `first`; how many ranges."""
+    ranges = max(1, -(-docs.count() // RANGE))
+    if postings is None:
+        tokens = docs.select(F.col(key).alias("doc_key"), T.tokenize(text).alias("t"))
+        lengths = tokens.select("doc_key", F.size("t").cast("long").alias("len"))
+        each = tokens.select("doc_key", F.size("t").cast("long").alias("len"), F.explode("t").alias("term"), F.lit(1).cast("long").alias("tf"))
+    else:
+        lengths = docs.select(F.col(key).alias("doc_key")).join(postings.groupBy("doc_key").agg(F.sum("tf").alias("len")), "doc_key", "left").select("doc_key", F.coalesce("len", F.lit(0)).alias("len"))
+        each = postings.join(lengths.select("doc_key", "len"), "doc_key").select("doc_key", "len", "term", F.col("tf").cast("long").alias("tf"))
+    lengths.write.mode(mode).parquet(f"{path}/lengths")
+    # one shuffle: a term's part of a range is bounded by the range, so a frequent term is many places' work
+    placed = each.withColumn("range", (F.pmod(F.xxhash64("doc_key"), F.lit(ranges)) + F.lit(first)).cast("int")).repartition("term", "range")
+    counted = placed.groupBy("term", "range", "doc_key", "len").agg(F.sum("tf").alias("tf"))
+    rows = counted.groupBy("term", "range").agg(F.collect_list(F.struct("doc_key", "tf", "len")).alias("p"))
+    field = lambda name: F.transform("p", lambda x: x[name])
+    blocks = rows.select("term", "range", F.size("p").alias("n"), F.array_max(field("tf")).alias("max_tf"), F.array_min(field("len")).alias("min_len"), field("doc_key").alias("keys"), field("tf").alias("tfs"), field("len").alias("lens"))
+    blocks.sortWithinPartitions("term", "range").write.mode(mode).parquet(f"{path}/blocks")
+    return ranges
+
+
+def _totals(spark, path: str, ranges: int, tokenizer: str) -> Index:
+    """Frequencies and means of all that the index holds, written anew, and the index."""
+    docs = spark.read.parquet(f"{path}/lengths").agg(F.count("*").alias("n"), F.avg("len").alias("avgdl")).first()
+    df = spark.read.parquet(f"{path}/blocks").groupBy("term").agg(F.sum("n").alias("df"))
+    n = F.lit(docs.n)
+    df.select("term", "df", (F.log(n - F.col("df") + F.lit(0.5)) - F.log(F.col("df") + F.lit(0.5))).alias("raw")).write.mode("overwrite").parquet(f"{path}/terms")
+    mean = spark.read.parquet(f"{path}/terms").agg((F.sum(F.col("raw").cast("decimal(28,18)")) / F.count("raw")).cast("double").alias("m")).first().m
+    spark.createDataFrame([(docs.n, ranges, docs.avgdl, mean, tokenizer)], "n_docs long, n_ranges int, avgdl double, mean_raw double, tokenizer string").coalesce(1).write.mode("overwrite").parquet(f"{path}/totals")
+    return load_index(spark, path, tokenizer)
+
+
+def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text", postings: DataFrame | None = None, tokenizer: str = "simple", path: str | None = None) -> Index:
+    """Writes the index of documents with distinct keys below path (by default in the shared folder, for this
+    application) and loads it.  postings (doc_key, term, tf): counts made by another tokenizer, which is named."""
+    path = path or place(docs.sparkSession, "bm25")
+    ranges = _segment(docs, key, text, postings, path, 0, "overwrite")
+    return _totals(docs.sparkSession, path, ranges, tokenizer)
+
+
+def add_documents(index: Index, docs: DataFrame, key: str = "doc_id", text: str = "text", postings: DataFrame | None = None) -> Index:
+    """The index with more documents, whose keys it doesn't have yet: their blocks are added, frequencies and means made anew."""
+    ranges = _segment(docs, key, text, postings, index.path, index.n_ranges, "append")
+    return _totals(docs.sparkSession, index.path, index.n_ranges + ranges, index.tokenizer)
 
 
 def save_index(index: Index, path: str) -> None:
-    """The tables below a path; the tokenizer's name goes with them."""
-    for name in ("postings", "lengths", "terms"):
-        getattr(index, name).write.mode("overwrite").parquet(f"{path}/{name}")
-    index.totals.withColumn("tokenizer", F.lit(index.tokenizer)).coalesce(1).write.mode("overwrite").parquet(f"{path}/totals")
+    """A copy of the tables below another path."""
+    spark = index.blocks.sparkSession
+    for name in ("blocks", "lengths", "terms", "totals"):
+        spark.read.parquet(f"{index.path}/{name}").write.mode("overwrite").parquet(f"{path}/{name}")
 
 
 def load_index(spark, path: str, tokenizer: str = "simple") -> Index:
-    totals = spark.read.parquet(f"{path}/totals")
-    found = totals.first()["tokenizer"]
-    if found != tokenizer:
-        raise ValueError(f"the index was built by tokenizer {found!r}, not {tokenizer!r}")
-    return Index(*(spark.read.parquet(f"{path}/{n}") for n in ("postings", "lengths", "terms")), totals.drop("tokenizer"), tokenizer)
+    t = spark.read.parquet(f"{path}/totals").first()
+    if t.tokenizer != tokenizer:
+        raise ValueError(f"the index was built by tokenizer {t.tokenizer!r}, not {tokenizer!r}")
+    return Index(path, *(spark.read.parquet(f"{path}/{n}") for n in ("blocks", "lengths", "terms")), t.n_docs, t.n_ranges, t.avgdl or 0.0, t.mean_raw or 0.0, tokenizer)
 
 
 def top(rows: DataFrame, k: int, score: str = "score", places: int = 6, key: str = "doc_key", group: str = "query_id") -> DataFrame:
@@ -79,17 +128,53 @@ def top(rows: DataFrame, k: int, score: str = "score", places: int = 6, key: str
     return rows.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def bm25(index: Index, queries: DataFrame, k: int, fill: bool = False, terms: DataFrame | None = None) -> DataFrame:
+def _part(index: Index, tf: Column, length: Column) -> Column:
+    """What a term of a document adds to the score of a query."""
+    tf = tf.cast("double")
+    return F.col("times") * F.col("idf") * tf * F.lit(K1 + 1) / (tf + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * length / F.lit(index.avgdl)))
+
+
+def _scored(index: Index, meeting: DataFrame) -> DataFrame:
+    """(query_id, doc_key, score) of blocks that meet weighted terms."""
+    hits = meeting.select("query_id", "times", "idf", F.inline(F.arrays_zip(F.col("keys").alias("doc_key"), F.col("tfs").alias("tf"), F.col("lens").alias("len"))))
+    return hits.groupBy("query_id", "doc_key").agg(exact_sum(_part(index, F.col("tf"), F.col("len"))).alias("score"))
+
+
+def reachable(index: Index, weighted: DataFrame, k: int, first: int = 2) -> tuple[DataFrame, DataFrame]:
+    """(scores of the ranges read first, (query_id, range) that must be read besides) for the k best of each query.
+
+    A range's bound for a query is the sum over its terms of what their largest frequency and least length in it
+    would score.  The `first` ranges of the highest bounds are scored; a query's k-th best score there is what
+    another range's bound must reach, or no bar where there are fewer than k."""
+    bounds = index.blocks.select("term", "range", "max_tf", "min_len").join(weighted, "term")
+    bounds = bounds.groupBy("query_id", "range").agg(F.sum(F.greatest(_part(index, F.col("max_tf"), F.col("min_len")), F.lit(0.0))).alias("bound"))
+    w = Window.partitionBy("query_id").orderBy(F.col("bound").desc(), "range")
+    bounds = stored(bounds.withColumn("place", F.row_number().over(w)), "bounds")
+    early = bounds.filter(F.col("place") <= first).select("query_id", "range")
+    scores = stored(_scored(index, index.blocks.join(weighted, "term").join(early, ["query_id", "range"])), "first-scores")
+    bar = top(scores, k).filter(F.col("rank") == k).select("query_id", F.col("score").alias("bar"))
+    rest = bounds.filter(F.col("place") > first).join(bar, "query_id", "left").filter(F.col("bar").isNull() | (F.col("bound") >= F.col("bar") - F.lit(1e-5)))
+    return scores, rest.select("query_id", "range")
+
+
+def weighted_terms(index: Index, queries: DataFrame, terms: DataFrame | None = None) -> DataFrame:
+    """(query_id, term, times, idf) of queries (query_id, text) or of their terms, stored, so that Spark knows the
+    size when it chooses how they meet the blocks: few terms are sent to them, many are joined."""
+    asked = (queries.select("query_id", F.explode(T.tokenize("text")).alias("term")) if terms is None else terms).groupBy("query_id", "term").agg(F.count("*").alias("times"))
+    return stored(asked.join(index.terms.select("term", "idf"), "term"), "asked")
+
+
+def bm25(index: Index, queries: DataFrame, k: int, fill: bool = False, terms: DataFrame | None = None, bounded: bool | None = None) -> DataFrame:
     """(query_id, doc_key, score, rank) of queries (query_id, text).  A term counts as often as the query holds it.
     fill: queries with fewer than k matches also get documents of score 0, in order of key.
-    The asked terms are stored, so that Spark knows their size when it chooses how they meet the postings:
-    few of them are sent to the postings' partitions, many are joined by term."""
-    asked = (queries.select("query_id", F.explode(T.tokenize("text")).alias("term")) if terms is None else terms).groupBy("query_id", "term").agg(F.count("*").alias("times"))
-    weighted = stored(asked.join(index.terms.select("term", "idf"), "term"), "asked")
-    hits = index.postings.join(weighted, "term").join(index.lengths, "doc_key").join(F.broadcast(index.totals.select("avgdl")))  # one row
-    tf = F.col("tf").cast("double")
-    part = F.col("times") * F.col("idf") * tf * F.lit(K1 + 1) / (tf + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * F.col("len") / F.col("avgdl")))
-    scored = hits.groupBy("query_id", "doc_key").agg(exact_sum(part).alias("score"))
+    bounded: read only ranges that can reach a query's k best, which takes two more passes over the asked terms'
+    bounds; by default for indexes of WIDE ranges or more.  The rows are the same."""
+    weighted = weighted_terms(index, queries, terms)
+    if index.n_ranges >= WIDE if bounded is None else bounded:
+        early, rest = reachable(index, weighted, k)
+        scored = early.unionByName(_scored(index, index.blocks.join(weighted, "term").join(rest, ["query_id", "range"])))
+    else:
+        scored = _scored(index, index.blocks.join(weighted, "term"))
     if fill:
         short = scored.groupBy("query_id").agg(F.count("*").alias("n"))
         short = queries.select("query_id").join(short, "query_id", "left").filter(F.coalesce("n", F.lit(0)) < k).select("query_id")

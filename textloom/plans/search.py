@@ -8,6 +8,7 @@ from textloom.functions import text as T
 from textloom.functions import vectors as V
 from textloom.functions.stem import analyzed_terms
 from textloom.operators import dedup, retrieve, training, vectorindex
+from textloom.operators.lineage import version
 from textloom.plans.common import TURNS, ASKED, BM25, POSTINGS, SCORED, DENSE, VECTORS, Query, asked, benchmark, s_tokens, scratch, table
 
 NEAR, K = 0.30, 20
@@ -26,8 +27,15 @@ def every_twentieth(spark, d):
     return units(spark, d).filter("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "v")
 
 
+BUILT: dict[tuple[str, str], str] = {}  # where this application keeps the index of a table's files
+
+
 def index(spark, d):
-    return retrieve.build_index(table(spark, d, "documents").select("doc_id", "text"))
+    """The BM25 index of the documents: built once for the files as they are, then loaded."""
+    key = spark.sparkContext.applicationId, version(spark, f"{d}/documents.parquet")
+    if key not in BUILT:
+        BUILT[key] = retrieve.build_index(table(spark, d, "documents").select("doc_id", "text")).path
+    return retrieve.load_index(spark, BUILT[key])
 
 
 def document_vectors(spark, d):
