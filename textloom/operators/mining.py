@@ -40,11 +40,18 @@ def sentences(text, n: int) -> Column:
     return F.slice(F.filter(F.transform(F.split(T.safe(text), r"[.!?\n]+"), T.strip), lambda s: s != ""), 1, n)
 
 
-def generated(chunks: DataFrame, n: int = 2, min_chars: int = 12, max_chars: int = 160, max_chunk_chars: int = 2100, model: Callable[[Column, int], Column] = sentences) -> DataFrame:
-    """(query_id, query_text_norm, source_chunk_ids, chunk_ord, place) of chunks (chunk_id, chunk_text, ord): cut, too short ones dropped, normalised, one row a query_id (the first)."""
-    raw = chunks.select("chunk_id", F.col("ord").alias("chunk_ord"), F.posexplode(model(F.left("chunk_text", F.lit(max_chunk_chars)), n)).alias("place", "q"))
-    norm = T.normalize(T.query_text("q", min_chars, max_chars))
-    rows = raw.withColumn("query_text_norm", F.when(T.query_text("q", min_chars, max_chars).isNotNull(), norm)).filter("query_text_norm <> ''").withColumn("query_id", T.short_id("query_text_norm"))
+def candidates(chunks: DataFrame, n: int = 2, min_chars: int = 12, max_chars: int = 160, max_chunk_chars: int = 2100, model: Callable[[Column, int], Column] = sentences, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(query_id, query_text_norm, chunk_id, chunk_ord, place) of what a model makes of chunks (chunk_id, chunk_text, ord):
+    cut and normalised.  Too short ones have a null id, as has a row for a chunk without any."""
+    raw = chunks.select("chunk_id", F.col("ord").alias("chunk_ord"), *keep, F.posexplode_outer(model(F.left("chunk_text", F.lit(max_chunk_chars)), n)).alias("place", "q"))
+    norm = F.when(T.query_text("q", min_chars, max_chars).isNotNull(), T.normalize(T.query_text("q", min_chars, max_chars)))
+    rows = raw.withColumn("query_text_norm", F.nullif(norm, F.lit("")))
+    return rows.select(F.when(F.col("query_text_norm").isNotNull(), T.short_id("query_text_norm")).alias("query_id"), "query_text_norm", "chunk_id", "chunk_ord", "place", *keep)
+
+
+def generated(chunks: DataFrame, **options) -> DataFrame:
+    """(query_id, query_text_norm, source_chunk_ids, chunk_ord, place) of chunks: the candidates, one row a query_id (the first)."""
+    rows = candidates(chunks, **options).filter("query_id is not null")
     first = rows.groupBy("query_id", "query_text_norm").agg(F.min(F.struct("chunk_ord", "place", "chunk_id")).alias("r"))
     return first.select("query_id", "query_text_norm", F.array("r.chunk_id").alias("source_chunk_ids"), "r.chunk_ord", "r.place")
 
