@@ -8,7 +8,7 @@ from textloom.functions import vectors as V
 from textloom.operators import answer, dedup, mining, retrieve, rows, stages, training
 from textloom.plans.common import TURNS, CHUNK_PLACES, ASKED, BM25, CHUNKS, WS, Query, asked, benchmark, chunks, s_norm, s_rstrip, s_strip, s_tokens, scratch, table
 from textloom.plans.search import found_bm25
-from textloom.streaming import incremental
+from textloom.streaming import generation, incremental
 
 KEYWORDS = ["the", "of"]
 
@@ -58,6 +58,14 @@ def query_generation(spark, d):
     return mining.query_run(c, previous, target=40, cap=500, n=2).select("query_id", "query_text_norm", F.get("source_chunk_ids", F.lit(0)).alias("chunk_id"), "domain", F.col("batch").cast("long").alias("batch"))
 
 
+def query_generation_stream(spark, d):
+    """The same as a stream over parts of the sample, with its state in a checkpoint."""
+    base = scratch(spark, "generation")
+    generation.write_parts(chunks(spark, d), f"{base}/parts", cap=500, size=100)
+    out = generation.run(spark, f"{base}/parts", f"{base}/out", f"{base}/state", 40, n=2)
+    return out.select("query_id", "query_text_norm", F.get("source_chunk_ids", F.lit(0)).alias("chunk_id"), "domain", "batch")
+
+
 def _queries(spark, d):
     """Benchmark texts as queries with the document of their best match as source."""
     best = found_bm25(spark, d, 10)
@@ -276,6 +284,13 @@ PAIRS = f"""WITH {SIMPLE}, {POOL}, e AS (SELECT query_id, source_id, positives,
         r AS ({s_draws('needs', 'strict_', 43)}), f AS ({s_draws('bare', 'own', 43)})"""
 PAIR_ROWS = """SELECT query_id, positive, unnest(l) AS negative, 'hard_negative' AS type, 1 AS epoch FROM h UNION ALL
         SELECT query_id, positive, chunk_id, 'random_negative', 1 FROM needs JOIN r USING (draw, query_id) UNION ALL SELECT query_id, positive, chunk_id, 'random_negative_fallback', 1 FROM bare JOIN f USING (draw, query_id)"""
+GENERATED = f"""WITH {CHUNKS}, picked AS (SELECT chunk_id, chunk_text, ord FROM placed ORDER BY sha256('42:' || chunk_id), chunk_id LIMIT 500),
+        parts AS (SELECT *, list_filter(list_transform(string_split_regex(left(chunk_text, 2100), '[.!?\\n]+'), lambda x: {s_strip('x')}), lambda x: x <> '')[1:2] AS l FROM picked),
+        each AS (SELECT chunk_id, ord, unnest(l) AS q, unnest(range(len(l))) AS place FROM parts), fit AS (SELECT *, {s_norm(s_strip('left(q, 160)'))} AS t FROM each WHERE length(q) >= 12),
+        named AS (SELECT left(sha256(t), 24) AS query_id, t, min({{'o': ord, 'p': place, 'c': chunk_id}}) AS r FROM fit WHERE t <> '' GROUP BY ALL),
+        placed_ AS (SELECT *, (row_number() OVER (ORDER BY r.o, r.p, query_id) - 1) // 15 AS b, list_has_any({s_tokens('t')}, ['the', 'and', 'with']) AS ok FROM named),
+        s AS (SELECT b, coalesce(sum(h) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM (SELECT b, count(*) FILTER (ok) AS h FROM placed_ GROUP BY b))
+        SELECT query_id, t AS query_text_norm, r.c AS chunk_id, CASE WHEN ok THEN 'in' ELSE 'out' END AS domain, b AS batch FROM placed_ JOIN s USING (b) WHERE before < 40"""
 QUERIES = {
     "sample_chunks": Query(sample_chunks, f"WITH {CHUNKS} SELECT chunk_id, ord FROM placed ORDER BY sha256('42:' || chunk_id), chunk_id LIMIT 300"),
     "sample_per_doc": Query(sample_per_doc, f"WITH {CHUNKS} SELECT chunk_id, doc_id, chunk_index FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY sha256('42:' || chunk_id), chunk_id) AS r FROM chunks) WHERE r <= 2"),
@@ -284,13 +299,8 @@ QUERIES = {
     "query_batches": Query(query_batches, f"WITH {ASKED}, {NUMBERED} SELECT ord, query_id, n, n // 15 AS batch FROM numbered"),
     "target_stop": Query(target_stop, f"WITH {ASKED}, {NUMBERED}, m AS (SELECT *, n // 15 AS b, list_has_any({s_tokens('text')}, ['the', 'of']) AS in_domain FROM numbered), s AS (SELECT b, 5 + coalesce(sum(h) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM (SELECT b, count(*) FILTER (in_domain) AS h FROM m GROUP BY b)) SELECT ord, query_id, in_domain FROM m JOIN s USING (b) WHERE before < 60"),
     "resume_queries": Query(resume_queries, f"WITH {ASKED} SELECT query_id, ord FROM asked WHERE query_id NOT IN (SELECT query_id FROM asked WHERE ord < {30 * TURNS})"),
-    "query_generation": Query(query_generation, f"""WITH {CHUNKS}, picked AS (SELECT chunk_id, chunk_text, ord FROM placed ORDER BY sha256('42:' || chunk_id), chunk_id LIMIT 500),
-        parts AS (SELECT *, list_filter(list_transform(string_split_regex(left(chunk_text, 2100), '[.!?\\n]+'), lambda x: {s_strip('x')}), lambda x: x <> '')[1:2] AS l FROM picked),
-        each AS (SELECT chunk_id, ord, unnest(l) AS q, unnest(range(len(l))) AS place FROM parts), fit AS (SELECT *, {s_norm(s_strip('left(q, 160)'))} AS t FROM each WHERE length(q) >= 12),
-        named AS (SELECT left(sha256(t), 24) AS query_id, t, min({{'o': ord, 'p': place, 'c': chunk_id}}) AS r FROM fit WHERE t <> '' GROUP BY ALL),
-        placed_ AS (SELECT *, (row_number() OVER (ORDER BY r.o, r.p, query_id) - 1) // 15 AS b, list_has_any({s_tokens('t')}, ['the', 'and', 'with']) AS ok FROM named),
-        s AS (SELECT b, coalesce(sum(h) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM (SELECT b, count(*) FILTER (ok) AS h FROM placed_ GROUP BY b))
-        SELECT query_id, t AS query_text_norm, r.c AS chunk_id, CASE WHEN ok THEN 'in' ELSE 'out' END AS domain, b AS batch FROM placed_ JOIN s USING (b) WHERE before < 40"""),
+    "query_generation": Query(query_generation, GENERATED),
+    "query_generation_stream": Query(query_generation_stream, GENERATED),
     "source_chunk_lookup": Query(source_chunk_lookup, f"WITH {BM25} SELECT CAST(query_id AS VARCHAR) AS query_id, CAST(doc_key AS VARCHAR) AS chunk_id, true AS found FROM bm25 WHERE rank = 1"),
     "grounded_sources": Query(grounded_sources, f"WITH {BM25} SELECT CAST(query_id AS VARCHAR) AS query_id, list(CAST(doc_key AS VARCHAR) ORDER BY rank) AS used_ids, string_agg(text, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY rank) AS chunk_text FROM bm25 JOIN documents ON doc_id = doc_key WHERE rank <= 3 GROUP BY query_id"),
     "query_packs": Query(query_packs, None),
