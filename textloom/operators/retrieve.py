@@ -51,6 +51,7 @@ class Index:
 
 
 RANGE, WIDE = 512, 64
+FEW = 200_000  # asked terms that are broadcast, some 10 MB
 
 
 def exact_sum(x: Column) -> Column:
@@ -67,16 +68,18 @@ def _segment(docs: DataFrame, key: str, text: str, postings: DataFrame | None, p
     ranges = max(1, -(-docs.count() // RANGE))
     if postings is None:
         tokens = docs.select(F.col(key).alias("doc_key"), T.tokenize(text).alias("t"))
-        lengths = tokens.select("doc_key", F.size("t").cast("long").alias("len"))
-        each = tokens.select("doc_key", F.size("t").cast("long").alias("len"), F.explode("t").alias("term"), F.lit(1).cast("long").alias("tf"))
+        lengths = tokens.select("doc_key", F.size("t").alias("len"))
+        # a document's sorted tokens as runs of equal ones, so that they are counted in its row
+        runs = F.regexp_extract_all(F.array_join(F.array_sort("t"), " "), F.lit(r"([a-z0-9]+)(?: \1(?![a-z0-9]))*+"), F.lit(0))
+        run = tokens.select("doc_key", F.size("t").alias("len"), F.explode(runs).alias("run")).withColumn("term", F.substring_index("run", " ", 1))
+        each = run.select("doc_key", "len", "term", ((F.length("run") + 1) / (F.length("term") + 1)).cast("int").alias("tf"))
     else:
-        lengths = docs.select(F.col(key).alias("doc_key")).join(postings.groupBy("doc_key").agg(F.sum("tf").alias("len")), "doc_key", "left").select("doc_key", F.coalesce("len", F.lit(0)).alias("len"))
-        each = postings.join(lengths.select("doc_key", "len"), "doc_key").select("doc_key", "len", "term", F.col("tf").cast("long").alias("tf"))
+        lengths = docs.select(F.col(key).alias("doc_key")).join(postings.groupBy("doc_key").agg(F.sum("tf").alias("len")), "doc_key", "left").select("doc_key", F.coalesce("len", F.lit(0)).cast("int").alias("len"))
+        each = postings.join(lengths, "doc_key").select("doc_key", "len", "term", F.col("tf").cast("int").alias("tf"))
     lengths.write.mode(mode).parquet(f"{path}/lengths")
     # one shuffle: a term's part of a range is bounded by the range, so a frequent term is many places' work
     placed = each.withColumn("range", (F.pmod(F.xxhash64("doc_key"), F.lit(ranges)) + F.lit(first)).cast("int")).repartition("term", "range")
-    counted = placed.groupBy("term", "range", "doc_key", "len").agg(F.sum("tf").alias("tf"))
-    rows = counted.groupBy("term", "range").agg(F.collect_list(F.struct("doc_key", "tf", "len")).alias("p"))
+    rows = placed.groupBy("term", "range").agg(F.collect_list(F.struct("doc_key", "tf", "len")).alias("p"))
     field = lambda name: F.transform("p", lambda x: x[name])
     blocks = rows.select("term", "range", F.size("p").alias("n"), F.array_max(field("tf")).alias("max_tf"), F.array_min(field("len")).alias("min_len"), field("doc_key").alias("keys"), field("tf").alias("tfs"), field("len").alias("lens"))
     blocks.sortWithinPartitions("term", "range").write.mode(mode).parquet(f"{path}/blocks")
@@ -158,10 +161,11 @@ def reachable(index: Index, weighted: DataFrame, k: int, first: int = 2) -> tupl
 
 
 def weighted_terms(index: Index, queries: DataFrame, terms: DataFrame | None = None) -> DataFrame:
-    """(query_id, term, times, idf) of queries (query_id, text) or of their terms, stored, so that Spark knows the
-    size when it chooses how they meet the blocks: few terms are sent to them, many are joined."""
+    """(query_id, term, times, idf) of queries (query_id, text) or of their terms, stored and counted: up to FEW rows
+    are sent to the blocks, which then stay where they are; more are joined with them by term."""
     asked = (queries.select("query_id", F.explode(T.tokenize("text")).alias("term")) if terms is None else terms).groupBy("query_id", "term").agg(F.count("*").alias("times"))
-    return stored(asked.join(index.terms.select("term", "idf"), "term"), "asked")
+    weighted = stored(asked.join(index.terms.select("term", "idf"), "term"), "asked")
+    return F.broadcast(weighted) if weighted.count() <= FEW else weighted
 
 
 def bm25(index: Index, queries: DataFrame, k: int, fill: bool = False, terms: DataFrame | None = None, bounded: bool | None = None) -> DataFrame:
