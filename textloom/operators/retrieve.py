@@ -77,12 +77,12 @@ def _segment(docs: DataFrame, key: str, text: str, postings: DataFrame | None, p
         lengths = docs.select(F.col(key).alias("doc_key")).join(postings.groupBy("doc_key").agg(F.sum("tf").alias("len")), "doc_key", "left").select("doc_key", F.coalesce("len", F.lit(0)).cast("int").alias("len"))
         each = postings.join(lengths, "doc_key").select("doc_key", "len", "term", F.col("tf").cast("int").alias("tf"))
     lengths.write.mode(mode).parquet(f"{path}/lengths")
-    # one shuffle: a term's part of a range is bounded by the range, so a frequent term is many places' work
-    placed = each.withColumn("range", (F.pmod(F.xxhash64("doc_key"), F.lit(ranges)) + F.lit(first)).cast("int")).repartition("term", "range")
+    # one shuffle: a range is bounded, so a frequent term is many places' work, and a document's postings stay together
+    placed = each.withColumn("range", (F.pmod(F.xxhash64("doc_key"), F.lit(ranges)) + F.lit(first)).cast("int")).repartition("range")
     rows = placed.groupBy("term", "range").agg(F.collect_list(F.struct("doc_key", "tf", "len")).alias("p"))
     field = lambda name: F.transform("p", lambda x: x[name])
     blocks = rows.select("term", "range", F.size("p").alias("n"), F.array_max(field("tf")).alias("max_tf"), F.array_min(field("len")).alias("min_len"), field("doc_key").alias("keys"), field("tf").alias("tfs"), field("len").alias("lens"))
-    blocks.sortWithinPartitions("term", "range").write.mode(mode).parquet(f"{path}/blocks")
+    blocks.sortWithinPartitions("range", "term").write.mode(mode).parquet(f"{path}/blocks")
     return ranges
 
 
@@ -143,6 +143,14 @@ def _scored(index: Index, meeting: DataFrame) -> DataFrame:
     return hits.groupBy("query_id", "doc_key").agg(exact_sum(_part(index, F.col("tf"), F.col("len"))).alias("score"))
 
 
+def _meet(index: Index, weighted: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Blocks beside the terms of the queries that read their range, by pairs (query_id, range), a stored table.  Few
+    pairs and terms are sent to the blocks; else the blocks are joined by term and range."""
+    if pairs.count() <= FEW and weighted.count() <= FEW:
+        return index.blocks.join(F.broadcast(weighted), "term").join(F.broadcast(pairs), ["query_id", "range"])
+    return index.blocks.join(weighted.join(pairs, "query_id"), ["term", "range"])
+
+
 def reachable(index: Index, weighted: DataFrame, k: int, first: int = 2) -> tuple[DataFrame, DataFrame]:
     """(scores of the ranges read first, (query_id, range) that must be read besides) for the k best of each query.
 
@@ -154,10 +162,10 @@ def reachable(index: Index, weighted: DataFrame, k: int, first: int = 2) -> tupl
     w = Window.partitionBy("query_id").orderBy(F.col("bound").desc(), "range")
     bounds = stored(bounds.withColumn("place", F.row_number().over(w)), "bounds")
     early = bounds.filter(F.col("place") <= first).select("query_id", "range")
-    scores = stored(_scored(index, index.blocks.join(weighted, "term").join(early, ["query_id", "range"])), "first-scores")
+    scores = stored(_scored(index, _meet(index, weighted, early)), "first-scores")
     bar = top(scores, k).filter(F.col("rank") == k).select("query_id", F.col("score").alias("bar"))
     rest = bounds.filter(F.col("place") > first).join(bar, "query_id", "left").filter(F.col("bar").isNull() | (F.col("bound") >= F.col("bar") - F.lit(1e-5)))
-    return scores, rest.select("query_id", "range")
+    return scores, stored(rest.select("query_id", "range"), "ranges")
 
 
 def weighted_terms(index: Index, queries: DataFrame, terms: DataFrame | None = None) -> DataFrame:
@@ -176,7 +184,7 @@ def bm25(index: Index, queries: DataFrame, k: int, fill: bool = False, terms: Da
     weighted = weighted_terms(index, queries, terms)
     if index.n_ranges >= WIDE if bounded is None else bounded:
         early, rest = reachable(index, weighted, k)
-        scored = early.unionByName(_scored(index, index.blocks.join(weighted, "term").join(rest, ["query_id", "range"])))
+        scored = early.unionByName(_scored(index, _meet(index, weighted, rest)))
     else:
         scored = _scored(index, index.blocks.join(weighted, "term"))
     if fill:
