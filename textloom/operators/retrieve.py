@@ -228,7 +228,8 @@ def nearest(queries: DataFrame, corpus: DataFrame, k: int, skip_self: bool = Fal
 
     def best(batches):
         for batch in batches:
-            for r in batch.to_pylist():
+            for n in range(batch.num_rows):
+                r = batch.slice(n, 1).to_pylist()[0]
                 if not r["q_keys"] or not r["d_keys"]:
                     continue
                 a, b = np.frombuffer(r["q_matrix"]).reshape(len(r["q_keys"]), -1), np.frombuffer(r["d_matrix"]).reshape(len(r["d_keys"]), -1)

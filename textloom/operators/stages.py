@@ -92,16 +92,14 @@ def embed_chunks(chunks: DataFrame, path: str, encode: Callable[[Column], Column
     numbered anew.  Blank texts are encoded as any other; chunks with a null ord come first."""
     spark = chunks.sparkSession
     with Stage(spark, "embed_chunks", f"{path}/encoded", meta=meta) as stage:
-        numbered = mining.numbered(chunks.select("chunk_id", "chunk_text", "ord"), ["ord", "chunk_id"], "id")
-        made = stage.counted(numbered, "in", total_chunks_in=F.count("*")).select("id", "chunk_id", encode("chunk_text").alias("v")).select("id", "chunk_id", V.l2_normalize("v").alias("v"))
+        made = stage.counted(chunks.select("chunk_id", "chunk_text", "ord"), "in", total_chunks_in=F.count("*"))
+        made = made.select("chunk_id", "ord", encode("chunk_text").alias("v")).select("chunk_id", "ord", V.l2_normalize("v").alias("v"))
         encoded = stage.write(made, dim=F.max(F.size("v")))
-        removed = None
+        kept = mining.numbered(encoded, ["ord", "chunk_id"], "id").select("id", "chunk_id", "v")
         if threshold is not None:
             with stage.timed("dedup"):
-                removed = dedup.near_dedup(encoded.select("id", F.col("v").alias("embedding")), threshold, topk, path=f"{path}/dedup-index").filter("removed").select("id")
-                kept = mining.numbered(prune(encoded, removed, "id").withColumnRenamed("id", "old"), ["old"], "id").select("id", "chunk_id", "v")
-        else:
-            kept = encoded
+                removed = dedup.near_dedup(kept.select("id", F.col("v").alias("embedding")), threshold, topk, path=f"{path}/dedup-index").filter("removed").select("id")
+                kept = mining.numbered(prune(kept, removed, "id").withColumnRenamed("id", "old"), ["old"], "id").select("id", "chunk_id", "v")
         with stage.timed("vectors"):
             taken = Observation("embed_chunks.vectors")
             kept.observe(taken, F.count("*").alias("total_vectors_out")).write.mode("overwrite").parquet(f"{path}/vectors")
