@@ -20,6 +20,14 @@ def base(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of blocks (rows of half a megabyte) stay small: 8 MB in this session, or less if it says so."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name, None)
+    if now is None or not now.endswith(("k", "m")) or (now.endswith("m") and int(now[:-1]) > 8):
+        spark.conf.set(name, "8m")
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df.checkpoint() in the shared folder."""
     context = df.sparkSession.sparkContext

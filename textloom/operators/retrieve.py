@@ -18,7 +18,7 @@ from pyspark.sql.window import Window
 
 from textloom.functions import text as T
 from textloom.functions import vectors as V
-from textloom.operators.lineage import place, stored
+from textloom.operators.lineage import place, small_batches, stored
 
 K1, B, EPSILON = 1.5, 0.75, 0.25
 BLOCK = 1024
@@ -218,6 +218,7 @@ def nearest(queries: DataFrame, corpus: DataFrame, k: int, skip_self: bool = Fal
     cells as partitions holds the pairs of blocks: a block is copied along its row or column, so once for each
     root of that number; neither side is collected or broadcast.  Vectors of different lengths don't meet; a vector
     that is null, empty or holds null or non-finite components is no neighbour and has none."""
+    small_batches(queries.sparkSession)
     side = slots or max(1, math.isqrt(int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))) + 1)
     kinds = queries.schema["query_id"].dataType.simpleString(), corpus.schema["doc_key"].dataType.simpleString()
     q = queries.filter(V.usable("v")).select("query_id", F.col("v").cast("array<double>")).mapInArrow(_blocks("q"), f"q_keys array<{kinds[0]}>, q_matrix binary, dim int")

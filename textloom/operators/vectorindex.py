@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions import vectors as V
-from textloom.operators.lineage import stored
+from textloom.operators.lineage import small_batches, stored
 from textloom.operators.retrieve import nearest, top
 
 SAMPLE, CALIBRATION, MOST_LISTS = 65_536, 256, 8_192
@@ -112,6 +112,7 @@ def _pack(centroids, dims: int, seed: int):
 
 def _write(spark: SparkSession, rows: DataFrame, path: str, centroids: np.ndarray, dims: int, seed: int, first: int, mode: str) -> None:
     """vectors and lists of usable rows (doc_key, v); row numbers are fixed by the stored vectors and start at `first`."""
+    small_batches(spark)
     sent = spark.sparkContext.broadcast(centroids)
     half = (centroids * centroids).sum(1) / 2
     kind = rows.schema["doc_key"].dataType.simpleString()
@@ -262,6 +263,7 @@ def _compare(dims: int, k: int):
 def _pairs(index: VectorIndex, queries: DataFrame, probes: int | None) -> tuple[DataFrame, DataFrame]:
     """(stored queries (q, query_id, v), (q, row-blocks) that meet)."""
     spark = queries.sparkSession
+    small_batches(spark)
     good = queries.filter(V.usable("v") & (F.size("v") == index.dims)).select(F.monotonically_increasing_id().alias("q"), "query_id", F.col("v").cast("array<double>").alias("v"))
     asked = stored(good, "vector-queries")
     sent = spark.sparkContext.broadcast(index.centroids)
