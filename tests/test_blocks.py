@@ -1,6 +1,9 @@
 import random
 import re
 
+import oracle
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,3 +127,14 @@ def test_catalog_pages_have_only_their_article(spark, sf):
     for r in got:
         foot = re.search(r"<footer>(.*?)</footer>", html[r.page_id], re.S).group(1)
         assert foot.split("&middot;")[-1].strip()[:20] not in r.text or len(r.text) < 200
+
+
+def test_references_without_their_end_stay_as_in_sql(spark, tmp_path):
+    body = f"<article><h1>A&ampB &amp;&amp</h1><p>{WORDS * 3}x&lt y &lt;z&gt; &copy=1 &notit; & &amp;lt; &amp</p></article>"
+    rows = [(i, f"http://a.b/{i}", page(b, "<title>T&amp;&amp</title>")) for i, b in enumerate([body, "<p>short &amp &amp;</p>"])]
+    assert B._main(rows[0][2]) == ("T&&amp", f"A&ampB &&amp\n{WORDS * 3}x&lt y <z> &copy=1 &notit; & &lt; &amp")
+    for name in oracle.TABLES:
+        columns = list(zip(*rows, strict=True)) if name == "pages" else [(1,)] * 3
+        pq.write_table(pa.table(dict(zip(("page_id", "url", "html"), columns, strict=True))), tmp_path / f"{name}.parquet")
+    for name in ("main_content", "clean_pages", "stage_counts"):
+        assert oracle.compare(spark, str(tmp_path), CATALOG[name].run, CATALOG[name].sql) == ""
