@@ -113,3 +113,27 @@ def test_a_changed_table_is_indexed_anew(spark, tmp_path):
     assert search.index(spark, at).n_docs == 1 and search.index(spark, at).path == search.index(spark, at).path
     spark.createDataFrame([(1, "apple"), (2, "pear")], KIND).write.mode("overwrite").parquet(f"{at}/documents.parquet")
     assert search.index(spark, at).n_docs == 2
+
+def test_best_of_each_task_are_the_best_of_all(spark, monkeypatch, asked):
+    """Asked in parts, with few cells held at once and few partitions: the rows of a whole scan, of numbers and names as keys."""
+    monkeypatch.setattr(retrieve, "RANGE", 16)
+    monkeypatch.setattr(retrieve, "WIDE", 2)
+    docs = corpus(3, 300) + [(1000 + i, "w1 w2 w2 w40") for i in range(30)]
+    q = spark.createDataFrame(asked, "query_id long, text string")
+    index = retrieve.build_index(spark.createDataFrame(docs, KIND))
+    for k, few, cells in ((1, 10**6, 10**6), (10, 20, 40), (400, 10**6, 100)):
+        monkeypatch.setattr(retrieve, "FEW", few)
+        monkeypatch.setattr(retrieve, "CELLS", cells)
+        assert found(index, q, k) == brute(docs, asked, k) == found(index, q, k, bounded=False)
+    assert found(index, q, 400, fill=True) == found(index, q, 400, fill=True, bounded=False)
+    named = retrieve.build_index(spark.createDataFrame(docs, KIND).selectExpr("concat('d', doc_id + 1000) as doc_id", "text"))
+    assert {(a, int(b[1:]) - 1000, c, d) for a, b, c, d in found(named, q, 10)} == found(index, q, 10)
+    assert found(retrieve.build_index(spark.createDataFrame([(1, "a"), (2, "ÉAKelvin b-c_d, İx")], KIND)), spark.createDataFrame([(1, "kelvin d ix x")], "query_id long, text string"), 3, bounded=False)
+
+
+def test_no_pair_of_query_and_document_is_shuffled(spark, monkeypatch, asked):
+    monkeypatch.setattr(retrieve, "WIDE", 1)
+    index = retrieve.build_index(spark.createDataFrame(corpus(4, 100), KIND))
+    out = retrieve.bm25(index, spark.createDataFrame(asked, "query_id long, text string"), 5)
+    assert "HashAggregate(keys=[query_id" not in out._jdf.queryExecution().executedPlan().toString()
+    assert out.count() == len(brute(corpus(4, 100), asked, 5))
