@@ -27,3 +27,16 @@ def test_stays_in_the_engine(spark, sf, name):
 
 def test_filters_reach_the_scan(spark, sf):
     assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(role,user\)", plan(CATALOG["query_ids"].run(spark, sf)))
+
+
+@pytest.mark.parametrize("name", ["learned_reranker", "search_hits", "rerank_hits", "context_block", "grounded_sources", "pair_texts", "qa_dataset", "source_chunk_lookup", "query_packs", "direct_vs_rag", "judge_summary", "cap_negatives", "random_negatives"])
+def test_a_search_is_done_once_and_only_found_texts_are_shuffled(spark, sf, monkeypatch, name):
+    from textloom.operators import retrieve
+
+    calls, few, real = [], [], retrieve.only
+    search_ = retrieve.bm25
+    monkeypatch.setattr(retrieve, "bm25", lambda *a, **b: calls.append(1) or search_(*a, **b))
+    monkeypatch.setattr(retrieve, "only", lambda *a: few.append(real(*a)) or few[-1])
+    p = plan(CATALOG[name].run(spark, sf))
+    assert len(calls) == 1 and "keys:array" not in p  # the plan reads the stored answers, not the index
+    assert all("BroadcastHashJoin" in plan(f) and "LeftSemi" in plan(f) for f in few) and (few or name in ("cap_negatives", "random_negatives"))
