@@ -376,3 +376,23 @@ def test_every_draw_finds_a_chunk(spark):
         got.setdefault(r.query_id, []).append(int(r.chunk_id[1:]))
     assert {q: len(v) for q, v in got.items()} == {"few": 60, "one": 60, "all": 60}
     assert set(got["few"]) == {7, 150} and set(got["one"]) == {0} and len(set(got["all"])) > 40
+
+
+def test_a_cell_gives_k_rows_a_query_and_the_grid_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(retrieve, "BLOCK", 4)
+    monkeypatch.setattr(retrieve, "HELD", 2)
+    rng = random.Random(8)
+    vectors = [[float(rng.randrange(3)), float(rng.randrange(3)), 1.0] for _ in range(60)]  # many ties
+    for name in (int, lambda i: f"k{i:03}"):
+        rows = [(name(i), v) for i, v in enumerate(vectors)]
+        kind = "bigint" if name is int else "string"
+        docs, q = spark.createDataFrame(rows, f"doc_key {kind}, v array<double>"), spark.createDataFrame(rows[:9], f"query_id {kind}, v array<double>")
+        want = {(a, b, r + 1) for a, x in rows[:9] for r, (_, b) in enumerate(sorted((-sum(s * t for s, t in zip(x, y, strict=True)), b) for b, y in rows if b != a)[:5])}
+        for slots in (None, 1, 3):
+            assert {(r.query_id, r.doc_key, r["rank"]) for r in retrieve.nearest(q, docs, 5, skip_self=True, slots=slots).collect()} == want
+    seen = []
+    monkeypatch.setattr(retrieve, "top", lambda rows, k: seen.append(rows) or rows.withColumn("rank", F.lit(1)))
+    monkeypatch.setattr(retrieve, "HELD", 32)
+    retrieve.nearest(q, docs, 5, slots=1)
+    assert seen[0].count() == 9 * 5  # 15 blocks were searched
+    assert retrieve.grid(200, 10**7, 600) == (1, 144) and retrieve.grid(10**6, 10**6, 600) == (12, 12) and retrieve.grid(10**6, 10**6, 12)[0] * retrieve.grid(10**6, 10**6, 12)[1] <= 16 and retrieve.grid(0, 0, 1) == (1, 1)
