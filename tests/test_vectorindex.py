@@ -137,3 +137,11 @@ def test_usable(spark):
     df = spark.createDataFrame([(None,), ([],), ([1.0, None],), ([float("nan")],), ([float("-inf")],), ([0.0],)], "v array<double>")
     assert [r.ok for r in df.select(V.usable("v").alias("ok")).collect()] == [False] * 5 + [True]
     assert df.select(F.count_if(V.usable("v")).alias("n")).first().n == 1
+
+
+def test_queries_made_by_python_are_not_broadcast(spark, index):
+    x, rows, i = index
+    _, pairs = vectorindex._pairs(i, asked(x, spark), None)
+    found = retrieve.nearest(asked(x, spark), rows, 3)
+    for plan in (p._jdf.queryExecution().executedPlan().toString() for p in (pairs, found)):
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan

@@ -268,7 +268,7 @@ def _pairs(index: VectorIndex, queries: DataFrame, probes: int | None) -> tuple[
     asked = stored(good, "vector-queries")
     sent = spark.sparkContext.broadcast(index.centroids)
     probed = asked.select("q", "v").mapInArrow(_probe(sent, probes or index.probes, index.dims, index.seed), "list int, q binary, turned binary, base binary")
-    return asked, probed.join(index.lists, "list")
+    return asked, probed.join(index.lists.hint("merge"), "list")  # Spark takes what Python makes of the queries for small and would broadcast it
 
 
 def search(index: VectorIndex, queries: DataFrame, k: int, probes: int | None = None, rerank: int | None = None, skip_self: bool = False) -> DataFrame:
