@@ -145,3 +145,34 @@ def test_queries_made_by_python_are_not_broadcast(spark, index):
     found = retrieve.nearest(asked(x, spark), rows, 3)
     for plan in (p._jdf.queryExecution().executedPlan().toString() for p in (pairs, found)):
         assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_few_rows_of_a_query_leave_a_task(spark, index, monkeypatch):
+    x, rows, ix = index
+    q = asked(x, spark, 10)
+    n, k, lists = q.count(), 30, len(ix.centroids)
+    a, pairs = vectorindex._pairs(ix, q, lists)
+    near = vectorindex._near(ix, a, pairs, lists, k)
+    assert "turned" not in near._jdf.queryExecution().executedPlan().toString()  # no query's vector for each list
+    assert n * k <= near.count() <= n * k * 8  # 8 partitions
+    a, pairs = vectorindex._pairs(ix, q, 6)
+    monkeypatch.setattr(vectorindex, "HELD", 500)
+    assert vectorindex._near(ix, a, pairs, 6, k).count() < 0.5 * sum(r.n for r in pairs.select((F.length("q") / 8 * F.length("rows") / 8).alias("n")).collect())
+
+
+@pytest.mark.parametrize("probes", [3, 40, 54])
+def test_both_ways_take_the_best_codes(spark, index, probes):
+    x, rows, ix = index
+    q = asked(x, spark, 300)
+    a, pairs = vectorindex._pairs(ix, q, probes)
+    got = retrieve.top(vectorindex._near(ix, a, pairs, probes, 25), 25, places=12, key="row", group="q").select("q", "row").collect()
+    turn, blocks = vectorindex._rotation(ix.dims, ix.seed), {}
+    for r in ix.lists.collect():
+        n = np.frombuffer(r.rows, "<i8")
+        blocks.setdefault(r.list, []).append((n, vectorindex.unpack_codes(np.frombuffer(r.codes, np.uint8).reshape(len(n), -1), np.frombuffer(r.scales, "<f4"), ix.dims)))
+    for r in a.collect():
+        v = np.array(r.v)
+        with_c = ix.centroids @ v
+        score = {int(i): s for at in np.argsort(-with_c, kind="stable")[:probes] for n, codes in blocks[at] for i, s in zip(n, codes @ (v @ turn) + with_c[at])}
+        mine = [score[g.row] for g in got if g.q == r.q]
+        assert np.allclose(sorted(mine, reverse=True), sorted(score.values(), reverse=True)[:25], atol=1e-6)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions import vectors as V
 from textloom.operators.lineage import small_batches, stored
-from textloom.operators.retrieve import nearest, top
+from textloom.operators.retrieve import grid, nearest, top
 
 SAMPLE, CALIBRATION, MOST_LISTS = 65_536, 256, 8_192
 BLOCK, HELD = 1024, 1 << 19
@@ -226,49 +226,140 @@ def _best(q, row, score, k: int):
     return keep
 
 
+class _Kept:
+    """Each query's k best of the rows given so far.  A query's bar is a score that k of its rows reach, so a row below it is no longer taken."""
+
+    def __init__(self, k: int):
+        self.k, self.parts, self.n, self.asked, self.bars = k, [], 0, np.empty(0, np.int64), np.empty(0)
+
+    def add(self, q, row, score) -> None:
+        """Scores of distinct queries (down) and rows (across)."""
+        at = np.minimum(np.searchsorted(self.asked, q), max(0, len(self.asked) - 1))
+        bar = np.where(self.asked[at] == q, self.bars[at], -np.inf) if len(self.asked) else np.full(len(q), -np.inf)
+        if self.k < len(row):
+            some = np.argpartition(-score, self.k - 1, axis=1)[:, : self.k]
+            row, score = row[some], np.take_along_axis(score, some, 1)
+        else:
+            row = np.broadcast_to(row, score.shape)
+        fit = score >= bar[:, None]
+        self.parts.append((np.repeat(q, fit.sum(1)), row[fit], score[fit].astype(np.float64)))
+        self.n += len(self.parts[-1][0])
+
+    def merge(self) -> None:
+        q, row, score = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+        at = _best(q, row, score, self.k)
+        q, row, score = q[at], row[at], score[at]
+        ends = np.r_[np.flatnonzero(q[1:] != q[:-1]), len(q) - 1] if len(q) else np.empty(0, np.int64)
+        full = ends[np.diff(np.r_[-1, ends]) == self.k]
+        asked, bars = np.r_[self.asked, q[full]], np.r_[self.bars, score[full]]
+        order = np.lexsort((-bars, asked))  # the higher of a query's two bars comes first
+        self.asked, first = np.unique(asked[order], return_index=True)
+        self.bars, self.parts, self.n = bars[order][first], [(q, row, score)], len(q)
+
+    def out(self):
+        """What is held, as batches; the bars stay."""
+        if self.parts:
+            self.merge()
+            rows, self.parts, self.n = self.parts[0], [], 0
+            for i in range(0, len(rows[0]), 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(x[i : i + (1 << 16)]) for x in rows], ["q", "row", "score"])
+
+
+def _block(batch, i: int, dims: int):
+    row = np.frombuffer(batch.column("rows")[i].as_py(), "<i8")
+    return row, unpack_codes(np.frombuffer(batch.column("codes")[i].as_py(), np.uint8).reshape(len(row), -1), np.frombuffer(batch.column("scales")[i].as_py(), "<f4"), dims)
+
+
 def _compare(dims: int, k: int):
     """Of pairs of a list's queries and one of its blocks: each query's k best rows by code, over all that a task sees."""
 
     def run(batches):
-        held, n, after = [], 0, 0
+        kept, more = _Kept(k), HELD
+        for batch in batches:
+            for i in range(batch.num_rows):
+                q, turned, base = (np.frombuffer(batch.column(n)[i].as_py(), t) for n, t in (("q", "<i8"), ("turned", "<f4"), ("base", "<f8")))
+                row, x = _block(batch, i, dims)
+                kept.add(q, row, turned.reshape(len(q), dims) @ x.T + base[:, None])
+                if kept.n > more:
+                    kept.merge()
+                    if kept.n > HELD:  # very many queries: what they have so far goes on as it is
+                        yield from kept.out()
+                    more = kept.n + HELD
+        yield from kept.out()
 
-        def merged():
-            q, row, score = (np.concatenate(x) for x in zip(*held, strict=True))
-            at = _best(q, row, score, k)
-            return q[at], row[at], score[at]
+    return run
 
-        def out(rows):
-            for i in range(0, len(rows[0]), 1 << 16):
-                yield pa.RecordBatch.from_arrays([pa.array(x[i : i + (1 << 16)]) for x in rows], ["q", "row", "score"])
 
+def _bundles(most: int):
+    """Rows (q, v) as bundles of at most `most` queries."""
+
+    def run(batches):
+        for batch in batches:
+            for i in range(0, batch.num_rows, most):
+                part = batch.slice(i, most)
+                yield pa.RecordBatch.from_arrays([pa.array([np.asarray(part.column("q"), "<i8").tobytes()], pa.binary()), pa.array([_matrix(part.column("v")).astype("<f8").tobytes()], pa.binary())], ["q", "v"])
+
+    return run
+
+
+def _compare_bundles(centroids, probes: int, dims: int, seed: int, k: int):
+    """Of pairs of a bundle and a block: each query's k best rows by code in the lists that it probes.  A bundle's pairs follow each other, as the
+    join streams them; k rows of a query leave the task."""
+
+    def run(batches):
+        c, turn, now, kept = centroids.value, _rotation(dims, seed), None, _Kept(k)
         for batch in batches:
             for i in range(batch.num_rows):
-                r = batch.slice(i, 1).to_pylist()[0]
-                q, row = np.frombuffer(r["q"], "<i8"), np.frombuffer(r["rows"], "<i8")
-                x = unpack_codes(np.frombuffer(r["codes"], np.uint8).reshape(len(row), -1), np.frombuffer(r["scales"], "<f4"), dims)
-                score = np.frombuffer(r["turned"], "<f4").reshape(len(q), dims) @ x.T + np.frombuffer(r["base"], "<f8")[:, None]
-                some = np.argpartition(-score, min(k, len(row)) - 1, axis=1)[:, :k]
-                held.append((np.repeat(q, some.shape[1]), row[some].ravel(), np.take_along_axis(score, some, 1).ravel().astype(np.float64)))
-                n += some.size
-                if n > HELD:
-                    held, n = [merged()], 0
-                    if len(held[0][0]) > HELD:  # very many queries: what they have so far goes on as it is
-                        yield from out(held.pop())
-        if held:
-            yield from out(merged())
+                if (name := batch.column("q")[i].as_py()) != now:
+                    yield from kept.out()
+                    now, kept, q = name, _Kept(k), np.frombuffer(name, "<i8")
+                    x = np.frombuffer(batch.column("v")[i].as_py(), "<f8").reshape(len(q), dims)
+                    with_c, turned, more = x @ c.T, (x @ turn).astype("<f4"), HELD
+                    first = np.argsort(-with_c, axis=1, kind="stable")[:, :probes]
+                    probed = np.zeros(with_c.shape, bool)
+                    np.put_along_axis(probed, first, True, 1)
+                at = batch.column("list")[i].as_py()
+                who = np.flatnonzero(probed[:, at])
+                if len(who):
+                    row, y = _block(batch, i, dims)
+                    kept.add(q[who], row, turned[who] @ y.T + with_c[who, at][:, None])
+                    if kept.n > more:
+                        kept.merge()
+                        more = kept.n + HELD
+        yield from kept.out()
 
     return run
 
 
 def _pairs(index: VectorIndex, queries: DataFrame, probes: int | None) -> tuple[DataFrame, DataFrame]:
     """(stored queries (q, query_id, v), (q, row-blocks) that meet)."""
-    spark = queries.sparkSession
-    small_batches(spark)
+    small_batches(queries.sparkSession)
     good = queries.filter(V.usable("v") & (F.size("v") == index.dims)).select(F.monotonically_increasing_id().alias("q"), "query_id", F.col("v").cast("array<double>").alias("v"))
     asked = stored(good, "vector-queries")
+    return asked, _probed(index, asked, probes or index.probes).join(index.lists.hint("merge"), "list")  # Spark takes what Python makes of the queries for small and would broadcast it
+
+
+def _probed(index: VectorIndex, asked: DataFrame, probes: int) -> DataFrame:
+    sent = asked.sparkSession.sparkContext.broadcast(index.centroids)
+    return asked.select("q", "v").mapInArrow(_probe(sent, probes, index.dims, index.seed), "list int, q binary, turned binary, base binary")
+
+
+def _near(index: VectorIndex, asked: DataFrame, pairs: DataFrame, probes: int, k: int) -> DataFrame:
+    """(q, row, score): by code the k best rows of each query are among them.  Where few lists are probed, a list's queries meet
+    its blocks.  Where half of them are or more, a query's vector would be sent for each list: bundles of queries and blocks then
+    meet in a bounded grid instead, as in nearest()."""
+    spark, kind = asked.sparkSession, "q long, row long, score double"
+    if 2 * probes < len(index.centroids):
+        return pairs.mapInArrow(_compare(index.dims, k), kind)
+    n = asked.count()
+    most = max(1, min(BLOCK, HELD // k))
+    down, across = grid(n * (8 * index.dims + 24 * k), index.n_rows * (index.dims // 2 + 12), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    bundles = asked.select("q", "v").mapInArrow(_bundles(min(most, max(1, -(-n // down)))), "q binary, v binary")
+    bundles = bundles.withColumn("down", F.pmod(F.xxhash64("q"), F.lit(down)).cast("int")).withColumn("across", every(across))
+    blocks = index.lists.withColumn("across", F.pmod(F.xxhash64("rows"), F.lit(across)).cast("int")).withColumn("down", every(down))
     sent = spark.sparkContext.broadcast(index.centroids)
-    probed = asked.select("q", "v").mapInArrow(_probe(sent, probes or index.probes, index.dims, index.seed), "list int, q binary, turned binary, base binary")
-    return asked, probed.join(index.lists.hint("merge"), "list")  # Spark takes what Python makes of the queries for small and would broadcast it
+    return bundles.join(blocks.hint("merge"), ["down", "across"]).mapInArrow(_compare_bundles(sent, probes, index.dims, index.seed, k), kind)
 
 
 def search(index: VectorIndex, queries: DataFrame, k: int, probes: int | None = None, rerank: int | None = None, skip_self: bool = False) -> DataFrame:
@@ -279,8 +370,7 @@ def search(index: VectorIndex, queries: DataFrame, k: int, probes: int | None =
     if wanted < k + skip_self:
         raise ValueError("rerank is at least k, and one more where the row itself is left out")
     asked, pairs = _pairs(index, queries, probes)
-    near = pairs.mapInArrow(_compare(index.dims, wanted), "q long, row long, score double")
-    near = top(near, wanted, places=12, key="row", group="q").select("q", "row")
+    near = top(_near(index, asked, pairs, probes or index.probes, wanted), wanted, places=12, key="row", group="q").select("q", "row")
     full = near.join(index.vectors.select("row", "doc_key", F.col("v").alias("w")), "row").join(asked, "q")
     if skip_self:
         full = full.filter(F.col("query_id") != F.col("doc_key"))
