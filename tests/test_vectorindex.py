@@ -176,3 +176,11 @@ def test_both_ways_take_the_best_codes(spark, index, probes):
         score = {int(i): s for at in np.argsort(-with_c, kind="stable")[:probes] for n, codes in blocks[at] for i, s in zip(n, codes @ (v @ turn) + with_c[at])}
         mine = [score[g.row] for g in got if g.q == r.q]
         assert np.allclose(sorted(mine, reverse=True), sorted(score.values(), reverse=True)[:25], atol=1e-6)
+
+
+def test_a_report_counts_pairs_by_list(spark, index):
+    x, rows, ix = index
+    q = asked(x, spark, 10)
+    a, pairs = vectorindex._pairs(ix, q, 5)
+    got = vectorindex._compared(ix, a, 5)
+    assert got.first().codes == sum(len(r.q) * len(r.rows) / 64 for r in pairs.select("q", "rows").collect())

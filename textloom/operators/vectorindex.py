@@ -362,6 +362,13 @@ def _near(index: VectorIndex, asked: DataFrame, pairs: DataFrame, probes: int, k
     return bundles.join(blocks.hint("merge"), ["down", "across"]).mapInArrow(_compare_bundles(sent, probes, index.dims, index.seed, k), kind)
 
 
+def _compared(index: VectorIndex, asked: DataFrame, probes: int) -> DataFrame:
+    """One row: how many pairs of a query and a row have their codes compared, from each list's queries and rows; no vector is shuffled."""
+    ours = _probed(index, asked, probes).groupBy("list").agg(F.sum(F.length("q") / 8).alias("n_queries"))
+    theirs = index.lists.groupBy("list").agg(F.sum(F.length("rows") / 8).alias("n_rows"))
+    return ours.join(theirs, "list").agg(F.sum(F.col("n_queries") * F.col("n_rows")).alias("codes"))
+
+
 def search(index: VectorIndex, queries: DataFrame, k: int, probes: int | None = None, rerank: int | None = None, skip_self: bool = False) -> DataFrame:
     """(query_id, doc_key, score, rank) of queries (query_id, v), as retrieve.nearest gives them, for the rows that are
     found.  probes: how many lists a query reads (the measured number by default); rerank: how many rows of a query
@@ -380,9 +387,9 @@ def search(index: VectorIndex, queries: DataFrame, k: int, probes: int | None =
 def report(index: VectorIndex, queries: DataFrame, k: int, probes: int | None = None, rerank: int | None = None) -> DataFrame:
     """One row: indexed rows, queries, recall of search against a whole scan, and the shares of all pairs of a query
     and a row whose codes were compared and which were scored in full."""
-    asked, pairs = _pairs(index, queries, probes)
+    asked, _ = _pairs(index, queries, probes)
     wanted = rerank or max(4 * k, 40)
-    codes = pairs.agg(F.sum((F.length("q") / 8) * (F.length("rows") / 8)).alias("codes"))
+    codes = _compared(index, asked, probes or index.probes)
     exact = nearest(queries, index.vectors.select("doc_key", "v"), k).select("query_id", "doc_key")
     found = search(index, queries, k, probes, rerank).select("query_id", "doc_key")
     hit = exact.join(found, ["query_id", "doc_key"], "left_semi").agg(F.count("*").alias("hit"))
