@@ -184,3 +184,32 @@ def test_a_report_counts_pairs_by_list(spark, index):
     a, pairs = vectorindex._pairs(ix, q, 5)
     got = vectorindex._compared(ix, a, 5)
     assert got.first().codes == sum(len(r.q) * len(r.rows) / 64 for r in pairs.select("q", "rows").collect())
+
+
+def test_found_pairs_are_scored_without_their_vectors_in_a_row(spark, index):
+    """A vector goes to the cells of a bounded grid, not to each pair."""
+    x, rows, ix = index
+    q = asked(x, spark, 7).withColumn("query_id", F.substring("query_id", 2, 9).cast("int"))  # keys of two types
+    a, pairs = vectorindex._pairs(ix, q, 6)
+    near = retrieve.top(vectorindex._near(ix, a, pairs, 6, 40), 40, places=12, key="row", group="q").select("q", "row").localCheckpoint()
+    joined = near.join(ix.vectors.select("row", "doc_key", F.col("v").alias("w")), "row").join(a, "q").select("query_id", "doc_key", V.dot("v", "w").alias("score"))
+    full = vectorindex._in_full(ix, a, near)
+    assert full.dtypes == joined.dtypes and sorted(map(tuple, full.collect())) == sorted(map(tuple, joined.collect()))  # to the last bit
+    plan = vectorindex.search(ix, q, 5, probes=40)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+
+
+def test_many_queries_of_few_lists_meet_in_the_grid(spark, index, monkeypatch):
+    x, rows, ix = index
+    q = asked(x, spark, 2)
+    want = sorted(map(tuple, vectorindex.search(ix, q, 5, probes=20).collect()))
+    monkeypatch.setattr(vectorindex, "SENT", 0)
+    a, pairs = vectorindex._pairs(ix, q, 20)
+    assert "turned" not in vectorindex._near(ix, a, pairs, 20, 40)._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, vectorindex.search(ix, q, 5, probes=20).collect())) == want
+
+
+def test_no_list_is_empty(spark, tmp_path):
+    x = np.repeat(clustered(30), 10, axis=0)  # more centroids than distinct rows
+    ix = vectorindex.build_vector_index(table(spark, x), f"file://{tmp_path}/v", n_lists=60)
+    assert {r["list"] for r in ix.lists.collect()} == set(range(len(ix.centroids)))

@@ -16,6 +16,7 @@ Centroids reach every task: at most MOST_LISTS of them, whatever the rows.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,6 +32,8 @@ from textloom.operators.retrieve import grid, nearest, top
 
 SAMPLE, CALIBRATION, MOST_LISTS = 65_536, 256, 8_192
 BLOCK, HELD = 1024, 1 << 19
+SENT = 1 << 30  # bytes that a search by lists may send whatever a grid takes
+CELL, LEAST_SIDE, MOST_SIDE = 1 << 26, 4, 12  # of the grid in which found pairs are scored in full
 
 
 @dataclass
@@ -162,7 +165,11 @@ def build_vector_index(rows: DataFrame, path: str, n_lists: int | None = None, k
     lists = min(n_lists or max(1, math.isqrt(n)), MOST_LISTS, max(n, 1))
     if n:
         sample = stored(_sampled(good, SAMPLE, n, seed).select(array_to_vector("v").alias("features")), "index-sample")
-        centroids = np.array(KMeans(k=lists, initMode="random", maxIter=8, seed=seed).fit(sample).clusterCenters()) if lists > 1 else np.zeros((1, dims))
+        centroids = np.zeros((1, dims))
+        if lists > 1:
+            model = KMeans(k=lists, initMode="random", maxIter=8, seed=seed).fit(sample)
+            centers = np.array(model.clusterCenters())  # fewer than asked where rows repeat
+            centroids = centers[np.array(model.summary.clusterSizes[: len(centers)]) > 0]  # an empty list would only take up probes
     else:
         centroids = np.zeros((0, dims))
     _write(spark, good, path, centroids, dims, seed, 0, "overwrite")
@@ -236,14 +243,15 @@ class _Kept:
         """Scores of distinct queries (down) and rows (across)."""
         at = np.minimum(np.searchsorted(self.asked, q), max(0, len(self.asked) - 1))
         bar = np.where(self.asked[at] == q, self.bars[at], -np.inf) if len(self.asked) else np.full(len(q), -np.inf)
-        if self.k < len(row):
-            some = np.argpartition(-score, self.k - 1, axis=1)[:, : self.k]
-            row, score = row[some], np.take_along_axis(score, some, 1)
-        else:
-            row = np.broadcast_to(row, score.shape)
-        fit = score >= bar[:, None]
-        self.parts.append((np.repeat(q, fit.sum(1)), row[fit], score[fit].astype(np.float64)))
-        self.n += len(self.parts[-1][0])
+        fit = score >= bar[:, None]  # few pass a bar, so only what is left is ranked
+        many = np.flatnonzero(np.count_nonzero(fit, axis=1) > self.k)
+        if len(many):
+            best = np.argpartition(-score[many], self.k - 1, axis=1)[:, : self.k]
+            fit[many] = False
+            fit[many[:, None], best] = True
+        down, across = np.divmod(np.flatnonzero(fit), fit.shape[1])
+        self.parts.append((q[down], row[across], score[down, across].astype(np.float64)))
+        self.n += len(down)
 
     def merge(self) -> None:
         q, row, score = (np.concatenate(x) for x in zip(*self.parts, strict=True))
@@ -303,30 +311,35 @@ def _bundles(most: int):
 
 
 def _compare_bundles(centroids, probes: int, dims: int, seed: int, k: int):
-    """Of pairs of a bundle and a block: each query's k best rows by code in the lists that it probes.  A bundle's pairs follow each other, as the
-    join streams them; k rows of a query leave the task."""
+    """Of a cell's blocks (kind 0) and bundles (kind 1), in this order: each query's k best rows by code in the lists that it probes.
+    The cell's blocks are held as they are stored; k rows of a query leave the task."""
 
     def run(batches):
-        c, turn, now, kept = centroids.value, _rotation(dims, seed), None, _Kept(k)
+        c, turn, now = centroids.value, _rotation(dims, seed), None
         for batch in batches:
             for i in range(batch.num_rows):
-                if (name := batch.column("q")[i].as_py()) != now:
-                    yield from kept.out()
-                    now, kept, q = name, _Kept(k), np.frombuffer(name, "<i8")
-                    x = np.frombuffer(batch.column("v")[i].as_py(), "<f8").reshape(len(q), dims)
-                    with_c, turned, more = x @ c.T, (x @ turn).astype("<f4"), HELD
-                    first = np.argsort(-with_c, axis=1, kind="stable")[:, :probes]
-                    probed = np.zeros(with_c.shape, bool)
-                    np.put_along_axis(probed, first, True, 1)
-                at = batch.column("list")[i].as_py()
-                who = np.flatnonzero(probed[:, at])
-                if len(who):
-                    row, y = _block(batch, i, dims)
-                    kept.add(q[who], row, turned[who] @ y.T + with_c[who, at][:, None])
-                    if kept.n > more:
-                        kept.merge()
-                        more = kept.n + HELD
-        yield from kept.out()
+                if (cell := batch.column("cell")[i].as_py()) != now:
+                    now, blocks = cell, []
+                if batch.column("kind")[i].as_py() == 0:
+                    blocks.append(batch.slice(i, 1))
+                    continue
+                kept, q = _Kept(k), np.frombuffer(batch.column("q")[i].as_py(), "<i8")
+                x = np.frombuffer(batch.column("v")[i].as_py(), "<f8").reshape(len(q), dims)
+                with_c, turned = x @ c.T, (x @ turn).astype("<f4")
+                first = np.argsort(-with_c, axis=1, kind="stable")[:, :probes]
+                probed = np.zeros(with_c.shape, bool)
+                np.put_along_axis(probed, first, True, 1)
+                more = step = min(HELD, 3 * k * len(q))  # the first bars come early
+                for held in blocks:
+                    at = held.column("list")[0].as_py()
+                    who = np.flatnonzero(probed[:, at])
+                    if len(who):
+                        row, y = _block(held, 0, dims)
+                        kept.add(q[who], row, turned[who] @ y.T + with_c[who, at][:, None])
+                        if kept.n > more:
+                            kept.merge()
+                            more = kept.n + step
+                yield from kept.out()
 
     return run
 
@@ -346,20 +359,91 @@ def _probed(index: VectorIndex, asked: DataFrame, probes: int) -> DataFrame:
 
 def _near(index: VectorIndex, asked: DataFrame, pairs: DataFrame, probes: int, k: int) -> DataFrame:
     """(q, row, score): by code the k best rows of each query are among them.  Where few lists are probed, a list's queries meet
-    its blocks.  Where half of them are or more, a query's vector would be sent for each list: bundles of queries and blocks then
-    meet in a bounded grid instead, as in nearest()."""
+    its blocks.  Where half of them are or more, or what is sent for each list is much and more than a grid takes: bundles of queries
+    and blocks then meet in a bounded grid instead, as in nearest()."""
     spark, kind = asked.sparkSession, "q long, row long, score double"
-    if 2 * probes < len(index.centroids):
-        return pairs.mapInArrow(_compare(index.dims, k), kind)
     n = asked.count()
+    query, block = n * (8 * index.dims + 24 * k), index.n_rows * (index.dims // 2 + 12)
+    down, across = grid(query, block, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    if 2 * probes < len(index.centroids) and n * probes * (4 * index.dims + 16 + 24 * k) <= max(SENT, across * query + down * block):
+        return pairs.mapInArrow(_compare(index.dims, k), kind)
     most = max(1, min(BLOCK, HELD // k))
-    down, across = grid(n * (8 * index.dims + 24 * k), index.n_rows * (index.dims // 2 + 12), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    across = max(across, min(MOST_SIDE, -(-block // CELL)))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    cell = (F.col("down") * across + F.col("across")).alias("cell")
     bundles = asked.select("q", "v").mapInArrow(_bundles(min(most, max(1, -(-n // down)))), "q binary, v binary")
-    bundles = bundles.withColumn("down", F.pmod(F.xxhash64("q"), F.lit(down)).cast("int")).withColumn("across", every(across))
-    blocks = index.lists.withColumn("across", F.pmod(F.xxhash64("rows"), F.lit(across)).cast("int")).withColumn("down", every(down))
+    bundles = bundles.withColumn("down", F.pmod(F.xxhash64("q"), F.lit(down)).cast("int")).withColumn("across", every(across)).select(cell, F.lit(1).alias("kind"), "q", "v")
+    blocks = index.lists.withColumn("across", F.pmod(F.xxhash64("rows"), F.lit(across)).cast("int")).withColumn("down", every(down)).select(cell, F.lit(0).alias("kind"), "list", "rows", "codes", "scales")
     sent = spark.sparkContext.broadcast(index.centroids)
-    return bundles.join(blocks.hint("merge"), ["down", "across"]).mapInArrow(_compare_bundles(sent, probes, index.dims, index.seed, k), kind)
+    cells = blocks.unionByName(bundles, allowMissingColumns=True).repartition(down * across, "cell").sortWithinPartitions("cell", "kind")
+    return cells.mapInArrow(_compare_bundles(sent, probes, index.dims, index.seed, k), kind)
+
+
+def _dealt(part: Callable, columns: Callable):
+    """Each batch's rows by part (batch: an int for each row), as one row of a part's columns."""
+
+    def run(batches):
+        for batch in batches:
+            at = part(batch)
+            order = np.argsort(at, kind="stable")
+            for group in np.split(order, np.flatnonzero(np.diff(at[order])) + 1) if len(order) else []:
+                yield pa.RecordBatch.from_pydict({"part": pa.array([int(at[group[0]])], pa.int32())} | columns(batch.take(pa.array(group))))
+
+    return run
+
+
+def _exact(dims: int):
+    """Of a cell's queries (kind 0), rows (kind 1) and pairs (kind 2), in this order: every pair's inner product, summed in order of the components."""
+
+    def run(batches):
+        now = None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                cell, kind = batch.column("cell")[i].as_py(), batch.column("kind")[i].as_py()
+                if cell != now:
+                    now, held, sides = cell, ([], []), [None, None]
+                a, b = (batch.column(c)[i].as_py() for c in ("a", "b"))
+                if kind < 2:
+                    held[kind].append((np.frombuffer(a, "<i8"), np.frombuffer(b, "<f8").reshape(-1, dims), batch.column(("query_id", "doc_key")[kind])[i].values))
+                    continue
+                for side in (0, 1):
+                    if sides[side] is None:
+                        n = np.concatenate([x[0] for x in held[side]])
+                        order = np.argsort(n)
+                        sides[side] = n[order], order, np.concatenate([x[1] for x in held[side]]), pa.concat_arrays([x[2] for x in held[side]])
+                        held[side].clear()
+                (q, x, names), (row, y, keys) = ((order[np.searchsorted(n, np.frombuffer(p, "<i8"))], v, k) for p, (n, order, v, k) in zip((a, b), sides, strict=True))
+                for j in range(0, len(q), 1 << 14):
+                    left, right = x[q[j : j + (1 << 14)]], y[row[j : j + (1 << 14)]]
+                    score = np.zeros(len(left))
+                    for d in range(dims):
+                        score += left[:, d] * right[:, d]
+                    yield pa.RecordBatch.from_arrays([names.take(pa.array(q[j : j + (1 << 14)])), keys.take(pa.array(row[j : j + (1 << 14)])), pa.array(score)], ["query_id", "doc_key", "score"])
+
+    return run
+
+
+def _in_full(index: VectorIndex, asked: DataFrame, near: DataFrame) -> DataFrame:
+    """(query_id, doc_key, score) of pairs (q, row).  A pair's two vectors aren't joined to it: queries and rows are dealt in a grid, about CELL bytes of
+    each in a cell, and pairs, two numbers each, go to their cell.  So a vector is copied along a side of the grid, not for each pair."""
+    dims, n = index.dims, asked.count()
+    down, across = (min(MOST_SIDE, max(LEAST_SIDE, -(-rows * 8 * dims // CELL))) for rows in (n, index.n_rows))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    kinds = {"query_id": asked.schema["query_id"].dataType.simpleString(), "doc_key": index.vectors.schema["doc_key"].dataType.simpleString()}
+    whole = lambda x: pa.array([np.asarray(x, "<i8").tobytes()], pa.binary())
+    arrays = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+    number = lambda batch, name, parts: np.asarray(batch.column(name)) * 0x9E3779B1 % (1 << 32) * parts >> 32
+
+    def vectors(rows, number_, name, parts):
+        columns = lambda b: {"a": whole(b.column(number_)), "b": pa.array([_matrix(b.column("v")).astype("<f8").tobytes()], pa.binary()), name: arrays(b.column(name))}
+        return rows.select(number_, name, "v").mapInArrow(_dealt(lambda b: number(b, number_, parts), columns), f"part int, a binary, b binary, {name} array<{kinds[name]}>")
+
+    q = vectors(asked, "q", "query_id", down).withColumn("side", every(across)).select((F.col("part") * across + F.col("side")).alias("cell"), F.lit(0).alias("kind"), "a", "b", "query_id")
+    d = vectors(index.vectors, "row", "doc_key", across).withColumn("side", every(down)).select((F.col("side") * across + F.col("part")).alias("cell"), F.lit(1).alias("kind"), "a", "b", "doc_key")
+    pairs = near.select("q", "row").mapInArrow(_dealt(lambda b: number(b, "q", down) * across + number(b, "row", across), lambda b: {"a": whole(b.column("q")), "b": whole(b.column("row"))}), "part int, a binary, b binary")
+    pairs = pairs.select(F.col("part").alias("cell"), F.lit(2).alias("kind"), "a", "b")
+    cells = q.unionByName(d, allowMissingColumns=True).unionByName(pairs, allowMissingColumns=True).repartition("cell").sortWithinPartitions("cell", "kind")
+    return cells.mapInArrow(_exact(dims), f"query_id {kinds['query_id']}, doc_key {kinds['doc_key']}, score double")
 
 
 def _compared(index: VectorIndex, asked: DataFrame, probes: int) -> DataFrame:
@@ -378,10 +462,10 @@ def search(index: VectorIndex, queries: DataFrame, k: int, probes: int | None =
         raise ValueError("rerank is at least k, and one more where the row itself is left out")
     asked, pairs = _pairs(index, queries, probes)
     near = top(_near(index, asked, pairs, probes or index.probes, wanted), wanted, places=12, key="row", group="q").select("q", "row")
-    full = near.join(index.vectors.select("row", "doc_key", F.col("v").alias("w")), "row").join(asked, "q")
+    full = _in_full(index, asked, near)
     if skip_self:
         full = full.filter(F.col("query_id") != F.col("doc_key"))
-    return top(full.select("query_id", "doc_key", V.dot("v", "w").alias("score")), k).select("query_id", "doc_key", "score", "rank")
+    return top(full, k).select("query_id", "doc_key", "score", "rank")
 
 
 def report(index: VectorIndex, queries: DataFrame, k: int, probes: int | None = None, rerank: int | None = None) -> DataFrame:
