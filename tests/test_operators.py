@@ -396,3 +396,41 @@ def test_a_cell_gives_k_rows_a_query_and_the_grid_is_bounded(spark, monkeypatch)
     retrieve.nearest(q, docs, 5, slots=1)
     assert seen[0].count() == 9 * 5  # 15 blocks were searched
     assert retrieve.grid(200, 10**7, 600) == (1, 144) and retrieve.grid(10**6, 10**6, 600) == (12, 12) and retrieve.grid(10**6, 10**6, 12)[0] * retrieve.grid(10**6, 10**6, 12)[1] <= 16 and retrieve.grid(0, 0, 1) == (1, 1)
+
+
+def _greedy_by_scan(v, threshold, k):
+    """Removed rows of unit vectors by number: the whole scan, in numpy."""
+    s = v @ v.T
+    np.fill_diagonal(s, -2)
+    gone = set()
+    for i in range(len(v)):
+        near = np.lexsort((np.arange(len(v)), -np.round(s[i], 6)))[: k - 1]
+        if i not in gone:
+            gone |= {int(j) for j in near if j > i and s[i, j] >= threshold}
+    return gone
+
+
+@pytest.mark.parametrize("k,pairs,side", [(3, 1 << 20, 16), (3, 50, 16), (8, 50, 1), (50, 1 << 20, 16)])
+def test_near_dedup_of_copies_and_near_copies(spark, monkeypatch, k, pairs, side):
+    """More copies of a vector than k, near copies, far ones, and a zero vector, in a grid of several cells."""
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(40, 6))
+    v = np.concatenate([base, base[:10] + 0.05 * rng.normal(size=(10, 6)), np.repeat(base[:4], 9, axis=0), base[:20] + 0.2 * rng.normal(size=(20, 6)), np.zeros((3, 6))])
+    v = v[rng.permutation(len(v))]
+    v /= np.maximum(np.linalg.norm(v, axis=1), 1e-12)[:, None]
+    monkeypatch.setattr(retrieve, "PAIRS", pairs)
+    monkeypatch.setattr(retrieve, "MOST_SIDE", side)
+    monkeypatch.setattr(retrieve, "BLOCK", 4)
+    got = dedup.near_dedup(spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, embedding array<double>"), 0.95, k).collect()
+    assert {r.id for r in got if r.removed} == _greedy_by_scan(v, 0.95, k) and len(got) == len(v)
+
+
+def test_only_distinct_vectors_are_compared_and_only_close_pairs_leave(spark):
+    """What leaves the comparing tasks follows the close pairs, not k rows of each row and cell."""
+    v = np.random.default_rng(6).normal(size=(60, 12))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    rows = spark.createDataFrame([(i, v[i % 60].tolist()) for i in range(600)], "id long, v array<double>")
+    found = retrieve.alike(rows.filter("id < 60").withColumnRenamed("id", "doc_key"), 50, 0.95)
+    assert sorted((r.query_id, r.doc_key, r["rank"]) for r in found.collect()) == [(i, i, 1) for i in range(60)]
+    edges = dedup._close(rows, 0.95, 4).collect()
+    assert sorted((e.src, e.dst) for e in edges) == sorted((i + 60 * a, i + 60 * b) for i in range(60) for a in range(4) for b in range(a + 1, 4))

@@ -12,8 +12,10 @@ from pyspark.sql.window import Window
 
 from textloom.functions import vectors as V
 from textloom.operators import vectorindex
-from textloom.operators.lineage import cut
-from textloom.operators.retrieve import nearest
+from textloom.operators.lineage import cut, stored
+from textloom.operators.retrieve import alike, nearest
+
+CLOSE = 0.8  # from this threshold on few pairs reach it, and only these are kept
 
 
 def keep_first(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
@@ -55,14 +57,35 @@ def near_dedup(rows: DataFrame, threshold: float = 0.95, k: int = 20, key: str =
         raise ValueError("k is at least 2")
     unit = rows.select(F.col(key).alias("id"), V.l2_normalize(vector).alias("v"))
     queries, corpus = unit.select(F.col("id").alias("query_id"), "v"), unit.select(F.col("id").alias("doc_key"), "v")
-    if path is None:
-        near = nearest(queries, corpus, k - 1, skip_self=True)
+    if path is None and threshold >= CLOSE:
+        edges = _close(unit, threshold, k)
     else:
-        near = vectorindex.search(vectorindex.build_vector_index(corpus, path, k=k), queries, k - 1, skip_self=True)
-    edges = near.filter((F.col("score") >= threshold) & (F.col("doc_key") > F.col("query_id"))).select(F.col("query_id").alias("src"), F.col("doc_key").alias("dst"))
+        if path is None:
+            near = nearest(queries, corpus, k - 1, skip_self=True)
+        else:
+            near = vectorindex.search(vectorindex.build_vector_index(corpus, path, k=k), queries, k - 1, skip_self=True)
+        edges = near.filter((F.col("score") >= threshold) & (F.col("doc_key") > F.col("query_id"))).select(F.col("query_id").alias("src"), F.col("doc_key").alias("dst"))
     return greedy(unit, edges)
 
 
+def _close(unit: DataFrame, threshold: float, k: int) -> DataFrame:
+    """(src, dst): of each row (id, v: a unit vector) the later ones among its k - 1 nearest others with a product of threshold or more.
+    Rows of one vector have one list of nearest rows, in which a vector stands for its k first rows; so only distinct vectors
+    are compared, and only pairs that reach the threshold leave a task."""
+    good = unit.filter(V.usable("v"))
+    first = stored(good.groupBy("v").agg(F.min("id").alias("doc_key")), "distinct-vectors")
+    named = stored(good.join(first, "v").select("id", "doc_key"), "vectors-of-rows")
+    w = Window.partitionBy("doc_key").orderBy("id")
+    heads = named.withColumn("n", F.row_number().over(w)).filter(F.col("n") <= k).groupBy("doc_key").agg(F.collect_list("id").alias("ids"))  # k at most
+    near = alike(first, k, threshold).join(heads, "doc_key").select("query_id", "score", F.explode("ids").alias("id"))
+    w = Window.partitionBy("query_id").orderBy(F.round("score", 6).desc(), "id")
+    lists = near.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    lists = lists.groupBy(F.col("query_id").alias("doc_key")).agg(F.array_sort(F.collect_list(F.struct("rank", F.col("id").alias("dst"), "score"))).alias("l"))  # k at most
+    others = F.slice(F.filter("l", lambda x: x["dst"] != F.col("id")), 1, k - 1)
+    later = F.filter(others, lambda x: (x["dst"] > F.col("id")) & (x["score"] >= threshold))
+    return named.join(lists, "doc_key").select(F.col("id").alias("src"), F.explode(F.transform(later, lambda x: x["dst"])).alias("dst"))
+
+
 def within_groups(rows: DataFrame, threshold: float, strict: bool = True) -> DataFrame:
     """rows (grp, ord, v: unit vectors) with kept: per group, a scan in order of ord that drops what is closer
     than threshold to any kept row.  Groups are candidate lists of one query, bounded by its top-k."""
