@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from textloom import engine
 from textloom.functions import calls
 from textloom.functions import vectors as V
+from textloom.functions.stem import Analyzer, analyzed_terms
 from textloom.operators import answer, crawl, dedup, mining, retrieve, rows, training
 from textloom.sources import jsonl, stores
 from textloom.streaming import incremental
@@ -434,3 +435,16 @@ def test_only_distinct_vectors_are_compared_and_only_close_pairs_leave(spark):
     assert sorted((r.query_id, r.doc_key, r["rank"]) for r in found.collect()) == [(i, i, 1) for i in range(60)]
     edges = dedup._close(rows, 0.95, 4).collect()
     assert sorted((e.src, e.dst) for e in edges) == sorted((i + 60 * a, i + 60 * b) for i in range(60) for a in range(4) for b in range(a + 1, 4))
+
+
+def test_an_index_of_analyzed_terms_is_that_of_their_postings(spark, tmp_path):
+    texts = ["The cats are running; a cat ran. 5 x 42", "", None, "to be or not", "Relational relations, NATIONAL nation's caf\u00e9 \u0130stanbul hopping hopped", "flies fly dies y sky skies"] * 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    counts = analyzed_terms(docs, "doc_id", "text").groupBy(F.col("doc_id").alias("doc_key"), "term").agg(F.count("*").alias("tf"))
+    want = retrieve.build_index(docs, postings=counts, tokenizer="stemmed", path=f"file://{tmp_path}/a")
+    got = retrieve.build_index(docs, tokenizer="stemmed", path=f"file://{tmp_path}/b", analyzer=lambda: Analyzer(room=3))
+    postings = lambda i: sorted(map(tuple, i.blocks.select("term", "range", "n", "max_tf", "min_len", F.inline(F.arrays_zip("keys", "tfs", "lens"))).collect()))
+    assert postings(got) == postings(want)
+    for name in ("lengths", "terms"):
+        assert sorted(map(tuple, getattr(got, name).collect())) == sorted(map(tuple, getattr(want, name).collect()))
+    assert (got.n_docs, got.avgdl, got.mean_raw, got.tokenizer) == (want.n_docs, want.avgdl, want.mean_raw, "stemmed")
